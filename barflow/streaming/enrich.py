@@ -1,0 +1,140 @@
+"""History features on a stream of bars.
+
+Row-ordered windows do not exist on streams, so each symbol keeps its last 19 bars as state.
+Bars wait until the watermark has passed them and are then released in event-time order; the
+result does not depend on the order of arrival and equals the batch result. The row-wise
+columns and the rules are the batch functions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+
+from barflow.operators.enrich import derive
+from barflow.schema import BAR, BAR_COLUMNS, HISTORY_COLUMNS, LOOKBACK_ROWS
+
+MICROS = "_micros"
+
+
+def _due(micros: int) -> int:
+    """Timers count in milliseconds and fire once the watermark is later than they are."""
+    return -(-micros // 1000) - 1
+
+
+def _sort_key(row: Row, names: Sequence[str]) -> tuple:
+    """NULL sorts first, as it does in the batch window."""
+    return tuple((row[n] is not None, row[n]) for n in names)
+
+
+class SeriesHistory(StatefulProcessor):
+    """Per symbol: bars that still wait, the last 19 released bars, and the next timer."""
+
+    def __init__(self, bar_schema: T.StructType, order: Sequence[str]):
+        self.bar_schema = bar_schema
+        self.order = list(order)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.bar_schema)
+        self.released = handle.getListState("released", self.bar_schema)
+        self.alarm = handle.getValueState("alarm", "due long")
+
+    def _wake_at(self, micros: int, after: int = -1) -> None:
+        """Set the timer for the earliest waiting bar, later than the one that just fired."""
+        due = max(_due(micros), after + 1)
+        current = self.alarm.get()
+        if current is not None:
+            if current[0] <= due:
+                return
+            self.handle.deleteTimer(current[0])
+        self.handle.registerTimer(due)
+        self.alarm.update((due,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        names = self.bar_schema.names
+        arrived = [tuple(row[n] for n in names) for row in rows]
+        if arrived:
+            self.waiting.appendList(arrived)
+            at = names.index(MICROS)
+            self._wake_at(min(bar[at] for bar in arrived))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        names = self.bar_schema.names
+        limit = timerValues.getCurrentWatermarkInMs() * 1000
+        bars = [Row(**dict(zip(names, bar))) for bar in self.waiting.get()]
+        ready = [bar for bar in bars if bar[MICROS] <= limit]
+        early = [bar for bar in bars if bar[MICROS] > limit]
+        ready.sort(key=lambda bar: _sort_key(bar, [MICROS, *self.order]))
+        history = [Row(**dict(zip(names, bar))) for bar in self.released.get()]
+
+        self.alarm.clear()
+        if early:
+            self.waiting.put([tuple(bar) for bar in early])
+            self._wake_at(min(bar[MICROS] for bar in early), expiredTimerInfo.getExpiryTimeInMs())
+        else:
+            self.waiting.clear()
+        if ready:
+            self.released.put([tuple(bar) for bar in (history + ready)[-LOOKBACK_ROWS:]])
+
+        for bar in ready:
+            previous = history[-1] if history else None
+            volumes = [b["volume"] for b in [*history, bar] if b["volume"] is not None]
+            yield Row(
+                symbol=key[0], **bar.asDict(),
+                **{f"prev_{c}": previous[c] if previous else None
+                   for c in ("close", "high", "low", "volume")},
+                avg_volume_20=sum(volumes) / len(volumes) if volumes else None,
+            )
+            history = [*history, bar][-LOOKBACK_ROWS:]
+
+    def close(self) -> None:
+        pass
+
+
+def add_history_stream(bars: DataFrame, delay: str, tie_break: Sequence[str] = ()) -> DataFrame:
+    """``add_history`` for a streaming frame.
+
+    Bars later than the watermark (newest event time minus ``delay``) are dropped and counted
+    by Spark, see ``late_bars``. ``symbol`` and ``timestamp`` must not be NULL: reject such rows
+    first.
+    """
+    kept = [c for c in [*BAR_COLUMNS, *tie_break] if c not in ("symbol", "timestamp")]
+    source = bars.select("symbol", "timestamp", *kept).withColumn(MICROS, F.unix_micros("timestamp"))
+    fields = [source.schema[MICROS], *[source.schema[c] for c in kept]]
+    stored = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    output = T.StructType([BAR["symbol"], *stored, *HISTORY_COLUMNS])
+    return (
+        source.withWatermark("timestamp", delay).groupBy("symbol")
+        .transformWithState(
+            statefulProcessor=SeriesHistory(stored, tie_break),
+            outputStructType=output, outputMode="Append", timeMode="EventTime",
+        )
+        .withColumn("timestamp", F.timestamp_micros(MICROS)).drop(MICROS)
+        .select("symbol", "timestamp", *kept, *HISTORY_COLUMNS.names)
+    )
+
+
+def enrich_stream(bars: DataFrame, delay: str, tie_break: Sequence[str] = ()) -> DataFrame:
+    """``operators.enrich.enrich`` for a streaming frame."""
+    return derive(add_history_stream(bars, delay, tie_break))
+
+
+def drop_repeats(bars: DataFrame, delay: str) -> DataFrame:
+    """Keep one of the copies of a bar that a poller reads more than once within ``delay``."""
+    return bars.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
+        ["symbol", "timestamp"]
+    )
+
+
+def late_bars(query: StreamingQuery) -> int:
+    """Bars dropped as later than the watermark, over the rounds that Spark still reports."""
+    return sum(
+        op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
+    )
