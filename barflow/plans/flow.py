@@ -11,7 +11,7 @@ from barflow.operators import quality
 from barflow.operators.enrich import enrich
 from barflow.operators.signals import signals_with_risk
 from barflow.sources import messages
-from barflow.streaming.enrich import drop_repeats, enrich_stream
+from barflow.streaming.enrich import drop_repeats, enrich_stream, on_time
 
 
 def signals_of_bars(
@@ -33,5 +33,5 @@ def signals_of_message_stream(
 ) -> DataFrame:
     """A stream of messages in, a stream of signals out: the live form of ``signals_of_bars``."""
     bars, _ = bars_of_messages(envelope)
-    once = drop_repeats(messages.bars_of(bars), delay)
-    return signals_with_risk(enrich_stream(once, delay), thresholds)
+    once = drop_repeats(on_time(messages.bars_of(bars), delay))
+    return signals_with_risk(enrich_stream(once), thresholds)

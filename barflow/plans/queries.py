@@ -194,9 +194,7 @@ def signals_since(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_bars_user_day(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars built on a stream of events; days not yet passed by the watermark stay open."""
-    batch = tables.load(pin_utc(spark), folder, "events")
-    stream = spark.readStream.schema(batch.schema).parquet(f"{folder}/events.parquet")
-    trades = tables.as_event_trades(stream)
+    trades = tables.as_event_trades(tables.load_stream(pin_utc(spark), folder, "events"))
     bars = bs.build_bars_stream(
         trades, "1 day", bs.time_then_id("ts", "event_id"), STREAM_DELAY
     )

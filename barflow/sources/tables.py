@@ -12,6 +12,12 @@ def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def load_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The table as a stream. The pattern lets it be one file or a folder of files."""
+    schema = load(spark, folder, table).schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{table}.parquet*")
+
+
 def event_trades(spark: SparkSession, folder: str) -> DataFrame:
     return as_event_trades(load(spark, folder, "events"))
 

@@ -98,39 +98,45 @@ class SeriesHistory(StatefulProcessor):
         pass
 
 
-def add_history_stream(bars: DataFrame, delay: str, tie_break: Sequence[str] = ()) -> DataFrame:
-    """``add_history`` for a streaming frame.
+def on_time(bars: DataFrame, delay: str) -> DataFrame:
+    """Set the watermark: bars older than the newest event time minus ``delay`` are dropped.
 
-    Bars later than the watermark (newest event time minus ``delay``) are dropped and counted
-    by Spark, see ``late_bars``. ``symbol`` and ``timestamp`` must not be NULL: reject such rows
-    first.
+    Spark counts them, see ``late_bars``. Set it once, before the operators below.
+    """
+    return bars.withWatermark("timestamp", delay)
+
+
+def add_history_stream(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """``add_history`` for a stream with a watermark on ``timestamp``.
+
+    ``symbol`` and ``timestamp`` must not be NULL: reject such rows first.
     """
     kept = [c for c in [*BAR_COLUMNS, *tie_break] if c not in ("symbol", "timestamp")]
     source = bars.select("symbol", "timestamp", *kept).withColumn(MICROS, F.unix_micros("timestamp"))
-    fields = [source.schema[MICROS], *[source.schema[c] for c in kept]]
-    stored = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    stored = T.StructType(
+        [T.StructField(c, source.schema[c].dataType) for c in (MICROS, *kept)]
+    )
     output = T.StructType([BAR["symbol"], *stored, *HISTORY_COLUMNS])
     return (
-        source.withWatermark("timestamp", delay).groupBy("symbol")
+        source.groupBy("symbol")
         .transformWithState(
             statefulProcessor=SeriesHistory(stored, tie_break),
             outputStructType=output, outputMode="Append", timeMode="EventTime",
         )
-        .withColumn("timestamp", F.timestamp_micros(MICROS)).drop(MICROS)
-        .select("symbol", "timestamp", *kept, *HISTORY_COLUMNS.names)
+        .select(
+            "symbol", F.timestamp_micros(MICROS).alias("timestamp"), *kept, *HISTORY_COLUMNS.names
+        )
     )
 
 
-def enrich_stream(bars: DataFrame, delay: str, tie_break: Sequence[str] = ()) -> DataFrame:
-    """``operators.enrich.enrich`` for a streaming frame."""
-    return derive(add_history_stream(bars, delay, tie_break))
+def enrich_stream(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+    """``operators.enrich.enrich`` for a stream with a watermark on ``timestamp``."""
+    return derive(add_history_stream(bars, tie_break))
 
 
-def drop_repeats(bars: DataFrame, delay: str) -> DataFrame:
-    """Keep one of the copies of a bar that a poller reads more than once within ``delay``."""
-    return bars.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(
-        ["symbol", "timestamp"]
-    )
+def drop_repeats(bars: DataFrame) -> DataFrame:
+    """Keep one copy of a bar that a poller reads more than once within the watermark's delay."""
+    return bars.dropDuplicatesWithinWatermark(["symbol", "timestamp"])
 
 
 def late_bars(query: StreamingQuery) -> int:
