@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.schema import PRICES
 
-# Column limits of the result tables.
+# Column limits of the result tables. A limit is the smallest magnitude that
+# rounds to one digit too many.
 SYMBOL_LENGTH = 10
-PRICE_TYPE = "decimal(10,2)"
-RATIO_TYPE = "decimal(5,2)"
+PRICE_TYPE, PRICE_LIMIT = "decimal(10,2)", 99999999.995
+RATIO_TYPE, RATIO_LIMIT = "decimal(5,2)", 999.995
 SIGNALS = ["BUY", "SELL", "HOLD"]
 
 REASON = "reject_reason"
@@ -21,28 +25,29 @@ def _first_of(checks: list[tuple[str, Column]]) -> Column:
 
 
 def _any_of(conditions: list[Column]) -> Column:
-    result = conditions[0]
-    for condition in conditions[1:]:
-        result = result | condition
-    return result
+    return reduce(or_, conditions)
+
+
+def _all_of(conditions: list[Column]) -> Column:
+    return reduce(and_, conditions)
 
 
-def fits(column: str, decimal: str) -> Column:
-    """The value is absent or representable once rounded to the column's scale."""
-    return F.col(column).isNull() | F.col(column).try_cast(decimal).isNotNull()
+def overflows(column: str, limit: float) -> Column:
+    """The value has no place in its decimal column; NaN and infinity never have one."""
+    return F.abs(F.col(column)) >= limit
 
 
 def with_bar_reason(parsed: DataFrame) -> DataFrame:
     """Name the first constraint that a bar breaks, NULL for a valid bar."""
     fields = ["symbol", "timestamp", *PRICES, "volume"]
-    empty = F.coalesce(*[F.col(c).cast("string") for c in fields]).isNull()
+    empty = _all_of([F.col(c).isNull() for c in fields])
     return parsed.withColumn(REASON, _first_of([
         ("malformed", empty),
         ("no symbol", F.col("symbol").isNull()),
         ("symbol too long", F.length("symbol") > SYMBOL_LENGTH),
         ("no timestamp", F.col("timestamp").isNull()),
         ("no price", _any_of([F.col(c).isNull() | F.isnan(c) for c in PRICES])),
-        ("price out of range", _any_of([~fits(c, PRICE_TYPE) for c in PRICES])),
+        ("price out of range", _any_of([overflows(c, PRICE_LIMIT) for c in PRICES])),
         ("no volume", F.col("volume").isNull()),
     ]))
 
@@ -52,12 +57,15 @@ def with_signal_reason(signals: DataFrame) -> DataFrame:
     levels = ["stop_loss_price", "take_profit_price"]
     ratios = ["volume_ratio", "price_change_pct", "risk_reward_ratio"]
     required = ["symbol", "timestamp", *PRICES, "volume", "signal", "signal_strength"]
-    return signals.withColumn(REASON, _first_of([
+    # A one-element array of the whole row: the filter on the reason stays above it. Pushed
+    # further down it would repeat the rules once per mention of a risk column.
+    settled = signals.select(F.inline(F.array(F.struct("*"))))
+    return settled.withColumn(REASON, _first_of([
         ("missing value", _any_of([F.col(c).isNull() for c in required])),
         ("symbol too long", F.length("symbol") > SYMBOL_LENGTH),
         ("unknown signal", ~F.col("signal").isin(SIGNALS)),
-        *[(f"{c} out of range", ~fits(c, PRICE_TYPE)) for c in [*PRICES, *levels]],
-        *[(f"{c} out of range", ~fits(c, RATIO_TYPE)) for c in ratios],
+        *[(f"{c} out of range", overflows(c, PRICE_LIMIT)) for c in [*PRICES, *levels]],
+        *[(f"{c} out of range", overflows(c, RATIO_LIMIT)) for c in ratios],
     ]))
 
 

@@ -14,7 +14,7 @@ from barflow.operators import enrich as en
 from barflow.operators import quality
 from barflow.operators import signals as sg
 from barflow.plans.flow import bars_of_messages, signals_of_bars, signals_of_message_stream
-from barflow.schema import BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS
+from barflow.schema import BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
 from barflow.session import pin_utc, use_rocksdb, work_dir
 from barflow.sources import bars as bs
 from barflow.sources import messages, tables
@@ -104,22 +104,19 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Event messages where the event type decides what is wrong with the body."""
     events = tables.load(pin_utc(spark), folder, "events")
-    kind = F.col("event_type")
-    time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    volume = F.get_json_object("props", "$.k")
+    kind, sent = F.col("event_type"), F.col("ts").cast("timestamp")
+    quantity = F.get_json_object("props", "$.k").try_cast("bigint")
     body = F.to_json(F.struct(
         F.when(kind != "signup", F.concat(F.lit("U"), "user_id")).alias("symbol"),
-        F.when(kind == "view", F.lit("not a time")).otherwise(time).alias("timestamp"),
-        *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
-        F.when(kind == "click", F.concat(volume, F.lit(".5"))).otherwise(volume)
-        .cast("double").alias("volume"),
+        F.when(kind == "view", "not a time").otherwise(messages.iso(sent)).alias("timestamp"),
+        *[F.col("value").alias(c) for c in PRICES],
+        F.when(kind != "click", quantity).alias("volume"),
     ))
-    # Whole volumes go out as whole numbers; only clicks keep their fraction.
-    body = F.regexp_replace(body, r'("volume":\d+)\.0\b', "$1")
-    cut = F.when(kind == "error", F.substring(body, 1, 20)).otherwise(body)
+    kept = F.when(kind == "error", 20).otherwise(F.length(body))
     return events.select(
-        F.lit(None).cast("binary").alias("key"), cut.cast("binary").alias("value"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(None).cast("binary").alias("key"),
+        F.substring(body, F.lit(1), kept).cast("binary").alias("value"),
+        sent.alias("timestamp"),
     )
 
 

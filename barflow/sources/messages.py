@@ -37,15 +37,18 @@ def parse(messages: DataFrame) -> DataFrame:
 
     A body that is no JSON object, or a field of another type, gives NULL; so does unreadable
     time text, with ANSI mode on or off. ``operators.quality`` sorts such rows out.
+
+    The body is unpacked as a one-element array: a later filter on its fields then stays above
+    the JSON parser, where it would otherwise be pushed down with a copy of it per field.
     """
     body = F.from_json(F.col("value").cast("string"), MESSAGE_BODY)
     return (
-        messages.select(body.alias("data"), F.col("timestamp").alias("kafka_timestamp"))
-        .select("data.*", "kafka_timestamp")
-        .withColumns({
-            "timestamp": F.try_to_timestamp("timestamp"),
-            "processing_time": F.current_timestamp(),
-        })
+        messages.select(F.col("timestamp").alias("kafka_timestamp"), F.inline(F.array(body)))
+        .select(
+            "symbol", F.try_to_timestamp("timestamp").alias("timestamp"),
+            *BAR_COLUMNS[2:], "fetch_time", "kafka_timestamp",
+            F.current_timestamp().alias("processing_time"),
+        )
     )
 
 
