@@ -121,7 +121,8 @@ def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str]
 
 
 def enrich_range(
-    bars: DataFrame, start: Column, end: Column, tie_break: Sequence[str] = ()
+    bars: DataFrame, start: Column, end: Column, tie_break: Sequence[str] = (),
+    chunk: str | None = None,
 ) -> DataFrame:
     """Enriched bars with ``start <= timestamp < end``, equal to those of the full series.
 
@@ -131,4 +132,4 @@ def enrich_range(
     ts = F.col("timestamp")
     before = last_rows(bars.filter(ts < start), LOOKBACK_ROWS, tie_break, ["symbol"])
     inside = bars.filter((ts >= start) & (ts < end))
-    return enrich(before.unionByName(inside), tie_break).filter(ts >= start)
+    return enrich(before.unionByName(inside), tie_break, chunk).filter(ts >= start)

@@ -1,0 +1,53 @@
+from datetime import datetime, timedelta
+
+from barflow.schema import BAR
+
+START = datetime(2024, 1, 1)
+BASE = (100.0, 101.0, 99.0, 100.0, 100)
+
+
+def series(symbol, bars, step=timedelta(minutes=1), start=START):
+    return [(symbol, start + i * step, *bar) for i, bar in enumerate(bars)]
+
+
+def bar_frame(spark, rows):
+    return spark.createDataFrame(rows, BAR)
+
+
+def same_rows(left, right):
+    columns = sorted(left.columns)
+    assert columns == sorted(right.columns)
+    left, right = left.select(columns), right.select(columns)
+    assert left.exceptAll(right).isEmpty()
+    assert right.exceptAll(left).isEmpty()
+
+
+def random_bars(rng, symbols, count, step=timedelta(minutes=1), gaps=True):
+    """Random walks; now and then a gap in time or a missing volume."""
+    rows = []
+    for symbol in symbols:
+        at, close = START, 100.0
+        for _ in range(count):
+            at += step * (rng.choice([1, 1, 1, 2, 50]) if gaps else 1)
+            opened = close + rng.choice([-1.0, -0.25, 0.0, 0.25, 1.0])
+            close = max(1.0, opened + rng.choice([-2.0, -1.0, -0.5, 0.0, 0.5, 1.0, 2.0]))
+            high = max(opened, close) + rng.choice([0.0, 0.125, 1.0])
+            low = min(opened, close) - rng.choice([0.0, 0.125, 0.5])
+            volume = rng.choice([None, 0, 50, 100, 100, 100, 200, 400, 900])
+            rows.append((symbol, at, opened, high, low, close, volume))
+    return rows
+
+
+def brute_force(rows):
+    """History columns by plain loops over each sorted series."""
+    found = {}
+    for symbol in {r[0] for r in rows}:
+        own = sorted((r for r in rows if r[0] == symbol), key=lambda r: r[1])
+        for i, bar in enumerate(own):
+            previous = own[i - 1] if i else None
+            volumes = [r[6] for r in own[max(0, i - 19): i + 1] if r[6] is not None]
+            found[symbol, bar[1]] = (
+                previous and previous[5], previous and previous[3], previous and previous[4],
+                previous and previous[6], sum(volumes) / len(volumes) if volumes else None,
+            )
+    return found

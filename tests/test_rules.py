@@ -1,0 +1,119 @@
+"""One tiny series per rule and boundary; the last bar is the one under test."""
+
+import math
+import random
+
+import pytest
+from helpers import BASE, bar_frame, random_bars, series
+from pyspark.sql import functions as F
+
+from barflow.functions import rules
+from barflow.operators.enrich import enrich
+from barflow.operators.signals import (
+    add_risk_management_metrics, classify, generate_trading_signals, signals_with_risk,
+)
+from barflow.schema import HISTORY_COLUMNS
+
+QUIET = (*BASE[:4], 0)
+FREE = (0.0, 0.0, 0.0, 0.0, 100)
+
+# name: bars before, test bar, avg20, ratio, pct, rule, signal, strength, stop, target
+GOLDEN = {
+    "R1": ([BASE] * 4, (100.0, 104.0, 99.5, 103.0, 400), 160, 2.5, 3, "breakout", "BUY", "STRONG", 100.94, 106.09),
+    "R2": ([BASE] * 4, (100.0, 100.5, 96.0, 97.0, 400), 160, 2.5, -3, "breakdown", "SELL", "STRONG", 98.94, 94.09),
+    "R3": ([BASE] * 4, (99.5, 102.0, 99.4, 101.5, 140), 108, 140 / 108, 1.5, "engulf_bull", "BUY", "WEAK", 99.47, 104.545),
+    "R4": ([BASE] * 4, (100.5, 100.6, 98.0, 98.5, 140), 108, 140 / 108, -1.5, "engulf_bear", "SELL", "WEAK", 100.47, 95.545),
+    "R5": ([BASE] * 4, (100.0, 101.0, 99.9, 100.8, 250), 130, 250 / 130, 0.8, "accumulation", "BUY", "MODERATE", 98.784, 103.824),
+    "R6": ([BASE] * 4, (100.0, 100.1, 99.0, 99.2, 250), 130, 250 / 130, -0.8, "distribution", "SELL", "MODERATE", 101.184, 96.224),
+    "PCT1": ([BASE] * 4, (100.0, 101.0, 99.9, 101.0, 250), 130, 250 / 130, 1, "accumulation", "BUY", "MODERATE", 98.98, 104.03),
+    "RATIO15": ([BASE], (100.0, 104.0, 99.5, 103.0, 300), 200, 1.5, 3, None, "HOLD", "WEAK", None, None),
+    "W20": ([BASE] * 25, (100.0, 104.0, 99.5, 103.0, 400), 115, 400 / 115, 3, "breakout", "BUY", "VERY_STRONG", 100.94, 106.09),
+    "FLAT": ([BASE] * 4, (100.0, 100.0, 100.0, 100.0, 400), 160, 2.5, 0, None, "HOLD", "STRONG", None, None),
+    "PREV0": ([FREE] * 4, (1.0, 2.0, 1.0, 2.0, 400), 160, 2.5, 0, None, "HOLD", "STRONG", None, None),
+    "VOL0": ([QUIET] * 4, (100.0, 104.0, 99.5, 103.0, 0), 0, 1, 3, None, "HOLD", "VERY_WEAK", None, None),
+    "NOVOL": ([BASE] * 4, (100.0, 104.0, 99.5, 103.0, None), 100, None, 3, None, "HOLD", "VERY_WEAK", None, None),
+    "NOCLOSE": ([BASE] * 4, (100.0, 104.0, 99.5, None, 400), 160, 2.5, None, None, "HOLD", "STRONG", None, None),
+    "CLOSE0": ([BASE] * 4, (100.0, 100.5, 0.0, 0.0, 400), 160, 2.5, -100, "breakdown", "SELL", "STRONG", 0, 0),
+    "FIRST": ([], BASE, 100, 1, 0, None, "HOLD", "VERY_WEAK", None, None),
+}
+
+
+def approx(value):
+    return None if value is None else pytest.approx(value, rel=1e-12, abs=1e-12)
+
+
+@pytest.fixture(scope="module", params=["true", "false"])
+def outcome(request, spark):
+    """All golden series at once, with ANSI mode on and off."""
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    rows = [r for name, case in GOLDEN.items() for r in series(name, [*case[0], case[1]])]
+    ruled = enrich(bar_frame(spark, rows)).withColumn("rule", rules.deciding_rule())
+    out = add_risk_management_metrics(classify(ruled))
+    last = {}
+    for row in out.orderBy("timestamp").collect():
+        last[row["symbol"]] = row
+    yield last
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("name", GOLDEN)
+def test_golden(outcome, name):
+    _, bar, average, ratio, pct, rule, signal, strength, stop, target = GOLDEN[name]
+    row = outcome[name]
+    assert row["avg_volume_20"] == approx(average)
+    assert row["volume_ratio"] == approx(ratio)
+    assert row["price_change_pct"] == approx(pct)
+    assert (row["rule"], row["signal"], row["signal_strength"]) == (rule, signal, strength)
+    assert row["stop_loss_price"] == approx(stop)
+    assert row["take_profit_price"] == approx(target)
+    reward = None if stop in (None, 0) else pytest.approx(1.5, rel=1e-6)
+    assert row["risk_reward_ratio"] == reward
+
+
+def test_first_bar_has_no_history(outcome):
+    row = outcome["FIRST"]
+    assert [row[c] for c in HISTORY_COLUMNS.names[:4]] == [None] * 4
+    assert row["price_change"] is None
+    assert (row["volume_spike"], row["high_volume_up"], row["high_volume_down"]) == (False,) * 3
+
+
+def test_shadow_skips_missing_close(outcome):
+    assert outcome["NOCLOSE"]["upper_shadow"] == 4.0
+    assert outcome["NOCLOSE"]["body_size"] is None
+
+
+def test_context_repeats_its_columns(outcome):
+    for row in outcome.values():
+        context = row["signal_context"]
+        assert context["volume_multiple"] == row["volume_ratio"]
+        assert context["price_move_pct"] == row["price_change_pct"]
+        assert context["candle_body_size"] == row["body_size"]
+        assert context["volume_anomaly"] == row["volume_spike"]
+
+
+def test_thresholds_are_parameters(spark):
+    rows = series("A", [*[BASE] * 4, GOLDEN["R1"][1]])
+    strict = rules.Thresholds(breakout_pct=5.0, drift_pct=5.0)
+    assert generate_trading_signals(enrich(bar_frame(spark, rows)), strict).isEmpty()
+
+
+def test_properties_of_signals(spark):
+    rows = random_bars(random.Random(7), [f"S{i}" for i in range(20)], 200)
+    enriched = enrich(bar_frame(spark, rows)).cache()
+    ratios = enriched.agg(F.min("volume_ratio"), F.max("volume_ratio")).first()
+    assert 0 <= ratios[0] and ratios[1] <= 20 + 1e-9
+    signals = signals_with_risk(enriched).collect()
+    assert {r["signal"] for r in signals} == {"BUY", "SELL"}
+    assert {r["signal_strength"] for r in signals} <= {"WEAK", "MODERATE", "STRONG", "VERY_STRONG"}
+    for r in signals:
+        assert math.isclose(r["risk_reward_ratio"], 1.5, rel_tol=1e-6)
+        if r["signal"] == "BUY":
+            assert r["stop_loss_price"] < r["close"] < r["take_profit_price"]
+        else:
+            assert r["take_profit_price"] < r["close"] < r["stop_loss_price"]
+    prices = ["open", "high", "low", "close"]
+    doubled = bar_frame(spark, rows).withColumns({c: F.col(c) * 4 for c in prices})
+    keys = ["symbol", "timestamp", "signal"]
+    scaled = {tuple(r) for r in generate_trading_signals(enrich(doubled)).select(keys).collect()}
+    assert scaled == {tuple(r[k] for k in keys) for r in signals}
+    enriched.unpersist()
