@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.functions import candle
-from barflow.schema import BAR_COLUMNS, LOOKBACK_ROWS
+from barflow.schema import LOOKBACK_ROWS, with_ties
 
 CHUNK = "_chunk"
 BORROWED = "_borrowed"
@@ -102,10 +102,11 @@ def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str]
     keys = ("symbol", CHUNK)
     cut = bars.withColumn(CHUNK, chunk_number(chunk))
     order = ["timestamp", *tie_break]
-    bar = F.struct(*order, *[c for c in BAR_COLUMNS if c not in ("symbol", *order)])
+    columns = with_ties(tie_break)
+    bar = F.struct(*order, *[c for c in columns if c not in ("symbol", *order)])
 
     tails = (
-        last_rows(cut.select(CHUNK, *BAR_COLUMNS, *tie_break), LOOKBACK_ROWS, tie_break, keys)
+        last_rows(cut.select(CHUNK, *columns), LOOKBACK_ROWS, tie_break, keys)
         .groupBy(*keys).agg(F.sort_array(F.collect_list(bar)).alias("tail"))
     )
     earlier = Window.partitionBy("symbol").orderBy(CHUNK).rowsBetween(-LOOKBACK_ROWS, -1)

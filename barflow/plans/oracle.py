@@ -240,4 +240,8 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT {monitor} FROM risked WHERE "timestamp" <= '
             '(SELECT max("timestamp") FROM bars) - INTERVAL 3 DAY', ENRICH, RULES,
         ),
+        "stream_enriched_rounds": _weekly(
+            f'SELECT {enriched} FROM enriched WHERE "timestamp" <= '
+            '(SELECT max("timestamp") FROM bars) - INTERVAL 3 DAY', ENRICH,
+        ),
     }

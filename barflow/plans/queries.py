@@ -14,10 +14,11 @@ from barflow.operators import enrich as en
 from barflow.operators import quality
 from barflow.operators import signals as sg
 from barflow.plans.flow import bars_of_messages, signals_of_bars, signals_of_message_stream
-from barflow.schema import BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
+from barflow.schema import BAR, BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
 from barflow.session import pin_utc, use_rocksdb, work_dir
 from barflow.sources import bars as bs
 from barflow.sources import messages, tables
+from barflow.streaming.rounds import history_rounds
 from barflow.streaming.run import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +210,27 @@ def stream_signal_monitor(spark: SparkSession, folder: str) -> DataFrame:
     return drain(signals, work_dir(spark, "stream-signals"))
 
 
+def stream_enriched_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly bars that arrive in three parts, each enriched by a round of the batch operator.
+
+    The query is started anew for each part and resumes from its checkpoint.
+    """
+    base = work_dir(pin_utc(spark), "rounds")
+    table, arrivals = f"{base}/bars", f"{base}/arrivals"
+    supplier_week_bars(spark, folder).write.parquet(table)
+    run = history_rounds(
+        f"{base}/state", STREAM_DELAY, sinks.batch_folder_writer(f"{base}/rows"),
+        chunk=WEEKLY_CHUNK,
+    )
+    year = F.year("timestamp")
+    for part in (year < 1997, (year >= 1997) & (year < 1999), year >= 1999):
+        spark.read.parquet(table).filter(part).write.mode("append").parquet(arrivals)
+        bars = spark.readStream.schema(BAR).parquet(arrivals)
+        query = sinks.each_batch(bars, run, f"{base}/checkpoint", "enriched_rounds")
+        query.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/rows").select(*ENRICHED)
+
+
 def queries() -> dict[str, Query]:
     return {
         "bars_user_day": user_day_bars,
@@ -270,4 +292,5 @@ def queries() -> dict[str, Query]:
         "signals_since": signals_since,
         "stream_bars_user_day": stream_bars_user_day,
         "stream_signal_monitor": stream_signal_monitor,
+        "stream_enriched_rounds": stream_enriched_rounds,
     }

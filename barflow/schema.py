@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import types as T
 
 # JSON body of a bar message. Every field may be absent; times travel as ISO-8601 text.
@@ -50,3 +52,8 @@ MONITOR_COLUMNS = [
     "symbol", "timestamp", "close", "volume", "signal", "signal_strength",
     "volume_ratio", "price_change_pct", "stop_loss_price", "take_profit_price",
 ]
+
+
+def with_ties(tie_break: Sequence[str]) -> list[str]:
+    """The bar columns and those that decide between bars of one time, each once."""
+    return list(dict.fromkeys([*BAR_COLUMNS, *tie_break]))

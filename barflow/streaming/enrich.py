@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from barflow.operators.enrich import derive
-from barflow.schema import BAR, BAR_COLUMNS, HISTORY_COLUMNS, LOOKBACK_ROWS
+from barflow.schema import BAR, HISTORY_COLUMNS, LOOKBACK_ROWS, with_ties
 
 MICROS = "_micros"
 
@@ -111,7 +111,7 @@ def add_history_stream(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFr
 
     ``symbol`` and ``timestamp`` must not be NULL: reject such rows first.
     """
-    kept = [c for c in [*BAR_COLUMNS, *tie_break] if c not in ("symbol", "timestamp")]
+    kept = [c for c in with_ties(tie_break) if c not in ("symbol", "timestamp")]
     source = bars.select("symbol", "timestamp", *kept).withColumn(MICROS, F.unix_micros("timestamp"))
     stored = T.StructType(
         [T.StructField(c, source.schema[c].dataType) for c in (MICROS, *kept)]

@@ -1,0 +1,116 @@
+"""History features on a stream, round by round with the batch operator.
+
+A round adds its bars to what the rounds before it left behind: the last 19 released bars of
+each symbol, and the bars that still wait for the watermark. It then runs the batch history
+step, so the work stays in the JVM and a symbol with a large share of the bars is split into
+chunks. Use it to catch up on a backlog or where one symbol dominates. It rewrites the left
+bars of every symbol each round; ``streaming.enrich`` touches only the symbols of the round and
+suits frequent small rounds.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barflow.operators.enrich import enrich, last_rows
+from barflow.schema import LOOKBACK_ROWS, with_ties
+from barflow.sinks import BatchWriter
+
+RELEASED = "_released"
+
+CLOCK = T.StructType([
+    T.StructField("round", T.LongType()),
+    T.StructField("newest", T.LongType()),
+    T.StructField("late", T.LongType()),
+])
+
+# Enough for one-minute bars: at most 43,200 rows of a symbol per chunk.
+MINUTE_BAR_CHUNK = "30 days"
+
+
+class Rounds:
+    """What is left after a round, in one of two folders taken in turn.
+
+    Round n reads the folder of round n-1 and replaces the other one. Spark replays only the
+    newest round, so the folder that a replay needs is still there, and a replay gives the same
+    rows again. The clock is written last and names its round.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def _folder(self, number: int, part: str) -> str:
+        return f"{self.path}/{part}-{number % 2}"
+
+    def left(self, spark: SparkSession, number: int, schema: T.StructType) -> DataFrame:
+        if number < 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(self._folder(number, "bars"))
+
+    def clock(self, spark: SparkSession, number: int) -> tuple[int | None, int]:
+        """(newest event time in microseconds, late bars so far) after a round."""
+        if number < 0:
+            return None, 0
+        row = spark.read.schema(CLOCK).parquet(self._folder(number, "clock")).first()
+        if row is None or row["round"] != number:
+            raise ValueError(f"{self.path} does not hold the state of round {number}")
+        return row["newest"], row["late"]
+
+    def save(self, bars: DataFrame, number: int, newest: int | None, late: int) -> None:
+        bars.write.mode("overwrite").parquet(self._folder(number, "bars"))
+        values = {"round": number, "newest": newest, "late": late}
+        clock = bars.sparkSession.range(1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in CLOCK]
+        )
+        clock.coalesce(1).write.mode("overwrite").parquet(self._folder(number, "clock"))
+
+
+def _older_than(newest: int | None, delay: str) -> Column:
+    """The watermark has passed the bar."""
+    if newest is None:
+        return F.lit(False)
+    watermark = F.timestamp_micros(F.lit(newest)) - F.expr(f"INTERVAL {delay}")
+    return F.col("timestamp") <= watermark
+
+
+def history_rounds(
+    state: str, delay: str, sink: BatchWriter, tie_break: Sequence[str] = (),
+    chunk: str | None = MINUTE_BAR_CHUNK,
+) -> BatchWriter:
+    """A ``foreachBatch`` function that enriches bars and hands them to ``sink``.
+
+    Bars that the watermark of earlier rounds has passed are dropped and counted in the clock.
+    ``sink`` may see a round again after a failure and must then replace what it wrote for it.
+    """
+    rounds = Rounds(state)
+    columns = with_ties(tie_break)
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        arrived = batch.select(*columns).persist()
+        try:
+            seen, late = rounds.clock(spark, number - 1)
+            passed = _older_than(seen, delay)
+            newest, too_late = arrived.agg(
+                F.max(F.unix_micros("timestamp")), F.count_if(passed)
+            ).first()
+            newest = max((t for t in (seen, newest) if t is not None), default=None)
+
+            fresh = arrived.filter(~passed).withColumn(RELEASED, F.lit(False))
+            schema = T.StructType([T.StructField(f.name, f.dataType) for f in fresh.schema])
+            pool = rounds.left(spark, number - 1, schema).unionByName(fresh)
+            ready = pool.filter(_older_than(newest, delay))
+            sink(enrich(ready, tie_break, chunk).filter(~F.col(RELEASED)).drop(RELEASED), number)
+
+            tail = last_rows(ready, LOOKBACK_ROWS, tie_break, ["symbol"])
+            waiting = pool.filter(~_older_than(newest, delay))
+            left = tail.withColumn(RELEASED, F.lit(True)).unionByName(waiting)
+            rounds.save(left, number, newest, late + too_late)
+        finally:
+            arrived.unpersist()
+
+    return run

@@ -48,6 +48,12 @@ def test_chunks_with_ties_and_extra_columns(spark, rows):
     same_rows(enrich(twice, ["copy"], chunk="20 minutes"), enrich(twice, ["copy"]))
 
 
+def test_chunks_with_a_bar_column_as_tie_break(spark):
+    rows = [("A", START + timedelta(minutes=i // 3), 1.0, 2.0, 0.5, float(i), i) for i in range(200)]
+    bars = bar_frame(spark, rows)
+    same_rows(enrich(bars, ["close"], chunk="10 minutes"), enrich(bars, ["close"]))
+
+
 def test_chunks_keep_rows_without_symbol_or_time(spark, rows):
     odd = [(None, START, 1.0, 1.0, 1.0, 1.0, 5), ("S1", None, 1.0, 1.0, 1.0, 1.0, 5)]
     bars = bar_frame(spark, rows + odd)
