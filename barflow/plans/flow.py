@@ -10,6 +10,7 @@ from barflow.functions.rules import Thresholds
 from barflow.operators import quality
 from barflow.operators.enrich import enrich
 from barflow.operators.signals import signals_with_risk
+from barflow.schema import MINUTE_BAR_CHUNK
 from barflow.sources import messages
 from barflow.streaming.enrich import drop_repeats, enrich_stream, on_time
 
@@ -28,6 +29,16 @@ def bars_of_messages(envelope: DataFrame) -> tuple[DataFrame, DataFrame]:
     return quality.valid(checked), quality.rejects(checked)
 
 
+def signals_of_messages(
+    envelope: DataFrame, chunk: str | None = MINUTE_BAR_CHUNK,
+    thresholds: Thresholds = Thresholds(),
+) -> DataFrame:
+    """A table of messages in, signals out. A bar that was polled more than once counts once."""
+    bars, _ = bars_of_messages(envelope)
+    once = messages.bars_of(bars).dropDuplicates(["symbol", "timestamp"])
+    return signals_of_bars(once, chunk=chunk, thresholds=thresholds)
+
+
 def signals_of_message_stream(
     envelope: DataFrame, delay: str, thresholds: Thresholds = Thresholds()
 ) -> DataFrame:

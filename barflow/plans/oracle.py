@@ -200,6 +200,7 @@ def oracle_sql() -> dict[str, str]:
             "round(risk_reward_ratio, 9) AS risk_reward_ratio FROM risked", ENRICH, RULES,
         ),
         "signal_monitor": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
+        "signal_monitor_messages": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "signal_monitor_week": _weekly(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "signal_monitor_chunked": _weekly(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "trading_signals_rows": _daily(

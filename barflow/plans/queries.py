@@ -13,7 +13,9 @@ from barflow.functions import rules
 from barflow.operators import enrich as en
 from barflow.operators import quality
 from barflow.operators import signals as sg
-from barflow.plans.flow import bars_of_messages, signals_of_bars, signals_of_message_stream
+from barflow.plans.flow import (
+    bars_of_messages, signals_of_bars, signals_of_message_stream, signals_of_messages,
+)
 from barflow.schema import BAR, BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
 from barflow.session import pin_utc, use_rocksdb, work_dir
 from barflow.sources import bars as bs
@@ -102,6 +104,12 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return messages.bars_of(messages.parse(messages.encode(supplier_week_bars(spark, folder))))
 
 
+def signal_monitor_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The signal monitor on a table of messages in which every bar was sent twice."""
+    sent = messages.encode(user_day_bars(spark, folder), F.col("timestamp"))
+    return sg.monitor(signals_of_messages(sent.unionByName(sent), chunk=None))
+
+
 def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Event messages where the event type decides what is wrong with the body."""
     events = tables.load(pin_utc(spark), folder, "events")
@@ -281,6 +289,7 @@ def queries() -> dict[str, Query]:
         "signal_monitor": lambda spark, folder: sg.monitor(
             signals_of_bars(user_day_bars(spark, folder))),
         "signal_monitor_week": _weekly(signals_of_bars, *MONITOR_COLUMNS),
+        "signal_monitor_messages": signal_monitor_messages,
         "signal_monitor_chunked": _weekly(
             lambda bars: signals_of_bars(bars, chunk=WEEKLY_CHUNK), *MONITOR_COLUMNS
         ),

@@ -8,8 +8,10 @@ columns and the rules are the batch functions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from barflow.operators.enrich import derive
 from barflow.schema import BAR, HISTORY_COLUMNS, LOOKBACK_ROWS, with_ties
 
+# The processor travels with the query, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MICROS = "_micros"
 
 
@@ -27,17 +32,20 @@ def _due(micros: int) -> int:
     return -(-micros // 1000) - 1
 
 
-def _sort_key(row: Row, names: Sequence[str]) -> tuple:
-    """NULL sorts first, as it does in the batch window."""
-    return tuple((row[n] is not None, row[n]) for n in names)
-
-
 class SeriesHistory(StatefulProcessor):
-    """Per symbol: bars that still wait, the last 19 released bars, and the next timer."""
+    """Per symbol: bars that still wait, the last 19 released bars, and the next timer.
+
+    Bars are kept as tuples in the order of ``bar_schema``.
+    """
 
     def __init__(self, bar_schema: T.StructType, order: Sequence[str]):
+        names = bar_schema.names
         self.bar_schema = bar_schema
-        self.order = list(order)
+        self.at = names.index(MICROS)
+        self.order = [names.index(c) for c in (MICROS, *order)]
+        self.previous = [names.index(c) for c in ("close", "high", "low", "volume")]
+        self.volume = names.index("volume")
+        self.result = Row("symbol", *names, *HISTORY_COLUMNS.names)
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -45,6 +53,10 @@ class SeriesHistory(StatefulProcessor):
         self.released = handle.getListState("released", self.bar_schema)
         self.alarm = handle.getValueState("alarm", "due long")
 
+    def _rank(self, bar: tuple) -> list[tuple]:
+        """NULL sorts first, as it does in the batch window."""
+        return [(bar[i] is not None, bar[i]) for i in self.order]
+
     def _wake_at(self, micros: int, after: int = -1) -> None:
         """Set the timer for the earliest waiting bar, later than the one that just fired."""
         due = max(_due(micros), after + 1)
@@ -61,38 +73,36 @@ class SeriesHistory(StatefulProcessor):
         arrived = [tuple(row[n] for n in names) for row in rows]
         if arrived:
             self.waiting.appendList(arrived)
-            at = names.index(MICROS)
-            self._wake_at(min(bar[at] for bar in arrived))
+            self._wake_at(min(bar[self.at] for bar in arrived))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        names = self.bar_schema.names
         limit = timerValues.getCurrentWatermarkInMs() * 1000
-        bars = [Row(**dict(zip(names, bar))) for bar in self.waiting.get()]
-        ready = [bar for bar in bars if bar[MICROS] <= limit]
-        early = [bar for bar in bars if bar[MICROS] > limit]
-        ready.sort(key=lambda bar: _sort_key(bar, [MICROS, *self.order]))
-        history = [Row(**dict(zip(names, bar))) for bar in self.released.get()]
+        waiting = list(self.waiting.get())
+        ready = sorted((bar for bar in waiting if bar[self.at] <= limit), key=self._rank)
+        early = [bar for bar in waiting if bar[self.at] > limit]
+        series = list(self.released.get())
 
         self.alarm.clear()
         if early:
-            self.waiting.put([tuple(bar) for bar in early])
-            self._wake_at(min(bar[MICROS] for bar in early), expiredTimerInfo.getExpiryTimeInMs())
+            self.waiting.put(early)
+            self._wake_at(min(b[self.at] for b in early), expiredTimerInfo.getExpiryTimeInMs())
         else:
             self.waiting.clear()
+
+        start = len(series)
+        series += ready
         if ready:
-            self.released.put([tuple(bar) for bar in (history + ready)[-LOOKBACK_ROWS:]])
-
-        for bar in ready:
-            previous = history[-1] if history else None
-            volumes = [b["volume"] for b in [*history, bar] if b["volume"] is not None]
-            yield Row(
-                symbol=key[0], **bar.asDict(),
-                **{f"prev_{c}": previous[c] if previous else None
-                   for c in ("close", "high", "low", "volume")},
-                avg_volume_20=sum(volumes) / len(volumes) if volumes else None,
+            self.released.put(series[-LOOKBACK_ROWS:])
+        for i in range(start, len(series)):
+            bar = series[i]
+            volumes = [b[self.volume] for b in series[max(0, i - LOOKBACK_ROWS):i + 1]]
+            known = [v for v in volumes if v is not None]
+            yield self.result(
+                key[0], *bar,
+                *([series[i - 1][c] for c in self.previous] if i else [None] * len(self.previous)),
+                sum(known) / len(known) if known else None,
             )
-            history = [*history, bar][-LOOKBACK_ROWS:]
 
     def close(self) -> None:
         pass

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barflow.operators.enrich import enrich, last_rows
-from barflow.schema import LOOKBACK_ROWS, with_ties
+from barflow.schema import LOOKBACK_ROWS, MINUTE_BAR_CHUNK, with_ties
 from barflow.sinks import BatchWriter
 
 RELEASED = "_released"
@@ -28,9 +28,6 @@ CLOCK = T.StructType([
     T.StructField("late", T.LongType()),
 ])
 
-# Enough for one-minute bars: at most 43,200 rows of a symbol per chunk.
-MINUTE_BAR_CHUNK = "30 days"
-
 
 class Rounds:
     """What is left after a round, in one of two folders taken in turn.
