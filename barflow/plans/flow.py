@@ -12,7 +12,7 @@ from barflow.operators.enrich import enrich
 from barflow.operators.signals import signals_with_risk
 from barflow.schema import MINUTE_BAR_CHUNK
 from barflow.sources import messages
-from barflow.streaming.enrich import drop_repeats, enrich_stream, on_time
+from barflow.streaming.enrich import enrich_stream, on_time
 
 
 def signals_of_bars(
@@ -35,8 +35,7 @@ def signals_of_messages(
 ) -> DataFrame:
     """A table of messages in, signals out. A bar that was polled more than once counts once."""
     bars, _ = bars_of_messages(envelope)
-    once = messages.bars_of(bars).dropDuplicates(["symbol", "timestamp"])
-    return signals_of_bars(once, chunk=chunk, thresholds=thresholds)
+    return signals_of_bars(messages.last_copies(bars), chunk=chunk, thresholds=thresholds)
 
 
 def signals_of_message_stream(
@@ -44,5 +43,5 @@ def signals_of_message_stream(
 ) -> DataFrame:
     """A stream of messages in, a stream of signals out: the live form of ``signals_of_bars``."""
     bars, _ = bars_of_messages(envelope)
-    once = drop_repeats(on_time(messages.bars_of(bars), delay))
+    once = messages.last_copies(on_time(bars, delay))
     return signals_with_risk(enrich_stream(once), thresholds)

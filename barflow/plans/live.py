@@ -3,7 +3,8 @@
 Each function starts a query and returns it; the caller waits for it and stops it. Every query
 has a name and a checkpoint of its own under ``checkpoints``, so it resumes after a restart.
 
-As a job: ``spark-submit --packages <topic connector> barflow/plans/live.py <checkpoint folder>``.
+As a job, with the topic connector on the class path:
+``python -m barflow.plans.live <checkpoint folder>``.
 """
 
 from __future__ import annotations

@@ -144,11 +144,6 @@ def enrich_stream(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     return derive(add_history_stream(bars, tie_break))
 
 
-def drop_repeats(bars: DataFrame) -> DataFrame:
-    """Keep one copy of a bar that a poller reads more than once within the watermark's delay."""
-    return bars.dropDuplicatesWithinWatermark(["symbol", "timestamp"])
-
-
 def late_bars(query: StreamingQuery) -> int:
     """Bars dropped as later than the watermark, over the rounds that Spark still reports."""
     return sum(

@@ -99,6 +99,14 @@ def test_round_trip_keeps_nulls_and_micros(spark):
     assert [tuple(r) for r in back] == rows
 
 
+def test_last_copy_counts(spark):
+    old = messages.encode(bar_frame(spark, series("A", [BASE] * 3)), sent_at=F.lit(SENT))
+    new = messages.encode(bar_frame(spark, series("A", [(1.0, 2.0, 0.5, None, 7)])))
+    parsed_all = messages.parse(new.unionByName(old).unionByName(old))
+    rows = messages.last_copies(parsed_all).orderBy("timestamp").collect()
+    assert [tuple(r[c] for c in BAR_COLUMNS[2:]) for r in rows] == [(1.0, 2.0, 0.5, None, 7), BASE, BASE]
+
+
 def test_topic_options():
     settings = TopicSettings.from_env({"KAFKA_TOPIC": "t", "STOCK_SYMBOLS": "A, B,"})
     assert (settings.servers, settings.topic, settings.symbols) == ("localhost:9092", "t", ["A", "B"])
