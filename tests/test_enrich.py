@@ -86,6 +86,23 @@ def test_symbol_filter_reaches_the_scan(spark, rows, tmp_path):
     assert "high" not in scan.split("ReadSchema")[1]
 
 
+def test_range_bounds_reach_the_scan(spark, rows, tmp_path):
+    bar_frame(spark, rows).write.parquet(str(tmp_path / "bars"))
+    bars = spark.read.parquet(str(tmp_path / "bars"))
+    start, end = (F.lit(START + timedelta(hours=h)) for h in (5, 30))
+    scans = [l for l in plan(enrich_range(bars, start, end)).splitlines() if "FileScan" in l]
+    pushed = [l.split("PushedFilters")[1] for l in scans]
+    assert "LessThan(timestamp,2024-01-01T05:00:00Z)" in pushed[0]
+    assert "GreaterThanOrEqual(timestamp,2024-01-01T05:00:00Z)" in pushed[1]
+    assert "LessThan(timestamp,2024-01-02T06:00:00Z)" in pushed[1]
+
+
+def test_watch_list_is_applied_before_bars_are_built(spark):
+    lines = plan(queries()["bars_symbol_subset"](spark, "/root/testdata/sf0.001")).splitlines()
+    join = next(i for i, l in enumerate(lines) if "LeftSemi" in l)
+    assert any("partial_sum" in l for l in lines[:join])
+
+
 def test_tails_are_limited_before_the_exchange(spark):
     text = plan(queries()["enriched_bars_chunked"](spark, "/root/testdata/sf0.001"))
     assert "WindowGroupLimit" in text
