@@ -2,11 +2,13 @@
 
 Two layouts give the same rows:
 
-* whole series (``chunk=None``): one exchange by symbol, one sort, one Window. Right when a
-  series is bounded by the calendar, as bars from ``build_bars`` are: one row per symbol and
-  bucket, so a hot symbol has no more of them than a quiet one has over the same dates.
-* chunks (``chunk="30 days"``): series cut by event time, each chunk seeded with the 19 bars
-  before it. Right when one symbol may hold a large share of all bars.
+* chunks (the default): series cut by event time, each chunk seeded with the 19 bars before it.
+  Safe when one symbol holds a large share of all bars: a task gets the bars of one chunk, and one
+  row per chunk to link them.
+* whole series (``chunk=None``): one exchange by symbol, one sort, one Window. Cheaper, and right
+  when a series is bounded by the calendar: daily bars number 366 a year, however hot the symbol.
+
+``sources.bars.chunk_of`` gives the layout that fits a bar unit.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.functions import candle
-from barflow.schema import LOOKBACK_ROWS, with_ties
+from barflow.schema import LOOKBACK_ROWS, MINUTE_BAR_CHUNK, with_ties
 
 CHUNK = "_chunk"
 BORROWED = "_borrowed"
@@ -64,7 +66,7 @@ def derive(bars: DataFrame) -> DataFrame:
 
 
 def enrich(
-    bars: DataFrame, tie_break: Sequence[str] = (), chunk: str | None = None
+    bars: DataFrame, tie_break: Sequence[str] = (), chunk: str | None = MINUTE_BAR_CHUNK
 ) -> DataFrame:
     """A bar with its history, shape, price-change and volume columns."""
     if chunk is None:
@@ -123,7 +125,7 @@ def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str]
 
 def enrich_range(
     bars: DataFrame, start: Column, end: Column, tie_break: Sequence[str] = (),
-    chunk: str | None = None,
+    chunk: str | None = MINUTE_BAR_CHUNK,
 ) -> DataFrame:
     """Enriched bars with ``start <= timestamp < end``, equal to those of the full series.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from barflow.functions.rules import Thresholds
 from barflow.operators import quality
@@ -12,17 +12,26 @@ from barflow.operators.enrich import enrich
 from barflow.operators.signals import signals_with_risk
 from barflow.schema import MINUTE_BAR_CHUNK
 from barflow.sources import messages
+from barflow.sources.bars import build_bars, chunk_of
 from barflow.streaming.enrich import enrich_stream, on_time
 
 
 def signals_of_bars(
-    bars: DataFrame, tie_break: Sequence[str] = (), chunk: str | None = None,
+    bars: DataFrame, tie_break: Sequence[str] = (), chunk: str | None = MINUTE_BAR_CHUNK,
     thresholds: Thresholds = Thresholds(),
 ) -> DataFrame:
     """Bars in, actionable signals with risk columns out."""
     return signals_with_risk(enrich(bars, tie_break, chunk), thresholds)
 
 
+def signals_of_trades(
+    trades: DataFrame, unit: str, order: Column, thresholds: Thresholds = Thresholds()
+) -> DataFrame:
+    """Trades in, signals of their bars out, in the layout that fits the bar unit."""
+    bars = build_bars(trades, unit, order)
+    return signals_of_bars(bars, chunk=chunk_of(unit), thresholds=thresholds)
+
+
 def bars_of_messages(envelope: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid bars, rejects with their reason) of a batch or a stream of messages."""
     checked = quality.with_bar_reason(messages.parse(envelope))

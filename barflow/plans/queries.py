@@ -15,6 +15,7 @@ from barflow.operators import quality
 from barflow.operators import signals as sg
 from barflow.plans.flow import (
     bars_of_messages, signals_of_bars, signals_of_message_stream, signals_of_messages,
+    signals_of_trades,
 )
 from barflow.schema import BAR, BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
 from barflow.session import pin_utc, use_rocksdb, work_dir
@@ -46,6 +47,15 @@ def supplier_week_bars(spark: SparkSession, folder: str) -> DataFrame:
     return bs.build_bars(trades, "week", F.struct("ts", *tables.SUPPLIER_TIES))
 
 
+def enriched_calendar_bars(bars: DataFrame) -> DataFrame:
+    """Daily and weekly series are short: whole series, no chunks."""
+    return en.enrich(bars, chunk=bs.chunk_of("day"))
+
+
+def calendar_signals(bars: DataFrame) -> DataFrame:
+    return signals_of_bars(bars, chunk=bs.chunk_of("day"))
+
+
 def _weekly(step: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
     """A query that runs ``step`` on weekly supplier bars and keeps the given columns."""
     return lambda spark, folder: step(supplier_week_bars(spark, folder)).select(*columns)
@@ -53,7 +63,7 @@ def _weekly(step: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
 
 def _decided_by(rule: str) -> Query:
     def decided(bars: DataFrame) -> DataFrame:
-        ruled = en.enrich(bars).withColumns({"rule": rules.deciding_rule(), "signal": rules.signal()})
+        ruled = enriched_calendar_bars(bars).withColumns({"rule": rules.deciding_rule(), "signal": rules.signal()})
         return ruled.filter(F.col("rule") == rule)
 
     return _weekly(
@@ -63,7 +73,7 @@ def _decided_by(rule: str) -> Query:
 
 
 def _classified(bars: DataFrame) -> DataFrame:
-    return sg.classify(en.enrich(bars))
+    return sg.classify(enriched_calendar_bars(bars))
 
 
 def _suppliers(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,7 +90,8 @@ def bars_symbol_subset(spark: SparkSession, folder: str) -> DataFrame:
 
 def enriched_range(spark: SparkSession, folder: str) -> DataFrame:
     start, end = (F.lit(day).cast("timestamp") for day in ("1996-01-01", "1998-01-01"))
-    return en.enrich_range(supplier_week_bars(spark, folder), start, end).select(*ENRICHED)
+    bars = supplier_week_bars(spark, folder)
+    return en.enrich_range(bars, start, end, chunk=bs.chunk_of("week")).select(*ENRICHED)
 
 
 def _event_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -104,10 +115,15 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return messages.bars_of(messages.parse(messages.encode(supplier_week_bars(spark, folder))))
 
 
+def signal_monitor(spark: SparkSession, folder: str) -> DataFrame:
+    trades = tables.event_trades(pin_utc(spark), folder)
+    return sg.monitor(signals_of_trades(trades, "day", bs.time_then_id("ts", "event_id")))
+
+
 def signal_monitor_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The signal monitor on a table of messages in which every bar was sent twice."""
     sent = messages.encode(user_day_bars(spark, folder), F.col("timestamp"))
-    return sg.monitor(signals_of_messages(sent.unionByName(sent), chunk=None))
+    return sg.monitor(signals_of_messages(sent.unionByName(sent), bs.chunk_of("day")))
 
 
 def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,7 +156,7 @@ def bars_accepted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _checked_signals(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.with_signal_reason(signals_of_bars(user_day_bars(spark, folder)))
+    return quality.with_signal_reason(calendar_signals(user_day_bars(spark, folder)))
 
 
 def trading_signals_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,7 +185,7 @@ def stored_signals(spark: SparkSession, folder: str) -> str:
     owner = (spark.sparkContext.applicationId, folder)
     if owner not in _stored:
         path = work_dir(spark, "signals")
-        sinks.write_signals(signals_of_bars(supplier_week_bars(spark, folder)), path)
+        sinks.write_signals(calendar_signals(supplier_week_bars(spark, folder)), path)
         _stored[owner] = path
     return _stored[owner]
 
@@ -256,10 +272,10 @@ def queries() -> dict[str, Query]:
             en.add_history, "symbol", "timestamp", "volume", "avg_volume_20"
         ),
         "candle_shape": _weekly(en.add_candle_shape, "symbol", "timestamp", *SHAPE),
-        "price_change": _weekly(en.enrich, "symbol", "timestamp", "close", "prev_close", *CHANGE),
-        "volume_metrics": _weekly(en.enrich, "symbol", "timestamp", "volume", *FLAGS),
-        "enriched_bars": _weekly(en.enrich, *ENRICHED),
-        "enriched_bars_user_day": lambda spark, folder: en.enrich(
+        "price_change": _weekly(enriched_calendar_bars, "symbol", "timestamp", "close", "prev_close", *CHANGE),
+        "volume_metrics": _weekly(enriched_calendar_bars, "symbol", "timestamp", "volume", *FLAGS),
+        "enriched_bars": _weekly(enriched_calendar_bars, *ENRICHED),
+        "enriched_bars_user_day": lambda spark, folder: enriched_calendar_bars(
             user_day_bars(spark, folder)).select(*ENRICHED),
         "enriched_bars_chunked": _weekly(
             lambda bars: en.enrich(bars, chunk=WEEKLY_CHUNK), *ENRICHED
@@ -281,14 +297,13 @@ def queries() -> dict[str, Query]:
             "symbol", "timestamp", "close", "signal", "signal_strength",
         ),
         "risk_levels": _weekly(
-            lambda bars: signals_of_bars(bars).withColumn(
+            lambda bars: calendar_signals(bars).withColumn(
                 "risk_reward_ratio", F.round("risk_reward_ratio", 9)),
             "symbol", "timestamp", "signal", "close", "stop_loss_price", "take_profit_price",
             "risk_reward_ratio",
         ),
-        "signal_monitor": lambda spark, folder: sg.monitor(
-            signals_of_bars(user_day_bars(spark, folder))),
-        "signal_monitor_week": _weekly(signals_of_bars, *MONITOR_COLUMNS),
+        "signal_monitor": signal_monitor,
+        "signal_monitor_week": _weekly(calendar_signals, *MONITOR_COLUMNS),
         "signal_monitor_messages": signal_monitor_messages,
         "signal_monitor_chunked": _weekly(
             lambda bars: signals_of_bars(bars, chunk=WEEKLY_CHUNK), *MONITOR_COLUMNS

@@ -48,8 +48,8 @@ HISTORY_COLUMNS = T.StructType([
 TRAILING_ROWS = 20
 LOOKBACK_ROWS = TRAILING_ROWS - 1
 
-# Chunk length for one-minute bars: at most 43,200 bars of a symbol per chunk. A chunk should
-# hold far more than 20 bars of a typical symbol, or the borrowed bars outnumber its own.
+# Event-time length of a chunk for one-minute bars: at most 43,200 bars of a symbol. A chunk
+# should hold far more than 20 bars of a typical symbol, or the borrowed bars outnumber its own.
 MINUTE_BAR_CHUNK = "30 days"
 
 MONITOR_COLUMNS = [

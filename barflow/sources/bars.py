@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.schema import BAR_COLUMNS
+from barflow.schema import BAR_COLUMNS, MINUTE_BAR_CHUNK
 
 # Fixed value: 2**64, the width of the id range in ``time_then_id``.
 ID_RANGE = "18446744073709551616"
@@ -60,6 +60,15 @@ def build_bars_stream(
     )
 
 
+def chunk_of(unit: str) -> str | None:
+    """How to cut series of such bars into chunks of at most 43,200; None where a century of
+    bars is no more than that and whole series are cheaper."""
+    return {
+        "second": "12 hours", "minute": MINUTE_BAR_CHUNK, "hour": "1800 days",
+        "day": None, "week": None, "month": None, "quarter": None, "year": None,
+    }[unit.lower()]
+
+
 def latest_bar_per_symbol(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
     """The newest bar of each symbol; a symbol without bars gives no row.
 

@@ -1,7 +1,11 @@
 from datetime import datetime, timedelta
+from functools import partial
 
+from barflow.operators.enrich import enrich
 from barflow.schema import BAR
 
+whole = partial(enrich, chunk=None)
+
 START = datetime(2024, 1, 1)
 BASE = (100.0, 101.0, 99.0, 100.0, 100)
 

@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from helpers import BASE, bar_frame, random_bars, series
+from helpers import BASE, bar_frame, random_bars, series, whole
 from pyspark.sql import functions as F
 
 from barflow.functions import rules
@@ -47,7 +47,7 @@ def outcome(request, spark):
     """All golden series at once, with ANSI mode on and off."""
     spark.conf.set("spark.sql.ansi.enabled", request.param)
     rows = [r for name, case in GOLDEN.items() for r in series(name, [*case[0], case[1]])]
-    ruled = enrich(bar_frame(spark, rows)).withColumn("rule", rules.deciding_rule())
+    ruled = whole(bar_frame(spark, rows)).withColumn("rule", rules.deciding_rule())
     out = add_risk_management_metrics(classify(ruled))
     last = {}
     for row in out.orderBy("timestamp").collect():
@@ -94,12 +94,12 @@ def test_context_repeats_its_columns(outcome):
 def test_thresholds_are_parameters(spark):
     rows = series("A", [*[BASE] * 4, GOLDEN["R1"][1]])
     strict = rules.Thresholds(breakout_pct=5.0, drift_pct=5.0)
-    assert generate_trading_signals(enrich(bar_frame(spark, rows)), strict).isEmpty()
+    assert generate_trading_signals(whole(bar_frame(spark, rows)), strict).isEmpty()
 
 
 def test_properties_of_signals(spark):
     rows = random_bars(random.Random(7), [f"S{i}" for i in range(20)], 200)
-    enriched = enrich(bar_frame(spark, rows)).cache()
+    enriched = whole(bar_frame(spark, rows)).cache()
     ratios = enriched.agg(F.min("volume_ratio"), F.max("volume_ratio")).first()
     assert 0 <= ratios[0] and ratios[1] <= 20 + 1e-9
     signals = signals_with_risk(enriched).collect()

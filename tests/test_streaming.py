@@ -1,14 +1,18 @@
 """Streams against the batch result, whatever the order of arrival and across restarts."""
 
+import os
 import random
+import subprocess
+import sys
 from datetime import timedelta
 
 import pytest
-from helpers import BASE, START, bar_frame, random_bars, same_rows, series
+from helpers import BASE, START, bar_frame, random_bars, same_rows, series, whole
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow import sinks
-from barflow.operators.enrich import enrich
 from barflow.operators.signals import monitor
 from barflow.plans.flow import bars_of_messages, signals_of_bars, signals_of_message_stream
 from barflow.schema import BAR
@@ -58,7 +62,7 @@ def test_any_arrival_order_gives_the_batch_result(spark, rows, tmp_path):
     put(spark, sentinel(), tmp_path / "in")
     stream = st.on_time(bar_stream(spark, tmp_path / "in"), "2000 days")
     found = drain(st.enrich_stream(stream), str(tmp_path / "out"))
-    same_rows(settled(found), enrich(bar_frame(spark, rows)))
+    same_rows(settled(found), whole(bar_frame(spark, rows)))
 
 
 def test_restart_continues_the_series(spark, rows, tmp_path):
@@ -73,7 +77,7 @@ def test_restart_continues_the_series(spark, rows, tmp_path):
     before = run().count()
     assert 0 < before < half
     put(spark, rows[half:] + sentinel(), tmp_path / "in")
-    same_rows(settled(run()), enrich(bar_frame(spark, rows)))
+    same_rows(settled(run()), whole(bar_frame(spark, rows)))
 
 
 def test_ties_follow_the_tie_break(spark, tmp_path):
@@ -81,7 +85,7 @@ def test_ties_follow_the_tie_break(spark, tmp_path):
     put(spark, random.Random(2).sample(rows, 30) + sentinel(), tmp_path / "in")
     stream = st.on_time(bar_stream(spark, tmp_path / "in"), "1 second")
     found = drain(st.add_history_stream(stream, ["close"]), str(tmp_path / "out"))
-    expected = enrich(bar_frame(spark, rows), ["close"]).select(found.columns)
+    expected = whole(bar_frame(spark, rows), ["close"]).select(found.columns)
     same_rows(settled(found), expected)
 
 
@@ -100,7 +104,7 @@ def test_waiting_bars_close_to_the_watermark_are_not_lost(spark, tmp_path):
         put(spark, part, tmp_path / "in")
     stream = st.on_time(bar_stream(spark, tmp_path / "in"), "5 milliseconds")
     found = drain(st.enrich_stream(stream), str(tmp_path / "out"))
-    same_rows(settled(found), enrich(bar_frame(spark, rows)))
+    same_rows(settled(found), whole(bar_frame(spark, rows)))
 
 
 def test_late_bars_are_dropped_and_counted(spark, tmp_path):
@@ -127,6 +131,17 @@ def test_messages_with_repeats_and_damage(spark, rows, tmp_path):
     assert bars_of_messages(spark.read.parquet(str(tmp_path / "in")))[1].count() == 5
 
 
+def test_processor_needs_no_package_on_the_workers():
+    processor = st.SeriesHistory(
+        T.StructType([T.StructField(c, T.LongType()) for c in (st.MICROS, *BAR.names[2:])]), [])
+    load = "import pickle, sys; print(pickle.load(sys.stdin.buffer).order)"
+    found = subprocess.run(
+        [sys.executable, "-c", load], input=cloudpickle.dumps(processor), cwd="/",
+        env={**os.environ, "PYTHONPATH": ""}, capture_output=True, check=True,
+    )
+    assert found.stdout.strip() == b"[0]"
+
+
 def test_streamed_bars_equal_built_bars(spark, tmp_path):
     rng = random.Random(9)
     trades = [
@@ -166,7 +181,7 @@ def test_rounds_give_the_batch_result(spark, rows, tmp_path, chunk):
         query = sinks.each_batch(bar_stream(spark, tmp_path / "in"), run, str(tmp_path / "cp"), "rounds")
         query.trigger(availableNow=True).start().awaitTermination()
     found = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    same_rows(settled(found), enrich(bar_frame(spark, rows)))
+    same_rows(settled(found), whole(bar_frame(spark, rows)))
 
 
 def test_rounds_replay_and_count_late_bars(spark, rows, tmp_path):
@@ -179,7 +194,7 @@ def test_rounds_replay_and_count_late_bars(spark, rows, tmp_path):
         run(frame, number)
         run(frame, number)
     found = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    same_rows(settled(found), enrich(bar_frame(spark, rows)))
+    same_rows(settled(found), whole(bar_frame(spark, rows)))
     assert Rounds(state).clock(spark, 3)[1] == 7
     with pytest.raises(ValueError):
         run(bar_frame(spark, parts[0]), 9)
