@@ -95,5 +95,5 @@ def stock_data_rows(parsed: DataFrame) -> DataFrame:
     return parsed.select(
         "symbol", "timestamp",
         *[F.col(c).try_cast(PRICE_TYPE).alias(f"{c}_price") for c in PRICES],
-        "volume", F.try_to_timestamp("fetch_time").alias("fetch_time"), "processing_time",
+        "volume", F.col("fetch_time").try_cast("timestamp").alias("fetch_time"), "processing_time",
     )

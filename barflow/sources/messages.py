@@ -59,9 +59,12 @@ def bars_of(parsed: DataFrame) -> DataFrame:
 def last_copies(parsed: DataFrame) -> DataFrame:
     """One bar per symbol and time: of a bar that was sent repeatedly, the copy sent last.
 
-    Copies are combined before the exchange, so a bar with very many of them is no hot spot. On
-    a stream, set the watermark first; a bar then leaves once the watermark has passed it.
+    Copies are combined before the exchange, so a bar with very many of them is no hot spot; all
+    buffers are of fixed width (``fetch_time`` becomes a timestamp for that). On a stream, set the
+    watermark first; a bar then leaves once the watermark has passed it.
     """
     sent = F.coalesce(F.unix_micros("kafka_timestamp"), F.lit(0))
     values = [F.max_by(c, sent).alias(c) for c in BAR_COLUMNS[2:]]
-    return parsed.groupBy("symbol", "timestamp").agg(*values)
+    fetched = F.max_by(F.col("fetch_time").try_cast("timestamp"), sent).alias("fetch_time")
+    times = [F.max(c).alias(c) for c in ("kafka_timestamp", "processing_time")]
+    return parsed.groupBy("symbol", "timestamp").agg(*values, fetched, *times)

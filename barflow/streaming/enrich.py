@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from barflow.operators.enrich import derive
-from barflow.schema import BAR, HISTORY_COLUMNS, LOOKBACK_ROWS, with_ties
+from barflow.schema import BAR, HISTORY_COLUMNS, LOOKBACK_ROWS
 
 # The processor travels with the query, so workers need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -117,12 +117,19 @@ def on_time(bars: DataFrame, delay: str) -> DataFrame:
 
 
 def add_history_stream(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    """``add_history`` for a stream with a watermark on ``timestamp``.
+    """``add_history`` for a stream with a watermark on ``timestamp``; other columns are kept.
 
-    ``symbol`` and ``timestamp`` must not be NULL: reject such rows first.
+    ``symbol`` and ``timestamp`` must not be NULL: reject such rows first. State holds every
+    column, so select those you need before.
     """
-    kept = [c for c in with_ties(tie_break) if c not in ("symbol", "timestamp")]
-    source = bars.select("symbol", "timestamp", *kept).withColumn(MICROS, F.unix_micros("timestamp"))
+    kept = [c for c in bars.columns if c not in ("symbol", "timestamp")]
+    times = {c for c in kept if isinstance(bars.schema[c].dataType, T.TimestampType)}
+    as_micros = [F.unix_micros(c).alias(c) if c in times else F.col(c) for c in kept]
+    as_times = [F.timestamp_micros(c).alias(c) if c in times else F.col(c) for c in kept]
+
+    source = bars.select(
+        "symbol", "timestamp", F.unix_micros("timestamp").alias(MICROS), *as_micros
+    )
     stored = T.StructType(
         [T.StructField(c, source.schema[c].dataType) for c in (MICROS, *kept)]
     )
@@ -134,7 +141,8 @@ def add_history_stream(bars: DataFrame, tie_break: Sequence[str] = ()) -> DataFr
             outputStructType=output, outputMode="Append", timeMode="EventTime",
         )
         .select(
-            "symbol", F.timestamp_micros(MICROS).alias("timestamp"), *kept, *HISTORY_COLUMNS.names
+            "symbol", F.timestamp_micros(MICROS).alias("timestamp"), *as_times,
+            *HISTORY_COLUMNS.names,
         )
     )
 

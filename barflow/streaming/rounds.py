@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barflow.operators.enrich import enrich, last_rows
-from barflow.schema import LOOKBACK_ROWS, MINUTE_BAR_CHUNK, with_ties
+from barflow.schema import LOOKBACK_ROWS, MINUTE_BAR_CHUNK
 from barflow.sinks import BatchWriter
 
 RELEASED = "_released"
@@ -84,11 +84,10 @@ def history_rounds(
     ``sink`` may see a round again after a failure and must then replace what it wrote for it.
     """
     rounds = Rounds(state)
-    columns = with_ties(tie_break)
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        arrived = batch.select(*columns).persist()
+        arrived = batch.persist()
         try:
             seen, late = rounds.clock(spark, number - 1)
             passed = _older_than(seen, delay)

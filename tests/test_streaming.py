@@ -89,6 +89,17 @@ def test_ties_follow_the_tie_break(spark, tmp_path):
     same_rows(settled(found), expected)
 
 
+def test_other_columns_are_kept(spark, rows, tmp_path):
+    sent = messages.encode(bar_frame(spark, rows + sentinel()), sent_at=F.col("timestamp"))
+    sent.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(sent.schema).parquet(str(tmp_path / "in"))
+    parsed = st.on_time(messages.parse(stream), "1 second").drop("processing_time")
+    found = drain(st.enrich_stream(parsed), str(tmp_path / "out"))
+    table = messages.parse(spark.read.parquet(str(tmp_path / "in"))).drop("processing_time")
+    same_rows(settled(found), settled(whole(table)))
+    assert {"fetch_time", "kafka_timestamp"} <= set(found.columns)
+
+
 def test_bar_on_the_watermark_is_released_and_later_ones_wait(spark, tmp_path):
     # The watermark ends one minute behind the last bar, on the bar before it.
     put(spark, series("A", [BASE] * 5), tmp_path / "in")
