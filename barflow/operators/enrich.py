@@ -123,16 +123,41 @@ def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str]
     return add_history(seeded, tie_break, keys).filter(~F.col(BORROWED)).drop(CHUNK, BORROWED)
 
 
+def rows_before(
+    bars: DataFrame, start: Column, symbols: DataFrame, tie_break: Sequence[str] = (),
+    lookback: str | None = None,
+) -> DataFrame:
+    """The last 19 bars before ``start`` of each of the symbols.
+
+    With ``lookback`` the bars of that time before ``start`` are read first. Older ones are read
+    only for symbols with fewer than 19 bars there; when there are none, adaptive execution drops
+    that scan.
+    """
+    ts = F.col("timestamp")
+    if lookback is None:
+        return last_rows(bars.filter(ts < start), LOOKBACK_ROWS, tie_break, ["symbol"])
+    edge = start - F.expr(f"INTERVAL {lookback}")
+    near = last_rows(
+        bars.filter((ts >= edge) & (ts < start)), LOOKBACK_ROWS, tie_break, ["symbol"]
+    )
+    complete = near.groupBy("symbol").count().filter(F.col("count") >= LOOKBACK_ROWS)
+    short = symbols.join(complete, "symbol", "left_anti")
+    far = bars.filter(ts < edge).join(short, "symbol", "left_semi")
+    found = near.unionByName(last_rows(far, LOOKBACK_ROWS, tie_break, ["symbol"]))
+    return last_rows(found, LOOKBACK_ROWS, tie_break, ["symbol"])
+
+
 def enrich_range(
     bars: DataFrame, start: Column, end: Column, tie_break: Sequence[str] = (),
-    chunk: str | None = MINUTE_BAR_CHUNK,
+    chunk: str | None = MINUTE_BAR_CHUNK, lookback: str | None = None,
 ) -> DataFrame:
     """Enriched bars with ``start <= timestamp < end``, equal to those of the full series.
 
     Both bounds reach the scan. Of the bars before ``start`` only the last 19 per symbol are
-    shuffled.
+    shuffled; give a ``lookback`` that usually holds 19 bars to leave older bars unread.
     """
     ts = F.col("timestamp")
-    before = last_rows(bars.filter(ts < start), LOOKBACK_ROWS, tie_break, ["symbol"])
     inside = bars.filter((ts >= start) & (ts < end))
+    symbols = inside.select("symbol").distinct()
+    before = rows_before(bars, start, symbols, tie_break, lookback)
     return enrich(before.unionByName(inside), tie_break, chunk).filter(ts >= start)

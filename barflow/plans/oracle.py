@@ -174,10 +174,13 @@ def oracle_sql() -> dict[str, str]:
         "enriched_bars": _weekly(f"SELECT {enriched} FROM enriched", ENRICH),
         "enriched_bars_user_day": _daily(f"SELECT {enriched} FROM enriched", ENRICH),
         "enriched_bars_chunked": _weekly(f"SELECT {enriched} FROM enriched", ENRICH),
-        "enriched_range": _weekly(
-            f"SELECT {enriched} FROM enriched WHERE \"timestamp\" >= TIMESTAMP '1996-01-01' "
-            "AND \"timestamp\" < TIMESTAMP '1998-01-01'", ENRICH,
-        ),
+        **{
+            name: _weekly(
+                f"SELECT {enriched} FROM enriched WHERE \"timestamp\" >= TIMESTAMP '1996-01-01' "
+                "AND \"timestamp\" < TIMESTAMP '1998-01-01'", ENRICH,
+            )
+            for name in ("enriched_range", "enriched_range_lookback")
+        },
         **{
             f"signal_{rule}": _decided_by(rule)
             for rule in ("breakout", "breakdown", "engulf_bull", "engulf_bear", "accumulation",

@@ -63,7 +63,9 @@ def _weekly(step: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
 
 def _decided_by(rule: str) -> Query:
     def decided(bars: DataFrame) -> DataFrame:
-        ruled = enriched_calendar_bars(bars).withColumns({"rule": rules.deciding_rule(), "signal": rules.signal()})
+        ruled = enriched_calendar_bars(bars).withColumns(
+            {"rule": rules.deciding_rule(), "signal": rules.signal()}
+        )
         return ruled.filter(F.col("rule") == rule)
 
     return _weekly(
@@ -88,10 +90,17 @@ def bars_symbol_subset(spark: SparkSession, folder: str) -> DataFrame:
     return bs.select_symbols(supplier_week_bars(spark, folder), _suppliers(spark, folder))
 
 
-def enriched_range(spark: SparkSession, folder: str) -> DataFrame:
-    start, end = (F.lit(day).cast("timestamp") for day in ("1996-01-01", "1998-01-01"))
-    bars = supplier_week_bars(spark, folder)
-    return en.enrich_range(bars, start, end, chunk=bs.chunk_of("week")).select(*ENRICHED)
+def _enriched_range(lookback: str | None) -> Query:
+    """Two years of enriched weekly bars, with the history from before."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        bars = supplier_week_bars(spark, folder)
+        start, end = (F.lit(day).cast("timestamp") for day in ("1996-01-01", "1998-01-01"))
+        return en.enrich_range(
+            bars, start, end, chunk=bs.chunk_of("week"), lookback=lookback
+        ).select(*ENRICHED)
+
+    return run
 
 
 def _event_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,7 +275,8 @@ def queries() -> dict[str, Query]:
         "bar_rejects": bar_rejects,
         "bars_accepted": bars_accepted,
         "prev_bar": _weekly(
-            en.add_history, "symbol", "timestamp", "prev_close", "prev_high", "prev_low", "prev_volume"
+            en.add_history, "symbol", "timestamp",
+            "prev_close", "prev_high", "prev_low", "prev_volume",
         ),
         "trailing_avg_volume": _weekly(
             en.add_history, "symbol", "timestamp", "volume", "avg_volume_20"
@@ -280,7 +290,8 @@ def queries() -> dict[str, Query]:
         "enriched_bars_chunked": _weekly(
             lambda bars: en.enrich(bars, chunk=WEEKLY_CHUNK), *ENRICHED
         ),
-        "enriched_range": enriched_range,
+        "enriched_range": _enriched_range(None),
+        "enriched_range_lookback": _enriched_range("200 days"),
         "signal_breakout": _decided_by("breakout"),
         "signal_breakdown": _decided_by("breakdown"),
         "signal_engulf_bull": _decided_by("engulf_bull"),

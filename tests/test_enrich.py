@@ -4,7 +4,7 @@ import random
 from datetime import timedelta
 
 import pytest
-from helpers import START, bar_frame, brute_force, random_bars, same_rows, whole
+from helpers import BASE, START, bar_frame, brute_force, random_bars, same_rows, series, whole
 from pyspark.sql import functions as F
 
 from barflow.operators.enrich import add_history, enrich, enrich_range
@@ -61,13 +61,26 @@ def test_chunks_keep_rows_without_symbol_or_time(spark, rows):
 
 
 @pytest.mark.parametrize("chunk", [None, "2 hours"])
-def test_range_equals_full_series(spark, rows, chunk):
+@pytest.mark.parametrize("lookback", [None, "20 minutes", "5 hours", "900 days"])
+def test_range_equals_full_series(spark, rows, chunk, lookback):
     bars = bar_frame(spark, rows)
     start, end = (F.lit(START + timedelta(hours=h)) for h in (5, 30))
     ts = F.col("timestamp")
-    same_rows(
-        enrich_range(bars, start, end, chunk=chunk), whole(bars).filter((ts >= start) & (ts < end))
-    )
+    found = enrich_range(bars, start, end, chunk=chunk, lookback=lookback)
+    same_rows(found, whole(bars).filter((ts >= start) & (ts < end)))
+
+
+def test_older_bars_are_read_only_when_needed(spark, tmp_path):
+    rows = series("A", [BASE] * 300) + series("B", [BASE] * 300)
+    bar_frame(spark, rows).write.parquet(str(tmp_path / "bars"))
+    bars = spark.read.parquet(str(tmp_path / "bars"))
+    start, end = (F.lit(START + timedelta(minutes=m)) for m in (200, 300))
+    scans = {}
+    for lookback in ("10 minutes", "30 minutes"):
+        found = enrich_range(bars, start, end, chunk=None, lookback=lookback)
+        assert len(found.collect()) == 200
+        scans[lookback] = plan(found).split("Initial Plan")[0].count("FileScan")
+    assert scans["30 minutes"] < scans["10 minutes"]
 
 
 def test_one_window_per_series(spark):
