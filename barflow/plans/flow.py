@@ -11,9 +11,11 @@ from barflow.operators import quality
 from barflow.operators.enrich import enrich
 from barflow.operators.signals import signals_with_risk
 from barflow.schema import MINUTE_BAR_CHUNK
+from barflow.sinks import BatchWriter
 from barflow.sources import messages
 from barflow.sources.bars import build_bars, chunk_of
 from barflow.streaming.enrich import enrich_stream, on_time
+from barflow.streaming.rounds import history_rounds
 
 
 def signals_of_bars(
@@ -54,3 +56,21 @@ def signals_of_message_stream(
     bars, _ = bars_of_messages(envelope)
     once = messages.last_copies(on_time(bars, delay))
     return signals_with_risk(enrich_stream(once), thresholds)
+
+
+def signal_rounds(
+    state: str, delay: str, sink: BatchWriter, chunk: str | None = MINUTE_BAR_CHUNK,
+    thresholds: Thresholds = Thresholds(),
+) -> BatchWriter:
+    """A ``foreachBatch`` function from messages to signals, by rounds of the batch operators."""
+
+    def write_signals(enriched: DataFrame, number: int) -> None:
+        sink(signals_with_risk(enriched, thresholds), number)
+
+    run = history_rounds(state, delay, write_signals, chunk=chunk, merge=messages.last_copies)
+
+    def write(envelope: DataFrame, number: int) -> None:
+        bars, _ = bars_of_messages(envelope)
+        run(messages.last_copies(bars), number)
+
+    return write

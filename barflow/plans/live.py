@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barflow import sinks
 from barflow.operators import quality
 from barflow.operators.signals import monitor
-from barflow.plans.flow import bars_of_messages, signals_of_message_stream
+from barflow.plans.flow import bars_of_messages, signal_rounds, signals_of_message_stream
 from barflow.session import pin_utc, use_rocksdb
 from barflow.sources import messages
 from barflow.sources.topic import TopicSettings, publish_stream, read_topic
@@ -57,6 +57,21 @@ def start_signal_table(
     ).start()
 
 
+def start_catch_up(
+    envelope: DataFrame, state: str, sink: sinks.BatchWriter, checkpoints: str,
+    delay: str = DELAY,
+) -> StreamingQuery:
+    """Work off what the source holds now, by rounds that split hot symbols, then end.
+
+    Bound a round with the source's own limit, such as ``maxOffsetsPerTrigger``.
+    """
+    write = signal_rounds(state, delay, sink)
+    return (
+        sinks.each_batch(envelope, write, f"{checkpoints}/catch_up", "catch_up")
+        .trigger(availableNow=True).start()
+    )
+
+
 def start_bar_table(
     envelope: DataFrame, connection: Mapping[str, str], checkpoints: str
 ) -> StreamingQuery:

@@ -10,7 +10,7 @@ suits frequent small rounds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,12 +76,14 @@ def _older_than(newest: int | None, delay: str) -> Column:
 
 def history_rounds(
     state: str, delay: str, sink: BatchWriter, tie_break: Sequence[str] = (),
-    chunk: str | None = MINUTE_BAR_CHUNK,
+    chunk: str | None = MINUTE_BAR_CHUNK, merge: Callable[[DataFrame], DataFrame] | None = None,
 ) -> BatchWriter:
     """A ``foreachBatch`` function that enriches bars and hands them to ``sink``.
 
     Bars that the watermark of earlier rounds has passed are dropped and counted in the clock.
-    ``sink`` may see a round again after a failure and must then replace what it wrote for it.
+    ``symbol`` and ``timestamp`` must not be NULL: reject such rows first. ``merge`` combines
+    copies of a bar among those not released yet. ``sink`` may see a round again after a failure
+    and must then replace what it wrote for it.
     """
     rounds = Rounds(state)
 
@@ -96,16 +98,23 @@ def history_rounds(
             ).first()
             newest = max((t for t in (seen, newest) if t is not None), default=None)
 
-            fresh = arrived.filter(~passed).withColumn(RELEASED, F.lit(False))
-            schema = T.StructType([T.StructField(f.name, f.dataType) for f in fresh.schema])
-            pool = rounds.left(spark, number - 1, schema).unionByName(fresh)
+            schema = T.StructType([T.StructField(f.name, f.dataType) for f in batch.schema])
+            left = rounds.left(spark, number - 1, schema.add(RELEASED, T.BooleanType()))
+            waiting = left.filter(~F.col(RELEASED)).drop(RELEASED)
+            unreleased = waiting.unionByName(arrived.filter(~passed))
+            if merge is not None:
+                unreleased = merge(unreleased)
+            pool = left.filter(RELEASED).unionByName(unreleased.withColumn(RELEASED, F.lit(False)))
+
             ready = pool.filter(_older_than(newest, delay))
             sink(enrich(ready, tie_break, chunk).filter(~F.col(RELEASED)).drop(RELEASED), number)
 
             tail = last_rows(ready, LOOKBACK_ROWS, tie_break, ["symbol"])
             waiting = pool.filter(~_older_than(newest, delay))
-            left = tail.withColumn(RELEASED, F.lit(True)).unionByName(waiting)
-            rounds.save(left, number, newest, late + too_late)
+            rounds.save(
+                tail.withColumn(RELEASED, F.lit(True)).unionByName(waiting),
+                number, newest, late + too_late,
+            )
         finally:
             arrived.unpersist()
 

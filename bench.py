@@ -23,7 +23,7 @@ HEADLINE = [
     "parse_messages", "bar_rejects", "trading_signals_rows", "enriched_range",
     "signals_by_type",
 ]
-STREAMING = ["stream_bars_user_day", "stream_signal_monitor"]
+STREAMING = ["stream_bars_user_day", "stream_signal_monitor", "stream_enriched_rounds"]
 RUNS = 3
 
 
@@ -46,14 +46,18 @@ def main() -> None:
         seconds[name] = round(statistics.median(
             timed(known[name], spark, folder) for _ in range(runs)), 3)
 
-    bars = known["bars_supplier_week"](spark, folder).count()
-    rates = {name: round(bars / seconds[name])
-             for name in ("enriched_bars", "signal_monitor_week") if name in seconds}
+    weekly = known["bars_supplier_week"](spark, folder).count()
+    daily = known["bars_user_day"](spark, folder).count()
+    bars = {
+        "enriched_bars": weekly, "signal_monitor_week": weekly, "signal_monitor_chunked": weekly,
+        "stream_enriched_rounds": weekly, "stream_signal_monitor": daily,
+    }
+    rates = {name: round(n / seconds[name]) for name, n in bars.items() if name in seconds}
     spark.stop()
     print(json.dumps({
         "metric": "total_query_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": Path(folder).name.removeprefix("sf"), "cpus": int(cores),
-        "weekly_bars": bars, "bars_per_second": rates,
+        "weekly_bars": weekly, "daily_bars": daily, "bars_per_second": rates,
     }))
 
 

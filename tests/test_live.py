@@ -4,9 +4,14 @@ import random
 from datetime import timedelta
 
 import pytest
-from helpers import BASE, START, bar_frame, random_bars, series
+from helpers import BASE, START, bar_frame, random_bars, same_rows, series
+from pyspark.sql import functions as F
 
+from barflow import sinks
+from barflow.operators.signals import monitor
 from barflow.plans import live
+from barflow.plans.flow import signals_of_bars
+from barflow.schema import ENVELOPE
 from barflow.session import use_rocksdb
 from barflow.sources import messages
 from barflow.sources.topic import TopicSettings
@@ -59,6 +64,40 @@ def test_tables_get_their_rows(envelope, tmp_path, monkeypatch, start, table):
         assert 0 < count <= 161
 
 
+def test_catch_up_with_copies_across_rounds(spark, tmp_path):
+    """Each part repeats the end of the one before; the copy sent last counts."""
+    rows = sorted(
+        (r for r in random_bars(random.Random(6), ["HOT"], 300) + random_bars(
+            random.Random(7), ["A", "B"], 40) if r[6] is not None), key=lambda r: r[1])
+    parts = [rows[:150], rows[150:260], rows[260:]]
+    done = START + timedelta(days=900)
+    for number, part in enumerate([*parts, series("Z", [BASE], start=done)]):
+        frame = bar_frame(spark, part)
+        if number and part:
+            before = bar_frame(spark, parts[number - 1][-5:])
+            draft = bar_frame(spark, part[:5]).withColumn("close", F.lit(1.0))
+            sent = [
+                messages.encode(frame, sent_at=F.lit(START + timedelta(days=number, hours=1))),
+                messages.encode(draft, sent_at=F.lit(START + timedelta(days=number))),
+                messages.encode(before, sent_at=F.lit(START + timedelta(days=number))),
+            ]
+        else:
+            sent = [messages.encode(frame, sent_at=F.lit(START))]
+        for some in sent:
+            some.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
+        live.start_catch_up(
+            stream, str(tmp_path / "state"), sinks.batch_folder_writer(str(tmp_path / "out")),
+            str(tmp_path), "1000 hours",
+        ).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out"))
+    same_rows(
+        monitor(found).filter("symbol <> 'Z'"),
+        monitor(signals_of_bars(bar_frame(spark, rows), chunk=None)),
+    )
+    assert {"kafka_timestamp", "fetch_time", "signal_context"} <= set(found.columns)
+
+
 def test_publisher_needs_the_connector(spark, envelope, tmp_path):
     with pytest.raises(Exception, match="kafka"):
         live.start_publisher(messages.bars_of(messages.parse(envelope)), TopicSettings(), str(tmp_path))
