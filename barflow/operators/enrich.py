@@ -88,9 +88,12 @@ def last_rows(bars: DataFrame, n: int, tie_break: Sequence[str], keys: Sequence[
 
 
 def chunk_number(chunk: str) -> Column:
-    """Number of the fixed-length event-time chunk that a bar falls into."""
+    """Number of the fixed-length event-time chunk that a bar falls into.
+
+    Times without zone are read in the session's zone; keep that at UTC, as ``pin_utc`` does.
+    """
     length = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {chunk}"))
-    return F.floor(F.unix_micros("timestamp") / length)
+    return F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / length)
 
 
 def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str] = ()) -> DataFrame:

@@ -26,6 +26,9 @@ from barflow.sources.topic import TopicSettings, publish_stream, read_topic
 # How long a bar may arrive behind newer ones before it counts as late.
 DELAY = "2 minutes"
 
+# Most messages of one round. It bounds what a restart after an outage puts before one task.
+ROUND_MESSAGES = 1_000_000
+
 SIGNAL_TABLE = "trading_signals"
 BAR_TABLE = "stock_data"
 
@@ -57,6 +60,17 @@ def start_signal_table(
     ).start()
 
 
+def start_reject_files(envelope: DataFrame, path: str, checkpoints: str) -> StreamingQuery:
+    """Store the messages that break a constraint, by reason, for later inspection."""
+    _, rejects = bars_of_messages(envelope)
+    return (
+        rejects.writeStream.queryName("bar_rejects").format("parquet")
+        .partitionBy(quality.REASON).option("path", path)
+        .option("checkpointLocation", f"{checkpoints}/bar_rejects")
+        .trigger(processingTime=sinks.DATABASE_EVERY).start()
+    )
+
+
 def start_catch_up(
     envelope: DataFrame, state: str, sink: sinks.BatchWriter, checkpoints: str,
     delay: str = DELAY,
@@ -87,7 +101,9 @@ def main(checkpoints: str) -> None:
     """Watch the topic named by the environment until the job is stopped."""
     spark = use_rocksdb(pin_utc(SparkSession.builder.appName("barflow").getOrCreate()))
     try:
-        envelope = read_topic(spark, TopicSettings.from_env())
+        envelope = read_topic(
+            spark, TopicSettings.from_env(), maxOffsetsPerTrigger=str(ROUND_MESSAGES)
+        )
         start_monitor(envelope, checkpoints).awaitTermination()
     finally:
         spark.stop()

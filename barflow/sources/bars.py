@@ -19,7 +19,7 @@ def time_then_id(time: str, record_id: str) -> Column:
     Spark hash-aggregates ``min_by``/``max_by`` only while the ordering is of fixed width;
     with a struct it sorts all input rows first.
     """
-    micros = F.unix_micros(time).cast("decimal(17,0)")
+    micros = F.unix_micros(F.col(time).cast("timestamp")).cast("decimal(17,0)")
     return (micros * F.expr(ID_RANGE) + F.col(record_id).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 

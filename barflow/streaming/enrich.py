@@ -4,6 +4,10 @@ Row-ordered windows do not exist on streams, so each symbol keeps its last 19 ba
 Bars wait until the watermark has passed them and are then released in event-time order; the
 result does not depend on the order of arrival and equals the batch result. The row-wise
 columns and the rules are the batch functions.
+
+One task holds the waiting bars of a symbol: those within the watermark's delay and those of the
+current round. Bound the round by the source's limit (``maxOffsetsPerTrigger``), and work off a
+backlog with ``streaming.rounds``, which splits a symbol over tasks.
 """
 
 from __future__ import annotations

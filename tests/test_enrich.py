@@ -54,6 +54,11 @@ def test_chunks_with_a_bar_column_as_tie_break(spark):
     same_rows(enrich(bars, ["close"], chunk="10 minutes"), whole(bars, ["close"]))
 
 
+def test_chunks_take_times_without_zone(spark, rows):
+    bars = bar_frame(spark, rows).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    same_rows(enrich(bars, chunk="1 hour"), whole(bars))
+
+
 def test_chunks_keep_rows_without_symbol_or_time(spark, rows):
     odd = [(None, START, 1.0, 1.0, 1.0, 1.0, 5), ("S1", None, 1.0, 1.0, 1.0, 1.0, 5)]
     bars = bar_frame(spark, rows + odd)

@@ -64,6 +64,17 @@ def test_tables_get_their_rows(envelope, tmp_path, monkeypatch, start, table):
         assert 0 < count <= 161
 
 
+def test_rejects_are_stored_by_reason(spark, tmp_path):
+    good = messages.encode(bar_frame(spark, series("A", [BASE] * 3)))
+    bad = good.withColumn("value", F.substring("value", 1, 5))
+    good.unionByName(bad).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
+    stop_after_first_round(
+        live.start_reject_files(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
+    stored = spark.read.parquet(str(tmp_path / "out"))
+    assert [r["reject_reason"] for r in stored.collect()] == ["malformed"] * 3
+
+
 def test_catch_up_with_copies_across_rounds(spark, tmp_path):
     """Each part repeats the end of the one before; the copy sent last counts."""
     rows = sorted(
