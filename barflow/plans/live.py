@@ -60,6 +60,18 @@ def start_signal_table(
     ).start()
 
 
+def start_signal_store(
+    envelope: DataFrame, path: str, checkpoints: str, delay: str = DELAY,
+    every: str = sinks.DATABASE_EVERY,
+) -> StreamingQuery:
+    """Store the signals of a message stream as files for ``sinks.read_signals``."""
+    signals = signals_of_message_stream(envelope, delay)
+    return sinks.each_batch(
+        signals, sinks.signal_store_writer(path), f"{checkpoints}/signal_store", "signal_store",
+        every,
+    ).start()
+
+
 def start_reject_files(envelope: DataFrame, path: str, checkpoints: str) -> StreamingQuery:
     """Store the messages that break a constraint, by reason, for later inspection."""
     _, rejects = bars_of_messages(envelope)

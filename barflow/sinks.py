@@ -48,6 +48,15 @@ def batch_folder_writer(path: str) -> BatchWriter:
     return write
 
 
+def signal_store_writer(path: str) -> BatchWriter:
+    """Like ``batch_folder_writer``, each batch in the layout of ``write_signals``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_signals(batch, f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def new_rows(batch: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     """Rows of the batch, one per key, whose key is not in the target yet."""
     return batch.dropDuplicates(key).join(existing.select(*key), key, "left_anti")

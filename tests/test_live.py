@@ -64,6 +64,22 @@ def test_tables_get_their_rows(envelope, tmp_path, monkeypatch, start, table):
         assert 0 < count <= 161
 
 
+def test_signal_store(spark, tmp_path):
+    rows = random_bars(random.Random(8), ["A", "B", "C"], 90)
+    rows = [r for r in rows if r[6] is not None]
+    far = series("Z", [BASE], start=START + timedelta(days=900))
+    messages.encode(bar_frame(spark, rows + far)).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
+    query = live.start_signal_store(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "1 hour", "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    expected = monitor(signals_of_bars(bar_frame(spark, rows), chunk=None))
+    stored = sinks.read_signals(spark, str(tmp_path / "out"), kind="BUY")
+    same_rows(monitor(stored), expected.filter("signal = 'BUY'"))
+
+
 def test_rejects_are_stored_by_reason(spark, tmp_path):
     good = messages.encode(bar_frame(spark, series("A", [BASE] * 3)))
     bad = good.withColumn("value", F.substring("value", 1, 5))
