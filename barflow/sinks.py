@@ -49,10 +49,18 @@ def batch_folder_writer(path: str) -> BatchWriter:
 
 
 def signal_store_writer(path: str) -> BatchWriter:
-    """Like ``batch_folder_writer``, each batch in the layout of ``write_signals``."""
+    """Like ``batch_folder_writer``, each batch in the layout of ``write_signals``.
+
+    The range split samples the rows before it writes them; the batch is kept in between so that
+    its state is computed once.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_signals(batch, f"{path}/batch_id={batch_id}")
+        batch = batch.persist()
+        try:
+            write_signals(batch, f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 

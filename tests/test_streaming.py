@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from barflow import sinks
 from barflow.operators.signals import monitor
 from barflow.plans.flow import bars_of_messages, signals_of_bars, signals_of_message_stream
-from barflow.schema import BAR
+from barflow.schema import BAR, ENVELOPE
 from barflow.session import use_rocksdb
 from barflow.sources import bars as bs
 from barflow.sources import messages
@@ -153,6 +153,21 @@ def test_processor_needs_no_package_on_the_workers():
     assert found.stdout.strip() == b"[0]"
 
 
+def test_messages_over_many_rounds_lose_nothing(spark, rows, tmp_path):
+    """The copies' aggregation and the history share one watermark; neither drops the other's rows."""
+    known = sorted((r for r in rows if r[6] is not None), key=lambda r: r[1])
+    size = len(known) // 6 + 1
+    for i in range(0, len(known), size):
+        part = random.Random(i).sample(known[i:i + size], len(known[i:i + size]))
+        messages.encode(bar_frame(spark, part)).coalesce(1).write.mode("append").parquet(
+            str(tmp_path / "in"))
+    messages.encode(bar_frame(spark, sentinel())).write.mode("append").parquet(str(tmp_path / "in"))
+    envelope = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 1).parquet(
+        str(tmp_path / "in"))
+    found = drain(monitor(signals_of_message_stream(envelope, "1 second")), str(tmp_path / "out"))
+    same_rows(settled(found), monitor(signals_of_bars(bar_frame(spark, known), chunk=None)))
+
+
 def test_streamed_bars_equal_built_bars(spark, tmp_path):
     rng = random.Random(9)
     trades = [
