@@ -126,6 +126,12 @@ def test_tails_are_limited_before_the_exchange(spark):
     assert "hashpartitioning(symbol" in text and "_chunk" in text
 
 
+def test_copies_are_combined_by_hashing_before_the_exchange(spark):
+    text = plan(queries()["signal_monitor_messages"](spark, "/root/testdata/sf0.001"))
+    assert "SortAggregate" not in text
+    assert "partial_max_by(open" in text
+
+
 def test_rules_run_once_under_the_signal_checks(spark):
     text = plan(queries()["trading_signals_rows"](spark, "/root/testdata/sf0.001"))
     assert max(len(line) for line in text.splitlines() if "Filter" in line) < 4000
