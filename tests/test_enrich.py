@@ -88,6 +88,25 @@ def test_older_bars_are_read_only_when_needed(spark, tmp_path):
     assert scans["30 minutes"] < scans["10 minutes"]
 
 
+def test_chunks_spread_a_hot_symbol(spark):
+    rows = series("HOT", [BASE] * 4000) + [
+        r for i in range(40) for r in series(f"S{i}", [BASE] * 200)]
+    bars = bar_frame(spark, rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        largest = {
+            chunk: max(
+                r["count"] for r in enrich(bars, chunk=chunk)
+                .groupBy(F.spark_partition_id())
+                .agg(F.count("avg_volume_20").alias("count")).collect()
+            ) for chunk in (None, "100 minutes")
+        }
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert largest[None] >= 4000
+    assert largest["100 minutes"] < len(rows) / 4
+
+
 def test_one_window_per_series(spark):
     text = plan(whole(user_day_bars(spark, "/root/testdata/sf0.001")))
     assert text.count("Window [") == 1
