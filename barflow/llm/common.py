@@ -47,8 +47,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each holds about ``PIECE_BYTES`` of text, one row at least.
+def pieces(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each holds at most ``size`` bytes of text, or one row.
 
     A NULL text becomes the empty text.
     """
@@ -58,6 +60,6 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         ends = pc.cumulative_sum(pc.cast(pc.binary_length(column), pa.int64())).to_numpy(zero_copy_only=False)
         begin = before = 0
         while begin < len(ends):
-            end = max(begin + 1, int(ends.searchsorted(before + PIECE_BYTES, side="right")))
+            end = max(begin + 1, int(ends.searchsorted(before + size, side="right")))
             yield batch.slice(begin, end - begin)
             begin, before = end, int(ends[end - 1])

@@ -21,6 +21,26 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN found USING (page_id)
 """
 
+TOP_5 = """
+WITH parts AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), bad AS (
+  SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)
+), v AS (
+  SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM parts WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY ALL
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_rules": URL_RULES}
+    return {"op4_url_rules": URL_RULES, "op9_threshold_top5": TOP_5}

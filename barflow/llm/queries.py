@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barflow.llm import sharding, url_rules
+from barflow.llm import bitplane, packing, sharding, topk, url_rules
 from barflow.llm.common import prepare, read
 
 #: The rules (host, path, verdict) of the URL query.
@@ -16,6 +17,11 @@ RULES = [
 ]
 
 
+def op2_pack_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document, packed into sequences of at most 2048 ids."""
+    return packing.pack(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on every page's URL: blocked or allowed by the longest rule, allowed without one."""
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
@@ -29,6 +35,19 @@ def op5_shard_table(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents, "doc_id")
 
 
+def op8_id_planes(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of all documents, written in planes and read back."""
+    return bitplane.encode_and_read(read(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op9_threshold_top5(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors, by whole-number inner product, of every fiftieth vector."""
+    embeddings = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.search(embeddings, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op4_url_rules, op5_shard_table]
+    named = [
+        op2_pack_windows, op4_url_rules, op5_shard_table, op8_id_planes, op9_threshold_top5,
+    ]
     return {f.__name__: (lambda s, d, f=f: f(prepare(s), d)) for f in named}
