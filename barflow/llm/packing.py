@@ -5,7 +5,10 @@ each length, a histogram of at most ``window`` numbers. Combinations of one, two
 that fill the window exactly are enumerated (of three, one is a multiple of ``GRID``), and
 non-negative least squares finds how often to repeat each so that the histogram is used up.
 Rounded repeats are taken as long as pieces last; the rest is packed greedily, the longest piece
-first, each time with the longest that still fits. All of this is arithmetic on the histogram.
+first, each time with the longest that still fits. Where nothing fits and ``LEAST_GAP`` places or
+more would stay empty, a longer piece is cut to fill them and its rest goes back to the others;
+that happens when few lengths make up most of the pieces, as with many copies of one document.
+All of this is arithmetic on the histogram.
 
 Pieces then take their places by rank among those of their length. Ranks come from counts: pieces
 are dealt into buckets, numbered within (length, bucket), and a running sum over a length's
@@ -15,12 +18,16 @@ all buckets. The plan sent to the tasks has a bounded number of rows, whatever t
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,19 +39,28 @@ WINDOW = 2048
 #: In combinations of three, one length is a multiple of this.
 GRID = 64
 ROUNDS = 200
+#: So many places at the end of a sequence are not worth a cut.
+LEAST_GAP = 16
 #: Pieces of a length in one bucket, at most about this many.
 BUCKET_ROWS = 100_000
 
-PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
+PLACED = "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, skip long, sequence_id long, offset long"
+RESULT = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def cut(documents: DataFrame, vocabulary: str, window: int = WINDOW, keep_ids: bool = False) -> DataFrame:
-    """The pieces of all documents: whole windows and a rest, with the checksum of their ids.
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
 
-    ``documents`` has doc_id and text; a NULL text is empty and has the end id alone.
-    ``keep_ids`` adds the ids.
+
+def cut(documents: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFrame:
+    """The pieces of all documents: whole windows and a rest, with their ids and the ids' checksum.
+
+    ``documents`` has doc_id and text; a NULL text is empty and has the end id alone. ``piece``
+    is a number of its own for each; ``ids`` are little-endian 32-bit numbers.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
         for rows, ids, ends in tokens.encoded(batches, vocabulary):
             n = np.diff(ends)
             count = -(-n // window)
@@ -52,17 +68,14 @@ def cut(documents: DataFrame, vocabulary: str, window: int = WINDOW, keep_ids: b
             start = (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)) * window
             length = np.minimum(window, n[of] - start)
             begin = ends[of] + start
-            sums = [tokens.crc32(ids[b:e]) for b, e in zip(begin, begin + length)]
-            columns = [rows["doc_id"].cast("int64").take(pa.array(of)), pa.array(start), pa.array(length),
-                       pa.array(sums, pa.int64()), pa.array(n[of])]
-            if keep_ids:
-                bounds = np.append(begin, ends[-1])
-                columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("int32"))))
-            yield pa.RecordBatch.from_arrays(columns, names)
+            held = [np.ascontiguousarray(ids[b:e], "<u4").tobytes() for b, e in zip(begin, begin + length)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(number + np.arange(len(of))), rows["doc_id"].cast("int64").take(pa.array(of)),
+                pa.array(start), pa.array(length), pa.array(map(zlib.crc32, held), pa.int64()),
+                pa.array(n[of]), pa.array(held, pa.binary())], _names(PIECE))
+            number += len(of)
 
-    schema = PIECE + (", ids array<int>" if keep_ids else "")
-    names = [field.split()[0] for field in schema.split(", ")]
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+    return documents.select("doc_id", "text").mapInArrow(run, PIECE)
 
 
 def combinations(lengths: np.ndarray, window: int = WINDOW, grid: int = GRID) -> list[tuple[int, ...]]:
@@ -97,58 +110,88 @@ def solve(columns: list[tuple[int, ...]], histogram: dict[int, int], rounds: int
 
 
 class Plan(NamedTuple):
-    """Pieces of ``length`` with ranks from ``low`` on go to ``sequence`` + rank - low, at ``offset``."""
+    """Of pieces of ``length`` with ranks from ``low`` on, the ``size`` ids after ``skip`` go to
+    ``sequence`` + rank - low, at ``offset``. In order of length, skip and low."""
 
     length: np.ndarray
+    skip: np.ndarray
     low: np.ndarray
+    size: np.ndarray
     sequence: np.ndarray
     offset: np.ndarray
 
 
-def plan(histogram: dict[int, int], window: int = WINDOW) -> Plan:
+def plan(histogram: dict[int, int], window: int = WINDOW, least_gap: int = LEAST_GAP) -> Plan:
     left = {int(a): int(n) for a, n in histogram.items() if n}
-    rows: list[tuple[int, int, int, int]] = []
-    taken = dict.fromkeys(left, 0)
+    # Lots of equal (rests of) pieces by size: how many, their whole length, first rank, ids before.
+    lots = defaultdict(list) | {a: [(n, a, 0, 0)] for a, n in left.items()}
+    rows: list[tuple[int, ...]] = []
     sequences = 0
 
-    def take(combination: list[int], repeats: int) -> None:
+    def take(combination: list[tuple[int, int]], repeats: int) -> None:
+        """Place ``repeats`` of each (size, how much of it); what is cut off goes back."""
         nonlocal sequences
         offset = 0
-        for a in combination:
-            rows.append((a, taken[a], sequences, offset))
-            taken[a] += repeats
-            left[a] -= repeats
-            offset += a
+        for size, used in combination:
+            at = sequences
+            while at < sequences + repeats:
+                n, length, low, skip = lots[size].pop()
+                some = min(n, sequences + repeats - at)
+                if some < n:
+                    lots[size].append((n - some, length, low + some, skip))
+                rows.append((length, skip, low, used, at, offset))
+                if used < size:
+                    lots[size - used].append((some, length, low, skip + used))
+                at += some
+            left[size] -= repeats
+            if used < size:
+                left[size - used] = left.get(size - used, 0) + repeats
+            offset += used
         sequences += repeats
 
-    def repeats_left(combination: list[int]) -> int:
-        return min(left[a] // combination.count(a) for a in combination)
-
     columns = combinations(np.array(list(left), dtype=np.int64), window)
     if columns:
         x = solve(columns, left)
         for i in np.argsort(-x, kind="stable"):
-            column = list(columns[i])
-            repeats = min(round(x[i]), repeats_left(column))
+            column = columns[i]
+            repeats = min(round(x[i]), *(left[a] // column.count(a) for a in column))
             if repeats > 0:
-                take(column, repeats)
+                take([(a, a) for a in column], repeats)
     lengths = sorted(a for a in left if left[a])
     while lengths:
-        combination, rest, room = [], dict.fromkeys(lengths, 0), window
+        combination, used, room = [], defaultdict(int), window
         at = len(lengths) - 1
         while at >= 0:
             a = lengths[at]
-            if left[a] > rest[a]:
-                combination.append(a)
-                rest[a] += 1
+            if left[a] > used[a]:
+                combination.append((a, a))
+                used[a] += 1
                 room -= a
                 at = min(at, bisect_right(lengths, room) - 1)
             else:
                 at -= 1
-        take(combination, repeats_left(combination))
-        lengths = [a for a in lengths if left[a]]
-    ordered = sorted(rows)
-    return Plan(*(np.array([r[i] for r in ordered], dtype=np.int64) for i in range(4)))
+        if room >= least_gap:
+            longer = next((a for a in reversed(lengths) if a > room and left[a] > used[a]), 0)
+            if longer:
+                combination.append((longer, room))
+                used[longer] += 1
+        take(combination, min(left[a] // n for a, n in used.items() if n))
+        lengths = sorted(a for a in left if left[a])
+    return Plan(*(np.array(column, dtype=np.int64) for column in zip(*sorted(rows))) if rows
+                else (np.zeros(0, np.int64) for _ in Plan._fields))
+
+
+def place(known: Plan, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(which piece, ids before, size, sequence, offset) of all parts of the pieces."""
+    key = known.length * 4096 + known.skip << 38 | known.low if len(known.low) else known.low
+    which, skip, parts = np.arange(len(length)), np.zeros(len(length), np.int64), []
+    while len(which):
+        at = np.searchsorted(key, length[which] * 4096 + skip << 38 | rank[which], side="right") - 1
+        size = known.size[at]
+        parts.append((which, skip, size, known.sequence[at] + rank[which] - known.low[at], known.offset[at]))
+        more = skip + size < length[which]
+        which, skip = which[more], (skip + size)[more]
+    return tuple(map(np.concatenate, zip(*parts))) if parts else (np.zeros(0, np.int64),) * 5
 
 
 def ranked(pieces: DataFrame, total: int) -> DataFrame:
@@ -172,23 +215,36 @@ def pack(
     A document's ids and the end id lie in its pieces, each in one; pieces of a sequence follow
     each other without gaps, and no sequence is longer than the window. NULL and empty texts are
     a piece of one id. Rows with a repeated or a NULL doc_id are packed like all others. An empty
-    table gives an empty result. Other columns of ``documents`` play no part.
+    table gives an empty result. Other columns of ``documents`` play no part. ``keep_ids`` adds
+    the ids of each piece, as bytes.
     """
     spark = documents.sparkSession
-    pieces = stored(cut(documents, vocabulary or tokens.default_vocabulary(), window, keep_ids), "pieces")
-    histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `window` rows
-    sent = spark.sparkContext.broadcast(tuple(plan(histogram, window)))
+    pieces = stored(cut(documents, vocabulary or tokens.default_vocabulary(), window), "pieces")
+    small = pieces.drop("ids")
+    histogram = {r["length"]: r["count"] for r in small.groupBy("length").count().collect()}  # at most `window` rows
+    planned = plan(histogram, window)
+    sent = spark.sparkContext.broadcast(tuple(planned))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, low, sequence, offset = sent.value
-        key = (of << 44) + low
+        known = Plan(*sent.value)
         for batch in batches:
-            length, rank = batch["length"].to_numpy(), batch["rank"].to_numpy()
-            at = np.searchsorted(key, (length << 44) + rank, side="right") - 1
-            columns = [batch[name] for name in names[:-2]]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sequence[at] + rank - low[at]), pa.array(offset[at])], names)
-
-    names = [*pieces.columns, "sequence_id", "offset"]
-    schema = f"{PIECE}{', ids array<int>' if keep_ids else ''}, sequence_id long, offset long"
-    return ranked(pieces, sum(histogram.values())).mapInArrow(run, schema)
+            length = batch["length"].to_numpy()
+            which, skip, size, sequence, offset = place(known, length, batch["rank"].to_numpy())
+            at = pa.array(which)
+            whole = pa.array(size == length[which])
+            yield pa.RecordBatch.from_arrays([
+                batch["piece"].take(at), batch["doc_id"].take(at), pa.array(batch["start"].to_numpy()[which] + skip),
+                pa.array(size), pc.if_else(whole, batch["ids_crc32"].take(at), None),
+                batch["doc_tokens"].take(at), pa.array(skip), pa.array(sequence), pa.array(offset)], _names(PLACED))
+
+    placed = ranked(small, sum(histogram.values())).mapInArrow(run, PLACED)
+    if not keep_ids and not (planned.skip > 0).any():
+        return placed.select(*RESULT)
+    placed = stored(placed, "places")
+    held = placed if keep_ids else placed.filter("ids_crc32 IS NULL")
+    part = F.substring("ids", F.col("skip") * 4 + 1, F.col("length") * 4)
+    parts = held.join(pieces.select("piece", "ids"), "piece").withColumn("ids", part).withColumn(
+        "ids_crc32", F.crc32("ids"))
+    if keep_ids:
+        return parts.select(*RESULT, "ids")
+    return parts.select(*RESULT).unionByName(placed.filter("ids_crc32 IS NOT NULL").select(*RESULT))
