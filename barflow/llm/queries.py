@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bitplane, packing, sharding, topk, url_rules
+from barflow.llm import bitplane, licenses, packing, secret_scan, sharding, topk, url_rules
 from barflow.llm.common import prepare, read
 
 #: The rules (host, path, verdict) of the URL query.
@@ -17,11 +17,21 @@ RULES = [
 ]
 
 
+def op1_license_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and covered licence passages of every document."""
+    return licenses.scan(read(spark, folder, "documents").select("doc_id", "text")).drop("spans")
+
+
 def op2_pack_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document, packed into sequences of at most 2048 ids."""
     return packing.pack(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document: fixed patterns and random tokens."""
+    return secret_scan.find(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on every page's URL: blocked or allowed by the longest rule, allowed without one."""
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
@@ -48,6 +58,7 @@ def op9_threshold_top5(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        op2_pack_windows, op4_url_rules, op5_shard_table, op8_id_planes, op9_threshold_top5,
+        op1_license_spans, op2_pack_windows, op3_secret_spans, op4_url_rules, op5_shard_table,
+        op8_id_planes, op9_threshold_top5,
     ]
     return {f.__name__: (lambda s, d, f=f: f(prepare(s), d)) for f in named}

@@ -74,9 +74,9 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def words(column: pa.Array, word_bytes: np.ndarray) -> Words:
-    data, offsets = text_bytes(column)
-    inside = word_bytes[data]
+def runs(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the longest runs of member bytes within each text."""
+    inside = members[data]
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1]
     closes[:-1] &= ~inside[1:]
@@ -85,7 +85,12 @@ def words(column: pa.Array, word_bytes: np.ndarray) -> Words:
     opens[at] = inside[at]
     at = offsets[1:][filled] - 1
     closes[at] = inside[at]
-    begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    return np.flatnonzero(opens), np.flatnonzero(closes) + 1
+
+
+def words(column: pa.Array, word_bytes: np.ndarray) -> Words:
+    data, offsets = text_bytes(column)
+    begin, end = runs(data, offsets, word_bytes)
     sums = np.zeros(len(data) + 1, U)
     np.cumsum(_byte_values()[data] * _power(BASE, len(data)), out=sums[1:])
     hashes = mix((sums[end] - sums[begin]) * _power(BACK, len(data) + 1)[begin])
