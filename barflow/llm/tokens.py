@@ -25,10 +25,11 @@ from barflow.llm.common import pieces
 from barflow.llm.words import text_bytes
 
 END = 1
-#: Runs whose ids a worker keeps; beyond that it starts anew.
-KEPT_RUNS = 1_000_000
-#: Text handled at once.
-PIECE = 12 << 20
+#: Runs whose ids a worker keeps; beyond that it keeps those of the text at hand.
+KEPT_RUNS = 400_000
+#: Bytes of text handled at once, and runs that the library encodes at once.
+PIECE = 4 << 20
+ENCODED = 8192
 
 # Classes of bytes: white space and all that is never cut 0, letters 1, punctuation 2, digits 3.
 _CLASS = np.zeros(256, np.uint8)
@@ -77,23 +78,24 @@ class Encoder:
             r"'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+") and "Lowercase" in self.library.to_str()
         if not self.cuts:
             raise ValueError("runs of text stand alone only in vocabularies that drop white space")
-        self._forget()
-
-    def _forget(self) -> None:
-        """Number 0, under a name that no run has, is the end of a document."""
+        # Number 0, under a name that no run has, is the end of a document.
         self.known: dict[str, int] = {"\n": 0}
         self.lists = pa.ListArray.from_arrays(pa.array([0, 1], pa.int32()), pa.array([END], pa.uint32()))
 
     def _numbers(self, runs: list[str]) -> np.ndarray:
         """Number of each run; ``self.lists`` has the ids by number."""
         if len(self.known) > KEPT_RUNS:
-            self._forget()
+            kept = [x for x in runs if x in self.known]
+            self.lists = self.lists.take(pa.array([0, *map(self.known.__getitem__, kept)]))
+            self.known = {"\n": 0, **dict(zip(kept, range(1, len(kept) + 1)))}
         known = self.known
         new = [x for x in runs if x not in known]
-        if new:
-            found = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self.lists = pa.concat_arrays([self.lists, pa.array(found, pa.list_(pa.uint32()))])
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        found = [self.lists]
+        for at in range(0, len(new), ENCODED):
+            some = self.library.encode_batch_fast(new[at:at + ENCODED], add_special_tokens=False)
+            found.append(pa.array([e.ids for e in some], pa.list_(pa.uint32())))
+        self.lists = pa.concat_arrays(found)
         return np.fromiter(map(known.__getitem__, runs), np.int32, len(runs))
 
     def _documents(self, texts: pa.Array) -> pa.ListArray:
@@ -134,6 +136,7 @@ def encoded(
     """Rows with a ``text``, piece by piece, with their ids and the ids' offsets by row."""
     for piece in pieces(batches, size=PIECE):
         yield piece, *encoder(path).encode(piece["text"])
+        pa.default_memory_pool().release_unused()
 
 
 def default_vocabulary() -> str:
