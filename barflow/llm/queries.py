@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bitplane, licenses, packing, secret_scan, sharding, topk, url_rules
+from barflow.llm import bitplane, licenses, packing, quality, secret_scan, sharding, topk, url_rules
 from barflow.llm.common import prepare, read
 
 #: The rules (host, path, verdict) of the URL query.
@@ -45,6 +45,12 @@ def op5_shard_table(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents, "doc_id")
 
 
+def op7_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    return quality.score(documents, read(spark, folder, "labels").select("doc_id", "quality"))
+
+
 def op8_id_planes(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of all documents, written in planes and read back."""
     return bitplane.encode_and_read(read(spark, folder, "documents").select("doc_id", "text"))
@@ -59,6 +65,6 @@ def op9_threshold_top5(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_license_spans, op2_pack_windows, op3_secret_spans, op4_url_rules, op5_shard_table,
-        op8_id_planes, op9_threshold_top5,
+        op7_quality_scores, op8_id_planes, op9_threshold_top5,
     ]
     return {f.__name__: (lambda s, d, f=f: f(prepare(s), d)) for f in named}
