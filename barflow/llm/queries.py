@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bitplane, licenses, packing, quality, secret_scan, sharding, topk, url_rules
+from barflow.llm import bitplane, licenses, near_dup, packing, quality, secret_scan, sharding, topk, url_rules
 from barflow.llm.common import prepare, read
 
 #: The rules (host, path, verdict) of the URL query.
@@ -62,9 +62,14 @@ def op9_threshold_top5(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(embeddings, F.col("vec_id") % 50 == 0)
 
 
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near duplicates of every document, and whether the document stays."""
+    return near_dup.groups(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_license_spans, op2_pack_windows, op3_secret_spans, op4_url_rules, op5_shard_table,
-        op7_quality_scores, op8_id_planes, op9_threshold_top5,
+        op7_quality_scores, op8_id_planes, op9_threshold_top5, op10_near_duplicates,
     ]
     return {f.__name__: (lambda s, d, f=f: f(prepare(s), d)) for f in named}
