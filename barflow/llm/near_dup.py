@@ -272,3 +272,20 @@ def groups(
     return whole.join(joined, "node", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_one(documents: DataFrame, words_in_shingle: int = 5, least: int = LEAST) -> DataFrame:
+    """One row of ``documents``, unchanged, of each group of near duplicates: the smallest doc_id.
+
+    Rows without a doc_id all stay. Of rows with the same doc_id the smallest stays.
+    """
+    found = stored(groups(documents, words_in_shingle, least), "groups")
+    gone = found.filter("NOT kept").select("doc_id").distinct()
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    kept = documents.join(gone, "doc_id", "left_anti").select(documents.columns)
+    again = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*kept.columns)).alias("row"))
+    return kept.join(again, "doc_id", "left_anti").select(kept.columns).unionByName(one.select("row.*"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bitplane, licenses, near_dup, packing, quality, secret_scan, sharding, topk, url_rules
+from barflow.llm import bitplane, decontaminate, licenses, near_dup, packing, quality, secret_scan, sharding, topk, url_rules
 from barflow.llm.common import prepare, read
 
 #: The rules (host, path, verdict) of the URL query.
@@ -45,6 +45,12 @@ def op5_shard_table(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents, "doc_id")
 
 
+def op6_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or as a paraphrase."""
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.find(documents, read(spark, folder, "benchmark"))
+
+
 def op7_quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
     documents = read(spark, folder, "documents").select("doc_id", "text")
@@ -70,6 +76,6 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_license_spans, op2_pack_windows, op3_secret_spans, op4_url_rules, op5_shard_table,
-        op7_quality_scores, op8_id_planes, op9_threshold_top5, op10_near_duplicates,
+        op6_benchmark_leaks, op7_quality_scores, op8_id_planes, op9_threshold_top5, op10_near_duplicates,
     ]
     return {f.__name__: (lambda s, d, f=f: f(prepare(s), d)) for f in named}
