@@ -23,7 +23,7 @@ def _least(edges: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     m = F.least("u", "m")
-    return _least(both).filter("v > u").select(F.col("v").alias("u"), m.alias("v")).filter("u <> v").distinct()
+    return _least(both).filter("v > u").select(F.col("v").alias("u"), m.alias("v"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -33,19 +33,24 @@ def _small_star(links: DataFrame) -> DataFrame:
         F.struct(F.col("u"), F.col("m").alias("v"))))).filter("u <> v").distinct()
 
 
-def _state(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(links: DataFrame) -> bool:
+    """Every node leads to one other, which leads nowhere."""
+    ends = links.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))))
+    found = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return found.filter("out > 1 OR out = 1 AND into = 1").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of all nodes that have a link; ``links`` has two number columns, a and b."""
-    now = stored(links.filter("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while (state := _state(now)) != before:
-        before = state
-        if not state[0]:
+    """(node, component) of all nodes that have a link.
+
+    ``links`` has two number columns, a and b, and is read more than once.
+    """
+    now = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    while True:
+        now = stored(_small_star(stored(_large_star(now), "links")), "links")
+        if _are_stars(now):
             break
-        now = stored(_small_star(_large_star(now)), "links")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -4,7 +4,8 @@ Features are the words of the benchmark. Their document frequencies are counted
 words of more than half of them weigh nothing. Passages of ``PASSAGE`` words, with the benchmark's
 own items, make a TF-IDF matrix A; a randomised SVD takes a random matrix W with ``RANK``
 columns, sums A' A W over all passages (each task its own, then block by block) and makes it
-orthonormal: the latent space.
+orthonormal: the latent space. In the corpus' passages words below the weight ``RARE`` are left
+out, or they would take all of the few dimensions; the items keep theirs.
 
 Every document is then read in overlapping windows about as long as the items. A window is a
 candidate for an item if enough of its weight lies on words of the benchmark (others count with
@@ -29,13 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import pieces, shuffle_partitions
-from barflow.llm.words import ALPHANUMERIC, Words, words
+from barflow.llm.words import ALPHANUMERIC, Vocabulary, Words, words
 
 PASSAGE, RANK, ITEMS = 32, 64, 10_000
 #: Windows in words and their step; items with fewer words than LEAST_WORDS are not searched for.
 WINDOWS, STEP, LEAST_WORDS = (16, 32, 48, 64, 128, 256), 8, 5
+#: Words in more than one of e**2 documents are common.
+RARE = 2.0
 #: Least share of a window's weight on words of the benchmark, and least latent cosine.
-ENERGY, COSINE = 0.16, 0.5
+ENERGY, COSINE = 0.2, 0.5
 #: Share of the item's words in order for a leak; the same and the answer's for a paraphrase.
 VERBATIM, PART, ANSWER = 0.7, 0.5, 0.8
 #: Features in a row when partial sums are added.
@@ -47,7 +50,7 @@ class Query(NamedTuple):
     """The items and all that is known about their words."""
 
     item_ids: list[int]
-    vocabulary: np.ndarray  # hashes, sorted
+    vocabulary: Vocabulary
     item_words: list[np.ndarray]  # numbers of the vocabulary
     answers: list[np.ndarray]
     weights: np.ndarray  # inverse document frequencies
@@ -56,12 +59,6 @@ class Query(NamedTuple):
     directions: np.ndarray  # of the items, of length 1
 
 
-def _numbers(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Place in the vocabulary, -1 for other words."""
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == hashes, at, -1)
-
-
 def _answer(text: str) -> str:
     """The last sentence; the last quarter of the words if there is but one."""
     parts = [s for s in _SENTENCE.split(text.strip()) if s.strip()]
@@ -71,8 +68,8 @@ def _answer(text: str) -> str:
     return " ".join(some[-max(1, len(some) // 4):])
 
 
-def _of(text: Words, vocabulary: np.ndarray) -> list[np.ndarray]:
-    numbers = _numbers(vocabulary, text.hash)
+def _of(text: Words, vocabulary: Vocabulary) -> list[np.ndarray]:
+    numbers = vocabulary.numbers(text.hash)
     return [numbers[a:b] for a, b in zip(text.first, text.first[1:])]
 
 
@@ -91,14 +88,14 @@ def _add(total: np.ndarray, numbers: np.ndarray, starts: np.ndarray, start_space
     if not len(numbers):
         return
     sums = np.add.reduceat(start_space[numbers], starts, axis=0)
-    order = np.argsort(numbers, kind="stable")
+    order = np.argsort(numbers.astype(np.uint16) if len(total) <= 1 << 16 else numbers, kind="stable")
     ordered = numbers[order]
     begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     passage = np.searchsorted(starts, order, side="right") - 1
     total[ordered[begin]] += np.add.reduceat(sums[passage], begin, axis=0)
 
 
-def _frequencies(documents: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
+def _frequencies(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
     """In how many documents each word of the vocabulary stands, and how many documents there are."""
     size = len(vocabulary)
     sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
@@ -107,9 +104,10 @@ def _frequencies(documents: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarr
         counts = np.zeros(size + 1, np.int64)
         for batch in pieces(batches):
             text = words(batch["text"], ALPHANUMERIC)
-            numbers = _numbers(sent.value, text.hash)
+            numbers = sent.value.numbers(text.hash)
             of = np.repeat(np.arange(len(batch)), np.diff(text.first))
-            pairs = np.unique(of[numbers >= 0] * size + numbers[numbers >= 0])
+            known = np.flatnonzero(numbers >= 0)
+            pairs = np.unique(of[known] * size + numbers[known])
             counts[:size] += np.bincount(pairs % size, minlength=size)
             counts[size] += len(batch)
         some = np.flatnonzero(counts)
@@ -123,7 +121,7 @@ def _frequencies(documents: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarr
 
 
 def _range_sum(
-    documents: DataFrame, vocabulary: np.ndarray, weights: np.ndarray, space: np.ndarray
+    documents: DataFrame, vocabulary: Vocabulary, weights: np.ndarray, space: np.ndarray
 ) -> tuple[np.ndarray, float]:
     """The sum of a' (a W) over all passages of all documents, and how many words took part."""
     spark, (size, rank) = documents.sparkSession, space.shape
@@ -134,7 +132,7 @@ def _range_sum(
         total, count = np.zeros((size, rank), np.float64), 0
         for batch in pieces(batches):
             text = words(batch["text"], ALPHANUMERIC)
-            numbers, starts = _passages(text, _numbers(known, text.hash), weight)
+            numbers, starts = _passages(text, known.numbers(text.hash), weight)
             _add(total, numbers, starts, start)
             count += len(numbers)
         if count:
@@ -168,13 +166,13 @@ def _range_sum(
 
 def fit(documents: DataFrame, item_ids: list[int], texts: list[str], rank: int = RANK) -> Query:
     items = words(pa.array(texts, pa.string()), ALPHANUMERIC)
-    vocabulary = np.unique(items.hash)
+    vocabulary = Vocabulary(items.hash)
     frequency, n = _frequencies(documents, vocabulary)
     weights = np.log((n + 1) / (frequency + 0.5))
     weights[weights < np.log(2)] = 0
     rank = min(rank, len(vocabulary))
     start = (np.random.default_rng(7).standard_normal((len(vocabulary), rank)) * weights[:, None]).astype(np.float32)
-    total, count = _range_sum(documents, vocabulary, weights, start)
+    total, count = _range_sum(documents, vocabulary, np.where(weights > RARE, weights, 0), start)
     # The items weigh as much as all passages together.
     of_items = _of(items, vocabulary)
     own, (numbers, starts) = np.zeros_like(total), _passages(items, np.concatenate(of_items), weights)
@@ -209,7 +207,7 @@ def _window_of(lengths: np.ndarray) -> np.ndarray:
 
 def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int, float]]:
     """(document, item, first word, end, cosine) of all candidate windows."""
-    numbers = _numbers(query.vocabulary, text.hash)
+    numbers = query.vocabulary.numbers(text.hash)
     known = numbers >= 0
     weight = np.where(known, query.weights[numbers], query.unknown) ** 2
     whole = np.append(0, np.cumsum(weight))
@@ -242,7 +240,7 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
 
 def leaks(query: Query, text: Words) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(cosine, part of the item, part of the answer) of each (document, item), at its best window."""
-    numbers = _numbers(query.vocabulary, text.hash).tolist()
+    numbers = query.vocabulary.numbers(text.hash).tolist()
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
     for document, item, begin, end, cosine in candidates(query, text):
         wanted, answer = query.item_words[item], query.answers[item]

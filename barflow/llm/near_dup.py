@@ -10,11 +10,12 @@ its similarity (uniform prior) tells how likely it is still to reach the thresho
 the pair is dropped. Survivors are verified on their full sets.
 
 Pairs are not made of whole buckets. First every node is compared with the smallest of each of its
-buckets; verified links already join nearly all of a group of near copies. Only pairs of nodes that
-are then still in different components matter: small buckets are paired by a join, large ones are
-cut into blocks, and two blocks are compared as arrays within a task, which returns what the
-posterior keeps. So no link between candidates is lost, and a bucket of n near copies costs n
-comparisons, not n * n.
+buckets; verified links already join most of a group of near copies. Only pairs of nodes that are
+then still in different components matter. Buckets are cut into blocks, and two blocks are
+compared as arrays within a task, each pair in the first of its common buckets alone. A first pass
+returns the nodes that have a likely partner there, a second one has their full sets and returns
+links, of which it leaves out those between components that it has joined before. So no component
+of candidates is lost, and no list of a bucket's pairs is ever written.
 """
 
 from __future__ import annotations
@@ -24,12 +25,11 @@ from functools import cache
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import pieces, stored
+from barflow.llm.common import pieces, shuffle_partitions, stored
 from barflow.llm.components import components
 from barflow.llm.words import NOT_SPACE, U, mix, words
 
@@ -38,8 +38,8 @@ WORDS, LEAST = 4, 80
 BANDS, ROWS = 32, 5
 #: Minima compared at a time, and how unlikely a pair must be to be dropped.
 BATCH, MISS = 32, 1e-6
-#: Nodes of a bucket that is paired by a join, and of a block of a larger one.
-SMALL, BLOCK = 32, 512
+#: Nodes of a block of a large bucket.
+BLOCK = 512
 #: Up to so many nodes (numbers of 8 bytes) are broadcast to find their texts; more are joined.
 BROADCAST_ROWS = 500_000
 
@@ -167,9 +167,8 @@ def prune(pairs: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     )
 
 
-def verify(pairs: DataFrame, documents: DataFrame, k: int, least: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; ``pairs`` is read more than once."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def _sets_of(needed: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+    """(node, hashes) of the nodes in the column ``doc_id`` of ``needed``, from their whole texts."""
     if needed.count() <= BROADCAST_ROWS:
         needed = F.broadcast(needed)
 
@@ -180,17 +179,28 @@ def verify(pairs: DataFrame, documents: DataFrame, k: int, least: int) -> DataFr
                 batch["doc_id"].cast("int64"),
                 pa.array([hashes[b:e].tobytes() for b, e in zip(ends, ends[1:])], pa.binary())], ["node", "hashes"])
 
+    return stored(documents.select("doc_id", "text").join(needed, "doc_id", "left_semi").mapInArrow(
+        sets, "node long, hashes binary"), "sets")
+
+
+def _alike(x: np.ndarray, y: np.ndarray, least: int) -> bool:
+    """Two sorted sets share ``least`` hundredths of their union or more."""
+    if 100 * min(len(x), len(y)) < least * max(len(x), len(y)) or not len(x):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= least * (len(x) + len(y) - both)
+
+
+def verify(pairs: DataFrame, documents: DataFrame, k: int, least: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; ``pairs`` is read more than once."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    found = _sets_of(needed, documents, k)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for left, right in zip(batch["left"], batch["right"]):
-                x, y = (np.frombuffer(s.as_buffer(), U) for s in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if len(x) and len(y) else 0
-                kept.append(both > 0 and 100 * both >= least * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    found = stored(documents.select("doc_id", "text").join(needed, "doc_id", "left_semi").mapInArrow(
-        sets, "node long, hashes binary"), "sets")
+            sets = ((np.frombuffer(s.as_buffer(), U) for s in both) for both in zip(batch["left"], batch["right"]))
+            yield batch.select(["a", "b"]).filter(pa.array([_alike(*both, least) for both in sets], pa.bool_()))
+
     return (
         pairs.join(found.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
         .join(found.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
@@ -198,44 +208,114 @@ def verify(pairs: DataFrame, documents: DataFrame, k: int, least: int) -> DataFr
     )
 
 
-def _compare_blocks(least: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
-        left, right = rows[rows["block"] == i], rows[rows["block"] == j]
-        x = np.frombuffer(b"".join(left["signature"]), np.uint8).reshape(len(left), -1)
-        y = np.frombuffer(b"".join(right["signature"]), np.uint8).reshape(len(right), -1)
-        nodes, others = left["node"].to_numpy(), right["node"].to_numpy()
-        groups, other_groups = left["component"].to_numpy(), right["component"].to_numpy()
-        found = []
-        for node, group, mine in zip(nodes, groups, x):
-            at = np.flatnonzero((other_groups != group) & ((others > node) | (i != j)))
-            at = at[likely(np.broadcast_to(mine, (len(at), len(mine))), y[at], least)]
-            found.append(pd.DataFrame({"a": np.minimum(node, others[at]), "b": np.maximum(node, others[at])}))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+GROUP = ["key", "i", "j"]
 
-    return run
 
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each (key, i, j), which stand together but may go on in the next batch."""
+    rest = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if rest is not None:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        names = [batch[c].to_numpy() for c in GROUP]
+        new = np.any([c[1:] != c[:-1] for c in names], axis=0)
+        edges = [0, *(np.flatnonzero(new) + 1).tolist()]
+        for begin, end in zip(edges, edges[1:]):
+            yield batch.slice(begin, end - begin)
+        rest = batch.slice(edges[-1])
+    if rest is not None:
+        yield rest
 
-def rest_pairs(members: DataFrame, nodes: DataFrame, joined: DataFrame, least: int) -> DataFrame:
-    """Pairs of one bucket that are in different components and were not compared yet.
 
-    ``members`` has key, node, the bucket's smallest node (leader) and its size n.
+def _open_pairs(rows: pa.RecordBatch, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows) that are likely alike: in different components, and met here first.
+
+    ``rows`` are those of two blocks of one bucket, or of one block with itself.
     """
+    block, node, component = (rows[c].to_numpy() for c in ("block", "node", "component"))
+    if (component == component[0]).all():
+        return
+    i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+    keys = rows["keys"].flatten().to_numpy().reshape(len(rows), -1)
+    signature = _rows(rows["signature"], np.uint8)
+    band = int(np.argmax(keys[0] == rows["key"][0].as_py()))
+    right = np.flatnonzero(block == j)
+    for x in np.flatnonzero(block == i):
+        y = right[component[right] != component[x]]
+        if i == j:
+            y = y[node[y] > node[x]]
+        if band:
+            y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]
+        if len(y):
+            y = y[likely(np.broadcast_to(signature[x], (len(y), signature.shape[1])), signature[y], least)]
+        if len(y):
+            yield int(x), y
+
+
+def _links_of(rows: pa.RecordBatch, least: int) -> list[tuple[int, int]]:
+    """Verified links between the rows, none within what earlier ones have joined."""
+    node, component = rows["node"].to_numpy(), rows["component"].to_pylist()
+    sets = [np.frombuffer(s.as_buffer(), U) for s in rows["hashes"]]
+    above: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in above:
+            c = above[c]
+        return c
+
+    found = []
+    for x, others in _open_pairs(rows, least):
+        for y in others.tolist():
+            a, b = top(component[x]), top(component[y])
+            if a != b and _alike(sets[x], sets[y], least):
+                above[max(a, b)] = min(a, b)
+                found.append((int(min(node[x], node[y])), int(max(node[x], node[y]))))
+    return found
+
+
+def rest_links(
+    members: DataFrame, nodes: DataFrame, joined: DataFrame, documents: DataFrame, k: int, least: int
+) -> DataFrame:
+    """Links between nodes of one bucket that are in different components, enough to join these.
+
+    ``members`` has key, node, the bucket's smallest node (leader), which all others were compared
+    with, and its size n. ``nodes`` has the signatures and all band keys.
+    """
+    spark = members.sparkSession
     labelled = members.filter("n > 2").join(joined, "node", "left").select(
         "key", "node", "leader", "n", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_ = stored(labelled.join(mixed.filter("x <> y").select("key"), "key").filter("node <> leader"), "open")
-    small = open_.filter(F.col("n") <= SMALL)
-    a, b = (small.select("key", F.col("node").alias(x), F.col("component").alias(f"of_{x}")) for x in "ab")
-    pairs = prune(a.join(b, "key").filter("a < b AND of_a <> of_b").select("a", "b").distinct(), nodes, least)
+    mixed = labelled.filter("node <> leader").groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    large = open_.filter(F.col("n") > SMALL).withColumn("blocks", blocks).withColumn(
+    place = labelled.filter("node <> leader").join(mixed, "key").withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    far = large.join(nodes.select("node", "signature"), "node").groupBy("key", "i", "j").applyInPandas(
-        _compare_blocks(least), "a long, b long")
-    return pairs.unionByName(far).distinct()
+    marked = nodes.select("node", "signature", "keys")
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.repartition(shuffle_partitions(spark), *GROUP).sortWithinPartitions(*GROUP, "node")
+
+    def likely_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_group(batches):
+            some = {x for row, others in _open_pairs(rows, least) for x in (row, *others.tolist())}
+            if some:
+                yield rows.select(columns).take(pa.array(sorted(some)))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_group(batches):
+            if found := _links_of(rows, least):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    columns = [*GROUP, "block", "node", "component"]
+    schema = "key long, i int, j int, block int, node long, component long"
+    open_ = stored(together(place.join(marked, "node")).mapInArrow(likely_nodes, schema), "open")
+    if open_.isEmpty():
+        return spark.createDataFrame([], "a long, b long")
+    sets = _sets_of(open_.select(F.col("node").alias("doc_id")).distinct(), documents, k)
+    return together(open_.join(marked, "node").join(sets, "node")).mapInArrow(links, "a long, b long")
 
 
 def groups(
@@ -263,9 +343,9 @@ def groups(
     first = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(verify(stored(prune(first, nodes, least), "pairs"), texts, k, least), "verified")
     joined = components(links)
-    rest = stored(rest_pairs(members, nodes, joined, least), "pairs")
+    rest = stored(rest_links(members, nodes, joined, texts, k, least), "links")
     if not rest.isEmpty():
-        joined = components(links.unionByName(verify(rest, texts, k, least)))
+        joined = components(rest.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
     whole = signed.select("doc_id", "n_shingles", "set1", "set2").join(
         nodes.select("set1", "set2", "n_shingles", "node"), ["set1", "set2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))

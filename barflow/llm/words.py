@@ -97,6 +97,33 @@ def words(column: pa.Array, word_bytes: np.ndarray) -> Words:
     return Words(begin, end, hashes, np.searchsorted(begin, offsets))
 
 
+class Vocabulary:
+    """Numbers of known word hashes, looked up by their highest bits in a table."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.unique(hashes)
+        self.shift = U(64 - max(10, 8 + len(self.hashes).bit_length()))
+        slot = (self.hashes >> self.shift).astype(np.int64)
+        self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.table[slot] = np.arange(len(self.hashes))
+        self.shared = np.zeros(len(self.table), bool)  # slots of more than one word
+        self.shared[slot[1:][slot[1:] == slot[:-1]]] = True
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Place among the sorted hashes, -1 for others."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1, np.int32)
+        slot = (hashes >> self.shift).astype(np.int64)
+        at = self.table[slot]
+        if self.shared.any():
+            some = np.flatnonzero(self.shared[slot])
+            at[some] = np.minimum(np.searchsorted(self.hashes, hashes[some]), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, np.int32(-1))
+
+
 def word_hash(word: str) -> int:
     """The hash of one word, for tables of known words."""
     return int(words(pa.array([word]), np.ones(256, bool)).hash[0])
