@@ -4,17 +4,46 @@ Large-star and small-star steps in turn: every node's larger neighbours are link
 one, then its smaller neighbours are. The links end up as stars around the smallest node of each
 component after a number of rounds that grows with the logarithm of the nodes. A round is joins
 and minima; no neighbour lists are gathered, so a node with very many links is no large group.
-Each round is written to the shared folder, which cuts the lineage.
+Each round is written to the shared folder, which cuts the lineage. ``FEW`` links or fewer are less
+work than the rounds' overhead: one task joins them, with the same result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import stored
 
 
+#: Links (two numbers each) that one task joins; more go through the rounds.
+FEW = 10_000
+
+
+def _in_one_task(links: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[int, int] = {}
+
+        def top(n: int) -> int:
+            while above.setdefault(n, n) != n:
+                above[n] = n = above[above[n]]
+            return n
+
+        for batch in batches:
+            for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist()):
+                a, b = top(a), top(b)
+                above[max(a, b)] = min(a, b)
+        nodes = list(above)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([top(n) for n in nodes], pa.int64())], ["node", "component"])
+
+    one = links.filter("a <> b").select("a", "b").coalesce(1)
+    return stored(one.mapInArrow(run, "node long, component long"), "components")
+
+
 def _least(edges: DataFrame) -> DataFrame:
     """(u, v, m): each link with the smallest of u's neighbours."""
     return edges.join(edges.groupBy("u").agg(F.min("v").alias("m")), "u")
@@ -47,6 +76,8 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has two number columns, a and b, and is read more than once.
     """
+    if links.count() <= FEW:
+        return _in_one_task(links)
     now = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     while True:
         now = stored(_small_star(stored(_large_star(now), "links")), "links")

@@ -345,7 +345,8 @@ def groups(
     joined = components(links)
     rest = stored(rest_links(members, nodes, joined, texts, k, least), "links")
     if not rest.isEmpty():
-        joined = components(rest.unionByName(joined.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        stars = joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = components(rest.unionByName(stars))
     whole = signed.select("doc_id", "n_shingles", "set1", "set2").join(
         nodes.select("set1", "set2", "n_shingles", "node"), ["set1", "set2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
