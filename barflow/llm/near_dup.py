@@ -39,7 +39,7 @@ BANDS, ROWS = 32, 5
 #: Minima compared at a time, and how unlikely a pair must be to be dropped.
 BATCH, MISS = 32, 1e-6
 #: Nodes of a block of a large bucket.
-BLOCK = 512
+BLOCK = 2048
 #: Up to so many nodes (numbers of 8 bytes) are broadcast to find their texts; more are joined.
 BROADCAST_ROWS = 500_000
 
