@@ -13,7 +13,7 @@ Two layouts give the same rows:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -90,7 +90,7 @@ def last_rows(bars: DataFrame, n: int, tie_break: Sequence[str], keys: Sequence[
 def chunk_number(chunk: str) -> Column:
     """Number of the fixed-length event-time chunk that a bar falls into.
 
-    Times without zone are read in the session's zone; keep that at UTC, as ``pin_utc`` does.
+    Times without zone are read in the session's zone; keep that at UTC, as ``utc_session`` does.
     """
     length = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {chunk}"))
     return F.floor(F.unix_micros(F.col("timestamp").cast("timestamp")) / length)
@@ -151,16 +151,25 @@ def rows_before(
 
 
 def enrich_range(
-    bars: DataFrame, start: Column, end: Column, tie_break: Sequence[str] = (),
-    chunk: str | None = MINUTE_BAR_CHUNK, lookback: str | None = None,
+    bars_between: Callable[[Column | None, Column], DataFrame], start: Column, end: Column,
+    tie_break: Sequence[str] = (), chunk: str | None = MINUTE_BAR_CHUNK, lookback: str | None = None,
 ) -> DataFrame:
     """Enriched bars with ``start <= timestamp < end``, equal to those of the full series.
 
-    Both bounds reach the scan. Of the bars before ``start`` only the last 19 per symbol are
-    shuffled; give a ``lookback`` that usually holds 19 bars to leave older bars unread.
+    ``bars_between`` gives the bars from one time (NULL: from the first) up to another, so it can
+    bound what they are built from. Of the bars before ``start`` only the last 19 per symbol are
+    shuffled. With a ``lookback`` that usually holds 19 bars, older bars are read only for symbols
+    that have fewer there; when there are none, adaptive execution drops that scan.
     """
     ts = F.col("timestamp")
-    inside = bars.filter((ts >= start) & (ts < end))
-    symbols = inside.select("symbol").distinct()
-    before = rows_before(bars, start, symbols, tie_break, lookback)
-    return enrich(before.unionByName(inside), tie_break, chunk).filter(ts >= start)
+    if lookback is None:
+        before = last_rows(bars_between(None, start), LOOKBACK_ROWS, tie_break, ["symbol"])
+        return enrich(before.unionByName(bars_between(start, end)), tie_break, chunk).filter(ts >= start)
+    edge = start - F.expr(f"INTERVAL {lookback}")
+    recent = bars_between(edge, end)
+    short = recent.groupBy("symbol").agg(
+        F.count_if(ts < start).alias("near"), F.max("timestamp").alias("last")
+    ).filter((F.col("near") < LOOKBACK_ROWS) & (F.col("last") >= start)).select("symbol")
+    older = bars_between(None, edge).join(short, "symbol", "left_semi")
+    far = last_rows(older, LOOKBACK_ROWS, tie_break, ["symbol"])
+    return enrich(far.unionByName(recent), tie_break, chunk).filter(ts >= start)

@@ -38,28 +38,44 @@ def overflows(column: str, limit: float) -> Column:
 
 
 def with_bar_reason(parsed: DataFrame) -> DataFrame:
-    """Name the first constraint that a bar breaks, NULL for a valid bar."""
+    """Name what keeps a parsed message from being a bar at all, NULL for a bar.
+
+    Only what has no place in a series is turned away here; the limits of the tables are theirs.
+    """
     fields = ["symbol", "timestamp", *PRICES, "volume"]
     empty = _all_of([F.col(c).isNull() for c in fields])
     return parsed.withColumn(REASON, _first_of([
         ("malformed", empty),
+        ("no symbol", F.col("symbol").isNull()),
+        ("no timestamp", F.col("timestamp").isNull()),
+    ]))
+
+
+def with_stock_reason(bars: DataFrame) -> DataFrame:
+    """Name the first constraint of the bar table that a bar breaks, NULL for none."""
+    return bars.withColumn(REASON, _first_of([
         ("no symbol", F.col("symbol").isNull()),
         ("symbol too long", F.length("symbol") > SYMBOL_LENGTH),
         ("no timestamp", F.col("timestamp").isNull()),
         ("no price", _any_of([F.col(c).isNull() | F.isnan(c) for c in PRICES])),
         ("price out of range", _any_of([overflows(c, PRICE_LIMIT) for c in PRICES])),
         ("no volume", F.col("volume").isNull()),
+        ("no fetch time", F.col("fetch_time").try_cast("timestamp").isNull()),
     ]))
 
 
 def with_signal_reason(signals: DataFrame) -> DataFrame:
-    """Name the first constraint of the signal table that a row breaks, NULL for none."""
+    """Name the first constraint of the signal table that a row breaks, NULL for none.
+
+    Filters on symbol and time still reach the scan.
+    """
     levels = ["stop_loss_price", "take_profit_price"]
     ratios = ["volume_ratio", "price_change_pct", "risk_reward_ratio"]
     required = ["symbol", "timestamp", *PRICES, "volume", "signal", "signal_strength"]
-    # A one-element array of the whole row: the filter on the reason stays above it. Pushed
+    # A one-element array of all but the key: the filter on the reason stays above it. Pushed
     # further down it would repeat the rules once per mention of a risk column.
-    settled = signals.select(F.inline(F.array(F.struct("*"))))
+    rest = [c for c in signals.columns if c not in ("symbol", "timestamp")]
+    settled = signals.select("symbol", "timestamp", F.inline(F.array(F.struct(*rest)))).select(signals.columns)
     return settled.withColumn(REASON, _first_of([
         ("missing value", _any_of([F.col(c).isNull() for c in required])),
         ("symbol too long", F.length("symbol") > SYMBOL_LENGTH),
@@ -90,9 +106,9 @@ def trading_signals_rows(signals: DataFrame) -> DataFrame:
     )
 
 
-def stock_data_rows(parsed: DataFrame) -> DataFrame:
-    """Parsed bars in the shape of the ``stock_data`` table."""
-    return parsed.select(
+def stock_data_rows(bars: DataFrame) -> DataFrame:
+    """Bars in the shape of the ``stock_data`` table."""
+    return bars.select(
         "symbol", "timestamp",
         *[F.col(c).try_cast(PRICE_TYPE).alias(f"{c}_price") for c in PRICES],
         "volume", F.col("fetch_time").try_cast("timestamp").alias("fetch_time"), "processing_time",

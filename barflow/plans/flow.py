@@ -5,17 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql.streaming import DataStreamWriter
 
 from barflow.functions.rules import Thresholds
 from barflow.operators import quality
 from barflow.operators.enrich import enrich
 from barflow.operators.signals import signals_with_risk
 from barflow.schema import MINUTE_BAR_CHUNK
-from barflow.sinks import BatchWriter
+from barflow.sinks import BatchWriter, each_batch
 from barflow.sources import messages
 from barflow.sources.bars import build_bars, chunk_of
-from barflow.streaming.enrich import enrich_stream, on_time
-from barflow.streaming.rounds import history_rounds
+from barflow.streaming.history import history_rounds, settled
 
 
 def signals_of_bars(
@@ -35,7 +35,11 @@ def signals_of_trades(
 
 
 def bars_of_messages(envelope: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid bars, rejects with their reason) of a batch or a stream of messages."""
+    """(bars, rejects with their reason) of a batch or a stream of messages.
+
+    A reject is a message that is no bar: damaged, or without symbol or time. What a table cannot
+    hold is turned away before that table, not here, so bars and messages give the same signals.
+    """
     checked = quality.with_bar_reason(messages.parse(envelope))
     return quality.valid(checked), quality.rejects(checked)
 
@@ -49,28 +53,18 @@ def signals_of_messages(
     return signals_of_bars(messages.last_copies(bars), chunk=chunk, thresholds=thresholds)
 
 
-def signals_of_message_stream(
-    envelope: DataFrame, delay: str, thresholds: Thresholds = Thresholds()
-) -> DataFrame:
-    """A stream of messages in, a stream of signals out: the live form of ``signals_of_bars``."""
-    bars, _ = bars_of_messages(envelope)
-    once = messages.last_copies(on_time(bars, delay))
-    return signals_with_risk(enrich_stream(once), thresholds)
-
-
-def signal_rounds(
-    state: str, delay: str, sink: BatchWriter, chunk: str | None = MINUTE_BAR_CHUNK,
-    thresholds: Thresholds = Thresholds(),
-) -> BatchWriter:
-    """A ``foreachBatch`` function from messages to signals, by rounds of the batch operators."""
-
-    def write_signals(enriched: DataFrame, number: int) -> None:
-        sink(signals_with_risk(enriched, thresholds), number)
+def signal_stream(
+    envelope: DataFrame, store: str, delay: str, sinks: Sequence[BatchWriter], checkpoint: str, name: str,
+    every: str, chunk: str | None = MINUTE_BAR_CHUNK, thresholds: Thresholds = Thresholds(),
+) -> DataStreamWriter:
+    """A stream of messages in, signals with risk columns out to every sink, round by round.
 
-    run = history_rounds(state, delay, write_signals, chunk=chunk, merge=messages.last_copies)
+    The live form of ``signals_of_bars``. The bars are kept under ``store``.
+    """
+    bars, _ = bars_of_messages(envelope)
 
-    def write(envelope: DataFrame, number: int) -> None:
-        bars, _ = bars_of_messages(envelope)
-        run(messages.last_copies(bars), number)
+    def signals_to(sink: BatchWriter) -> BatchWriter:
+        return lambda enriched, number: sink(signals_with_risk(enriched, thresholds), number)
 
-    return write
+    run = history_rounds(store, [signals_to(sink) for sink in sinks], chunk)
+    return each_batch(settled(bars, delay), run, checkpoint, name, every)

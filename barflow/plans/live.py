@@ -4,13 +4,13 @@ Each function starts a query and returns it; the caller waits for it and stops i
 has a name and a checkpoint of its own under ``checkpoints``, so it resumes after a restart.
 
 As a job, with the topic connector on the class path:
-``python -m barflow.plans.live <checkpoint folder>``.
+``python -m barflow.plans.live <shared folder>``.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,15 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 from barflow import sinks
 from barflow.operators import quality
 from barflow.operators.signals import monitor
-from barflow.plans.flow import bars_of_messages, signal_rounds, signals_of_message_stream
-from barflow.session import pin_utc, use_rocksdb
+from barflow.plans.flow import bars_of_messages, signal_stream
+from barflow.session import ROCKSDB
 from barflow.sources import messages
 from barflow.sources.topic import TopicSettings, publish_stream, read_topic
+from barflow.streaming.history import settled
 
 # How long a bar may arrive behind newer ones before it counts as late.
 DELAY = "2 minutes"
 
-# Most messages of one round. It bounds what a restart after an outage puts before one task.
+# Most messages of one round, so that a restart after an outage works in steps.
 ROUND_MESSAGES = 1_000_000
 
 SIGNAL_TABLE = "trading_signals"
@@ -42,38 +43,35 @@ def start_publisher(
     return writer.queryName("bar_publisher").start()
 
 
-def start_monitor(envelope: DataFrame, checkpoints: str, delay: str = DELAY) -> StreamingQuery:
-    """Show the signals of a message stream on the console."""
-    signals = monitor(signals_of_message_stream(envelope, delay))
-    return sinks.console(signals, f"{checkpoints}/signal_monitor").start()
+def start_signals(
+    envelope: DataFrame, store: str, targets: Sequence[sinks.BatchWriter], checkpoints: str,
+    delay: str = DELAY, every: str = sinks.DATABASE_EVERY, name: str = "signals", once: bool = False,
+) -> StreamingQuery:
+    """The signals of a message stream, to every target: monitor, files and tables of one job.
 
+    ``once`` works off what the source holds now and ends; the same checkpoint and store then go
+    on live, and the other way round. Bound a round with the source's own limit, such as
+    ``maxOffsetsPerTrigger``.
+    """
+    writer = signal_stream(envelope, store, delay, targets, f"{checkpoints}/{name}", name, every)
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
-def start_signal_table(
-    envelope: DataFrame, connection: Mapping[str, str], checkpoints: str, delay: str = DELAY
-) -> StreamingQuery:
-    """Append the signals of a message stream to the signal table."""
-    checked = quality.with_signal_reason(signals_of_message_stream(envelope, delay))
-    rows = quality.trading_signals_rows(quality.valid(checked))
-    write = sinks.jdbc_writer(connection, SIGNAL_TABLE, sinks.SIGNAL_KEY)
-    return sinks.each_batch(
-        rows, write, f"{checkpoints}/{SIGNAL_TABLE}", SIGNAL_TABLE
-    ).start()
 
+def monitor_writer(rows: int = sinks.CONSOLE_ROWS) -> sinks.BatchWriter:
+    """Show each round's signals on the console."""
+    show = sinks.console_writer(rows)
+    return lambda signals, number: show(monitor(signals), number)
 
-def start_signal_store(
-    envelope: DataFrame, path: str, checkpoints: str, delay: str = DELAY,
-    every: str = sinks.DATABASE_EVERY,
-) -> StreamingQuery:
-    """Store the signals of a message stream as files for ``sinks.read_signals``."""
-    signals = signals_of_message_stream(envelope, delay)
-    return sinks.each_batch(
-        signals, sinks.signal_store_writer(path), f"{checkpoints}/signal_store", "signal_store",
-        every,
-    ).start()
+
+def signal_table_writer(connection: Mapping[str, str], rejects: str) -> sinks.BatchWriter:
+    """Append signals to the signal table; those that it cannot hold go to files, with the reason."""
+    write = sinks.jdbc_writer(connection, SIGNAL_TABLE, sinks.SIGNAL_KEY)
+    return sinks.split_writer(
+        quality.with_signal_reason, quality.trading_signals_rows, write, rejects)
 
 
 def start_reject_files(envelope: DataFrame, path: str, checkpoints: str) -> StreamingQuery:
-    """Store the messages that break a constraint, by reason, for later inspection."""
+    """Store the messages that are no bars as they came, by reason, for later inspection."""
     _, rejects = bars_of_messages(envelope)
     return (
         rejects.writeStream.queryName("bar_rejects").format("parquet")
@@ -83,40 +81,41 @@ def start_reject_files(envelope: DataFrame, path: str, checkpoints: str) -> Stre
     )
 
 
-def start_catch_up(
-    envelope: DataFrame, state: str, sink: sinks.BatchWriter, checkpoints: str,
-    delay: str = DELAY,
+def start_bar_table(
+    envelope: DataFrame, connection: Mapping[str, str], rejects: str, checkpoints: str, delay: str = DELAY
 ) -> StreamingQuery:
-    """Work off what the source holds now, by rounds that split hot symbols, then end.
+    """Append the bars of a message stream to the bar table, each bar's last copy.
 
-    Bound a round with the source's own limit, such as ``maxOffsetsPerTrigger``.
+    Bars that the table cannot hold go to files, with the reason.
     """
-    write = signal_rounds(state, delay, sink)
-    return (
-        sinks.each_batch(envelope, write, f"{checkpoints}/catch_up", "catch_up")
-        .trigger(availableNow=True).start()
-    )
-
-
-def start_bar_table(
-    envelope: DataFrame, connection: Mapping[str, str], checkpoints: str
-) -> StreamingQuery:
-    """Append the valid bars of a message stream to the bar table."""
     bars, _ = bars_of_messages(envelope)
-    write = sinks.jdbc_writer(connection, BAR_TABLE, sinks.BAR_KEY)
+    write = sinks.split_writer(
+        quality.with_stock_reason, quality.stock_data_rows,
+        sinks.jdbc_writer(connection, BAR_TABLE, sinks.BAR_KEY), rejects)
     return sinks.each_batch(
-        quality.stock_data_rows(bars), write, f"{checkpoints}/{BAR_TABLE}", BAR_TABLE
+        settled(bars, delay), write, f"{checkpoints}/{BAR_TABLE}", BAR_TABLE
     ).start()
 
 
-def main(checkpoints: str) -> None:
-    """Watch the topic named by the environment until the job is stopped."""
-    spark = use_rocksdb(pin_utc(SparkSession.builder.appName("barflow").getOrCreate()))
+def main(folder: str) -> None:
+    """Watch and store the signals of the topic named by the environment until the job is stopped.
+
+    Bars, signals, rejects and checkpoints lie below ``folder``, which all executors share.
+    """
+    spark = (
+        SparkSession.builder.appName("barflow").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB).getOrCreate()
+    )
     try:
         envelope = read_topic(
             spark, TopicSettings.from_env(), maxOffsetsPerTrigger=str(ROUND_MESSAGES)
         )
-        start_monitor(envelope, checkpoints).awaitTermination()
+        start_reject_files(envelope, f"{folder}/rejects", f"{folder}/checkpoints")
+        start_signals(
+            envelope, f"{folder}/bars", [monitor_writer(), sinks.signal_store_writer(f"{folder}/signals")],
+            f"{folder}/checkpoints", every=sinks.CONSOLE_EVERY,
+        )
+        spark.streams.awaitAnyTermination()
     finally:
         spark.stop()
 

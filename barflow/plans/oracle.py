@@ -13,6 +13,12 @@ bars AS (
          CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS volume
   FROM events GROUP BY 1, 2)"""
 
+DIRTY_DAY = USER_DAY.replace("bars AS", "clean AS", 1) + """,
+bars AS (
+  SELECT CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 7 = 0 THEN 'USER-NUMBER-' || substr(symbol, 2)
+              ELSE symbol END AS symbol, "timestamp", open, high, low, close,
+         CASE WHEN day("timestamp") % 5 <> 0 THEN volume END AS volume FROM clean)"""
+
 _TIES = "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity"
 SUPPLIER_WEEK = f"""
 bars AS (
@@ -110,7 +116,7 @@ def _decided_by(rule: str) -> str:
 _EVENT_BARS = """
 event_bars AS (
   SELECT 'U' || user_id AS symbol, ts AS "timestamp", value AS open, value AS high, value AS low,
-         value AS close, CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume, event_type
+         value AS close, CAST(json_extract_string(props, '$.k') AS BIGINT) AS volume, event_type, event_id
   FROM events)"""
 
 _SIGNAL_REASON = "CASE " + " ".join(
@@ -147,16 +153,24 @@ def oracle_sql() -> dict[str, str]:
         "parse_messages": f"""WITH {_EVENT_BARS}
             SELECT {bars}, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS fetch_time,
                    "timestamp" AS kafka_timestamp FROM event_bars""",
-        "bar_rejects": f"""WITH {_EVENT_BARS}
+        "bar_rejects": f"""WITH {_EVENT_BARS}, bodies AS (
+            SELECT *, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS sent,
+              '"open":' || value || ',"high":' || value || ',"low":' || value || ',"close":' || value AS prices
+            FROM event_bars JOIN (SELECT event_id, value FROM events) USING (event_id)),
+            sent AS (SELECT *, '{{' || CASE WHEN event_type = 'signup' THEN '' ELSE '"symbol":"' || symbol || '",' END
+              || '"timestamp":"' || CASE WHEN event_type = 'view' THEN 'not a time' ELSE sent END || '",' || prices
+              || CASE WHEN event_type <> 'click' THEN ',"volume":' || volume ELSE '' END || '}}' AS whole FROM bodies)
             SELECT "timestamp" AS kafka_timestamp,
                    CASE WHEN event_type NOT IN ('error', 'signup') THEN symbol END AS symbol,
                    CASE WHEN event_type <> 'error' THEN close END AS close,
+                   CASE event_type WHEN 'error' THEN left(whole, 20) ELSE whole END AS body,
                    CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'no symbol'
-                        WHEN 'view' THEN 'no timestamp' ELSE 'no volume' END AS reject_reason
-            FROM event_bars WHERE event_type IN ('error', 'signup', 'view', 'click')""",
+                        ELSE 'no timestamp' END AS reject_reason
+            FROM sent WHERE event_type IN ('error', 'signup', 'view')""",
         "bars_accepted": f"""WITH {_EVENT_BARS}
-            SELECT {bars} FROM event_bars
-            WHERE event_type NOT IN ('error', 'signup', 'view', 'click')""",
+            SELECT symbol, "timestamp", open, high, low, close,
+                   CASE WHEN event_type <> 'click' THEN volume END AS volume FROM event_bars
+            WHERE event_type NOT IN ('error', 'signup', 'view')""",
         "prev_bar": _weekly(
             f"SELECT {at}, prev_close, prev_high, prev_low, prev_volume FROM enriched", ENRICH
         ),
@@ -236,16 +250,17 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT {monitor} FROM risked WHERE "timestamp" >= '
             '(SELECT max("timestamp") FROM risked) - INTERVAL 90 DAY', ENRICH, RULES,
         ),
-        "stream_bars_user_day": _daily(
-            f'SELECT {bars} FROM bars WHERE "timestamp" + INTERVAL 1 DAY <= '
-            "(SELECT max(ts) FROM events) - INTERVAL 3 DAY"
-        ),
-        "stream_signal_monitor": _daily(
-            f'SELECT {monitor} FROM risked WHERE "timestamp" <= '
-            '(SELECT max("timestamp") FROM bars) - INTERVAL 3 DAY', ENRICH, RULES,
-        ),
-        "stream_enriched_rounds": _weekly(
-            f'SELECT {enriched} FROM enriched WHERE "timestamp" <= '
-            '(SELECT max("timestamp") FROM bars) - INTERVAL 3 DAY', ENRICH,
+        "stream_bars_user_day": _daily(f"SELECT {bars} FROM bars"),
+        "stream_signal_monitor": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
+        "stream_enriched_rounds": _weekly(f"SELECT {enriched} FROM enriched", ENRICH),
+        "bars_coerced": _weekly(f"SELECT {bars} FROM bars"),
+        "last_copies_of_ties": _daily(
+            'SELECT symbol, "timestamp", open, high, low, close + 1 AS close, volume FROM bars'
         ),
+        "signal_monitor_dirty_messages": _query(
+            DIRTY_DAY, [ENRICH, RULES], f"SELECT {monitor} FROM risked"),
+        "stock_data_rejects": _query(DIRTY_DAY, [], f"""SELECT {at}, CASE
+            WHEN length(symbol) > 10 THEN 'symbol too long' WHEN volume IS NULL THEN 'no volume'
+            ELSE 'no fetch time' END AS reject_reason FROM bars
+            WHERE length(symbol) > 10 OR volume IS NULL OR length(symbol) % 3 = 0"""),
     }

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import sinks
@@ -14,20 +13,22 @@ from barflow.operators import enrich as en
 from barflow.operators import quality
 from barflow.operators import signals as sg
 from barflow.plans.flow import (
-    bars_of_messages, signals_of_bars, signals_of_message_stream, signals_of_messages,
-    signals_of_trades,
+    bars_of_messages, signal_stream, signals_of_bars, signals_of_messages, signals_of_trades,
 )
-from barflow.schema import BAR, BAR_COLUMNS, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
-from barflow.session import pin_utc, use_rocksdb, work_dir
+from barflow.schema import BAR_COLUMNS, ENVELOPE, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
+from barflow.session import utc_session, work_dir
 from barflow.sources import bars as bs
 from barflow.sources import messages, tables
-from barflow.streaming.rounds import history_rounds
-from barflow.streaming.run import drain
+from barflow.streaming.history import history_rounds, settled
+from barflow.streaming.run import drain_to_end, run_once
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Event-time delay of the streaming queries: bars newer than this stay open at the end.
+# Event-time delay of the streaming queries, and the time of the record that closes their input.
 STREAM_DELAY = "3 days"
+FAR = "2200-01-01"
+# Days of weekly signals are stored by the quarter.
+PERIOD = "quarter"
 # Chunk of the split-series query: short enough for several chunks per weekly series.
 WEEKLY_CHUNK = "400 days"
 
@@ -38,13 +39,13 @@ ENRICHED = [*BAR_COLUMNS, *HISTORY_COLUMNS.names, *SHAPE, *CHANGE, *FLAGS]
 
 
 def user_day_bars(spark: SparkSession, folder: str) -> DataFrame:
-    trades = tables.event_trades(pin_utc(spark), folder)
+    trades = tables.event_trades(spark, folder)
     return bs.build_bars(trades, "day", bs.time_then_id("ts", "event_id"))
 
 
 def supplier_week_bars(spark: SparkSession, folder: str) -> DataFrame:
-    trades = tables.lineitem_trades(pin_utc(spark), folder)
-    return bs.build_bars(trades, "week", F.struct("ts", *tables.SUPPLIER_TIES))
+    trades = tables.lineitem_trades(spark, folder)
+    return bs.build_bars(trades, "week", tables.supplier_order("week"))
 
 
 def enriched_calendar_bars(bars: DataFrame) -> DataFrame:
@@ -94,10 +95,14 @@ def _enriched_range(lookback: str | None) -> Query:
     """Two years of enriched weekly bars, with the history from before."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        bars = supplier_week_bars(spark, folder)
+        trades = tables.lineitem_trades(spark, folder)
         start, end = (F.lit(day).cast("timestamp") for day in ("1996-01-01", "1998-01-01"))
+
+        def bars_between(first: Column | None, last: Column) -> DataFrame:
+            return bs.build_bars_between(trades, "week", tables.supplier_order("week"), first, last)
+
         return en.enrich_range(
-            bars, start, end, chunk=bs.chunk_of("week"), lookback=lookback
+            bars_between, start, end, chunk=bs.chunk_of("week"), lookback=lookback
         ).select(*ENRICHED)
 
     return run
@@ -105,7 +110,7 @@ def _enriched_range(lookback: str | None) -> Query:
 
 def _event_messages(spark: SparkSession, folder: str) -> DataFrame:
     """One message per event, sent at the event's time; the bar is the single price."""
-    events = tables.event_trades(pin_utc(spark), folder)
+    events = tables.event_trades(spark, folder)
     price = F.col("price")
     one_price = events.select(
         "symbol", F.col("ts").alias("timestamp"), price.alias("open"), price.alias("high"),
@@ -125,7 +130,7 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def signal_monitor(spark: SparkSession, folder: str) -> DataFrame:
-    trades = tables.event_trades(pin_utc(spark), folder)
+    trades = tables.event_trades(spark, folder)
     return sg.monitor(signals_of_trades(trades, "day", bs.time_then_id("ts", "event_id")))
 
 
@@ -137,7 +142,7 @@ def signal_monitor_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Event messages where the event type decides what is wrong with the body."""
-    events = tables.load(pin_utc(spark), folder, "events")
+    events = tables.load(spark, folder, "events")
     kind, sent = F.col("event_type"), F.col("ts").cast("timestamp")
     quantity = F.get_json_object("props", "$.k").try_cast("bigint")
     body = F.to_json(F.struct(
@@ -154,9 +159,51 @@ def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dirty_day_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars of which some have no volume and some a symbol too long for the tables."""
+    bars = user_day_bars(spark, folder)
+    user = F.substring("symbol", 2, 20).cast("bigint")
+    return bars.select(
+        F.when(user % 7 == 0, F.concat(F.lit("USER-NUMBER-"), user)).otherwise(F.col("symbol")).alias("symbol"),
+        "timestamp", *PRICES, F.when(F.dayofmonth("timestamp") % 5 != 0, F.col("volume")).alias("volume"),
+    )
+
+
+def signal_monitor_dirty_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Signals of messages that the tables could not hold: the analysis takes every bar."""
+    sent = messages.encode(dirty_day_bars(spark, folder), F.col("timestamp"))
+    return sg.monitor(signals_of_messages(sent, bs.chunk_of("day")))
+
+
+def last_copies_of_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """Bars sent twice with other values at the same broker time: the later offset counts."""
+    bars = user_day_bars(spark, folder)
+    sent = [
+        messages.encode(some, F.col("timestamp"), sent_at=F.lit("2024-06-01").cast("timestamp"))
+        .withColumns({"partition": F.lit(1), "offset": F.lit(offset).cast("bigint")})
+        for offset, some in (
+            (20, bars.withColumn("close", F.col("close") + 1)), (10, bars),
+            (15, bars.withColumn("volume", F.lit(None).cast("bigint"))),
+        )
+    ]
+    everything = sent[0].unionByName(sent[1]).unionByName(sent[2])
+    accepted, _ = bars_of_messages(everything)
+    return messages.last_copies(accepted).select(*BAR_COLUMNS)
+
+
+def bars_coerced(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly bars that arrive as text, the volume with a fraction of zero."""
+    bars = supplier_week_bars(spark, folder)
+    as_text = {c: F.col(c).cast("string") for c in PRICES}
+    raw = bars.withColumns({**as_text, "volume": F.concat(F.col("volume").cast("string"), F.lit(".0"))})
+    return bs.coerce_bars(raw)
+
+
 def bar_rejects(spark: SparkSession, folder: str) -> DataFrame:
     _, rejected = bars_of_messages(damaged_messages(spark, folder))
-    return rejected.select("kafka_timestamp", "symbol", "close", quality.REASON)
+    return rejected.select(
+        "kafka_timestamp", "symbol", "close", F.col("message_value").cast("string").alias("body"),
+        quality.REASON)
 
 
 def bars_accepted(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,6 +211,18 @@ def bars_accepted(spark: SparkSession, folder: str) -> DataFrame:
     return accepted.select(*BAR_COLUMNS)
 
 
+def _checked_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Dirty daily bars, every third symbol's without a fetch time, checked for the bar table."""
+    bars = dirty_day_bars(spark, folder)
+    fetched = F.when(F.length("symbol") % 3 != 0, F.col("timestamp"))
+    accepted, _ = bars_of_messages(messages.encode(bars, fetched))
+    return quality.with_stock_reason(messages.last_copies(accepted))
+
+
+def stock_data_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rejects(_checked_bars(spark, folder)).select("symbol", "timestamp", quality.REASON)
+
+
 def _checked_signals(spark: SparkSession, folder: str) -> DataFrame:
     return quality.with_signal_reason(calendar_signals(user_day_bars(spark, folder)))
 
@@ -181,22 +240,16 @@ def signal_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def stock_data_rows(spark: SparkSession, folder: str) -> DataFrame:
     bars = supplier_week_bars(spark, folder)
-    sent = messages.encode(bars, F.col("timestamp"))
-    accepted, _ = bars_of_messages(sent)
-    return quality.stock_data_rows(accepted).drop("processing_time")
-
-
-_stored: dict[tuple[str, str], str] = {}
+    accepted, _ = bars_of_messages(messages.encode(bars, F.col("timestamp")))
+    checked = quality.with_stock_reason(messages.last_copies(accepted))
+    return quality.stock_data_rows(quality.valid(checked)).drop("processing_time")
 
 
 def stored_signals(spark: SparkSession, folder: str) -> str:
-    """Folder with the weekly signals, written once per application."""
-    owner = (spark.sparkContext.applicationId, folder)
-    if owner not in _stored:
-        path = work_dir(spark, "signals")
-        sinks.write_signals(calendar_signals(supplier_week_bars(spark, folder)), path)
-        _stored[owner] = path
-    return _stored[owner]
+    """Folder with the weekly signals, written anew."""
+    path = work_dir(spark, "signals")
+    sinks.write_signals(calendar_signals(supplier_week_bars(spark, folder)), path, period=PERIOD)
+    return path
 
 
 def signals_by_type(spark: SparkSession, folder: str) -> DataFrame:
@@ -208,63 +261,78 @@ def signals_symbol_range(spark: SparkSession, folder: str) -> DataFrame:
     """One year of signals of the symbols on the watch list."""
     path = stored_signals(spark, folder)
     start, end = (F.lit(day).cast("timestamp") for day in ("1997-01-01", "1998-01-01"))
-    year = sinks.read_signals(spark, path, start=start, end=end)
+    year = sinks.read_signals(spark, path, start=start, end=end, period=PERIOD)
     return bs.select_symbols(year, _suppliers(spark, folder)).select(*MONITOR_COLUMNS)
 
 
 def signals_since(spark: SparkSession, folder: str) -> DataFrame:
     """Signals of the last 90 days on record."""
     stored = sinks.read_signals(spark, stored_signals(spark, folder))
-    newest = stored.agg(F.max("timestamp")).first()[0]
-    if newest is None:
-        return stored.select(*MONITOR_COLUMNS)
-    return stored.filter(F.col("timestamp") >= F.lit(newest - timedelta(days=90))).select(
-        *MONITOR_COLUMNS
-    )
+    return sinks.signals_since(stored, 90, PERIOD).select(*MONITOR_COLUMNS)
+
+
+def _closing_message(spark: SparkSession) -> DataFrame:
+    """A bar far behind all others, which lets the watermark pass them and stays open itself."""
+    bar = spark.range(1).select(
+        F.lit("END").alias("symbol"), F.lit(FAR).cast("timestamp").alias("timestamp"),
+        *[F.lit(1.0).alias(c) for c in PRICES], F.lit(0).cast("bigint").alias("volume"))
+    return messages.encode(bar, F.col("timestamp"), sent_at=F.col("timestamp"))
 
 
 def stream_bars_user_day(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily bars built on a stream of events; days not yet passed by the watermark stay open."""
-    trades = tables.as_event_trades(tables.load_stream(pin_utc(spark), folder, "events"))
-    bars = bs.build_bars_stream(
-        trades, "1 day", bs.time_then_id("ts", "event_id"), STREAM_DELAY
-    )
-    return drain(bars, work_dir(spark, "stream-bars"))
+    """Daily bars built on a stream of events."""
+    base = work_dir(spark, "stream-bars")
+    events = tables.load(spark, folder, "events")
+    far = spark.createDataFrame([{}], events.schema).withColumn("ts", F.lit(FAR).cast(events.schema["ts"].dataType))
+    far.filter("false").write.parquet(f"{base}/closing")
+
+    def bars() -> DataFrame:
+        closing = spark.readStream.schema(events.schema).parquet(f"{base}/closing")
+        trades = tables.as_event_trades(tables.load_stream(spark, folder, "events").unionByName(closing))
+        return bs.build_bars_stream(trades, "1 day", bs.time_then_id("ts", "event_id"), STREAM_DELAY)
+
+    return drain_to_end(bars, lambda: far.write.mode("append").parquet(f"{base}/closing"), f"{base}/out")
+
+
+def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(ENVELOPE).parquet(folder)
 
 
 def stream_signal_monitor(spark: SparkSession, folder: str) -> DataFrame:
-    """The live form of ``signal_monitor``: messages through parsing, state, rules and risk."""
-    path = work_dir(use_rocksdb(spark), "messages")
-    bars = user_day_bars(spark, folder)
-    sent = messages.encode(bars, F.col("timestamp"))
-    sent.write.parquet(path)
-    envelope = spark.readStream.schema(sent.schema).parquet(path)
-    signals = sg.monitor(signals_of_message_stream(envelope, STREAM_DELAY))
-    return drain(signals, work_dir(spark, "stream-signals"))
+    """The live form of ``signal_monitor``: messages through parsing, rounds, rules and risk."""
+    base = work_dir(spark, "stream-signals")
+    sent = messages.encode(user_day_bars(spark, folder), F.col("timestamp"))
+    for part in (sent, _closing_message(spark)):
+        part.write.mode("append").parquet(f"{base}/messages")
+        run_once(signal_stream(
+            _message_stream(spark, f"{base}/messages"), f"{base}/bars", STREAM_DELAY,
+            [sinks.batch_folder_writer(f"{base}/signals")], f"{base}/checkpoint", "stream_signals",
+            sinks.DATABASE_EVERY, chunk=bs.chunk_of("day"),
+        ))
+    return sg.monitor(spark.read.parquet(f"{base}/signals"))
 
 
 def stream_enriched_rounds(spark: SparkSession, folder: str) -> DataFrame:
-    """Weekly bars that arrive in three parts, each enriched by a round of the batch operator.
+    """Weekly bars whose messages arrive in three parts, each enriched by rounds of the batch operator.
 
     The query is started anew for each part and resumes from its checkpoint.
     """
-    base = work_dir(pin_utc(spark), "rounds")
-    table, arrivals = f"{base}/bars", f"{base}/arrivals"
-    supplier_week_bars(spark, folder).write.parquet(table)
+    base = work_dir(spark, "rounds")
+    supplier_week_bars(spark, folder).write.parquet(f"{base}/table")
     run = history_rounds(
-        f"{base}/state", STREAM_DELAY, sinks.batch_folder_writer(f"{base}/rows"),
-        chunk=WEEKLY_CHUNK,
-    )
-    year = F.year("timestamp")
-    for part in (year < 1997, (year >= 1997) & (year < 1999), year >= 1999):
-        spark.read.parquet(table).filter(part).write.mode("append").parquet(arrivals)
-        bars = spark.readStream.schema(BAR).parquet(arrivals)
-        query = sinks.each_batch(bars, run, f"{base}/checkpoint", "enriched_rounds")
-        query.trigger(availableNow=True).start().awaitTermination()
+        f"{base}/bars", [sinks.batch_folder_writer(f"{base}/rows")], chunk=WEEKLY_CHUNK, lookback="200 days")
+    bars, year = spark.read.parquet(f"{base}/table"), F.year("timestamp")
+    parts = [messages.encode(bars.filter(part), F.col("timestamp"))
+             for part in (year < 1997, (year >= 1997) & (year < 1999), year >= 1999)]
+    for part in (*parts, _closing_message(spark)):
+        part.write.mode("append").parquet(f"{base}/messages")
+        arrived, _ = bars_of_messages(_message_stream(spark, f"{base}/messages"))
+        run_once(sinks.each_batch(
+            settled(arrived, STREAM_DELAY), run, f"{base}/checkpoint", "enriched_rounds"))
     return spark.read.parquet(f"{base}/rows").select(*ENRICHED)
 
 
-def queries() -> dict[str, Query]:
+def _named() -> dict[str, Query]:
     return {
         "bars_user_day": user_day_bars,
         "bars_supplier_week": supplier_week_bars,
@@ -274,6 +342,8 @@ def queries() -> dict[str, Query]:
         "parse_messages": parse_messages,
         "bar_rejects": bar_rejects,
         "bars_accepted": bars_accepted,
+        "bars_coerced": bars_coerced,
+        "last_copies_of_ties": last_copies_of_ties,
         "prev_bar": _weekly(
             en.add_history, "symbol", "timestamp",
             "prev_close", "prev_high", "prev_low", "prev_volume",
@@ -316,12 +386,14 @@ def queries() -> dict[str, Query]:
         "signal_monitor": signal_monitor,
         "signal_monitor_week": _weekly(calendar_signals, *MONITOR_COLUMNS),
         "signal_monitor_messages": signal_monitor_messages,
+        "signal_monitor_dirty_messages": signal_monitor_dirty_messages,
         "signal_monitor_chunked": _weekly(
             lambda bars: signals_of_bars(bars, chunk=WEEKLY_CHUNK), *MONITOR_COLUMNS
         ),
         "trading_signals_rows": trading_signals_rows,
         "signal_rejects": signal_rejects,
         "stock_data_rows": stock_data_rows,
+        "stock_data_rejects": stock_data_rejects,
         "signals_by_type": signals_by_type,
         "signals_symbol_range": signals_symbol_range,
         "signals_since": signals_since,
@@ -329,3 +401,11 @@ def queries() -> dict[str, Query]:
         "stream_signal_monitor": stream_signal_monitor,
         "stream_enriched_rounds": stream_enriched_rounds,
     }
+
+
+def queries() -> dict[str, Query]:
+    """Every query reads naive event times as UTC, in a session of its own if need be."""
+    def in_utc(query: Query) -> Query:
+        return lambda spark, folder: query(utc_session(spark), folder)
+
+    return {name: in_utc(query) for name, query in _named().items()}

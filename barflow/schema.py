@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
-# JSON body of a bar message. Every field may be absent; times travel as ISO-8601 text.
+# Fixed value: JSON body of a bar message. Every field may be absent; times travel as ISO-8601 text.
 MESSAGE_BODY = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("timestamp", T.StringType()),
@@ -18,13 +18,19 @@ MESSAGE_BODY = T.StructType([
     T.StructField("fetch_time", T.StringType()),
 ])
 
-# Topic envelope: the columns of it that the engine reads.
+# Topic envelope: the columns of it that the engine reads. Partition and offset tell which of two
+# copies was sent last; an envelope that never was in a topic may lack them.
 ENVELOPE = T.StructType([
     T.StructField("key", T.BinaryType()),
     T.StructField("value", T.BinaryType()),
     T.StructField("timestamp", T.TimestampType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
 ])
 
+# The message itself, as it stays with a parsed row until the row has found its place.
+MESSAGE_COLUMNS = ["message_key", "message_value", "message_partition", "message_offset"]
+
 PRICES = ["open", "high", "low", "close"]
 BAR_COLUMNS = ["symbol", "timestamp", *PRICES, "volume"]
 

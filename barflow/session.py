@@ -29,16 +29,23 @@ def local_session(
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Naive event times are read as UTC wherever the job runs."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+# Names of the zone in which naive event times are read.
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "UCT", "Zulu", "Z", "+00:00"}
 
 
-def use_rocksdb(spark: SparkSession) -> SparkSession:
-    """Keyed state with timers needs the RocksDB state store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return spark
+def utc_session(spark: SparkSession) -> SparkSession:
+    """A session in which naive event times are read as UTC; the caller's is left as it is.
+
+    It is the caller's own where that reads them so already, else a new one with the same settings.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+        return spark
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    child.conf.set("spark.sql.session.timeZone", "UTC")
+    return child
 
 
 @cache

@@ -23,6 +23,28 @@ def time_then_id(time: str, record_id: str) -> Column:
     return (micros * F.expr(ID_RANGE) + F.col(record_id).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+def packed(parts: Sequence[tuple[Column, int]]) -> Column:
+    """Whole numbers of at most so many digits each, as one number of the same order.
+
+    38 digits in all. A part that is NULL, negative (but the first) or has more digits raises an
+    error; it never runs into its neighbours.
+    """
+    if sum(digits for _, digits in parts) > 38:
+        raise ValueError("a packed number has 38 digits")
+    number, left, fits = F.lit(0).cast("decimal(38,0)"), sum(digits for _, digits in parts), F.lit(True)
+    for i, (part, digits) in enumerate(parts):
+        left -= digits
+        value = part.cast("decimal(20,0)")
+        fits &= F.coalesce(
+            (F.abs(value) if i == 0 else value) < F.expr(f"CAST('1{'0' * digits}' AS DECIMAL(38,0))"), F.lit(False))
+        if i:
+            fits &= value >= 0
+        number = (number + (value * F.expr(f"CAST('1{'0' * left}' AS DECIMAL({left + 1},0))")).cast("decimal(38,0)")
+                  ).cast("decimal(38,0)")
+    return F.when(fits, number).otherwise(
+        F.raise_error(F.lit("a number has more digits than its place in the order")).cast("decimal(38,0)"))
+
+
 def ohlcv(order: Column) -> list[Column]:
     """Bar aggregates over trades; ``order`` decides the first and the last trade."""
     price = F.col("price").cast("double")
@@ -45,6 +67,23 @@ def build_bars(trades: DataFrame, unit: str, order: Column) -> DataFrame:
     return trades.groupBy("symbol", bucket).agg(*ohlcv(order)).select(*BAR_COLUMNS)
 
 
+def build_bars_between(
+    trades: DataFrame, unit: str, order: Column, start: Column | None, end: Column
+) -> DataFrame:
+    """The bars with ``start <= timestamp < end``, from the trades of their buckets alone.
+
+    Both bounds are bounds on the trades' own time, so the scan can use them.
+    """
+    ts, length = F.col("ts"), F.expr(f"INTERVAL 1 {unit}")
+    first_left_out = F.date_trunc(unit, end)
+    after = F.when(first_left_out == end, end).otherwise(first_left_out + length)
+    within = trades.filter(ts < after)
+    if start is not None:
+        bucket = F.date_trunc(unit, start)
+        within = within.filter(ts >= F.when(bucket == start, start).otherwise(bucket + length))
+    return build_bars(within, unit, order)
+
+
 def build_bars_stream(
     trades: DataFrame, length: str, order: Column, delay: str, offset: str = "0 seconds"
 ) -> DataFrame:
@@ -84,10 +123,15 @@ def latest_bar_per_symbol(bars: DataFrame, tie_break: Sequence[str] = ()) -> Dat
 
 
 def coerce_bars(raw: DataFrame) -> DataFrame:
-    """Bars from loosely typed columns: prices to double, volume to whole number, else NULL."""
+    """Bars from loosely typed columns: prices to double, volume to whole number, else NULL.
+
+    A whole volume of 64 bits stays exact; a fraction is cut off.
+    """
+    whole = F.col("volume").try_cast("bigint")
+    cut_off = F.col("volume").try_cast("decimal(38,9)").try_cast("bigint")
     return raw.withColumns({
         **{c: F.col(c).try_cast("double") for c in BAR_COLUMNS[2:6]},
-        "volume": F.col("volume").try_cast("double").try_cast("bigint"),
+        "volume": F.coalesce(whole, cut_off),
     })
 
 

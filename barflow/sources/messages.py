@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.schema import BAR_COLUMNS, MESSAGE_BODY
+from barflow.schema import BAR_COLUMNS, ENVELOPE, MESSAGE_BODY, MESSAGE_COLUMNS
+from barflow.sources.bars import packed
 
 
 def iso(time: Column) -> Column:
@@ -33,7 +34,7 @@ def encode(
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """Flatten message bodies and read their times.
+    """Flatten message bodies and read their times; the message itself stays beside them.
 
     A body that is no JSON object, or a field of another type, gives NULL; so does unreadable
     time text, with ANSI mode on or off. ``operators.quality`` sorts such rows out.
@@ -42,12 +43,17 @@ def parse(messages: DataFrame) -> DataFrame:
     the JSON parser, where it would otherwise be pushed down with a copy of it per field.
     """
     body = F.from_json(F.col("value").cast("string"), MESSAGE_BODY)
+    message = [
+        (F.col(c) if c in messages.columns else F.lit(None)).cast(ENVELOPE[c].dataType).alias(name)
+        for c, name in zip(("key", "value", "partition", "offset"), MESSAGE_COLUMNS)
+    ]
     return (
-        messages.select(F.col("timestamp").alias("kafka_timestamp"), F.inline(F.array(body)))
+        messages.select(
+            F.col("timestamp").alias("kafka_timestamp"), *message, F.inline(F.array(body)))
         .select(
             "symbol", F.try_to_timestamp("timestamp").alias("timestamp"),
             *BAR_COLUMNS[2:], "fetch_time", "kafka_timestamp",
-            F.current_timestamp().alias("processing_time"),
+            F.current_timestamp().alias("processing_time"), *MESSAGE_COLUMNS,
         )
     )
 
@@ -56,14 +62,29 @@ def bars_of(parsed: DataFrame) -> DataFrame:
     return parsed.select(*BAR_COLUMNS)
 
 
+def sent_order() -> Column:
+    """Order of sending as one number: broker time, then partition and offset.
+
+    Messages without an offset are told apart by a hash of their body instead, so that the order
+    in which they are read never matters.
+    """
+    place = F.col("message_partition") * F.lit(10**15) + F.col("message_offset")
+    body = F.pmod(F.xxhash64("message_value"), F.lit(10**18))
+    return packed([
+        (F.coalesce(F.unix_micros("kafka_timestamp"), F.lit(0)), 17),
+        (F.when(F.col("message_offset").isNull(), body)
+         .when(F.col("message_offset") < 10**15, place), 18),
+    ])
+
+
 def last_copies(parsed: DataFrame) -> DataFrame:
     """One bar per symbol and time: of a bar that was sent repeatedly, the copy sent last.
 
-    Copies are combined before the exchange, so a bar with very many of them is no hot spot; all
+    The messages themselves are left behind. Copies are combined before the exchange, so a bar with very many of them is no hot spot; all
     buffers are of fixed width (``fetch_time`` becomes a timestamp for that). On a stream, set the
     watermark first; a bar then leaves once the watermark has passed it.
     """
-    sent = F.coalesce(F.unix_micros("kafka_timestamp"), F.lit(0))
+    sent = sent_order()
     values = [F.max_by(c, sent).alias(c) for c in BAR_COLUMNS[2:]]
     fetched = F.max_by(F.col("fetch_time").try_cast("timestamp"), sent).alias("fetch_time")
     times = [F.max(c).alias(c) for c in ("kafka_timestamp", "processing_time")]

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barflow.sources.bars import packed
+
 SUPPLIER_TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"]
 
 
+def supplier_order(unit: str) -> Column:
+    """The order of line items within a bucket, as one number: time, order, line and part.
+
+    Two digits of a hash of price and quantity tell copies of one line item apart.
+    """
+    ts = F.col("ts")
+    return packed([
+        (F.unix_micros(ts) - F.unix_micros(F.date_trunc(unit, ts)), 12), (F.col("l_orderkey"), 12),
+        (F.col("l_linenumber"), 1), (F.col("l_partkey"), 11),
+        (F.pmod(F.xxhash64("l_extendedprice", "l_quantity"), F.lit(100)), 2),
+    ])
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

@@ -47,7 +47,9 @@ class TopicSettings:
 def source_options(settings: TopicSettings, **extra: str) -> dict[str, str]:
     """Start at the newest messages and go on when old offsets are gone.
 
-    Add ``maxOffsetsPerTrigger`` to bound a micro-batch when a backlog is read.
+    Add ``maxOffsetsPerTrigger`` to bound a micro-batch when a backlog is read, and
+    ``startingOffsets="earliest"`` to work off what a topic already holds: a first run otherwise
+    begins with what is sent after it has started.
     """
     return {
         "kafka.bootstrap.servers": settings.servers,

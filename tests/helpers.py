@@ -1,6 +1,8 @@
 from datetime import datetime, timedelta
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from barflow.operators.enrich import enrich
 from barflow.schema import BAR
 
@@ -18,6 +20,12 @@ def bar_frame(spark, rows):
     return spark.createDataFrame(rows, BAR)
 
 
+def between(bars):
+    """``bars_between`` of a plain table of bars."""
+    ts = F.col("timestamp")
+    return lambda first, last: bars.filter(ts < last if first is None else (ts >= first) & (ts < last))
+
+
 def same_rows(left, right):
     columns = sorted(left.columns)
     assert columns == sorted(right.columns)

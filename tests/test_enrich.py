@@ -4,12 +4,13 @@ import random
 from datetime import timedelta
 
 import pytest
-from helpers import BASE, START, bar_frame, brute_force, random_bars, same_rows, series, whole
+from helpers import BASE, START, bar_frame, between, brute_force, random_bars, same_rows, series, whole
 from pyspark.sql import functions as F
 
 from barflow.operators.enrich import add_history, enrich, enrich_range
 from barflow.plans.queries import queries, user_day_bars
 from barflow.schema import HISTORY_COLUMNS
+from barflow.sources.bars import packed
 
 
 def plan(frame):
@@ -71,7 +72,7 @@ def test_range_equals_full_series(spark, rows, chunk, lookback):
     bars = bar_frame(spark, rows)
     start, end = (F.lit(START + timedelta(hours=h)) for h in (5, 30))
     ts = F.col("timestamp")
-    found = enrich_range(bars, start, end, chunk=chunk, lookback=lookback)
+    found = enrich_range(between(bars), start, end, chunk=chunk, lookback=lookback)
     same_rows(found, whole(bars).filter((ts >= start) & (ts < end)))
 
 
@@ -82,7 +83,7 @@ def test_older_bars_are_read_only_when_needed(spark, tmp_path):
     start, end = (F.lit(START + timedelta(minutes=m)) for m in (200, 300))
     scans = {}
     for lookback in ("10 minutes", "30 minutes"):
-        found = enrich_range(bars, start, end, chunk=None, lookback=lookback)
+        found = enrich_range(between(bars), start, end, chunk=None, lookback=lookback)
         assert len(found.collect()) == 200
         scans[lookback] = plan(found).split("Initial Plan")[0].count("FileScan")
     assert scans["30 minutes"] < scans["10 minutes"]
@@ -127,12 +128,35 @@ def test_range_bounds_reach_the_scan(spark, rows, tmp_path):
     bar_frame(spark, rows).write.parquet(str(tmp_path / "bars"))
     bars = spark.read.parquet(str(tmp_path / "bars"))
     start, end = (F.lit(START + timedelta(hours=h)) for h in (5, 30))
-    scans = [l for l in plan(enrich_range(bars, start, end)).splitlines() if "FileScan" in l]
+    scans = [l for l in plan(enrich_range(between(bars), start, end)).splitlines() if "FileScan" in l]
     pushed = [l.split("PushedFilters")[1] for l in scans]
     assert "LessThan(timestamp,2024-01-01 05:00:00.0)" in pushed[0]
     assert "GreaterThanOrEqual(timestamp,2024-01-01 05:00:00.0), LessThan(" in pushed[1]
 
 
+def test_weekly_bars_are_hashed(spark):
+    text = plan(queries()["bars_supplier_week"](spark, "/root/testdata/sf0.001"))
+    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name, scans", [("enriched_range", 2), ("enriched_range_lookback", 3)])
+def test_range_bounds_reach_the_raw_time(spark, name, scans):
+    text = plan(queries()[name](spark, "/root/testdata/sf0.001"))
+    found = [line for line in text.splitlines() if "FileScan" in line]
+    assert len(found) <= scans
+    assert all("LessThan(l_shipdate,199" in line for line in found)
+    assert any("GreaterThanOrEqual(l_shipdate,199" in line for line in found)
+
+
+def test_packed_numbers_never_wrap(spark):
+    rows = spark.createDataFrame([(5, 7), (5, 99), (-3, 0)], "a long, b long")
+    order = packed([(F.col("a"), 3), (F.col("b"), 2)])
+    assert [int(r[0]) for r in rows.select(order).collect()] == [507, 599, -300]
+    for bad in ((5, 100), (1000, 0), (5, -1), (None, 0)):
+        with pytest.raises(Exception, match="more digits"):
+            spark.createDataFrame([bad], "a long, b long").select(order).collect()
+
+
 def test_watch_list_is_applied_before_bars_are_built(spark):
     lines = plan(queries()["bars_symbol_subset"](spark, "/root/testdata/sf0.001")).splitlines()
     join = next(i for i, l in enumerate(lines) if "LeftSemi" in l)

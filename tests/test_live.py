@@ -8,121 +8,83 @@ from helpers import BASE, START, bar_frame, random_bars, same_rows, series
 from pyspark.sql import functions as F
 
 from barflow import sinks
+from barflow.operators import quality
 from barflow.operators.signals import monitor
 from barflow.plans import live
 from barflow.plans.flow import signals_of_bars
 from barflow.schema import ENVELOPE
-from barflow.session import use_rocksdb
 from barflow.sources import messages
 from barflow.sources.topic import TopicSettings
 
 
 @pytest.fixture(scope="module")
-def envelope(spark, tmp_path_factory):
-    use_rocksdb(spark)
-    folder = str(tmp_path_factory.mktemp("topic") / "in")
-    rows = random_bars(random.Random(4), ["A", "B"], 80) + series(
-        "Z", [BASE], start=START + timedelta(days=900))
-    sent = messages.encode(bar_frame(spark, rows))
-    sent.write.parquet(folder)
-    return spark.readStream.schema(sent.schema).parquet(folder)
+def rows():
+    return random_bars(random.Random(4), ["A", "B", "MUCH TOO LONG"], 90)
 
 
-def stop_after_first_round(query):
-    try:
-        while not query.recentProgress and query.isActive:
-            query.awaitTermination(1)
-    finally:
-        query.stop()
+@pytest.fixture(scope="module")
+def envelope(spark, rows, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("topic") / "in")
+    far = series("Z", [BASE], start=START + timedelta(days=900))
+    messages.encode(bar_frame(spark, rows + far)).coalesce(1).write.parquet(folder)
+    return spark.readStream.schema(ENVELOPE).parquet(folder)
 
 
-def test_monitor_runs(envelope, tmp_path):
-    query = live.start_monitor(envelope, str(tmp_path), "1000 days")
-    stop_after_first_round(query)
-    assert query.exception() is None
-    assert query.recentProgress[0].numInputRows == 161
+@pytest.fixture(scope="module")
+def signals(spark, rows):
+    return signals_of_bars(bar_frame(spark, rows), chunk=None)
 
 
-@pytest.mark.parametrize("start, table", [
-    (live.start_signal_table, "trading_signals"), (live.start_bar_table, "stock_data"),
-])
-def test_tables_get_their_rows(envelope, tmp_path, monkeypatch, start, table):
-    """The database writer is replaced: no database runs in the tests."""
+def test_one_job_feeds_every_target(spark, envelope, signals, tmp_path, capsys, monkeypatch):
+    """Console, files and the table; the database writer is replaced: no database runs in the tests."""
     seen = []
 
     def writer(connection, name, key):
-        assert (connection["url"], name) == ("jdbc:x", table)
-        return lambda batch, number: seen.append((batch.columns, batch.count(), key))
+        assert (connection["url"], name, key) == ("jdbc:x", "trading_signals", sinks.SIGNAL_KEY)
+        return lambda batch, number: seen.append(batch.toPandas())
 
     monkeypatch.setattr(live.sinks, "jdbc_writer", writer)
-    query = start(envelope, {"url": "jdbc:x"}, str(tmp_path))
-    stop_after_first_round(query)
-    assert query.exception() is None
-    columns, count, key = seen[0]
-    assert set(key) <= set(columns) and "close_price" in columns
-    if table == "stock_data":
-        assert 0 < count <= 161
-
-
-def test_signal_store(spark, tmp_path):
-    rows = random_bars(random.Random(8), ["A", "B", "C"], 90)
-    rows = [r for r in rows if r[6] is not None]
-    far = series("Z", [BASE], start=START + timedelta(days=900))
-    messages.encode(bar_frame(spark, rows + far)).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
-    query = live.start_signal_store(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "1 hour", "1 second")
+    targets = [
+        live.monitor_writer(5), sinks.signal_store_writer(str(tmp_path / "signals")),
+        live.signal_table_writer({"url": "jdbc:x"}, str(tmp_path / "rejects")),
+    ]
+    live.start_signals(
+        envelope, str(tmp_path / "bars"), targets, str(tmp_path / "cp"), "1 hour", "1 second", once=True
+    ).awaitTermination()
+    stored = sinks.read_signals(spark, str(tmp_path / "signals"))
+    same_rows(monitor(stored), monitor(signals))
+    rejected = spark.read.parquet(str(tmp_path / "rejects"))
+    assert len(seen[0]) + rejected.count() == signals.count()
+    reasons = {r[0] for r in rejected.select(quality.REASON).distinct().collect()}
+    assert "symbol too long" in reasons and "close_price" in seen[0].columns
+    assert f"Batch 1: {signals.count()} rows" in capsys.readouterr().out
+
+
+def test_bar_table_and_its_rejects(spark, envelope, rows, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(live.sinks, "jdbc_writer", lambda *a: lambda batch, number: seen.append(batch.toPandas()))
+    query = live.start_bar_table(envelope, {"url": "jdbc:x"}, str(tmp_path / "rejects"), str(tmp_path / "cp"), "1 hour")
     try:
         query.processAllAvailable()
     finally:
         query.stop()
-    expected = monitor(signals_of_bars(bar_frame(spark, rows), chunk=None))
-    stored = sinks.read_signals(spark, str(tmp_path / "out"), kind="BUY")
-    same_rows(monitor(stored), expected.filter("signal = 'BUY'"))
+    rejected = spark.read.parquet(str(tmp_path / "rejects"))
+    assert sum(map(len, seen)) + rejected.count() == len(rows)
+    assert {r[0] for r in rejected.select(quality.REASON).distinct().collect()} == {"symbol too long", "no volume"}
 
 
-def test_rejects_are_stored_by_reason(spark, tmp_path):
+def test_rejects_are_stored_by_reason_with_their_message(spark, tmp_path):
     good = messages.encode(bar_frame(spark, series("A", [BASE] * 3)))
     bad = good.withColumn("value", F.substring("value", 1, 5))
     good.unionByName(bad).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
-    stop_after_first_round(
-        live.start_reject_files(stream, str(tmp_path / "out"), str(tmp_path / "cp")))
-    stored = spark.read.parquet(str(tmp_path / "out"))
-    assert [r["reject_reason"] for r in stored.collect()] == ["malformed"] * 3
-
-
-def test_catch_up_with_copies_across_rounds(spark, tmp_path):
-    """Each part repeats the end of the one before; the copy sent last counts."""
-    rows = sorted(
-        (r for r in random_bars(random.Random(6), ["HOT"], 300) + random_bars(
-            random.Random(7), ["A", "B"], 40) if r[6] is not None), key=lambda r: r[1])
-    parts = [rows[:150], rows[150:260], rows[260:]]
-    done = START + timedelta(days=900)
-    for number, part in enumerate([*parts, series("Z", [BASE], start=done)]):
-        frame = bar_frame(spark, part)
-        if number and part:
-            before = bar_frame(spark, parts[number - 1][-5:])
-            draft = bar_frame(spark, part[:5]).withColumn("close", F.lit(1.0))
-            sent = [
-                messages.encode(frame, sent_at=F.lit(START + timedelta(days=number, hours=1))),
-                messages.encode(draft, sent_at=F.lit(START + timedelta(days=number))),
-                messages.encode(before, sent_at=F.lit(START + timedelta(days=number))),
-            ]
-        else:
-            sent = [messages.encode(frame, sent_at=F.lit(START))]
-        for some in sent:
-            some.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
-        live.start_catch_up(
-            stream, str(tmp_path / "state"), sinks.batch_folder_writer(str(tmp_path / "out")),
-            str(tmp_path), "1000 hours",
-        ).awaitTermination()
-    found = spark.read.parquet(str(tmp_path / "out"))
-    same_rows(
-        monitor(found).filter("symbol <> 'Z'"),
-        monitor(signals_of_bars(bar_frame(spark, rows), chunk=None)),
-    )
-    assert {"kafka_timestamp", "fetch_time", "signal_context"} <= set(found.columns)
+    query = live.start_reject_files(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    stored = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r["reject_reason"], bytes(r["message_value"])) for r in stored] == [("malformed", b'{"sym')] * 3
 
 
 def test_publisher_needs_the_connector(spark, envelope, tmp_path):

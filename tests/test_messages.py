@@ -26,7 +26,7 @@ def either_ansi(request, spark):
 
 
 def parsed(spark, *bodies):
-    rows = [(None, b if b is None else bytearray(b.encode()), SENT) for b in bodies]
+    rows = [(None, b if b is None else bytearray(b.encode()), SENT, 0, i) for i, b in enumerate(bodies)]
     return messages.parse(spark.createDataFrame(rows, ENVELOPE))
 
 
@@ -53,8 +53,10 @@ def test_bar_reasons(either_ansi):
     cases = [
         ((None,) * 7, "malformed"),
         ((None, t, 1.0, 1.0, 1.0, 1.0, 1), "no symbol"),
-        (("ABCDEFGHIJK", t, 1.0, 1.0, 1.0, 1.0, 1), "symbol too long"),
         (("A", None, 1.0, 1.0, 1.0, 1.0, 1), "no timestamp"),
+    ]
+    for_the_table = [
+        (("ABCDEFGHIJK", t, 1.0, 1.0, 1.0, 1.0, 1), "symbol too long"),
         (("A", t, 1.0, None, 1.0, 1.0, 1), "no price"),
         (("A", t, 1.0, 1.0, nan, 1.0, 1), "no price"),
         (("A", t, 1.0, 1.0, 1.0, big, 1), "price out of range"),
@@ -62,10 +64,29 @@ def test_bar_reasons(either_ansi):
         (("A", t, 1.0, 1.0, 1.0, 1.0, None), "no volume"),
         (("ABCDEFGHIJ", t, 1.0, 1.0, 1.0, 99999999.99, 1), None),
     ]
-    checked = quality.with_bar_reason(bar_frame(either_ansi, [c for c, _ in cases]))
-    assert [r[quality.REASON] for r in checked.collect()] == [reason for _, reason in cases]
-    assert quality.valid(checked).count() == 1
-    assert quality.rejects(checked).count() == len(cases) - 1
+    rows = [c for c, _ in cases + for_the_table]
+    checked = quality.with_bar_reason(bar_frame(either_ansi, rows))
+    assert [r[quality.REASON] for r in checked.collect()] == [r for _, r in cases] + [None] * len(for_the_table)
+    assert quality.valid(checked).count() + quality.rejects(checked).count() == len(rows)
+    bars = quality.valid(checked).withColumn("fetch_time", F.lit("2024-01-02T03:04:05"))
+    checked = quality.with_stock_reason(bars)
+    assert [r[quality.REASON] for r in checked.collect()] == [r for _, r in for_the_table]
+    for time in ("never", None):
+        late = quality.with_stock_reason(bars.filter("symbol = 'ABCDEFGHIJ'").withColumn("fetch_time", F.lit(time)))
+        assert late.first()[quality.REASON] == "no fetch time"
+
+
+def test_rejects_keep_their_message(spark):
+    (row,) = quality.rejects(quality.with_bar_reason(parsed(spark, "{bad payload 42"))).collect()
+    assert bytes(row["message_value"]) == b"{bad payload 42"
+
+
+def test_signal_reason_lets_filters_through(spark, tmp_path):
+    bar_frame(spark, series("A", [BASE] * 3)).write.parquet(str(tmp_path / "bars"))
+    bars = spark.read.parquet(str(tmp_path / "bars"))
+    checked = quality.with_signal_reason(signals_with_risk(enrich(bars, chunk=None)))
+    text = checked.filter("symbol = 'A'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(symbol,A)" in text
 
 
 @pytest.mark.parametrize("limit, kind", [
@@ -107,6 +128,20 @@ def test_last_copy_counts(spark):
     assert [tuple(r[c] for c in BAR_COLUMNS[2:]) for r in rows] == [(1.0, 2.0, 0.5, None, 7), BASE, BASE]
 
 
+def test_copies_of_one_instant_are_told_apart(spark):
+    """By offset; without one by what they say. The order of reading plays no part."""
+    sent = [messages.encode(bar_frame(spark, series("A", [(1.0, 2.0, 0.5, close, 7)])), F.lit(SENT), F.lit(SENT))
+            for close in (10.0, 11.5, 12.0)]
+    numbered = [s.withColumns({"partition": F.lit(3), "offset": F.lit(o).cast("bigint")})
+                for s, o in zip(sent, (5, 9, 7))]
+    for frames, expected in ((numbered, 11.5), (sent, None)):
+        found = {
+            messages.last_copies(messages.parse(a.unionByName(b).unionByName(c))).first()["close"]
+            for a, b, c in (frames, frames[::-1])
+        }
+        assert len(found) == 1 and expected in (None, *found)
+
+
 def test_topic_options():
     settings = TopicSettings.from_env({"KAFKA_TOPIC": "t", "STOCK_SYMBOLS": "A, B,"})
     assert (settings.servers, settings.topic, settings.symbols) == ("localhost:9092", "t", ["A", "B"])
@@ -142,10 +177,11 @@ def test_latest_bar_keeps_missing_values_of_the_newest_row(spark):
 
 def test_coercion(either_ansi):
     raw = either_ansi.createDataFrame(
-        [("A", SENT, "1.5", "x", "2", None, "7.9")],
+        [("A", SENT, "1.5", "x", "2", None, "7.9"), ("A", SENT, "1", "1", "1", "1", "9007199254740993")],
         "symbol string, timestamp timestamp, open string, high string, low string, close string, volume string",
     )
-    row = bs.coerce_bars(raw).first()
+    row, large = bs.coerce_bars(raw).collect()
+    assert large["volume"] == 9007199254740993
     assert [row[c] for c in BAR_COLUMNS[2:]] == [1.5, None, 2.0, None, 7]
 
 

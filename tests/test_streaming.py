@@ -1,36 +1,24 @@
 """Streams against the batch result, whatever the order of arrival and across restarts."""
 
-import os
 import random
-import subprocess
-import sys
 from datetime import timedelta
 
 import pytest
 from helpers import BASE, START, bar_frame, random_bars, same_rows, series, whole
-from pyspark import cloudpickle
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barflow import sinks
 from barflow.operators.signals import monitor
-from barflow.plans.flow import bars_of_messages, signals_of_bars, signals_of_message_stream
-from barflow.schema import BAR, ENVELOPE
-from barflow.session import use_rocksdb
+from barflow.plans.flow import bars_of_messages, signal_stream, signals_of_bars
+from barflow.schema import BAR_COLUMNS, ENVELOPE
 from barflow.sources import bars as bs
 from barflow.sources import messages
-from barflow.streaming import enrich as st
-from barflow.streaming.rounds import Rounds, history_rounds
-from barflow.streaming.run import drain
+from barflow.streaming.history import ROUND, history_rounds, late_bars, settled
+from barflow.streaming.run import drain_to_end, run_once
 
 FAR = START + timedelta(days=3000)
 
 
-@pytest.fixture(scope="module", autouse=True)
-def rocksdb(spark):
-    use_rocksdb(spark)
-
-
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(5)
@@ -42,130 +30,128 @@ def sentinel():
     return series("Z", [BASE], start=FAR)
 
 
-def put(spark, rows, folder):
-    bar_frame(spark, rows).coalesce(1).write.mode("append").parquet(str(folder))
+def send(spark, rows, folder, sent_at=None):
+    sent = messages.encode(bar_frame(spark, rows), F.col("timestamp"), F.lit(sent_at) if sent_at else F.col("timestamp"))
+    sent.coalesce(1).write.mode("append").parquet(str(folder))
+
+
+def envelope(spark, folder, files=1):
+    return spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", files).parquet(str(folder))
+
 
+def go_on(spark, path, delay, chunk="30 minutes", lookback=None, files=1):
+    """Work off what has arrived in ``path/in``; the enriched bars so far."""
+    bars, _ = bars_of_messages(envelope(spark, path / "in", files))
+    run = history_rounds(str(path / "bars"), [sinks.batch_folder_writer(str(path / "out"))], chunk, lookback)
+    run_once(sinks.each_batch(settled(bars, delay), run, str(path / "cp"), "rounds"))
+    return spark.read.parquet(str(path / "out"))
 
-def bar_stream(spark, folder, files=1):
-    return spark.readStream.schema(BAR).option("maxFilesPerTrigger", files).parquet(str(folder))
 
+def enriched(frame):
+    return whole(frame).drop("fetch_time")
 
-def settled(frame):
-    return frame.filter(F.col("symbol") != "Z")
+
+def plain(found):
+    return found.filter("symbol <> 'Z'").drop("batch_id", "fetch_time", "kafka_timestamp", "processing_time")
 
 
 def test_any_arrival_order_gives_the_batch_result(spark, rows, tmp_path):
     shuffled = random.Random(1).sample(rows, len(rows))
-    parts = [shuffled[i::4] for i in range(4)]
-    for part in parts:
-        put(spark, part, tmp_path / "in")
-    put(spark, sentinel(), tmp_path / "in")
-    stream = st.on_time(bar_stream(spark, tmp_path / "in"), "2000 days")
-    found = drain(st.enrich_stream(stream), str(tmp_path / "out"))
-    same_rows(settled(found), whole(bar_frame(spark, rows)))
-
-
-def test_restart_continues_the_series(spark, rows, tmp_path):
-    rows = sorted(rows, key=lambda r: r[1])
-    half = len(rows) // 2
-
-    def run():
-        stream = st.on_time(bar_stream(spark, tmp_path / "in", files=10), "1 second")
-        return drain(st.enrich_stream(stream), str(tmp_path / "out"), "restarted")
-
-    put(spark, rows[:half], tmp_path / "in")
-    before = run().count()
-    assert 0 < before < half
-    put(spark, rows[half:] + sentinel(), tmp_path / "in")
-    same_rows(settled(run()), whole(bar_frame(spark, rows)))
-
-
-def test_ties_follow_the_tie_break(spark, tmp_path):
-    rows = [("A", START + timedelta(minutes=i // 3), 1.0, 2.0, 0.5, float(i), 10 * i) for i in range(30)]
-    put(spark, random.Random(2).sample(rows, 30) + sentinel(), tmp_path / "in")
-    stream = st.on_time(bar_stream(spark, tmp_path / "in"), "1 second")
-    found = drain(st.add_history_stream(stream, ["close"]), str(tmp_path / "out"))
-    expected = whole(bar_frame(spark, rows), ["close"]).select(found.columns)
-    same_rows(settled(found), expected)
-
-
-def test_other_columns_are_kept(spark, rows, tmp_path):
-    sent = messages.encode(bar_frame(spark, rows + sentinel()), sent_at=F.col("timestamp"))
-    sent.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(sent.schema).parquet(str(tmp_path / "in"))
-    parsed = st.on_time(messages.parse(stream), "1 second").drop("processing_time")
-    found = drain(st.enrich_stream(parsed), str(tmp_path / "out"))
-    table = messages.parse(spark.read.parquet(str(tmp_path / "in"))).drop("processing_time")
-    same_rows(settled(found), settled(whole(table)))
-    assert {"fetch_time", "kafka_timestamp"} <= set(found.columns)
-
-
-def test_bar_on_the_watermark_is_released_and_later_ones_wait(spark, tmp_path):
-    # The watermark ends one minute behind the last bar, on the bar before it.
-    put(spark, series("A", [BASE] * 5), tmp_path / "in")
-    stream = st.on_time(bar_stream(spark, tmp_path / "in"), "1 minute")
-    found = drain(st.enrich_stream(stream), str(tmp_path / "out"))
-    assert found.count() == 4
+    for part in [*[shuffled[i::4] for i in range(4)], sentinel()]:
+        send(spark, part, tmp_path / "in")
+    same_rows(plain(go_on(spark, tmp_path, "2000 days")), enriched(bar_frame(spark, rows)))
+
+
+@pytest.mark.parametrize("chunk, lookback", [(None, None), ("30 minutes", "40 minutes")])
+def test_restarts_continue_the_series(spark, rows, tmp_path, chunk, lookback):
+    ordered = sorted(rows, key=lambda r: r[1])
+    size = len(ordered) // 3 + 1
+    before = 0
+    for part in [*[ordered[i:i + size] for i in range(0, len(ordered), size)], sentinel()]:
+        send(spark, part, tmp_path / "in")
+        found = go_on(spark, tmp_path, "1 second", chunk, lookback)
+        assert found.count() > before
+        before = found.count()
+    same_rows(plain(found), enriched(bar_frame(spark, rows)))
+
+
+def test_a_round_run_again_gives_the_same_rows(spark, rows, tmp_path):
+    ordered = sorted(rows, key=lambda r: r[1])
+    run = history_rounds(str(tmp_path / "bars"), [sinks.batch_folder_writer(str(tmp_path / "out"))], None, None)
+    empty = bar_frame(spark, [])
+    for number, part in enumerate((ordered[:200], [], ordered[200:])):
+        frame = bar_frame(spark, part) if part else empty
+        run(frame, number)
+        run(frame, number)
+    run(bar_frame(spark, ordered[200:]), 2)
+    same_rows(spark.read.parquet(str(tmp_path / "out")).drop(ROUND), whole(bar_frame(spark, rows)))
+
+
+def test_every_sink_gets_every_round(spark, rows, tmp_path):
+    seen = []
+    run = history_rounds(str(tmp_path / "bars"), [
+        lambda batch, number: seen.append(("a", number, batch.count())),
+        lambda batch, number: seen.append(("b", number, batch.count()))], None, None)
+    run(bar_frame(spark, rows), 0)
+    assert seen == [("a", 0, len(rows)), ("b", 0, len(rows))]
 
 
 def test_waiting_bars_close_to_the_watermark_are_not_lost(spark, tmp_path):
-    step = timedelta(microseconds=500)
-    rows = series("A", [BASE] * 40, step=step)
+    rows = series("A", [BASE] * 40, step=timedelta(microseconds=500))
     for part in (rows[:15], rows[15:], sentinel()):
-        put(spark, part, tmp_path / "in")
-    stream = st.on_time(bar_stream(spark, tmp_path / "in"), "5 milliseconds")
-    found = drain(st.enrich_stream(stream), str(tmp_path / "out"))
-    same_rows(settled(found), whole(bar_frame(spark, rows)))
+        send(spark, part, tmp_path / "in")
+    same_rows(plain(go_on(spark, tmp_path, "5 milliseconds")), enriched(bar_frame(spark, rows)))
 
 
 def test_late_bars_are_dropped_and_counted(spark, tmp_path):
-    put(spark, series("A", [BASE] * 3, start=START + timedelta(days=9)), tmp_path / "in")
-    put(spark, series("A", [BASE] * 3, start=START + timedelta(days=9, hours=1)), tmp_path / "in")
-    put(spark, series("A", [BASE] * 2), tmp_path / "in")
-    frame = st.enrich_stream(st.on_time(bar_stream(spark, tmp_path / "in"), "1 hour"))
+    day = START + timedelta(days=9)
+    for rows in (series("A", [BASE] * 3, start=day), series("A", [BASE] * 3, start=day + timedelta(hours=1)),
+                 series("A", [BASE] * 2)):
+        send(spark, rows, tmp_path / "in")
+    bars, _ = bars_of_messages(envelope(spark, tmp_path / "in"))
     query = (
-        frame.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp"))
+        settled(bars, "1 hour").writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp"))
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    assert st.late_bars(query) == 2
-
-
-def test_messages_with_repeats_and_damage(spark, rows, tmp_path):
-    bars = bar_frame(spark, [r for r in rows if r[6] is not None])
-    sent = messages.encode(bars.unionByName(bars).unionByName(bar_frame(spark, sentinel())))
-    damaged = sent.withColumn("value", F.substring("value", 1, 9)).limit(5)
-    sent.unionByName(damaged).write.parquet(str(tmp_path / "in"))
-    envelope = spark.readStream.schema(sent.schema).parquet(str(tmp_path / "in"))
-    found = drain(monitor(signals_of_message_stream(envelope, "1 hour")), str(tmp_path / "out"))
-    same_rows(settled(found), monitor(signals_of_bars(bars)))
-    assert bars_of_messages(spark.read.parquet(str(tmp_path / "in")))[1].count() == 5
-
-
-def test_processor_needs_no_package_on_the_workers():
-    processor = st.SeriesHistory(
-        T.StructType([T.StructField(c, T.LongType()) for c in (st.MICROS, *BAR.names[2:])]), [])
-    load = "import pickle, sys; print(pickle.load(sys.stdin.buffer).order)"
-    found = subprocess.run(
-        [sys.executable, "-c", load], input=cloudpickle.dumps(processor), cwd="/",
-        env={**os.environ, "PYTHONPATH": ""}, capture_output=True, check=True,
-    )
-    assert found.stdout.strip() == b"[0]"
+    assert late_bars(query) == 2
 
 
-def test_messages_over_many_rounds_lose_nothing(spark, rows, tmp_path):
-    """The copies' aggregation and the history share one watermark; neither drops the other's rows."""
-    known = sorted((r for r in rows if r[6] is not None), key=lambda r: r[1])
-    size = len(known) // 6 + 1
-    for i in range(0, len(known), size):
-        part = random.Random(i).sample(known[i:i + size], len(known[i:i + size]))
-        messages.encode(bar_frame(spark, part)).coalesce(1).write.mode("append").parquet(
-            str(tmp_path / "in"))
-    messages.encode(bar_frame(spark, sentinel())).write.mode("append").parquet(str(tmp_path / "in"))
-    envelope = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", 1).parquet(
-        str(tmp_path / "in"))
-    found = drain(monitor(signals_of_message_stream(envelope, "1 second")), str(tmp_path / "out"))
-    same_rows(settled(found), monitor(signals_of_bars(bar_frame(spark, known), chunk=None)))
+def test_messages_with_repeats_and_damage_over_many_rounds(spark, rows, tmp_path):
+    """Each part repeats the end of the one before; the copy sent last counts. Nothing is filtered
+    for a table: volumes may be missing and symbols long."""
+    rows = [("A LONG SYMBOL" if r[0] == "B" else r[0], *r[1:]) for r in rows]
+    ordered = sorted(rows, key=lambda r: r[1])
+    size = len(ordered) // 4 + 1
+    parts = [ordered[i:i + size] for i in range(0, len(ordered), size)]
+    for number, part in enumerate(parts):
+        later = START + timedelta(days=number + 1)
+        if number:
+            draft = [(*r[:5], 1.0, r[6]) for r in part[:5]]
+            send(spark, draft, tmp_path / "in", later - timedelta(hours=1))
+            send(spark, parts[number - 1][-5:], tmp_path / "in", later - timedelta(hours=1))
+        send(spark, random.Random(number).sample(part, len(part)), tmp_path / "in", later)
+    send(spark, sentinel(), tmp_path / "in")
+    bad = messages.encode(bar_frame(spark, rows[:5])).withColumn("value", F.substring("value", 1, 9))
+    bad.write.mode("append").parquet(str(tmp_path / "in"))
+    run_once(signal_stream(
+        envelope(spark, tmp_path / "in"), str(tmp_path / "bars"), "100 hours",
+        [sinks.batch_folder_writer(str(tmp_path / "out"))], str(tmp_path / "cp"), "signals", "1 second"))
+    found = spark.read.parquet(str(tmp_path / "out"))
+    same_rows(monitor(found.filter("symbol <> 'Z'")), monitor(signals_of_bars(bar_frame(spark, rows), chunk=None)))
+    assert {"kafka_timestamp", "fetch_time", "signal_context"} <= set(found.columns)
+    assert bars_of_messages(spark.read.schema(ENVELOPE).parquet(str(tmp_path / "in")))[1].count() == 5
+
+
+def test_bars_and_messages_give_the_same_signals(spark):
+    """A breakout of a long symbol, and one missing volume before another breakout."""
+    up = (100.0, 104.0, 99.5, 103.0, 400)
+    rows = series("ELEVENCHARS", [*[BASE] * 25, up]) + series("A", [*[BASE] * 24, (*BASE[:4], None), up])
+    bars = bar_frame(spark, rows)
+    accepted, rejected = bars_of_messages(messages.encode(bars))
+    assert rejected.isEmpty()
+    same_rows(
+        monitor(signals_of_bars(messages.last_copies(accepted).select(BAR_COLUMNS))), monitor(signals_of_bars(bars)))
 
 
 def test_streamed_bars_equal_built_bars(spark, tmp_path):
@@ -173,62 +159,16 @@ def test_streamed_bars_equal_built_bars(spark, tmp_path):
     trades = [
         (f"S{rng.randrange(3)}", START + timedelta(seconds=rng.randrange(9 * 86400)),
          float(rng.randrange(100)), rng.randrange(50), i) for i in range(3000)
-    ] + [("Z", FAR, 1.0, 1, 0)]
+    ]
     schema = "symbol string, ts timestamp, price double, quantity long, id long"
     frame = spark.createDataFrame(trades, schema)
-    frame.write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    far = spark.createDataFrame([("Z", FAR, 1.0, 1, 0)], schema)
     order = bs.time_then_id("ts", "id")
     for unit, length, offset in (("day", "1 day", "0 seconds"), ("week", "7 days", "4 days")):
-        bars = bs.build_bars_stream(stream, length, order, "1 hour", offset)
-        same_rows(
-            settled(drain(bars, str(tmp_path / unit))), settled(bs.build_bars(frame, unit, order))
-        )
-
-
-@pytest.mark.parametrize("chunk", [None, "30 minutes"])
-def test_rounds_give_the_batch_result(spark, rows, tmp_path, chunk):
-    ordered = sorted(rows, key=lambda r: r[1])
-    size = len(ordered) // 4 + 1
-    parts = [ordered[i:i + size] for i in range(0, len(ordered), size)]
-    # Within the delay of ten minutes the parts overlap: the first bars of a part swap places
-    # with the last ones of the part before.
-    for left, right in zip(parts, parts[1:]):
-        swap = [r for r in right if r[1] - left[-1][1] < timedelta(minutes=5)][:3]
-        for bar in swap:
-            right.remove(bar)
-            left.append(bar)
-    run = history_rounds(
-        str(tmp_path / "state"), "10 minutes", sinks.batch_folder_writer(str(tmp_path / "out")),
-        chunk=chunk,
-    )
-    for part in [*parts, sentinel()]:
-        put(spark, part, tmp_path / "in")
-        query = sinks.each_batch(bar_stream(spark, tmp_path / "in"), run, str(tmp_path / "cp"), "rounds")
-        query.trigger(availableNow=True).start().awaitTermination()
-    found = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    same_rows(settled(found), whole(bar_frame(spark, rows)))
-
-
-def test_rounds_replay_and_count_late_bars(spark, rows, tmp_path):
-    ordered = sorted(rows, key=lambda r: r[1])
-    parts = [ordered[:200], ordered[200:], sentinel(), ordered[:7]]
-    state = str(tmp_path / "state")
-    run = history_rounds(state, "1 second", sinks.batch_folder_writer(str(tmp_path / "out")))
-    for number, part in enumerate(parts):
-        frame = bar_frame(spark, part)
-        run(frame, number)
-        run(frame, number)
-    found = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    same_rows(settled(found), whole(bar_frame(spark, rows)))
-    assert Rounds(state).clock(spark, 3)[1] == 7
-    with pytest.raises(ValueError):
-        run(bar_frame(spark, parts[0]), 9)
-
-
-def test_rounds_take_an_empty_round(spark, tmp_path):
-    run = history_rounds(str(tmp_path / "s"), "1 second", sinks.batch_folder_writer(str(tmp_path / "o")))
-    run(bar_frame(spark, []), 0)
-    run(bar_frame(spark, series("A", [BASE] * 3)), 1)
-    run(bar_frame(spark, sentinel()), 2)
-    assert spark.read.parquet(str(tmp_path / "o")).filter("symbol = 'A'").count() == 3
+        folder = str(tmp_path / unit / "in")
+        frame.write.parquet(folder)
+        found = drain_to_end(
+            lambda: bs.build_bars_stream(
+                spark.readStream.schema(schema).parquet(folder), length, order, "1 hour", offset),
+            lambda: far.write.mode("append").parquet(folder), str(tmp_path / unit / "out"))
+        same_rows(found, bs.build_bars(frame, unit, order))
