@@ -58,7 +58,7 @@ def rule_events(rules: DataFrame) -> DataFrame:
     )
     shorter = known.select(
         "host", "path", F.explode(F.sequence(F.lit(0), F.length("path") - 1)).alias("n"),
-    ).where("n < length(path)").select(
+    ).where("n >= 0 AND n < length(path)").select(
         "host", "path", F.expr("left(path, n)").alias("outer_path"))
     around = shorter.join(
         known.select("host", F.col("path").alias("outer_path"), F.col("top").alias("outer")),
