@@ -1,0 +1,159 @@
+"""Token ids, id files and packing against the library and loops."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as some
+from pyspark.sql import functions as F
+
+from barflow.llm import bitplane, packing
+from barflow.llm.tokens import END, Encoder, default_vocabulary
+
+ODD = [
+    "", "  ", "Don't 'S it'sx", "áÁ H̱x", "<|endoftext|>a<|startoftext|>", "é,è.Ñ×÷", "日本語,テスト 12345 “q”—x",
+    "x y z", "1,000.50%$$$AB!!", "ÀÉ'S l'été", "a\x0bb\x1cc\x85d\x00e", "ǅ ß ẞ İ", "it's'll'd''ve", "\n\n",
+    "a<|b", "tail\n", "≮ a≮ ,́",
+]
+
+
+def expected(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids + [END]
+
+
+def test_ids_are_those_of_the_library(docs, library):
+    texts = ODD + [r[0] for r in docs.select("text").limit(60).collect()]
+    ids, ends = Encoder(default_vocabulary()).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [expected(library, t) for t in texts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(some.lists(some.text(alphabet="aAzé'., 1<|>\ń×—", max_size=40), max_size=6))
+def test_ids_of_strange_texts(library, texts):
+    ids, ends = Encoder(default_vocabulary()).encode(pa.array(texts, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [expected(library, t) for t in texts]
+
+
+@pytest.mark.parametrize("kind", ["bit", "byte"])
+@pytest.mark.parametrize("ids", [[], [0], [0] * 9, [1, 2**32 - 1], list(range(70_000))])
+def test_planes_and_files(tmp_path, kind, ids):
+    ids = np.array(ids, "<u4")
+    planes = [p.tobytes() for p in bitplane.to_planes(ids, kind)]
+    assert (bitplane.from_planes(planes, len(ids), kind) == ids).all()
+    cuts = sorted({0, len(ids) // 3, len(ids) // 2, len(ids)})
+    writer = bitplane.Writer(str(tmp_path / "x.ids"), kind)
+    for n, (a, b) in enumerate(zip([0, *cuts], cuts)):
+        writer.add(np.ones(1, np.uint8), np.array([n]), np.array([b - a]), ids[a:b])
+    path, n, total, size = writer.close()
+    assert (n, total, size) == (len(cuts), len(ids), (tmp_path / "x.ids").stat().st_size)
+    reader = bitplane.Reader(path)
+    assert [t.tolist() for t in reader.texts()] == [ids[a:b].tolist() for a, b in zip([0, *cuts], cuts)]
+    if len(ids) > bitplane.BLOCK:
+        assert (reader.block(1) == ids[bitplane.BLOCK:]).all()
+    (tmp_path / "half.ids").write_bytes((tmp_path / "x.ids").read_bytes()[:-3])
+    with pytest.raises(ValueError):
+        bitplane.Reader(str(tmp_path / "half.ids"))
+
+
+@pytest.mark.parametrize("kind", ["bit", "byte"])
+def test_files_hold_the_documents_in_order(docs, messy, nothing, library, kind, monkeypatch):
+    monkeypatch.setattr(bitplane, "FILE_IDS", 5000)
+    frame = docs.limit(80).select("doc_id", "text").unionByName(messy.select("doc_id", "text")).cache()
+    rows = sorted(bitplane.encode_and_read(frame, kind=kind).collect(), key=lambda r: r["start"])
+    at = 0
+    left = defaultdict(list)
+    for r in frame.collect():
+        left[r["doc_id"]].append(expected(library, r["text"]))
+    order = [r["doc_id"] for r in rows]
+    assert order == sorted(order, key=lambda i: (i is not None, i or 0))
+    for row in rows:
+        assert row["start"] == at
+        ids = next(x for x in left[row["doc_id"]] if zlib.crc32(np.array(x, "<u4").tobytes()) == row["ids_crc32"])
+        left[row["doc_id"]].remove(ids)
+        assert row["n_tokens"] == len(ids)
+        at += len(ids)
+    assert not any(left.values())
+    assert bitplane.encode_and_read(nothing, kind=kind).count() == 0
+
+
+def check_packed(rows, texts, library, most_padding, window=2048):
+    """``texts`` has (doc_id, text); equal ids must have equal texts."""
+    ids = {i: expected(library, t) for i, t in texts}
+    times = defaultdict(int)
+    for i, _ in texts:
+        times[i] += 1
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        own = ids[r["doc_id"]]
+        part = np.array(own[r["start"]:r["start"] + r["length"]], "<u4")
+        assert len(part) == r["length"] > 0 and zlib.crc32(part.tobytes()) == r["ids_crc32"]
+        assert r["doc_tokens"] == len(own)
+        if "ids" in r:
+            assert bytes(r["ids"]) == part.tobytes()
+        pieces[r["doc_id"]] += range(r["start"], r["start"] + r["length"])
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for i, own in ids.items():
+        assert sorted(pieces[i]) == sorted(list(range(len(own))) * times[i])
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= window
+    total = sum(len(ids[i]) * n for i, n in times.items())
+    assert len(sequences) <= total / window * (1 + most_padding) + 1
+
+
+def test_packed_documents(spark, docs, nothing, library):
+    texts = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    copies = [(1000 + i, texts[0][1]) for i in range(200)]
+    for some_texts in (texts, texts + copies):
+        frame = spark.createDataFrame(some_texts, "doc_id long, text string")
+        check_packed(packing.pack(frame).collect(), some_texts, library, 0.01)
+    check_packed(packing.pack(frame, keep_ids=True).collect(), some_texts, library, 0.01)
+    assert packing.pack(nothing).count() == 0
+
+
+def test_packing_takes_messy_rows(messy, library):
+    frame = messy.filter("doc_id IS NOT NULL")
+    texts = [(r["doc_id"], r["text"]) for r in frame.collect()]
+    check_packed(packing.pack(frame).collect(), texts, library, 0.05)
+    assert packing.pack(messy).filter("doc_id IS NULL").agg(F.sum("length")).first()[0] == sum(
+        len(expected(library, r["text"])) for r in messy.filter("doc_id IS NULL").collect())
+
+
+@settings(max_examples=80, deadline=None)
+@given(some.dictionaries(some.integers(1, 64), some.integers(0, 40), max_size=20))
+def test_every_piece_has_its_places(histogram):
+    plan = packing.plan(histogram, 64, 4)
+    length = np.repeat(np.array(sorted(histogram), np.int64), [histogram[a] for a in sorted(histogram)])
+    rank = np.concatenate([np.arange(0), *[np.arange(histogram[a]) for a in sorted(histogram)]]).astype(np.int64)
+    which, skip, size, sequence, offset = packing.place(plan, length, rank)
+    assert np.array_equal(np.bincount(which, size, len(length)).astype(int), length)
+    ends = defaultdict(list)
+    for s, o, n in zip(sequence, offset, size):
+        ends[s].append((o, n))
+    gaps = []
+    for parts in ends.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+        assert at <= 64
+        gaps.append(64 - at)
+    assert sum(g >= 4 for g in gaps) <= 1
+
+
+def test_least_squares_finds_an_exact_mix():
+    columns = packing.combinations(np.array([700, 1348, 2048, 64, 1284]))
+    assert (2048,) in columns and (1348, 700) in columns and (1284, 700, 64) in columns
+    truth = {(2048,): 50.0, (1348, 700): 300.0, (1284, 700, 64): 120.0}
+    histogram = defaultdict(int)
+    for column, n in truth.items():
+        for a in column:
+            histogram[a] += int(n)
+    x = packing.solve(columns, histogram, 5000)
+    assert all(abs(x[columns.index(c)] - n) < 1 for c, n in truth.items())
