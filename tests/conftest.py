@@ -14,5 +14,6 @@ from barflow.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(app="barflow-tests", shared=str(tmp_path_factory.mktemp("work")))
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")  # streams pay for each in every round
     yield session
     session.stop()
