@@ -39,7 +39,8 @@ PASSAGE, RANK, ITEMS = 32, 64, 10_000
 WINDOWS, STEP, LEAST_WORDS = (16, 32, 48, 64, 128, 256), 8, 5
 #: Words in more than one of e**2 documents are common.
 RARE = 2.0
-#: Least share of a window's weight, or of its words, on words of the benchmark, and least latent cosine.
+#: Least share of a window's weight, or of its words that are not common, on words of the benchmark,
+#: and least latent cosine.
 ENERGY, KNOWN, COSINE = 0.2, 0.75, 0.5
 #: Share of the item's words in order for a leak; the same and the answer's for a paraphrase.
 VERBATIM, PART, ANSWER = 0.7, 0.5, 0.8
@@ -214,7 +215,8 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
     weight = np.where(known, query.weights[numbers], query.unknown) ** 2
     whole = np.append(0, np.cumsum(weight))
     inside = np.append(0, np.cumsum(np.where(known, weight, 0)))
-    of_known = np.append(0, np.cumsum(known))
+    telling = ~known | (weight > 0)
+    of_known, of_telling = (np.append(0, np.cumsum(x)) for x in (known & telling, telling))
     n = np.diff(text.first)
     of_item = _window_of(np.array([max(1, len(w)) for w in query.item_words]))
     for size in sorted(set(of_item)):
@@ -226,7 +228,7 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
         end = np.minimum(begin + size, text.first[document + 1])
         here = inside[end] - inside[begin]
         enough = (here >= ENERGY * (whole[end] - whole[begin])) | (
-            of_known[end] - of_known[begin] >= KNOWN * (end - begin))
+            of_known[end] - of_known[begin] >= KNOWN * (of_telling[end] - of_telling[begin]))
         some = np.flatnonzero(enough & (here > 0))
         for at in range(0, len(some), 4096):
             chosen = some[at:at + 4096]
@@ -243,23 +245,29 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
                        float(cosine[row, column]))
 
 
-def _checked(query: Query, words_of: np.ndarray) -> tuple[list[int], bool]:
-    """The words that must be found in order, and whether common ones are among them."""
-    rare = words_of[query.weights[words_of] > 0]
-    return (rare.tolist(), False) if len(rare) >= LEAST_WORDS else (words_of.tolist(), True)
+def _checked(query: Query, item: int) -> tuple[list[int], list[int], bool]:
+    """The words of an item and its answer to be found in order, and whether common ones are among them."""
+    every, answer = query.item_words[item], query.answers[item]
+    rare = every[query.weights[every] > 0]
+    if len(rare) < LEAST_WORDS:
+        return every.tolist(), answer.tolist(), True
+    return rare.tolist(), answer[query.weights[answer] > 0].tolist(), False
 
 
 def leaks(query: Query, text: Words) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(cosine, part of the item, part of the answer) of each (document, item), at its best window."""
-    numbers = query.vocabulary.numbers(text.hash).tolist()
+    numbers = query.vocabulary.numbers(text.hash)
+    known = numbers >= 0
+    rare = known & (query.weights[numbers] > 0)
+    checked: dict[int, tuple[list[int], list[int], bool]] = {}
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
     for document, item, begin, end, cosine in candidates(query, text):
-        wanted, common = _checked(query, query.item_words[item])
-        answer = query.answers[item]
-        answer = (answer if common else answer[query.weights[answer] > 0]).tolist()
+        if item not in checked:
+            checked[item] = _checked(query, item)
+        wanted, answer, common = checked[item]
         pad = STEP + max(0, len(query.item_words[item]) - (end - begin))
-        around = numbers[max(int(text.first[document]), begin - pad):min(int(text.first[document + 1]), end + pad)]
-        around = [w for w in around if w >= 0 and (common or query.weights[w] > 0)]
+        here = slice(max(int(text.first[document]), begin - pad), min(int(text.first[document + 1]), end + pad))
+        around = numbers[here][(known if common else rare)[here]].tolist()
         part = common_length(around, wanted) / len(wanted)
         of_answer = common_length(around, answer) / len(answer) if answer else 0.0
         if part >= VERBATIM or part >= PART and of_answer >= ANSWER:
