@@ -8,10 +8,10 @@ orthonormal: the latent space. In the corpus' passages words below the weight ``
 out, or they would take all of the few dimensions; the items keep theirs.
 
 Every document is then read in overlapping windows about as long as the items. A window is a
-candidate for an item if enough of its weight lies on words of the benchmark (others count with
-the weight of a word never seen), or most of its words do (those of an item that is all over the
-corpus weigh little), and its cosine with the item in the latent space is ``COSINE`` or
-more. A candidate is checked against the words around it: the longest common subsequence with the
+candidate for an item if its cosine with the item in the latent space is ``COSINE`` or more. The
+cosine is only taken where the words around the window hold so many of the item's (``PART``, counted
+by blocks of ``STEP`` words) that the check below could accept it; it leaves out nothing else. A
+candidate is checked against the words around it: the longest common subsequence with the
 item, and with the item's answer, its last sentence; words of more than half of all documents are
 left out of both (unless the item has few others). It is a leak if most of the item is there in
 order (``VERBATIM``), or if half is and nearly all of the answer (a paraphrase).
@@ -39,13 +39,13 @@ PASSAGE, RANK, ITEMS = 32, 64, 10_000
 WINDOWS, STEP, LEAST_WORDS = (16, 32, 48, 64, 128, 256), 8, 5
 #: Words in more than one of e**2 documents are common.
 RARE = 2.0
-#: Least share of a window's weight, or of its words that are not common, on words of the benchmark,
-#: and least latent cosine.
-ENERGY, KNOWN, COSINE = 0.2, 0.75, 0.5
+#: Least latent cosine.
+COSINE = 0.5
 #: Share of the item's words in order for a leak; the same and the answer's for a paraphrase.
 VERBATIM, PART, ANSWER = 0.7, 0.5, 0.8
-#: Features in a row when partial sums are added.
+#: Features in a row when partial sums are added; items and windows whose words are counted at once.
 BLOCK = 256
+GROUP, AT_ONCE = 256, 8192
 _SENTENCE = re.compile(r"[.!?]\s+")
 
 
@@ -57,7 +57,6 @@ class Query(NamedTuple):
     item_words: list[np.ndarray]  # numbers of the vocabulary
     answers: list[np.ndarray]
     weights: np.ndarray  # inverse document frequencies
-    unknown: float
     latent: np.ndarray  # row of the latent space for each word, weight included
     directions: np.ndarray  # of the items, of length 1
 
@@ -186,7 +185,7 @@ def fit(documents: DataFrame, item_ids: list[int], texts: list[str], rank: int =
     directions = np.stack([latent[w].sum(axis=0) for w in of_items])
     directions /= np.maximum(np.linalg.norm(directions, axis=1, keepdims=True), 1e-9)
     answers = _of(words(pa.array([_answer(t) for t in texts], pa.string()), ALPHANUMERIC), vocabulary)
-    return Query(item_ids, vocabulary, of_items, answers, weights, float(np.log(n + 1) + np.log(2)), latent, directions)
+    return Query(item_ids, vocabulary, of_items, answers, weights, latent, directions)
 
 
 def common_length(text: list[int], item: list[int]) -> int:
@@ -208,50 +207,80 @@ def _window_of(lengths: np.ndarray) -> np.ndarray:
     return sizes[np.abs(np.log(lengths[:, None] / sizes)).argmin(axis=1)]
 
 
+def _checked(query: Query, item: int) -> tuple[list[int], list[int], bool]:
+    """The words of an item and its answer to be found in order, and whether common ones are among them."""
+    every, answer = query.item_words[item], query.answers[item]
+    rare = every[query.weights[every] > 0]
+    if len(rare) < LEAST_WORDS:
+        return every.tolist(), answer.tolist(), True
+    return rare.tolist(), answer[query.weights[answer] > 0].tolist(), False
+
+
+def _near(
+    counted: np.ndarray, blocks: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(window, item) where blocks ``low`` to ``high`` hold as many of the item's words as it needs.
+
+    ``counted`` has the items that a word counts for.
+    """
+    base, size = int(low.min()), int(high.max())
+    sums = np.zeros((size - base, counted.shape[1]), np.uint8)
+    for words_ in blocks[base:size].T:
+        sums += counted[words_]
+    whole = np.zeros((size - base + 1, counted.shape[1]), np.int32)
+    np.cumsum(sums, axis=0, dtype=np.int32, out=whole[1:])
+    return np.nonzero(whole[high - base] - whole[low - base] >= need)
+
+
 def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int, float]]:
     """(document, item, first word, end, cosine) of all candidate windows."""
     numbers = query.vocabulary.numbers(text.hash)
-    known = numbers >= 0
-    weight = np.where(known, query.weights[numbers], query.unknown) ** 2
-    whole = np.append(0, np.cumsum(weight))
-    inside = np.append(0, np.cumsum(np.where(known, weight, 0)))
-    telling = ~known | (weight > 0)
-    of_known, of_telling = (np.append(0, np.cumsum(x)) for x in (known & telling, telling))
     n = np.diff(text.first)
-    of_item = _window_of(np.array([max(1, len(w)) for w in query.item_words]))
+    count = -(-n // STEP)
+    first_block = np.cumsum(count) - count
+    blocks = np.full((count.sum(), STEP), -1, np.int32)
+    blocks.reshape(-1)[np.arange(len(numbers)) + np.repeat(first_block * STEP - text.first[:-1], n)] = numbers
+    lengths = np.array([len(w) for w in query.item_words])
+    of_item = _window_of(np.maximum(1, lengths))
     for size in sorted(set(of_item)):
-        items = np.flatnonzero(of_item == size)
         count = np.where(n > 0, 1 + np.maximum(0, -(-(n - size) // STEP)), 0)
         document = np.repeat(np.arange(len(n)), count)
         begin = (np.arange(len(document)) - np.repeat(np.cumsum(count) - count, count)) * STEP
-        begin = np.minimum(begin, np.maximum(0, n[document] - size)) + text.first[document]
-        end = np.minimum(begin + size, text.first[document + 1])
-        here = inside[end] - inside[begin]
-        enough = (here >= ENERGY * (whole[end] - whole[begin])) | (
-            of_known[end] - of_known[begin] >= KNOWN * (of_telling[end] - of_telling[begin]))
-        some = np.flatnonzero(enough & (here > 0))
-        for at in range(0, len(some), 4096):
-            chosen = some[at:at + 4096]
-            length = end[chosen] - begin[chosen]
-            first = np.cumsum(length) - length
-            place = np.repeat(begin[chosen] - first, length) + np.arange(length.sum())
-            rows = np.where(known[place, None], query.latent[numbers[place]], 0)
-            sums = np.add.reduceat(rows, first, axis=0)
-            sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-            cosine = sums @ query.directions[items].T
-            for row, column in zip(*np.nonzero(cosine >= COSINE)):
-                window = chosen[row]
-                yield (int(document[window]), int(items[column]), int(begin[window]), int(end[window]),
-                       float(cosine[row, column]))
-
-
-def _checked(query: Query, item: int) -> tuple[list[int], list[int], bool]:
-    """The words of an item and its answer to be found in order, and whether common ones are among them."""
-    every, answer = query.item_words[item], query.answers[item]
-    rare = every[query.weights[every] > 0]
-    if len(rare) < LEAST_WORDS:
-        return every.tolist(), answer.tolist(), True
-    return rare.tolist(), answer[query.weights[answer] > 0].tolist(), False
+        begin = np.minimum(begin, np.maximum(0, n[document] - size))
+        end = np.minimum(begin + size, n[document])
+        every = np.flatnonzero(of_item == size)
+        for items in (every[at:at + GROUP] for at in range(0, len(every), GROUP)):
+            # Words of the item that are checked; the last row is for words of no item.
+            counted = np.zeros((len(query.vocabulary) + 1, len(items)), np.uint8)
+            need = np.zeros(len(items))
+            for column, item in enumerate(items):
+                wanted, _, _ = _checked(query, item)
+                counted[wanted, column], need[column] = 1, PART * len(wanted)
+            pad = STEP + max(0, int(lengths[items].max()) - int(size))
+            low = first_block[document] + np.maximum(0, begin - pad) // STEP
+            high = first_block[document] - (-np.minimum(end + pad, n[document]) // STEP)
+            for at in range(0, len(document), AT_ONCE):
+                some = slice(at, at + AT_ONCE)
+                row, column = _near(counted, blocks, low[some], high[some], need)
+                if not len(row):
+                    continue
+                windows, row = np.unique(row + at, return_inverse=True)
+                begins = text.first[document[windows]] + begin[windows]
+                length = end[windows] - begin[windows]
+                first = np.cumsum(length) - length
+                found = numbers[np.repeat(begins - first, length) + np.arange(length.sum())]
+                known = np.flatnonzero(found >= 0)
+                window = np.repeat(np.arange(len(windows)), length)[known]
+                starts = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(known) else known
+                sums = np.zeros((len(windows), query.latent.shape[1]), np.float32)
+                if len(known):
+                    sums[window[starts]] = np.add.reduceat(query.latent[found[known]], starts, axis=0)
+                sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+                cosine = np.einsum("ij,ij->i", sums[row], query.directions[items[column]])
+                for k in np.flatnonzero(cosine >= COSINE):
+                    window = row[k]
+                    yield (int(document[windows[window]]), int(items[column[k]]), int(begins[window]),
+                           int(begins[window] + length[window]), float(cosine[k]))
 
 
 def leaks(query: Query, text: Words) -> dict[tuple[int, int], tuple[float, float, float]]:
