@@ -1,7 +1,10 @@
 """Leaks that must be found whatever else is in the table."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from barflow.llm import decontaminate
 from barflow.llm.words import ALPHANUMERIC, words
@@ -16,3 +19,57 @@ def test_the_same_pair_is_found_in_a_table_of_any_size(monkeypatch):
         query = decontaminate.fit(None, [1], [item])
         found = decontaminate.leaks(query, words(pa.array([f"one two three {item} four five six"]), ALPHANUMERIC))
         assert [(key, part) for key, (_, part, _) in found.items()] == [((0, 0), 1.0)], n
+
+
+@pytest.fixture(scope="module")
+def reworded(spark):
+    """Items with two of five words before the answer exchanged, between words that are not the benchmark's."""
+    rng = random.Random(5)
+    own, other = [f"b{i}" for i in range(900)], [f"w{i}" for i in range(30_000)]
+    items = []
+    for i in range(30):
+        text = rng.sample(own, rng.randrange(10, 50))
+        text[-5] += "."
+        items.append((i, " ".join(text)))
+    texts = []
+    for i in range(240):
+        text = rng.sample(other, rng.randrange(20, 200)) + rng.sample(own, 20)
+        rng.shuffle(text)
+        parts = items[i % 30][1].split()
+        cut = len(parts) - 4
+        changed = set(rng.sample(range(cut), int(0.4 * cut)))
+        text[9:9] = [rng.choice(other) if k in changed else w for k, w in enumerate(parts)]
+        texts.append((i, " ".join(text)))
+    return (spark.createDataFrame(texts, "doc_id long, text string").repartition(4),
+            spark.createDataFrame(items, "item_id long, text string"))
+
+
+def scanned(query, text):
+    """Pairs that the order and answer checks accept at any window, without a look at the cosine."""
+    numbers = query.vocabulary.numbers(text.hash)
+    sizes = decontaminate._window_of(np.array([len(w) for w in query.item_words]))
+    found = set()
+    for item, size in enumerate(sizes):
+        wanted, answer, common = decontaminate._checked(query, item)
+        pad = decontaminate.STEP + max(0, len(query.item_words[item]) - size)
+        for document, (a, b) in enumerate(zip(text.first, text.first[1:])):
+            for begin in range(a, max(a, b - size) + decontaminate.STEP, decontaminate.STEP):
+                begin = min(begin, max(a, b - size))
+                around = numbers[max(a, begin - pad):min(b, begin + size + pad)]
+                around = around[(around >= 0) & (common | (query.weights[around] >= 0.7))].tolist()
+                part = decontaminate.common_length(around, wanted) / len(wanted)
+                if part >= 0.7 or part >= 0.5 and decontaminate.common_length(around, answer) >= 0.8 * len(answer):
+                    found.add((document, item))
+    return found
+
+
+def test_recall_against_a_scan_without_gate(reworded):
+    docs, benchmark = reworded
+    rows = docs.orderBy("doc_id").collect()
+    (query,) = decontaminate.queries_of(docs, benchmark)
+    text = words(pa.array([r["text"] for r in rows]), ALPHANUMERIC)
+    expected = scanned(query, text)
+    found = set(decontaminate.leaks(query, text))
+    print(f"{len(expected)} pairs by scan, {len(found & expected)} of them found")
+    assert len(expected) >= 200 and found <= expected
+    assert len(found) >= 0.99 * len(expected)
