@@ -1,7 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval, then word order and answer checks.
 
 Features are the words of the benchmark. Their document frequencies are counted over all documents;
-words of more than half of them weigh nothing. Passages of ``PASSAGE`` words, with the benchmark's
+words of more than half of them weigh little, never nothing. Passages of ``PASSAGE`` words, with the benchmark's
 own items, make a TF-IDF matrix A; a randomised SVD takes a random matrix W with ``RANK``
 columns, sums A' A W over all passages (each task its own, then block by block) and makes it
 orthonormal: the latent space. In the corpus' passages words below the weight ``RARE`` are left
@@ -10,8 +10,9 @@ out, or they would take all of the few dimensions; the items keep theirs.
 Every document is then read in overlapping windows about as long as the items. A window is a
 candidate for an item if its cosine with the item in the latent space is ``COSINE`` or more. The
 cosine is only taken where the words around the window hold so many of the item's (``PART``, counted
-by blocks of ``STEP`` words) that the check below could accept it; it leaves out nothing else. A
-candidate is checked against the words around it: the longest common subsequence with the
+by blocks of ``STEP`` words) that the check below could accept it; it leaves out nothing else. Where
+they hold ``VERBATIM`` of them the window is a candidate at any cosine, for the words of an item that
+is all over the corpus weigh less than those beside it. A candidate is checked against the words around it: the longest common subsequence with the
 item, and with the item's answer, its last sentence; words of more than half of all documents are
 left out of both (unless the item has few others). It is a leak if most of the item is there in
 order (``VERBATIM``), or if half is and nearly all of the answer (a paraphrase).
@@ -23,6 +24,7 @@ which ``ITEMS`` items at a time are searched for.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -37,8 +39,9 @@ from barflow.llm.words import ALPHANUMERIC, Vocabulary, Words, words
 PASSAGE, RANK, ITEMS = 32, 64, 10_000
 #: Windows in words and their step; items with fewer words than LEAST_WORDS are not searched for.
 WINDOWS, STEP, LEAST_WORDS = (16, 32, 48, 64, 128, 256), 8, 5
-#: Words in more than one of e**2 documents are common.
-RARE = 2.0
+#: Words in more than one of e**2 documents are common; those below COMMON are in more than half of all,
+#: and none weighs less than FLOOR.
+RARE, COMMON, FLOOR = 2.0, np.log(2), 0.05
 #: Least latent cosine.
 COSINE = 0.5
 #: Share of the item's words in order for a leak; the same and the answer's for a paraphrase.
@@ -170,8 +173,7 @@ def fit(documents: DataFrame, item_ids: list[int], texts: list[str], rank: int =
     items = words(pa.array(texts, pa.string()), ALPHANUMERIC)
     vocabulary = Vocabulary(items.hash)
     frequency, n = _frequencies(documents, vocabulary)
-    weights = np.log((n + 1) / (frequency + 0.5))
-    weights[weights < np.log(2)] = 0
+    weights = np.maximum(FLOOR, np.log((n + 1) / (frequency + 0.5)))
     rank = min(rank, len(vocabulary))
     start = (np.random.default_rng(7).standard_normal((len(vocabulary), rank)) * weights[:, None]).astype(np.float32)
     total, count = _range_sum(documents, vocabulary, np.where(weights > RARE, weights, 0), start)
@@ -210,16 +212,16 @@ def _window_of(lengths: np.ndarray) -> np.ndarray:
 def _checked(query: Query, item: int) -> tuple[list[int], list[int], bool]:
     """The words of an item and its answer to be found in order, and whether common ones are among them."""
     every, answer = query.item_words[item], query.answers[item]
-    rare = every[query.weights[every] > 0]
+    rare = every[query.weights[every] >= COMMON]
     if len(rare) < LEAST_WORDS:
         return every.tolist(), answer.tolist(), True
-    return rare.tolist(), answer[query.weights[answer] > 0].tolist(), False
+    return rare.tolist(), answer[query.weights[answer] >= COMMON].tolist(), False
 
 
 def _near(
     counted: np.ndarray, blocks: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(window, item) where blocks ``low`` to ``high`` hold as many of the item's words as it needs.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, item, words) where blocks ``low`` to ``high`` hold as many of the item's words as it needs.
 
     ``counted`` has the items that a word counts for.
     """
@@ -229,7 +231,9 @@ def _near(
         sums += counted[words_]
     whole = np.zeros((size - base + 1, counted.shape[1]), np.int32)
     np.cumsum(sums, axis=0, dtype=np.int32, out=whole[1:])
-    return np.nonzero(whole[high - base] - whole[low - base] >= need)
+    held = whole[high - base] - whole[low - base]
+    row, column = np.nonzero(held >= need)
+    return row, column, held[row, column]
 
 
 def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int, float]]:
@@ -255,13 +259,13 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
             need = np.zeros(len(items))
             for column, item in enumerate(items):
                 wanted, _, _ = _checked(query, item)
-                counted[wanted, column], need[column] = 1, PART * len(wanted)
+                counted[wanted, column], need[column] = 1, len(wanted)
             pad = STEP + max(0, int(lengths[items].max()) - int(size))
             low = first_block[document] + np.maximum(0, begin - pad) // STEP
             high = first_block[document] - (-np.minimum(end + pad, n[document]) // STEP)
             for at in range(0, len(document), AT_ONCE):
                 some = slice(at, at + AT_ONCE)
-                row, column = _near(counted, blocks, low[some], high[some], need)
+                row, column, held = _near(counted, blocks, low[some], high[some], PART * need)
                 if not len(row):
                     continue
                 windows, row = np.unique(row + at, return_inverse=True)
@@ -277,7 +281,7 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
                     sums[window[starts]] = np.add.reduceat(query.latent[found[known]], starts, axis=0)
                 sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
                 cosine = np.einsum("ij,ij->i", sums[row], query.directions[items[column]])
-                for k in np.flatnonzero(cosine >= COSINE):
+                for k in np.flatnonzero((cosine >= COSINE) | (held >= VERBATIM * need[column])):
                     window = row[k]
                     yield (int(document[windows[window]]), int(items[column[k]]), int(begins[window]),
                            int(begins[window] + length[window]), float(cosine[k]))
@@ -285,19 +289,24 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
 
 def leaks(query: Query, text: Words) -> dict[tuple[int, int], tuple[float, float, float]]:
     """(cosine, part of the item, part of the answer) of each (document, item), at its best window."""
-    numbers = query.vocabulary.numbers(text.hash)
-    known = numbers >= 0
-    rare = known & (query.weights[numbers] > 0)
-    checked: dict[int, tuple[list[int], list[int], bool]] = {}
+    numbers = query.vocabulary.numbers(text.hash).tolist()
+    first = text.first.tolist()
+    checked: dict[int, tuple[list[int], list[int], Counter[int], frozenset[int], int]] = {}
     found: dict[tuple[int, int], tuple[float, float, float]] = {}
     for document, item, begin, end, cosine in candidates(query, text):
         if item not in checked:
-            checked[item] = _checked(query, item)
-        wanted, answer, common = checked[item]
-        pad = STEP + max(0, len(query.item_words[item]) - (end - begin))
-        here = slice(max(int(text.first[document]), begin - pad), min(int(text.first[document + 1]), end + pad))
-        around = numbers[here][(known if common else rare)[here]].tolist()
+            wanted, answer, _ = _checked(query, item)
+            times = Counter(wanted)
+            checked[item] = wanted, answer, times, frozenset(times), len(query.item_words[item])
+        wanted, answer, times, own, length = checked[item]
+        pad = STEP + max(0, length - (end - begin))
+        around = numbers[max(first[document], begin - pad):min(first[document + 1], end + pad)]
+        # Words that are not the item's are in no common subsequence.
+        if sum(map(times.__getitem__, own.intersection(around))) < PART * len(wanted):
+            continue
         part = common_length(around, wanted) / len(wanted)
+        if part < PART:
+            continue
         of_answer = common_length(around, answer) / len(answer) if answer else 0.0
         if part >= VERBATIM or part >= PART and of_answer >= ANSWER:
             best = found.get((document, item), (0.0, 0.0, 0.0))

@@ -73,3 +73,29 @@ def test_recall_against_a_scan_without_gate(reworded):
     print(f"{len(expected)} pairs by scan, {len(found & expected)} of them found")
     assert len(expected) >= 200 and found <= expected
     assert len(found) >= 0.99 * len(expected)
+
+
+def test_a_table_of_one_document_that_is_the_item(spark):
+    item = "Alpha beta gamma delta epsilon zeta eta theta."
+    benchmark = spark.createDataFrame([(3, item), (4, "one two three four five six")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item)], "doc_id long, text string")
+    assert [(r["doc_id"], r["item_id"], r["part"]) for r in decontaminate.find(docs, benchmark).collect()] == [(1, 3, 1.0)]
+    assert decontaminate.drop_leaks(docs, benchmark).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.3, 0.45, 0.6, 0.9])
+def test_an_item_in_any_share_of_the_rows(spark, share):
+    """Beside it stand words of other items, which weigh more."""
+    rng = random.Random(3)
+    own, other = [f"b{i}" for i in range(2000)], [f"w{i}" for i in range(5000)]
+    items = [(i, " ".join(own[40 * i:40 * i + 40])) for i in range(1, 50)] + [(0, " ".join(own[:22]))]
+    texts = []
+    for i in range(200):
+        text = [rng.choice(own[40:] if rng.random() < 0.5 else other) for _ in range(60)]
+        if i < 200 * share:
+            text[21:21] = own[:22]
+        texts.append((i, " ".join(text)))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"] for r in decontaminate.find(docs, benchmark).filter("item_id = 0").collect()}
+    assert found == set(range(int(200 * share)))
