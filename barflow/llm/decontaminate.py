@@ -17,6 +17,9 @@ item, and with the item's answer, its last sentence; words of more than half of
 left out of both (unless the item has few others). It is a leak if most of the item is there in
 order (``VERBATIM``), or if half is and nearly all of the answer (a paraphrase).
 
+Characters of scripts without spaces (Han, kana, Thai and others) are words of their own. Items of
+fewer than ``LEAST_WORDS`` words are searched for exactly, as a sequence of words, in the same pass.
+
 What goes to the driver and to the tasks is bounded by the benchmark, the stated query set, of
 which ``ITEMS`` items at a time are searched for.
 """
@@ -34,10 +37,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import pieces, shuffle_partitions
-from barflow.llm.words import ALPHANUMERIC, Vocabulary, Words, words
+from barflow.llm.words import ALPHANUMERIC, U, Vocabulary, Words, mix, words
 
 PASSAGE, RANK, ITEMS = 32, 64, 10_000
-#: Windows in words and their step; items with fewer words than LEAST_WORDS are not searched for.
+#: Windows in words and their step; items with fewer words than LEAST_WORDS are searched for exactly.
 WINDOWS, STEP, LEAST_WORDS = (16, 32, 48, 64, 128, 256), 8, 5
 #: Words in more than one of e**2 documents are common; those below COMMON are in more than half of all,
 #: and none weighs less than FLOOR.
@@ -49,7 +52,9 @@ VERBATIM, PART, ANSWER = 0.7, 0.5, 0.8
 #: Features in a row when partial sums are added; items and windows whose words are counted at once.
 BLOCK = 256
 GROUP, AT_ONCE = 256, 8192
-_SENTENCE = re.compile(r"[.!?]\s+")
+_SENTENCE = re.compile(r"[.!?]\s+|[\u3002\uff01\uff1f\uff61]\s*")
+_UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff00-\uffef\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+_UNIT = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 
 
 class Query(NamedTuple):
@@ -62,6 +67,7 @@ class Query(NamedTuple):
     weights: np.ndarray  # inverse document frequencies
     latent: np.ndarray  # row of the latent space for each word, weight included
     directions: np.ndarray  # of the items, of length 1
+    short: dict[int, tuple[Vocabulary, list[list[int]]]]  # by words: their sequences, item_ids of each
 
 
 def _answer(text: str) -> str:
@@ -69,10 +75,52 @@ def _answer(text: str) -> str:
     parts = [s for s in _SENTENCE.split(text.strip()) if s.strip()]
     if len(parts) > 1:
         return parts[-1]
-    some = text.split()
+    some = _UNIT.findall(text)
     return " ".join(some[-max(1, len(some) // 4):])
 
 
+def _words(column: pa.Array) -> Words:
+    return words(column, ALPHANUMERIC, cut=True)
+
+
+def _sequences(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each sequence of n words."""
+    out = hashes[:len(hashes) - n + 1]
+    for i in range(1, n):
+        out = mix(out * U(0x9E3779B97F4A7C15) + hashes[i:len(hashes) - n + 1 + i])
+    return out
+
+
+def _short(item_ids: list[int], texts: list[str]) -> dict[int, tuple[Vocabulary, list[list[int]]]]:
+    text = _words(pa.array(texts, pa.string()))
+    held: dict[int, list[tuple[int, int]]] = {}
+    for item_id, a, b in zip(item_ids, text.first, text.first[1:]):
+        held.setdefault(int(b - a), []).append((item_id, _sequences(text.hash[a:b], int(b - a))[0]))
+    out = {}
+    for n, some in held.items():
+        known = Vocabulary(np.array([h for _, h in some], U))
+        ids: list[list[int]] = [[] for _ in range(len(known))]
+        for (item_id, _), number in zip(some, known.numbers(np.array([h for _, h in some], U))):
+            ids[number].append(item_id)
+        out[n] = known, ids
+    return out
+
+
+def short_leaks(query: Query, text: Words) -> set[tuple[int, int]]:
+    """(document, item_id) of every short item."""
+    found = set()
+    for n, (known, ids) in query.short.items():
+        if len(text.hash) < n:
+            continue
+        numbers = known.numbers(_sequences(text.hash, n))
+        at = np.flatnonzero(numbers >= 0)
+        document = np.searchsorted(text.first, at, side="right") - 1
+        within = at + n <= text.first[document + 1]
+        pairs = np.unique(np.stack([document[within], numbers[at[within]]], axis=1), axis=0)
+        found.update((d, item_id) for d, number in pairs.tolist() for item_id in ids[number])
+    return found
+
+
 def _of(text: Words, vocabulary: Vocabulary) -> list[np.ndarray]:
     numbers = vocabulary.numbers(text.hash)
     return [numbers[a:b] for a, b in zip(text.first, text.first[1:])]
@@ -108,7 +156,7 @@ def _frequencies(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size + 1, np.int64)
         for batch in pieces(batches):
-            text = words(batch["text"], ALPHANUMERIC)
+            text = _words(batch["text"])
             numbers = sent.value.numbers(text.hash)
             of = np.repeat(np.arange(len(batch)), np.diff(text.first))
             known = np.flatnonzero(numbers >= 0)
@@ -136,7 +184,7 @@ def _range_sum(
         known, weight, start = sent.value
         total, count = np.zeros((size, rank), np.float64), 0
         for batch in pieces(batches):
-            text = words(batch["text"], ALPHANUMERIC)
+            text = _words(batch["text"])
             numbers, starts = _passages(text, known.numbers(text.hash), weight)
             _add(total, numbers, starts, start)
             count += len(numbers)
@@ -170,7 +218,13 @@ def _range_sum(
 
 
 def fit(documents: DataFrame, item_ids: list[int], texts: list[str], rank: int = RANK) -> Query:
-    items = words(pa.array(texts, pa.string()), ALPHANUMERIC)
+    long = np.diff(_words(pa.array(texts, pa.string())).first) >= LEAST_WORDS
+    short = _short(*([x for x, is_long in zip(some, long) if not is_long] for some in (item_ids, texts)))
+    item_ids, texts = ([x for x, is_long in zip(some, long) if is_long] for some in (item_ids, texts))
+    if not texts:
+        none = np.zeros((0, 1), np.float32)
+        return Query([], Vocabulary(np.zeros(0, U)), [], [], none[:, 0], none, none, short)
+    items = _words(pa.array(texts, pa.string()))
     vocabulary = Vocabulary(items.hash)
     frequency, n = _frequencies(documents, vocabulary)
     weights = np.maximum(FLOOR, np.log((n + 1) / (frequency + 0.5)))
@@ -186,8 +240,8 @@ def fit(documents: DataFrame, item_ids: list[int], texts: list[str], rank: int =
     latent = (basis * weights[:, None]).astype(np.float32)
     directions = np.stack([latent[w].sum(axis=0) for w in of_items])
     directions /= np.maximum(np.linalg.norm(directions, axis=1, keepdims=True), 1e-9)
-    answers = _of(words(pa.array([_answer(t) for t in texts], pa.string()), ALPHANUMERIC), vocabulary)
-    return Query(item_ids, vocabulary, of_items, answers, weights, latent, directions)
+    answers = _of(_words(pa.array([_answer(t) for t in texts], pa.string())), vocabulary)
+    return Query(item_ids, vocabulary, of_items, answers, weights, latent, directions, short)
 
 
 def common_length(text: list[int], item: list[int]) -> int:
@@ -238,6 +292,8 @@ def _near(
 
 def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int, float]]:
     """(document, item, first word, end, cosine) of all candidate windows."""
+    if not query.item_ids:
+        return
     numbers = query.vocabulary.numbers(text.hash)
     n = np.diff(text.first)
     count = -(-n // STEP)
@@ -315,11 +371,11 @@ def leaks(query: Query, text: Words) -> dict[tuple[int, int], tuple[float, float
 
 
 def queries_of(documents: DataFrame, benchmark: DataFrame) -> Iterator[Query]:
-    """One for each ``ITEMS`` items. Items without id, text or ``LEAST_WORDS`` words are left out."""
+    """One for each ``ITEMS`` items. Items without id, text or any word are left out."""
     rows = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
         F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text").collect()
-    count = np.diff(words(pa.array([r[1] for r in rows], pa.string()), ALPHANUMERIC).first)
-    rows = [r for r, n in zip(rows, count) if n >= LEAST_WORDS]
+    count = np.diff(_words(pa.array([r[1] for r in rows], pa.string())).first)
+    rows = [r for r, n in zip(rows, count) if n]
     for at in range(0, len(rows), ITEMS):
         some = rows[at:at + ITEMS]
         yield fit(documents, [r[0] for r in some], [r[1] for r in some])
@@ -331,8 +387,8 @@ RESULT = "doc_id long, item_id long, cosine double, part double, answer double"
 def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, part and answer of every leak of an item in a document.
 
-    Words are runs of digits, letters (A-Z lower-cased) and characters beyond ASCII. NULL and
-    empty texts have no leaks. Repeated documents each have their rows, also without a doc_id;
+    Words are runs of digits, letters (A-Z lower-cased) and characters beyond ASCII; characters of
+    scripts without spaces stand alone. NULL and empty texts have no leaks. Repeated documents each have their rows, also without a doc_id;
     items that are repeated with the same id and text count once. Empty documents or an
     empty benchmark give an empty result. Other columns play no part.
     """
@@ -342,12 +398,14 @@ def find(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
-                found = leaks(sent.value, words(batch["text"], ALPHANUMERIC))
+                text = _words(batch["text"])
+                found = [(d, sent.value.item_ids[i], *x) for (d, i), x in leaks(sent.value, text).items()]
+                found += [(d, item_id, 1.0, 1.0, 1.0) for d, item_id in short_leaks(sent.value, text)]
                 if found:
-                    at = pa.array([document for document, _ in found], pa.int64())
-                    items = pa.array([sent.value.item_ids[item] for _, item in found], pa.int64())
+                    at, items, *shares = zip(*found)
                     yield pa.RecordBatch.from_arrays(
-                        [batch["doc_id"].cast("int64").take(at), items, *map(pa.array, zip(*found.values()))],
+                        [batch["doc_id"].cast("int64").take(pa.array(at, pa.int64())), pa.array(items, pa.int64()),
+                         *map(pa.array, shares)],
                         ["doc_id", "item_id", "cosine", "part", "answer"])
 
         part = documents.select("doc_id", "text").mapInArrow(run, RESULT)
@@ -365,7 +423,8 @@ def drop_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             for batch in batches:
                 clean, at = np.ones(len(batch), bool), 0
                 for piece in pieces(iter([batch])):
-                    for document, _ in leaks(sent.value, words(piece["text"], ALPHANUMERIC)):
+                    text = _words(piece["text"])
+                    for document, _ in (*leaks(sent.value, text), *short_leaks(sent.value, text)):
                         clean[at + document] = False
                     at += len(piece)
                 yield batch.filter(pa.array(clean))

@@ -88,9 +88,40 @@ def runs(data: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> tuple[np
     return np.flatnonzero(opens), np.flatnonzero(closes) + 1
 
 
-def words(column: pa.Array, word_bytes: np.ndarray) -> Words:
+def _unspaced() -> np.ndarray:
+    """For the first two bytes of a character: is it of a script without spaces (or its marks)?"""
+    out = np.zeros((256, 256), bool)
+    for first, last in (
+        (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF),  # Thai, Lao, Tibetan; Myanmar; Khmer
+        (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF),  # Han, kana, Yi; compatibility; full width
+        (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),  # old kana; rare Han
+    ):
+        for code in range(first, last + 1, 64):
+            a, b = chr(code).encode()[:2]
+            out[a, b] = True
+    return out
+
+
+UNSPACED = _unspaced()
+
+
+def _cut(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, with every character of a script without spaces a run of its own."""
+    at = np.flatnonzero(data[:-1] >= 0xE0)
+    at = at[UNSPACED[data[at], data[at + 1]]]
+    if not len(at):
+        return begin, end
+    after = at + np.where(data[at] >= 0xF0, 4, 3)
+    begins = np.union1d(np.union1d(begin, at), after[~np.isin(after, end)])
+    return begins, np.union1d(np.union1d(end, after), at[~np.isin(at, begin)])
+
+
+def words(column: pa.Array, word_bytes: np.ndarray, cut: bool = False) -> Words:
+    """``cut``: characters of scripts without spaces are words of their own."""
     data, offsets = text_bytes(column)
     begin, end = runs(data, offsets, word_bytes)
+    if cut:
+        begin, end = _cut(data, begin, end)
     sums = np.zeros(len(data) + 1, U)
     np.cumsum(_byte_values()[data] * _power(BASE, len(data)), out=sums[1:])
     hashes = mix((sums[end] - sums[begin]) * _power(BACK, len(data) + 1)[begin])

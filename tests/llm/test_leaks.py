@@ -99,3 +99,31 @@ def test_an_item_in_any_share_of_the_rows(spark, share):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     found = {r["doc_id"] for r in decontaminate.find(docs, benchmark).filter("item_id = 0").collect()}
     assert found == set(range(int(200 * share)))
+
+
+def test_words_of_scripts_without_spaces():
+    texts = ["", "日本語", "ab日x本", "a。b é𠀀ü", "ไทย", "한국어 ok", "x"]
+    text = words(pa.array(texts), ALPHANUMERIC, cut=True)
+    data = "".join(texts).encode()
+    found = [[data[a:b].decode() for a, b in zip(text.begin[i:j], text.end[i:j])] for i, j in zip(text.first, text.first[1:])]
+    assert found == [[], ["日", "本", "語"], ["ab", "日", "x", "本"], ["a", "。", "b", "é", "𠀀", "ü"], ["ไ", "ท", "ย"],
+                     ["한국어", "ok"], ["x"]]
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "水的沸点在海平面上是多少度。答案是一百摄氏度。"
+    items = [(1, "Who wrote Hamlet?"), (2, chinese), (3, "何ですか"), (4, "Zanzibar"), (5, "who wrote hamlet"), (6, "?!")]
+    texts = [
+        (1, "He asked: WHO wrote Hamlet, and why"), (2, f"前面的文字{chinese}后面的文字也在这里"), (3, "これは何ですか、と"),
+        (4, "who wrote of Hamlet"), (5, "Hamlet"), (6, "who wrote"), (7, "in Zanzibar."), (8, "水的沸点"), (9, None),
+        (10, "前面" + chinese.replace("海平面", "这个山") + "后面"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.find(docs, benchmark).collect()
+    expected = [(1, 1), (1, 5), (2, 2), (3, 3), (7, 4), (10, 2)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in rows) == expected
+    assert {r["doc_id"] for r in decontaminate.drop_leaks(docs, benchmark).collect()} == {4, 5, 6, 8, 9}
+    only_short = benchmark.filter("item_id <> 2")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, only_short).collect()) == [
+        pair for pair in expected if pair[1] != 2]
