@@ -12,7 +12,9 @@ documents, is estimated first: a plain positive-against-unlabelled model ranks b
 the smallest ratio of their upper shares, with a margin for chance, is the prior. Last, the scores
 are calibrated on labelled training rows of both classes.
 
-Training samples are bounded (``SAMPLE``); they are picked by a hash of doc_id, alike at every size.
+Training samples are bounded in rows (``SAMPLE``): one row for each labelled doc_id, picked by a hash
+of it, and unlabelled rows picked by a hash of doc_id and text. Equal rows are drawn by their number,
+so a share of the table is that share of the sample.
 Every document is scored from its whole text.
 """
 
@@ -223,24 +225,33 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
         known.filter("label = 0").orderBy(order).limit(sample))  # at most 2 * sample rows
     free = documents.filter(~is_held_out(F.col("doc_id")))
     share = min(1.0, 2 * sample / max(1, free.count()))
-    by_chance = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < F.lit(round(share * (1 << 30)))
-    picked = free.select("doc_id", "text").join(F.broadcast(some), "doc_id", "left").select(
-        "text", F.coalesce("label", F.lit(-1)).alias("label"), by_chance.alias("unlabelled")
-    ).filter("label >= 0 OR unlabelled")
+    free = free.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    row_key = F.xxhash64("doc_id", "text").alias("key")
+    by_chance = F.pmod(F.xxhash64("key", F.lit("unlabelled")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = (
+        free.groupBy(row_key).agg(F.count("*").alias("n"))
+        .select("key", F.floor(F.col("n") * F.lit(share) + by_chance).alias("draws")).filter("draws > 0")
+        .orderBy(F.xxhash64("key")).limit(4 * sample)  # twice as many as are to be expected at most
+    )
+    labelled = free.join(F.broadcast(some), "doc_id").groupBy(F.xxhash64("doc_id").alias("key"), "label").agg(
+        F.min("text").alias("text")).withColumn("draws", F.lit(0).cast("long"))
+    unlabelled = free.select(row_key, "text").join(F.broadcast(drawn), "key").groupBy("key", "draws").agg(
+        F.min("text").alias("text")).withColumn("label", F.lit(-1))
+    picked = labelled.unionByName(unlabelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             rows = features(batch["text"])
             yield pa.RecordBatch.from_arrays(
-                [batch["label"], batch["unlabelled"], pa.array([r.tobytes() for r in rows], pa.binary())],
-                ["label", "unlabelled", "row"])
+                [batch["key"], batch["label"], batch["draws"], pa.array([r.tobytes() for r in rows], pa.binary())],
+                ["key", "label", "draws", "row"])
 
-    got = picked.mapInArrow(run, "label int, unlabelled boolean, row binary").toArrow()
+    got = picked.mapInArrow(run, "key long, label int, draws long, row binary").toArrow().sort_by("key")
     rows = np.frombuffer(b"".join(got["row"].to_pylist()), np.float32).reshape(-1, WIDTH)
-    label, unlabelled = got["label"].to_numpy(), got["unlabelled"].to_numpy()
-    if not (label == 1).any() or not unlabelled.any():
+    label, draws = got["label"].to_numpy(), got["draws"].to_numpy()
+    if not (label == 1).any() or not draws.any():
         return None
-    return train(rows[label == 1], rows[unlabelled], rows[label == 0])
+    return train(rows[label == 1], np.repeat(rows, draws, axis=0), rows[label == 0])
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
