@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import bitplane, decontaminate, licenses, near_dup, packing, quality, secret_scan, sharding, topk, url_rules
+from barflow.llm import (
+    bitplane, conversations, decontaminate, hard_negatives, licenses, mixing, near_dup, packing, quality, secret_scan,
+    sharding, topk, url_rules,
+)
 from barflow.llm.common import prepare, read
 
 #: The rules (host, path, verdict) of the URL query.
@@ -73,9 +76,27 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.groups(read(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten hard negatives for each of the five positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    embeddings = read(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
+
+
+def op12_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.shares(read(spark, folder, "documents").select("doc_id", "source", "text"))
+
+
+def op13_repaired_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after damage."""
+    return conversations.repaired(read(spark, folder, "conversations"), conversations.damage_kind())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_license_spans, op2_pack_windows, op3_secret_spans, op4_url_rules, op5_shard_table,
         op6_benchmark_leaks, op7_quality_scores, op8_id_planes, op9_threshold_top5, op10_near_duplicates,
+        op11_hard_negatives, op12_source_mix, op13_repaired_conversations,
     ]
     return {f.__name__: (lambda s, d, f=f: f(prepare(s), d)) for f in named}

@@ -1,0 +1,182 @@
+"""Repair of conversations against trying all edits, and against a plain run over the rows."""
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import pytest
+
+from barflow.llm import conversations as cv
+from barflow.llm.queries import queries
+
+SHORT = "conv_id long, turn long, role string, text string"
+SCHEMA = SHORT + ", cost long, first string"
+WELL = re.compile(r"(s?(ua)+)?\Z")
+SPACE = " \t\n\v\f\r"
+
+
+def apply(audit, rows):
+    """(cost, lines) of the edits on (role, text, must_go, truncated) rows, or None if they may not be."""
+    out, at, cost = [], 0, 0
+
+    def expected():
+        return "a" if out and out[-1][0][:1] == "u" else "u"
+
+    for letter in audit:
+        if letter == "I":
+            out.append(({"u": "user", "a": "assistant"}[expected()], ""))
+            cost += 5
+            continue
+        if at == len(rows):
+            return None
+        role, text, must_go, cut = rows[at]
+        at += 1
+        if letter == "D":
+            cost += 2
+            continue
+        if must_go:
+            return None
+        cost += 5 * cut + (letter == "R")
+        out.append((role if letter == "K" else {"u": "user", "a": "assistant"}[expected()], text))
+    if at < len(rows) or not WELL.match("".join(r[:1] or "?" for r, _ in out)):
+        return None
+    return cost, [f"{r}:{t}" for r, t in out]
+
+
+def try_all(rows):
+    """The least (cost, audit) over all edits with up to two insertions."""
+    found = []
+    for n in range(len(rows), len(rows) + 3):
+        for letters in product("DIKR", repeat=n):
+            if (told := apply(letters, rows)) is not None:
+                found.append((told[0], "".join(letters)))
+    return min(found)
+
+
+def plain(rows):
+    """The same by a table over rows and what was written last."""
+    step = {"": "su", "s": "u", "u": "a", "a": "u"}
+    now = {"": (0, "")}
+
+    def insert(states):
+        for _ in range(3):
+            for last, (cost, audit) in list(states.items()):
+                for letter in step[last]:
+                    if letter != "s":
+                        states[letter] = min(states.get(letter, (1 << 60, "")), (cost + 5, audit + "I"))
+        return states
+
+    for role, _, must_go, cut in rows:
+        after = {}
+        for last, (cost, audit) in insert(now).items():
+            options = [(last, 2, "D")]
+            if not must_go:
+                for letter in step[last]:
+                    if role[:1] == letter:
+                        options.append((letter, 5 * cut, "K"))
+                    elif letter != "s":
+                        options.append((letter, 1 + 5 * cut, "R"))
+            for state, more, letter in options:
+                after[state] = min(after.get(state, (1 << 60, "")), (cost + more, audit + letter))
+        now = after
+    now = insert(now)
+    return min(now[s] for s in ("", "a") if s in now)
+
+
+def expected(rows, damage):
+    """The result for (conv_id, turn, role, text) rows, conversation by conversation."""
+    by_id = {}
+    for conv_id, turn, role, text in rows:
+        held = by_id.setdefault(conv_id, [])
+        named = [" " if x is None else x for x in (conv_id, turn)]
+        kind = zlib.crc32(f"{named[0]}:{named[1]}".encode()) % 20 if damage else 5
+        role, text = (" " if x is None else x for x in (role, text))
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        held += [(turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    out = {}
+    for conv_id, held in by_id.items():
+        held.sort(key=lambda r: (r[0] is not None, r[0] or 0))
+        seen, checked, faults = set(), [], [0, 0, 0]
+        for _, role, text in held:
+            end = text.rstrip(SPACE)
+            blank, again, cut = not end, (role, text) in seen, bool(end) and end[-1] not in ".!?"
+            seen.add((role, text))
+            for i, x in enumerate((blank, again and not blank, cut and not again)):
+                faults[i] += x
+            checked.append((role, text, blank or again, cut and not again))
+        turns = [t for t, _, _ in held if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        initials = [r[:1] for _, r, _ in held]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        cost, audit = plain(checked)
+        _, lines = apply(audit, checked)
+        out[conv_id] = (gaps, *faults, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def some_rows(rng, n):
+    texts = ["Yes.", "No", "Why? ", " ", "", "On and on", "End!\n"]
+    return [(rng.choice(["user", "assistant", "system", "tool", "", "Una"]), rng.choice(texts)) for _ in range(n)]
+
+
+def test_agenda_finds_the_least_of_all_edits():
+    rng = random.Random(3)
+    for _ in range(60):
+        rows = [(role, text, rng.random() < 0.2, rng.random() < 0.3) for role, text in some_rows(rng, rng.randrange(5))]
+        found = cv.repair([cv.Row(r[:1], must_go, cut and not must_go) for r, _, must_go, cut in rows])
+        told = [(r, t, m, c and not m) for r, t, m, c in rows]
+        assert found == try_all(told) == plain(told)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    """Short and long conversations, NULLs in every column, repeated rows, one without any row left."""
+    rng = random.Random(11)
+    out = []
+    for conv_id in range(40):
+        turn = 0
+        for role, text in some_rows(rng, rng.randrange(1, 9)):
+            out.append((conv_id, turn, role, text))
+            turn += rng.choice([1, 1, 1, 2])
+    for turn, (role, text) in enumerate(some_rows(rng, 300)):
+        out.append((100, turn * 2, role, text + str(turn) if turn % 3 else text))
+    out += [(101, None, "user", "Hi."), (101, 0, None, "x."), (101, 1, "assistant", None), (None, 3, "user", "Yes.")]
+    out += [(102, t, "user", "Same.") for t in range(5)] + [(103, None, None, None), (104, 1, "user", "a" * 50_000 + " " * 50_000)]
+    dropped = next(t for t in range(1000) if zlib.crc32(f"105:{t}".encode()) % 20 == 0)
+    return [*out, (105, dropped, "user", "Gone.")]
+
+
+@pytest.mark.parametrize("segment, fan", [(512, 32), (4, 2), (16, 3)])
+@pytest.mark.parametrize("damage", [True, False])
+def test_every_conversation(spark, rows, segment, fan, damage):
+    frame = spark.createDataFrame([(*r, 1, "x") for r in random.Random(1).sample(rows, len(rows))], SCHEMA).repartition(5)
+    found = cv.repaired(frame, cv.damage_kind() if damage else None, segment, fan).collect()
+    assert {r["conv_id"]: tuple(r)[1:] for r in found} == expected(rows, damage)
+    assert len(found) == len({r[0] for r in rows})
+
+
+def test_nothing_left_and_nothing_at_all(spark, rows):
+    found = {r[0]: tuple(r)[1:] for r in cv.repaired(spark.createDataFrame(rows[-1:], SHORT), cv.damage_kind()).collect()}
+    assert found == {105: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+    assert cv.repaired(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_ties_of_a_turn_do_not_depend_on_the_order_read(spark):
+    rows = [(1, 0, "user", "B?"), (1, 0, "user", "A?"), (1, 0, "assistant", "C."), (1, 0, "user", "A?")]
+    told = {tuple(cv.repaired(spark.createDataFrame(random.Random(i).sample(rows, 4), SHORT)).first()) for i in range(4)}
+    assert len(told) == 1 and told.pop()[2:4] == (0, 1)
+
+
+def test_whole_table(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    found = queries()["op13_repaired_conversations"](spark, folder).collect()
+    assert {r["conv_id"]: tuple(r)[1:] for r in found} == expected(rows, True)
