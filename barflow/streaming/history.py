@@ -6,8 +6,10 @@ of all earlier rounds (``settled``). A round writes its bars to a store under it
 the last 19 bars of its symbols from the rounds before, and runs the batch operator on both: the
 work stays in the JVM and a symbol with a large share of the bars is cut into chunks.
 
-Watermark, late rows and the state of bars that still wait are Spark's. A replayed round replaces
-its own folder and reads only earlier ones, so it gives the same rows again. Catching up on a
+The last 19 bars come from a snapshot and the rounds since (``tails``), so a round reads the same
+few folders however long the stream has been running. Watermark, late rows and the state of bars that
+still wait are Spark's. A replayed round replaces its own folder and reads only earlier ones, so it
+gives the same rows again. Catching up on a
 backlog and going on live are the same job with another trigger: they share store and checkpoint.
 """
 
@@ -15,19 +17,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.observation import Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from barflow.operators.enrich import enrich, rows_before
 from barflow.schema import MINUTE_BAR_CHUNK
 from barflow.sinks import BatchWriter
 from barflow.sources import messages
-
-ROUND = "batch_id"
-#: Older bars of the store are read only for symbols with fewer than 19 bars within this time.
-LOOKBACK = "30 days"
+from barflow.streaming.tails import EVERY, ROUND, bars_before, round_folder, write_snapshot
 
 
 def on_time(bars: DataFrame, delay: str) -> DataFrame:
@@ -38,40 +37,38 @@ def on_time(bars: DataFrame, delay: str) -> DataFrame:
     return bars.withWatermark("timestamp", delay)
 
 
-def settled(parsed: DataFrame, delay: str) -> DataFrame:
+def settled(parsed: DataFrame, delay: str, keep: Sequence[str] = ()) -> DataFrame:
     """Each bar of a stream of parsed messages once, its last copy, when the watermark passes it.
 
-    ``symbol`` and ``timestamp`` must not be NULL: reject such rows first.
+    ``symbol`` and ``timestamp`` must not be NULL: reject such rows first. ``keep`` names more columns
+    of that copy.
     """
-    return messages.last_copies(on_time(parsed, delay))
-
-
-def stored_bars(spark: SparkSession, store: str, schema: T.StructType, before: int) -> DataFrame:
-    """The bars of all rounds before round ``before``."""
-    known = T.StructType([T.StructField(f.name, f.dataType) for f in schema]).add(ROUND, T.LongType())
-    rows = spark.read.schema(known).option("ignoreMissingFiles", True).parquet(store)
-    return rows.filter(F.col(ROUND) < before).drop(ROUND)
+    return messages.last_copies(on_time(parsed, delay), keep)
 
 
 def history_rounds(
     store: str, sinks: Sequence[BatchWriter], chunk: str | None = MINUTE_BAR_CHUNK,
-    lookback: str | None = LOOKBACK,
+    lookback: str | None = None, every: int = EVERY,
 ) -> BatchWriter:
     """A ``foreachBatch`` function that enriches settled bars and hands them to every sink.
 
-    A sink may see a round again after a failure and must then replace what it wrote for it.
+    A sink may see a round again after a failure and must then replace what it wrote for it. A
+    snapshot of the last bars is written ``every`` so many rounds; with a ``lookback`` its older bars
+    are read only for symbols with fewer than 19 bars within that time.
     """
 
     def run(batch: DataFrame, number: int) -> None:
-        spark, folder = batch.sparkSession, f"{store}/{ROUND}={number}"
-        batch.write.mode("overwrite").parquet(folder)
-        new = spark.read.schema(batch.schema).parquet(folder)
-        first = new.agg(F.unix_micros(F.min("timestamp").cast("timestamp"))).first()[0]
+        spark, folder, seen = batch.sparkSession, round_folder(store, number), Observation()
+        batch.observe(seen, F.unix_micros(F.min("timestamp").cast("timestamp")).alias("first")).write.mode(
+            "overwrite").parquet(folder)
+        write_snapshot(spark, store, batch.schema, number, every)
+        first = seen.get["first"]
         if first is None:
             return
+        new = spark.read.schema(batch.schema).parquet(folder)
         start = F.timestamp_micros(F.lit(first))
         symbols = new.select("symbol").distinct()
-        earlier = stored_bars(spark, store, batch.schema, number).join(symbols, "symbol", "left_semi")
+        earlier = bars_before(spark, store, batch.schema, number, every).join(symbols, "symbol", "left_semi")
         before = rows_before(earlier, start, symbols, lookback=lookback)
         enriched = enrich(before.unionByName(new), chunk=chunk).filter(F.col("timestamp") >= start)
         if len(sinks) > 1:
