@@ -48,6 +48,29 @@ def utc_session(spark: SparkSession) -> SparkSession:
     return child
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system of a path, and the path for it; any store that Spark reads will do."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it does not exist."""
+    system, place = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file if it is there."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
 @cache
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="run-")
