@@ -81,19 +81,29 @@ def start_reject_files(envelope: DataFrame, path: str, checkpoints: str) -> Stre
     )
 
 
+def start_field_error_files(envelope: DataFrame, path: str, checkpoints: str) -> StreamingQuery:
+    """Store the fields that are not of their type, with their text and message, by field."""
+    return (
+        messages.field_errors(envelope).writeStream.queryName("field_errors").format("parquet")
+        .partitionBy("field").option("path", path)
+        .option("checkpointLocation", f"{checkpoints}/field_errors")
+        .trigger(processingTime=sinks.DATABASE_EVERY).start()
+    )
+
+
 def start_bar_table(
     envelope: DataFrame, connection: Mapping[str, str], rejects: str, checkpoints: str, delay: str = DELAY
 ) -> StreamingQuery:
     """Append the bars of a message stream to the bar table, each bar's last copy.
 
-    Bars that the table cannot hold go to files, with the reason.
+    Bars that the table cannot hold go to files, with the reason and the message.
     """
     bars, _ = bars_of_messages(envelope)
     write = sinks.split_writer(
         quality.with_stock_reason, quality.stock_data_rows,
         sinks.jdbc_writer(connection, BAR_TABLE, sinks.BAR_KEY), rejects)
     return sinks.each_batch(
-        settled(bars, delay), write, f"{checkpoints}/{BAR_TABLE}", BAR_TABLE
+        settled(bars, delay, ["message_value"]), write, f"{checkpoints}/{BAR_TABLE}", BAR_TABLE
     ).start()
 
 

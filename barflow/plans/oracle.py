@@ -138,6 +138,12 @@ checked AS (
 _WATCH_LIST = "symbol IN (SELECT 'S' || s_suppkey FROM supplier WHERE s_acctbal > 0)"
 
 
+_ISO = """strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f')"""
+
+# The year before which a round of stored signals ends, and in which it is created.
+_ROUND_END = 'CASE WHEN year("timestamp") < 1995 THEN 1995 WHEN year("timestamp") < 1997 THEN 1997 ELSE 2100 END'
+
+
 def oracle_sql() -> dict[str, str]:
     bars, monitor, enriched = _names(BAR_COLUMNS), _names(MONITOR_COLUMNS), _names(ENRICHED)
     at = 'symbol, "timestamp"'
@@ -250,6 +256,31 @@ def oracle_sql() -> dict[str, str]:
             f'SELECT {monitor} FROM risked WHERE "timestamp" >= '
             '(SELECT max("timestamp") FROM risked) - INTERVAL 90 DAY', ENRICH, RULES,
         ),
+        "signals_of_symbol_all_time": _weekly(f"SELECT {monitor} FROM risked WHERE symbol = 'S7'", ENRICH, RULES),
+        "signals_created_since": _weekly(
+            f"SELECT {monitor}, make_timestamp({_ROUND_END}, 1, 1, 0, 0, 0) AS created_at FROM risked "
+            f"WHERE {_ROUND_END} >= 1997", ENRICH, RULES),
+        "signals_appended_twice": _weekly(f"SELECT {monitor} FROM risked", ENRICH, RULES),
+        "signals_numbered": _weekly(
+            f'SELECT row_number() OVER (ORDER BY {_ROUND_END}, symbol, "timestamp", signal) AS id, '
+            f"{at}, signal FROM risked", ENRICH, RULES),
+        "bar_field_errors": f"""WITH {_EVENT_BARS}, bodies AS (
+            SELECT *, '{{"symbol":"' || symbol || '","timestamp":"'
+              || CASE event_type WHEN 'view' THEN 'not a time' ELSE {_ISO} END || '","open":' || open || ',"high":'
+              || CASE event_type WHEN 'purchase' THEN 'true' ELSE CAST(high AS VARCHAR) END || ',"low":' || low || ',"close":'
+              || CASE event_type WHEN 'click' THEN '"' || symbol || '"' ELSE CAST(close AS VARCHAR) END || ',"volume":' || volume
+              || CASE event_type WHEN 'signup' THEN '.5' ELSE '' END || '}}' AS body FROM event_bars)
+            SELECT "timestamp" AS kafka_timestamp, body,
+              CASE event_type WHEN 'view' THEN 'timestamp' WHEN 'purchase' THEN 'high' WHEN 'click' THEN 'close'
+                ELSE 'volume' END AS field,
+              CASE event_type WHEN 'view' THEN 'not a time' WHEN 'purchase' THEN 'true' WHEN 'click' THEN symbol
+                ELSE volume || '.5' END AS raw
+            FROM bodies WHERE event_type IN ('view', 'purchase', 'click', 'signup')""",
+        "stream_late_bars": _daily(
+            f'SELECT {bars}, CASE WHEN user % 5 = 0 AND "timestamp" <= missed THEN missed END AS watermark FROM ('
+            'SELECT *, CAST(substr(symbol, 2) AS BIGINT) AS user, (max("timestamp") FILTER '
+            "(CAST(substr(symbol, 2) AS BIGINT) % 5 <> 0) OVER ()) - INTERVAL 3 DAY AS missed FROM bars)"),
+        "stream_bars_upserted": _daily(f"SELECT {bars} FROM bars"),
         "stream_bars_user_day": _daily(f"SELECT {bars} FROM bars"),
         "stream_signal_monitor": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "stream_enriched_rounds": _weekly(f"SELECT {enriched} FROM enriched", ENRICH),
@@ -261,6 +292,11 @@ def oracle_sql() -> dict[str, str]:
             DIRTY_DAY, [ENRICH, RULES], f"SELECT {monitor} FROM risked"),
         "stock_data_rejects": _query(DIRTY_DAY, [], f"""SELECT {at}, CASE
             WHEN length(symbol) > 10 THEN 'symbol too long' WHEN volume IS NULL THEN 'no volume'
-            ELSE 'no fetch time' END AS reject_reason FROM bars
+            ELSE 'no fetch time' END AS reject_reason,
+            '{{"symbol":"' || symbol || '","timestamp":"' || {_ISO} || '","open":' || open || ',"high":' || high
+              || ',"low":' || low || ',"close":' || close
+              || CASE WHEN volume IS NULL THEN '' ELSE ',"volume":' || volume END
+              || CASE WHEN length(symbol) % 3 = 0 THEN '' ELSE ',"fetch_time":"' || {_ISO} || '"' END || '}}' AS body
+            FROM bars
             WHERE length(symbol) > 10 OR volume IS NULL OR length(symbol) % 3 = 0"""),
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow import sinks
+from barflow import sinks, store
 from barflow.functions import rules
 from barflow.operators import enrich as en
 from barflow.operators import quality
@@ -19,6 +19,7 @@ from barflow.schema import BAR_COLUMNS, ENVELOPE, HISTORY_COLUMNS, MONITOR_COLUM
 from barflow.session import utc_session, work_dir
 from barflow.sources import bars as bs
 from barflow.sources import messages, tables
+from barflow.streaming import late, provisional
 from barflow.streaming.history import history_rounds, settled
 from barflow.streaming.run import drain_to_end, run_once
 
@@ -216,11 +217,35 @@ def _checked_bars(spark: SparkSession, folder: str) -> DataFrame:
     bars = dirty_day_bars(spark, folder)
     fetched = F.when(F.length("symbol") % 3 != 0, F.col("timestamp"))
     accepted, _ = bars_of_messages(messages.encode(bars, fetched))
-    return quality.with_stock_reason(messages.last_copies(accepted))
+    return quality.with_stock_reason(messages.last_copies(accepted, ["message_value"]))
 
 
 def stock_data_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.rejects(_checked_bars(spark, folder)).select("symbol", "timestamp", quality.REASON)
+    return quality.rejects(_checked_bars(spark, folder)).select(
+        "symbol", "timestamp", quality.REASON, F.col("message_value").cast("string").alias("body"))
+
+
+def wrong_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Event messages where the event type decides which field is not of its type."""
+    events = tables.load(spark, folder, "events")
+    kind, sent = F.col("event_type"), F.col("ts").cast("timestamp")
+    price, quantity = F.col("value").cast("string"), F.get_json_object("props", "$.k")
+    quoted = F.concat(F.lit('"U'), "user_id", F.lit('"'))
+    fields = [
+        ("symbol", quoted), ("timestamp", F.when(kind == "view", F.lit('"not a time"')).otherwise(
+            F.concat(F.lit('"'), messages.iso(sent), F.lit('"')))),
+        ("open", price), ("high", F.when(kind == "purchase", F.lit("true")).otherwise(price)),
+        ("low", price), ("close", F.when(kind == "click", quoted).otherwise(price)),
+        ("volume", F.when(kind == "signup", F.concat(quantity, F.lit(".5"))).otherwise(quantity)),
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{name}":'), text) for name, text in fields]), F.lit("}"))
+    kept = F.when(kind == "error", 20).otherwise(F.length(body))
+    return events.select(F.substring(body, F.lit(1), kept).cast("binary").alias("value"), sent.alias("timestamp"))
+
+
+def bar_field_errors(spark: SparkSession, folder: str) -> DataFrame:
+    return messages.field_errors(wrong_fields(spark, folder)).select(
+        "kafka_timestamp", F.col("message_value").cast("string").alias("body"), "field", "raw")
 
 
 def _checked_signals(spark: SparkSession, folder: str) -> DataFrame:
@@ -271,6 +296,68 @@ def signals_since(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.signals_since(stored, 90, PERIOD).select(*MONITOR_COLUMNS)
 
 
+#: Rounds of weekly signals in the store with a manifest: the year before which a round ends. A round is
+#: created at the start of that year. A file of the clustered copy has so many rows.
+ROUNDS = (1995, 1997, 2100)
+CLUSTER_ROWS = 256
+
+
+def _signal_rounds(spark: SparkSession, folder: str) -> list[tuple[DataFrame, Column]]:
+    """(signals, time of creation) of each round."""
+    path = work_dir(spark, "weekly-signals")
+    calendar_signals(supplier_week_bars(spark, folder)).write.parquet(path)
+    signals, year = spark.read.parquet(path), F.year("timestamp")
+    return [
+        (signals.filter((year >= first) & (year < last)), F.lit(f"{last}-01-01").cast("timestamp"))
+        for first, last in zip((0, *ROUNDS), ROUNDS)
+    ]
+
+
+def manifest_store(spark: SparkSession, folder: str) -> str:
+    """Folder of a store with the weekly signals in rounds."""
+    path = work_dir(spark, "signal-store")
+    for number, (rows, created) in enumerate(_signal_rounds(spark, folder)):
+        store.append(rows, path, number, created)
+    return path
+
+
+def signals_of_symbol_all_time(spark: SparkSession, folder: str) -> DataFrame:
+    """All signals of one symbol, from the few files of the clustered copy that may hold it."""
+    path, target = manifest_store(spark, folder), work_dir(spark, "clustered")
+    store.cluster(spark, path, target, len(ROUNDS), CLUSTER_ROWS)
+    return store.read(spark, path, symbol="S7", clustered=(target, len(ROUNDS))).select(*MONITOR_COLUMNS)
+
+
+def signals_created_since(spark: SparkSession, folder: str) -> DataFrame:
+    """The signals of the rounds created in 1997 or later, whatever their event times."""
+    since = F.lit("1997-01-01").cast("timestamp")
+    rows = store.read(spark, manifest_store(spark, folder), created_since=since)
+    return rows.select(*MONITOR_COLUMNS, store.CREATED)
+
+
+def signals_appended_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """The store after two replays and a crash between staging and commit."""
+    path, rounds = work_dir(spark, "replayed"), _signal_rounds(spark, folder)
+    store.append(*_round(rounds, 0, path))
+    store.stage(*_round(rounds, 1, path))  # never committed
+    for number in (0, 1, 0, 1, 2):
+        store.append(*_round(rounds, number, path))
+    return store.read(spark, path).select(*MONITOR_COLUMNS)
+
+
+def _round(rounds: list[tuple[DataFrame, Column]], number: int, path: str) -> tuple[DataFrame, str, int, Column]:
+    rows, created = rounds[number]
+    return rows, path, number, created
+
+
+def signals_numbered(spark: SparkSession, folder: str) -> DataFrame:
+    """Numbers of the stored signals, which a replay leaves as they are."""
+    path, rounds = work_dir(spark, "numbered"), _signal_rounds(spark, folder)
+    for number in (0, 1, 1, 2, 0):
+        store.append(*_round(rounds, number, path))
+    return store.read(spark, path).select(store.ID, *sinks.SIGNAL_KEY)
+
+
 def _closing_message(spark: SparkSession) -> DataFrame:
     """A bar far behind all others, which lets the watermark pass them and stays open itself."""
     bar = spark.range(1).select(
@@ -320,7 +407,7 @@ def stream_enriched_rounds(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "rounds")
     supplier_week_bars(spark, folder).write.parquet(f"{base}/table")
     run = history_rounds(
-        f"{base}/bars", [sinks.batch_folder_writer(f"{base}/rows")], chunk=WEEKLY_CHUNK, lookback="200 days")
+        f"{base}/bars", [sinks.batch_folder_writer(f"{base}/rows")], chunk=WEEKLY_CHUNK)
     bars, year = spark.read.parquet(f"{base}/table"), F.year("timestamp")
     parts = [messages.encode(bars.filter(part), F.col("timestamp"))
              for part in (year < 1997, (year >= 1997) & (year < 1999), year >= 1999)]
@@ -332,6 +419,38 @@ def stream_enriched_rounds(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/rows").select(*ENRICHED)
 
 
+def stream_late_bars(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars of a stream, settled or too late: those of every fifth user arrive behind all others."""
+    base = work_dir(spark, "late-bars")
+    sent = messages.encode(user_day_bars(spark, folder), F.col("timestamp"), sent_at=F.col("timestamp"))
+    behind = F.substring(F.col("key").cast("string"), 2, 20).cast("bigint") % 5 == 0
+    gate = late.gate(f"{base}/gate", STREAM_DELAY)
+    for part in (sent.filter(~behind), sent.filter(behind), _closing_message(spark)):
+        part.write.mode("append").parquet(f"{base}/messages")
+        arrived, _ = bars_of_messages(_message_stream(spark, f"{base}/messages"))
+        run_once(sinks.each_batch(arrived, gate, f"{base}/gate-checkpoint", "gate"))
+    in_time = late.passed(spark, f"{base}/gate", arrived.schema)
+    run_once(sinks.each_batch(
+        settled(in_time, STREAM_DELAY), sinks.batch_folder_writer(f"{base}/settled"), f"{base}/checkpoint", "settled"))
+    found = spark.read.parquet(f"{base}/settled").select(*BAR_COLUMNS, F.lit(None).cast("timestamp").alias(late.MISSED))
+    return found.unionByName(late.late(spark, f"{base}/gate", arrived.schema).select(*BAR_COLUMNS, late.MISSED))
+
+
+def stream_bars_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars that show from their first trade on, while events arrive up to two days late."""
+    base = work_dir(spark, "provisional")
+    events = tables.load(spark, folder, "events")
+    first, last = events.agg(F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    delayed = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 3 * F.lit(86_400_000_000)
+    part = F.floor((delayed - F.lit(first)) / F.lit(max(1, last - first)) * 3)
+    for of in (part <= 0, part == 1, part >= 2):
+        events.filter(of).write.mode("append").parquet(f"{base}/events")
+        trades = tables.as_event_trades(spark.readStream.schema(events.schema).parquet(f"{base}/events"))
+        run_once(provisional.start_bars(
+            trades, "1 day", bs.time_then_id("ts", "event_id"), STREAM_DELAY, f"{base}/bars", f"{base}/checkpoint"))
+    return provisional.current_bars(spark, f"{base}/bars")
+
+
 def _named() -> dict[str, Query]:
     return {
         "bars_user_day": user_day_bars,
@@ -397,6 +516,13 @@ def _named() -> dict[str, Query]:
         "signals_by_type": signals_by_type,
         "signals_symbol_range": signals_symbol_range,
         "signals_since": signals_since,
+        "signals_of_symbol_all_time": signals_of_symbol_all_time,
+        "signals_created_since": signals_created_since,
+        "signals_appended_twice": signals_appended_twice,
+        "signals_numbered": signals_numbered,
+        "bar_field_errors": bar_field_errors,
+        "stream_late_bars": stream_late_bars,
+        "stream_bars_upserted": stream_bars_upserted,
         "stream_bars_user_day": stream_bars_user_day,
         "stream_signal_monitor": stream_signal_monitor,
         "stream_enriched_rounds": stream_enriched_rounds,

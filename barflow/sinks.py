@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping
 from datetime import date
 from typing import NamedTuple
@@ -206,9 +205,8 @@ def compact_signals(spark: SparkSession, path: str, target: str, day: date) -> N
 
 
 def newest_day(stored: DataFrame) -> date | None:
-    """The last day that a store has files of, from their names alone."""
-    days = {m[1] for name in stored.inputFiles() if (m := re.search(rf"/{DAY}=(\d{{4,}}-\d\d-\d\d)/", name))}
-    return date.fromisoformat(max(days)) if days else None
+    """The last day that a store has rows of; no column of the files is read for it."""
+    return stored.agg(F.max(DAY)).first()[0]
 
 
 def signals_since(stored: DataFrame, days: int, period: str = "day") -> DataFrame:

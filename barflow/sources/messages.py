@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow.schema import BAR_COLUMNS, ENVELOPE, MESSAGE_BODY, MESSAGE_COLUMNS
 from barflow.sources.bars import packed
@@ -58,6 +61,43 @@ def parse(messages: DataFrame) -> DataFrame:
     )
 
 
+ACCEPTED, ABSENT, WRONG = "accepted", "absent", "wrong"
+#: The fields of a body as the text that they arrived as.
+RAW_BODY = T.StructType([T.StructField(f.name, T.StringType()) for f in MESSAGE_BODY])
+TIMES = ["timestamp", "fetch_time"]
+
+
+def field_states(messages: DataFrame) -> DataFrame:
+    """Every field of every message: was it accepted, absent, or wrong, and the text that it arrived as.
+
+    A field is wrong if it has a text that is not of its type: a price or volume that is no number of
+    that kind, a time that cannot be read. A body that is no JSON object has no fields: all are absent.
+    Works on tables and on streams; the body is read twice, once by type and once as text.
+    """
+    text = F.col("value").cast("string")
+    read = messages.select(
+        F.col("timestamp").alias("kafka_timestamp"),
+        *[(F.col(c) if c in messages.columns else F.lit(None)).cast(ENVELOPE[c].dataType).alias(name)
+          for c, name in zip(("key", "value", "partition", "offset"), MESSAGE_COLUMNS)],
+        F.from_json(text, MESSAGE_BODY).alias("typed"), F.from_json(text, RAW_BODY).alias("raw"))
+
+    def state(field: str) -> Column:
+        value = F.col(f"typed.{field}")
+        value = F.try_to_timestamp(value) if field in TIMES else value
+        raw = F.col(f"raw.{field}")
+        return F.struct(
+            F.lit(field).alias("field"), raw.alias("raw"),
+            F.when(raw.isNull(), ABSENT).when(value.isNull(), WRONG).otherwise(ACCEPTED).alias("state"))
+
+    states = F.array(*[state(f.name) for f in MESSAGE_BODY])
+    return read.select("kafka_timestamp", *MESSAGE_COLUMNS, F.inline(states))
+
+
+def field_errors(messages: DataFrame) -> DataFrame:
+    """The wrong fields alone, with the message that they came in."""
+    return field_states(messages).filter(F.col("state") == WRONG).drop("state")
+
+
 def bars_of(parsed: DataFrame) -> DataFrame:
     return parsed.select(*BAR_COLUMNS)
 
@@ -77,15 +117,17 @@ def sent_order() -> Column:
     ])
 
 
-def last_copies(parsed: DataFrame) -> DataFrame:
+def last_copies(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One bar per symbol and time: of a bar that was sent repeatedly, the copy sent last.
 
-    The messages themselves are left behind. Copies are combined before the exchange, so a bar with very many of them is no hot spot; all
-    buffers are of fixed width (``fetch_time`` becomes a timestamp for that). On a stream, set the
-    watermark first; a bar then leaves once the watermark has passed it.
+    The messages themselves are left behind but for the columns in ``keep``, which cost a sort if they
+    are not of fixed width. Copies are combined before the exchange, so a bar with very many of them is
+    no hot spot; all other buffers are of fixed width (``fetch_time`` becomes a timestamp for that). On a
+    stream, set the watermark first; a bar then leaves once the watermark has passed it.
     """
     sent = sent_order()
     values = [F.max_by(c, sent).alias(c) for c in BAR_COLUMNS[2:]]
     fetched = F.max_by(F.col("fetch_time").try_cast("timestamp"), sent).alias("fetch_time")
     times = [F.max(c).alias(c) for c in ("kafka_timestamp", "processing_time")]
-    return parsed.groupBy("symbol", "timestamp").agg(*values, fetched, *times)
+    kept = [F.max_by(c, sent).alias(c) for c in keep]
+    return parsed.groupBy("symbol", "timestamp").agg(*values, fetched, *times, *kept)

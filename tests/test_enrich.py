@@ -94,6 +94,7 @@ def test_chunks_spread_a_hot_symbol(spark):
         r for i in range(40) for r in series(f"S{i}", [BASE] * 200)]
     bars = bar_frame(spark, rows)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         largest = {
             chunk: max(
@@ -104,6 +105,7 @@ def test_chunks_spread_a_hot_symbol(spark):
         }
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert largest[None] >= 4000
     assert largest["100 minutes"] < len(rows) / 4
 
