@@ -68,7 +68,7 @@ def targets(sources: DataFrame, weights: Sequence[int], percent: int, most_times
     total, weight = summed.agg(F.sum("source_size"), F.sum("weight")).first()
     if total is None:
         return summed.withColumn("target", F.lit(0.0))
-    whole = F.lit(total) * percent / 100
+    whole = F.lit(total * percent / 100)
     # What one unit of weight gets if all sources before this one, and no other, are at their cap.
     level = (whole - (F.col("caps") - F.col("cap"))) / (F.lit(weight) - F.col("weights") + F.col("weight"))
     first = F.min(F.struct("per_weight", "n", level.alias("level")))

@@ -91,7 +91,7 @@ def test_mix_repeats_rows_as_the_shares_say(spark):
 def test_targets_of_random_sources(spark):
     rng = random.Random(4)
     for trial in range(6):
-        sizes = {f"n{i}": rng.choice([0, 1, 5, 50, 2000]) * rng.randrange(1, 9) for i in range(rng.randrange(1, 30))}
+        sizes = {f"n{i}": rng.choice([0, 1, 5, 50, 2000, 300_000_000]) * rng.randrange(1, 9) for i in range(rng.randrange(1, 30))}
         sizes |= {None: 77} if trial % 2 else {}
         frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
         found = {r["source"]: r["target"] for r in mixing.targets(frame, (3, 1, 2), 150, 2).collect()}
