@@ -32,10 +32,16 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared work folder and read them back: cuts lineage, survives a lost executor."""
+def stored(rows: DataFrame, name: str, group_bytes: int | None = None) -> DataFrame:
+    """Write rows to the shared work folder and read them back: cuts lineage, survives a lost executor.
+
+    ``group_bytes`` bounds what a writer holds of wide rows before it writes them.
+    """
     path = work_dir(rows.sparkSession, name)
-    rows.write.option("compression", "zstd").parquet(path)
+    write = rows.write.option("compression", "zstd")
+    if group_bytes is not None:
+        write = write.option("parquet.block.size", group_bytes)
+    write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from barflow.llm.common import pieces, shuffle_partitions, stored
 from barflow.llm.components import components
 from barflow.llm.words import NOT_SPACE, U, mix, words
+from barflow.operators.numbering import numbered
 
 #: Words of a shingle, the least similarity in hundredths, and the shape of signatures.
 WORDS, LEAST = 4, 80
@@ -40,8 +41,14 @@ BANDS, ROWS = 32, 5
 BATCH, MISS = 32, 1e-6
 #: Nodes of a block of a large bucket.
 BLOCK = 2048
+#: Bytes of full sets that the nodes of a block have on average, at most.
+BLOCK_BYTES = 64 << 20
 #: Up to so many nodes (numbers of 8 bytes) are broadcast to find their texts; more are joined.
 BROADCAST_ROWS = 500_000
+#: Parts of a bucket in a join without broadcast.
+SALT = 16
+#: What a writer of wide rows holds before it writes them.
+GROUP_BYTES = 8 << 20
 
 _STEPS = mix(np.arange(1, 1025, dtype=U) * U(0xD6E8FEB86659FD93)) | U(1)
 SIGNED = "doc_id long, n_shingles long, set1 long, set2 long, keys array<long>, signature binary"
@@ -114,6 +121,7 @@ def sign(documents: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(keys.reshape(-1).view(np.int64))),
                 pa.array([next(held).tobytes() if s else None for s in size], pa.binary()),
             ], [f.split()[0] for f in SIGNED.split(", ")])
+            pa.default_memory_pool().release_unused()
 
     return documents.select("doc_id", "text").mapInArrow(run, SIGNED)
 
@@ -178,9 +186,10 @@ def _sets_of(needed: DataFrame, documents: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch["doc_id"].cast("int64"),
                 pa.array([hashes[b:e].tobytes() for b, e in zip(ends, ends[1:])], pa.binary())], ["node", "hashes"])
+            pa.default_memory_pool().release_unused()
 
     return stored(documents.select("doc_id", "text").join(needed, "doc_id", "left_semi").mapInArrow(
-        sets, "node long, hashes binary"), "sets")
+        sets, "node long, hashes binary"), "sets", GROUP_BYTES)
 
 
 def _alike(x: np.ndarray, y: np.ndarray, least: int) -> bool:
@@ -275,6 +284,15 @@ def _links_of(rows: pa.RecordBatch, least: int) -> list[tuple[int, int]]:
     return found
 
 
+def _with_key(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``rows`` joined with a stored table that has one row for some keys, however many rows a key has."""
+    if keys.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keys), "key")
+    salted = keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    part = F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int")
+    return rows.withColumn("salt", part).join(salted, ["key", "salt"]).drop("salt")
+
+
 def rest_links(
     members: DataFrame, nodes: DataFrame, joined: DataFrame, documents: DataFrame, k: int, least: int
 ) -> DataFrame:
@@ -286,10 +304,13 @@ def rest_links(
     spark = members.sparkSession
     labelled = members.filter("n > 2").join(joined, "node", "left").select(
         "key", "node", "leader", "n", F.coalesce("component", "node").alias("component"))
-    mixed = labelled.filter("node <> leader").groupBy("key").agg(
-        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    place = labelled.filter("node <> leader").join(mixed, "key").withColumn("blocks", blocks).withColumn(
+    others = labelled.filter("node <> leader").select("key", "node", "component")
+    mixed = stored(others.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key"), "mixed")
+    inner = _with_key(others, mixed).join(nodes.select("node", "n_shingles"), "node")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int")
+    cut = stored(inner.groupBy("key").agg(blocks.alias("blocks")), "cut")
+    place = _with_key(inner, cut).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
@@ -318,25 +339,16 @@ def rest_links(
     return together(open_.join(marked, "node").join(sets, "node")).mapInArrow(links, "a long, b long")
 
 
-def groups(
-    documents: DataFrame, words_in_shingle: int = WORDS, least: int = LEAST, bands: int = BANDS, rows: int = ROWS,
-) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable), kept (it is its own).
+def _sign_all(documents: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
+    return stored(sign(documents.select("doc_id", "text"), k, bands, rows), "signed", GROUP_BYTES)
 
-    Words are runs of anything but white space, A-Z lower-cased. Two documents are linked if the
-    shared part of their shingle sets is ``least`` hundredths of their union or more. NULL and empty
-    texts have no shingles and no links: they are their own component. Rows without a doc_id
-    are never linked; their component is NULL and ``kept`` is true. Rows with the same doc_id are
-    one document; each row gets its component. An empty table gives an empty result; other columns
-    play no part.
-    """
-    k = words_in_shingle
-    texts = documents.select("doc_id", "text")
-    signed = stored(sign(texts, k, bands, rows), "signed")
+
+def _components(signed: DataFrame, texts: DataFrame, k: int, least: int) -> DataFrame:
+    """``signed`` with the component of each row's set; no doc_id has two different sets."""
     nodes = stored(
         signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set1", "set2", "n_shingles").agg(
             F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("signature").alias("signature")),
-        "nodes")
+        "nodes", GROUP_BYTES)
     keys = nodes.select(F.explode("keys").alias("key"), "node")
     buckets = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     members = stored(keys.join(buckets, "key"), "members")
@@ -350,23 +362,98 @@ def groups(
     whole = signed.select("doc_id", "n_shingles", "set1", "set2").join(
         nodes.select("set1", "set2", "n_shingles", "node"), ["set1", "set2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
-    return whole.join(joined, "node", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return whole.join(joined, "node", "left").select("doc_id", "n_shingles", component.alias("component_id"))
 
 
-def keep_one(documents: DataFrame, words_in_shingle: int = 5, least: int = LEAST) -> DataFrame:
-    """One row of ``documents``, unchanged, of each group of near duplicates: the smallest doc_id.
+def _has_different_texts(signed: DataFrame) -> bool:
+    """Does any doc_id stand for several different sets?"""
+    spread = signed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("set1").alias("x"), F.max("set1").alias("y"))
+    return not spread.filter("x <> y").isEmpty()
+
+
+def _told_apart(documents: DataFrame) -> DataFrame:
+    """(doc_id, tie, number, text): the different texts of every doc_id, numbered in the order of doc_ids."""
+    rows = documents.filter("doc_id IS NOT NULL").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    different = rows.groupBy("doc_id", "tie").agg(F.first("text").alias("text"))
+    return stored(numbered(different, ["doc_id", "tie"], "number"), "texts")
+
 
-    Rows without a doc_id all stay. Of rows with the same doc_id the smallest stays.
+def _kept(components_: DataFrame) -> DataFrame:
+    return components_.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def groups(
+    documents: DataFrame, words_in_shingle: int = WORDS, least: int = LEAST, bands: int = BANDS, rows: int = ROWS,
+) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable), kept (it is its own).
+
+    Words are runs of anything but white space, A-Z lower-cased. Two documents are linked if the
+    shared part of their shingle sets is ``least`` hundredths of their union or more. NULL and empty
+    texts have no shingles and no links: they are their own component. Rows without a doc_id
+    are never linked; their component is NULL and ``kept`` is true. Rows with the same doc_id are
+    one document, whatever their texts: it is linked with what any of them is linked with, and each row
+    returns its own n_shingles. An empty table gives an empty result; other columns play no part.
     """
-    found = stored(groups(documents, words_in_shingle, least), "groups")
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    kept = documents.join(gone, "doc_id", "left_anti").select(documents.columns)
-    again = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    k, texts = words_in_shingle, documents.select("doc_id", "text")
+    signed = _sign_all(texts, k, bands, rows)
+    if not _has_different_texts(signed):
+        return _kept(_components(signed, texts, k, least))
+    told = _told_apart(texts)
+    apart = told.select(F.col("number").alias("doc_id"), "text")
+    by_number = stored(_components(_sign_all(apart, k, bands, rows), apart, k, least), "by-number")
+    own = told.select("doc_id", "tie", "number").join(
+        by_number.select(F.col("doc_id").alias("number"), "n_shingles", "component_id"), "number")
+    lowest = told.groupBy("doc_id").agg(F.min("number").alias("a"))
+    links = stored(
+        own.select(F.col("component_id").alias("a"), F.col("number").alias("b")).unionByName(
+            told.select("doc_id", F.col("number").alias("b")).join(lowest, "doc_id").select("a", "b")
+        ).filter("a <> b"), "links")
+    first = components(links).select(F.col("node").alias("number"), F.col("component").alias("first"))
+    # Numbers follow doc_ids, so the smallest number of a component has its smallest doc_id.
+    smallest = told.select(F.col("number").alias("first"), F.col("doc_id").alias("component_id"))
+    found = own.drop("component_id").join(first, "number", "left").withColumn("first", F.coalesce("first", "number")).join(
+        smallest, "first").select(F.col("doc_id").alias("of"), F.col("tie").alias("mark"), "n_shingles", "component_id")
+    marked = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"))
+    with_id = marked.join(found, (F.col("doc_id") == F.col("of")) & (F.col("tie") == F.col("mark"))).select(
+        "doc_id", "n_shingles", "component_id")
+    without = signed.filter("doc_id IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    return _kept(with_id.unionByName(without))
+
+
+def _one_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows that are equal in their keys the smallest, all columns kept; rows of a NULL doc_id all stay."""
+    known = rows.filter("doc_id IS NOT NULL")
+    again = stored(known.groupBy(*keys).count().filter("count > 1").select(*keys), "again")
     if again.isEmpty():
-        return kept
-    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*kept.columns)).alias("row"))
-    return kept.join(again, "doc_id", "left_anti").select(kept.columns).unionByName(one.select("row.*"))
+        return rows
+    several = known.join(again, keys, "left_semi").select(rows.columns)
+    one = several.groupBy(*keys).agg(F.min(F.struct(*rows.columns)).alias("row")).select("row.*")
+    return rows.join(again, keys, "left_anti").select(rows.columns).unionByName(one)
+
+
+def keep_one(documents: DataFrame, words_in_shingle: int = 5, least: int = LEAST) -> DataFrame:
+    """One row of ``documents``, unchanged, of each group of near duplicates: the one of the smallest doc_id.
+
+    Texts decide, not doc_ids: different texts of one doc_id stay unless they are near duplicates of each
+    other or of an earlier document's, and a text that has no near duplicate never goes. Of rows equal in
+    doc_id and text the smallest stays. Rows without a doc_id all stay. An empty table gives no rows.
+    """
+    signed = _sign_all(documents, words_in_shingle, BANDS, ROWS)
+    columns = documents.columns
+    if not _has_different_texts(signed):
+        found = _kept(_components(signed, documents.select("doc_id", "text"), words_in_shingle, least))
+        gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "gone")
+        if gone.count() <= BROADCAST_ROWS:
+            gone = F.broadcast(gone)
+        return _one_of_each(documents.join(gone, "doc_id", "left_anti").select(columns), ["doc_id"])
+    told = _told_apart(documents)
+    apart = told.select(F.col("number").alias("doc_id"), "text")
+    found = _kept(_components(_sign_all(apart, words_in_shingle, BANDS, ROWS), apart, words_in_shingle, least))
+    kept = found.filter("kept").select(F.col("doc_id").alias("number")).join(told, "number").select(
+        F.col("doc_id").alias("of"), F.col("tie").alias("mark"))
+    mark = "_text_mark"
+    marked = documents.withColumn(mark, F.xxhash64("text"))
+    stays = marked.join(kept, (F.col("doc_id") == F.col("of")) & (F.col(mark) == F.col("mark")), "left_semi")
+    one = _one_of_each(stays, ["doc_id", mark]).select(columns)
+    return one.unionByName(documents.filter("doc_id IS NULL"))

@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from barflow.llm import near_dup
@@ -121,11 +122,51 @@ def test_messy_rows(messy):
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 6, 8, 9]
 
 
-def test_repeated_ids_leave_one_row(spark):
-    frame = spark.createDataFrame([(1, "a b c d e f"), (1, "other words of the same id here"), (2, "A B C D E F")],
-                                  "doc_id long, text string")
-    (row,) = near_dup.keep_one(frame).collect()
-    assert tuple(row) == (1, "a b c d e f")
+A, B, U_, V = "a b c d e f g", "one two three four five six", "words that no other row has at all", "yet another text of its own here"
+
+
+def test_different_texts_of_one_id_stay(spark):
+    """Texts decide which rows go, not the doc_id that they share."""
+    frame = spark.createDataFrame([(1, A), (7, A), (7, U_), (9, V)], "doc_id long, text string")
+    assert sorted(map(tuple, near_dup.keep_one(frame).collect())) == [(1, A), (7, U_), (9, V)]
+    frame = spark.createDataFrame([(1, A), (1, B), (2, A.upper()), (1, A), (None, A), (None, A)], "doc_id long, text string")
+    assert sorted(map(str, near_dup.keep_one(frame).collect())) == sorted(map(str, [
+        Row(doc_id=1, text=A), Row(doc_id=1, text=B), Row(doc_id=None, text=A), Row(doc_id=None, text=A)]))
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    frame = spark.createDataFrame([(7, A), (7, B), (9, A), (3, B), (5, U_), (None, A), (7, None)], "doc_id long, text string")
+    rows = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dup.groups(frame).collect()}
+    assert rows == {(7, 4, 3, False), (7, 3, 3, False), (9, 4, 3, False), (3, 3, 3, True), (5, 5, 5, True),
+                    (None, 4, None, True), (7, 0, 3, False)}
+
+
+def test_repeated_ids_against_all_pairs(spark, texts):
+    """Every third text under the doc_id of another one."""
+    rows = [(i if i % 3 else i - 1, t) for i, t in texts]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    numbers = sorted(set(rows), key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+    sets = {n: shingles(t, 5) for n, (_, t) in enumerate(numbers)}
+    links = [(a, b) for a, b in combinations(sets, 2)
+             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    by_text = smallest(links, sets)
+    left = near_dup.keep_one(frame).collect()
+    component = {(d, t): by_text[n] for n, (d, t) in enumerate(numbers)}
+    found = [component[tuple(r)] for r in left]
+    assert sorted(found) == sorted(set(by_text.values()))  # one row of each group, the unique ones included
+    first = {c: min(d for (d, _), of in component.items() if of == c) for c in set(found)}
+    assert all(r["doc_id"] == first[component[tuple(r)]] for r in left)
+    same_id = [(a, b) for a, b in combinations(sets, 2) if numbers[a][0] == numbers[b][0]]
+    by_id = smallest(links + same_id, sets)
+    for r in near_dup.groups(frame, 5).collect():
+        of = by_id[next(n for n, (d, _) in enumerate(numbers) if d == r["doc_id"])]
+        assert r["component_id"] == min(numbers[n][0] for n in sets if by_id[n] == of)
+
+
+def test_joins_without_broadcast_split_a_bucket(spark, texts, monkeypatch):
+    monkeypatch.setattr(near_dup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 4096)
+    check(spark.createDataFrame(texts, "doc_id long, text string"))
 
 
 def test_keep_one_without_broadcast(spark, texts, monkeypatch):
