@@ -202,8 +202,11 @@ def write_ids(documents: DataFrame, folder: str, vocabulary: str, kind: str = "b
 
     written = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()),
                          *[(c, pa.int64()) for c in ("n_documents", "n_ids", "n_bytes")]])
-    ordered = documents.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange(
-        "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
+    # A running number lets rows that are equal in both go to different tasks.
+    order = ["doc_id", "tie", "salt"]
+    ordered = documents.select(
+        "doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("salt")
+    ).repartitionByRange(*order).sortWithinPartitions(*order).drop("tie", "salt")
     return stored(ordered.mapInArrow(run, FILE), "id-files")
 
 

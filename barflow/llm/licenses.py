@@ -16,6 +16,7 @@ built from a few thousand words and sent to the tasks; texts are never compared
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cache
@@ -252,11 +253,13 @@ _SPANS = pa.list_(pa.struct([("label", pa.string()), ("first", pa.int64()), ("en
 def _best_spans(chains: list[tuple[float, str, int, int]]) -> list[tuple[float, str, int, int]]:
     """Of chains of one label that overlap, the one that covers most; of equal ones the first."""
     kept: list[tuple[float, str, int, int]] = []
-    reach: dict[str, list[tuple[int, int]]] = defaultdict(list)
+    reach: dict[str, list[tuple[int, int]]] = defaultdict(list)  # kept spans, apart from each other, in order
     for chain in sorted(chains, key=lambda c: (-c[0], c[2], c[3])):
         _, label, first, end = chain
-        if all(end <= a or b <= first for a, b in reach[label]):
-            reach[label].append((first, end))
+        known = reach[label]
+        at = bisect_left(known, (first, end))
+        if (at == 0 or known[at - 1][1] <= first) and (at == len(known) or end <= known[at][0]):
+            known.insert(at, (first, end))
             kept.append(chain)
     return sorted(kept, key=lambda c: (c[2], c[1]))
 

@@ -1,38 +1,46 @@
 """Quality classifier by positive-unlabelled learning with a non-negative risk.
 
 A text becomes shares of trigrams over classes of characters and some measures of its words and
-lines (length, repetition, capitals). A linear model is trained on two samples: trusted positives
-(training rows with label 1) and unlabelled documents. The risk is
+lines (length, repetition, capitals). A linear model is trained on trusted positives (training rows with
+label 1) against all documents as unlabelled. The risk is
 
     prior * loss(positives as 1) + max(0, loss(unlabelled as 0) - prior * loss(positives as 0))
 
 whose second term estimates the loss on negatives without having any and is kept from going below
 zero, where it would reward overfitting. The prior, the share of positives among unlabelled
-documents, is estimated first: a plain positive-against-unlabelled model ranks both samples, and
-the smallest ratio of their upper shares, with a margin for chance, is the prior. Last, the scores
-are calibrated on labelled training rows of both classes.
-
-Training samples are bounded in rows (``SAMPLE``): one row for each labelled doc_id, picked by a hash
-of it, and unlabelled rows picked by a hash of doc_id and text. Equal rows are drawn by their number,
-so a share of the table is that share of the sample.
+documents, is estimated first: a plain positive-against-unlabelled model ranks both, and the smallest
+ratio of their upper shares, with a margin for chance, is the prior. Last, the scores are calibrated on
+labelled training rows of both classes: negatives with a trusted label have a part in the scale of the
+scores and so in ``predicted``, none in the ranking.
+
+The only sample is that of labelled rows (``SAMPLE`` of each class at most, picked by a hash of doc_id).
+The unlabelled side is the whole corpus, in three passes: means and spreads of all features; the corpus
+as weighted cells (``BINS`` steps of a first score times signs of ``SIGNS_OF`` fixed projections, each cell the
+mean of all its documents); and the shares of documents above each threshold of the plain model. What
+comes to the driver of each is bounded by the numbers of features, cells and thresholds. Every second row
+is left out of the plain model's cells, and those rows alone give the prior.
 Every document is scored from its whole text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import pieces
 from barflow.llm.words import ALPHANUMERIC, runs, text_bytes, words
 
-#: At most so many labelled rows of each class, and about twice as many unlabelled documents.
+#: At most so many labelled rows of each class.
 SAMPLE = 4000
+#: Cells of the corpus: steps of a first score, and projections whose signs divide each step.
+BINS, SIGNS_OF = 32, 4
+CELLS = BINS << SIGNS_OF
 #: The part of rows whose labels are never learnt from, and the score of a 1.
 PARTS, HELD_OUT = 4, 2
 ACCEPT = 0.7
@@ -136,64 +144,206 @@ def _descend(gradient, width: int, steps: int = STEPS) -> tuple[np.ndarray, floa
     return at[:-1], float(at[-1])
 
 
-def _means(n_positive: int, n_unlabelled: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights that make sums over both samples, one after the other, the mean of either."""
-    p, u = np.zeros((2, n_positive + n_unlabelled), np.float32)
-    p[:n_positive], u[n_positive:] = 1 / n_positive, 1 / n_unlabelled
-    return p, u
-
-
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, chance: float = 0.1) -> float:
+def least_ratio(above_p: np.ndarray, above_u: np.ndarray, n_p: int, n_u: int, chance: float = 0.1) -> float:
     """The least ratio of shares above a threshold, unlabelled to positive, margins for chance added."""
-    thresholds = np.unique(np.quantile(positive, np.linspace(0, 0.99, 100)))
-    above_p = np.array([(positive >= t).mean() for t in thresholds])
-    above_u = np.array([(unlabelled >= t).mean() for t in thresholds])
-    margin = np.sqrt(np.log(4 / chance) / 2) * (len(positive) ** -0.5 + len(unlabelled) ** -0.5)
+    margin = np.sqrt(np.log(4 / chance) / 2) * (n_p ** -0.5 + n_u ** -0.5)
     best = np.argmin((above_u + margin) / above_p)
     return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray, negative: np.ndarray) -> Model:
-    """``negative`` only calibrates, and only where there is one; the risk does without."""
-    every = np.concatenate([positive, unlabelled]).astype(np.float32)
-    mean, spread = every.mean(0), every.std(0)
-    spread = np.where(spread > 1e-6, spread, 1.0).astype(np.float32)
+def _thresholds(positive: np.ndarray) -> np.ndarray:
+    return np.unique(np.quantile(positive, np.linspace(0, 0.99, 100)))
+
+
+def _above(values: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
+    """How many values reach each threshold."""
+    return len(values) - np.searchsorted(np.sort(values), thresholds, side="left")
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, chance: float = 0.1) -> float:
+    """The prior from the scores of both."""
+    at = _thresholds(positive)
+    shares = _above(positive, at) / len(positive), _above(unlabelled, at) / len(unlabelled)
+    return least_ratio(*shares, len(positive), len(unlabelled), chance)
+
+
+def _scaled(rows: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return np.clip((rows - mean) / spread, -8, 8).astype(np.float32)
+
+
+def _logits(x: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
+    return x @ w.astype(np.float32) + np.float32(b)
+
+
+def _spread_of(n: float, sums: np.ndarray, squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mean = sums / n
+    spread = np.sqrt(np.maximum(0, squares / n - mean**2))
+    return mean.astype(np.float32), np.where(spread > 1e-6, spread, 1.0).astype(np.float32)
+
+
+class Rows:
+    """The unlabelled side as an array of features, for small ones: every row is a cell."""
+
+    def __init__(self, rows: np.ndarray) -> None:
+        self.rows = rows.astype(np.float64)
+
+    def scale(self) -> tuple[np.ndarray, np.ndarray]:
+        return _spread_of(len(self.rows), self.rows.sum(0), (self.rows**2).sum(0))
 
-    def scaled(rows: np.ndarray) -> np.ndarray:
-        return np.clip((rows - mean) / spread, -8, 8)
+    def cells(self, mean: np.ndarray, spread: np.ndarray, *first: object) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(mean scaled features, documents, half) of each cell."""
+        n = len(self.rows)
+        return _scaled(self.rows, mean, spread), np.ones(n), np.arange(n) % 2
 
-    rows, n = scaled(every), len(positive)
+    def above(self, mean: np.ndarray, spread: np.ndarray, w: np.ndarray, b: float, at: np.ndarray) -> tuple[np.ndarray, int]:
+        """(documents of the second half that reach each threshold, all of them)."""
+        z = _logits(_scaled(self.rows[1::2], mean, spread), w, b)
+        return _above(z, at), len(z)
 
-    def logits(x: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
-        return x @ w.astype(np.float32) + np.float32(b)
+
+def _projections(width: int) -> np.ndarray:
+    return np.random.default_rng(20).normal(size=(width, SIGNS_OF)).astype(np.float32)
+
+
+class Corpus:
+    """The unlabelled side as all documents of a table with ``text`` and ``half`` (0 or 1)."""
+
+    def __init__(self, documents: DataFrame) -> None:
+        self.documents = documents
+
+    def _sums(self, of: Callable[[np.ndarray, np.ndarray], np.ndarray], width: int) -> np.ndarray:
+        """Sums over all documents of a function of a piece's features and halves: a row for each number."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(width)
+            for batch in pieces(batches):
+                total += of(features(batch["text"]), batch["half"].to_numpy())
+            yield pa.RecordBatch.from_pylist([{"sums": total.tolist()}])
+
+        rows = self.documents.mapInArrow(run, "sums array<double>").select(F.posexplode("sums")).groupBy("pos").agg(
+            F.sum("col").alias("total")).orderBy("pos").toArrow()
+        return rows["total"].to_numpy() if len(rows) else np.zeros(width)
+
+    def scale(self) -> tuple[np.ndarray, np.ndarray] | None:
+        def moments(rows: np.ndarray, half: np.ndarray) -> np.ndarray:
+            rows = rows.astype(np.float64)
+            return np.concatenate([[len(rows)], rows.sum(0), (rows**2).sum(0)])
+
+        total = self._sums(moments, 1 + 2 * WIDTH)
+        return _spread_of(total[0], total[1:1 + WIDTH], total[1 + WIDTH:]) if total[0] else None
+
+    def cells(
+        self, mean: np.ndarray, spread: np.ndarray, w: np.ndarray, edges: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(mean scaled features, documents, half) of each cell; ``w`` and ``edges`` are the steps' score."""
+        projections, powers = _projections(len(mean)), 1 << np.arange(SIGNS_OF)
+        schema = pa.schema([("cell", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((2 * CELLS, 1 + len(mean)))
+            for batch in pieces(batches):
+                rows = _scaled(features(batch["text"]), mean, spread)
+                cell = np.searchsorted(edges, _logits(rows, w, 0.0)) << SIGNS_OF
+                cell += ((rows @ projections > 0) * powers).sum(axis=1)
+                cell += batch["half"].to_numpy() * CELLS
+                order = np.argsort(cell, kind="stable")
+                at = np.flatnonzero(np.append(True, cell[order][1:] != cell[order][:-1])) if len(cell) else []
+                if len(at):
+                    sums[cell[order][at], 1:] += np.add.reduceat(rows[order].astype(np.float64), at, axis=0)
+                    sums[:, 0] += np.bincount(cell, minlength=2 * CELLS)
+            part = TaskContext.get().partitionId() % 64
+            yield pa.RecordBatch.from_pylist(
+                [{"cell": i, "part": part, "sums": sums[i].tobytes()} for i in np.flatnonzero(sums[:, 0]).tolist()], schema)
+
+        def added(rows: pa.Table) -> pa.Table:
+            total = np.sum([np.frombuffer(x) for x in rows["sums"].to_pylist()], axis=0)
+            return pa.Table.from_pylist(
+                [{"cell": rows["cell"][0].as_py(), "part": rows["part"][0].as_py(), "sums": total.tobytes()}], schema)
+
+        kind = "cell int, part int, sums binary"
+        parts = self.documents.mapInArrow(run, kind).groupBy("cell", "part").applyInArrow(added, kind)
+        got = parts.groupBy("cell").applyInArrow(added, kind).toArrow().sort_by("cell")  # a row for each cell
+        sums = np.array([np.frombuffer(x) for x in got["sums"].to_pylist()])
+        return (sums[:, 1:] / sums[:, :1]).astype(np.float32), sums[:, 0], got["cell"].to_numpy() // CELLS
+
+    def above(self, mean: np.ndarray, spread: np.ndarray, w: np.ndarray, b: float, at: np.ndarray) -> tuple[np.ndarray, int]:
+        """(documents of the second half that reach each threshold, all of them)."""
+
+        def counts(rows: np.ndarray, half: np.ndarray) -> np.ndarray:
+            z = _logits(_scaled(rows[half == 1], mean, spread), w, b)
+            return np.append(_above(z, at), len(z))
+
+        total = self._sums(counts, len(at) + 1)
+        return total[:-1], int(total[-1])
+
+
+def plain_gradient(rows: np.ndarray, of_p: np.ndarray, of_u: np.ndarray, w: np.ndarray, b: float) -> np.ndarray:
+    """Of the mean of both sides' losses; ``of_p`` and ``of_u`` weigh rows so that sums are means of a side."""
+    s = _logistic(_logits(rows, w, b))
+    error = (of_p * (s - 1) + of_u * s) / 2
+    return np.append(error @ rows, error.sum())
+
+
+def risk(
+    rows: np.ndarray, of_p: np.ndarray, of_u: np.ndarray, prior: float, w: np.ndarray, b: float
+) -> tuple[float, float, np.ndarray]:
+    """(loss of positives as 1 times prior, estimated loss on negatives, gradient to follow)."""
+    z = _logits(rows, w, b)
+    s, as_zero = _logistic(z), of_u - np.float32(prior) * of_p
+    of_positives, of_negatives = prior * float(of_p @ np.logaddexp(0, -z)), float(as_zero @ np.logaddexp(0, z))
+    # Below zero: undo the overfitting of the second term instead of following it.
+    error = np.float32(prior) * of_p * (s - 1) + as_zero * s if of_negatives >= 0 else -as_zero * s
+    return of_positives, of_negatives, np.append(error @ rows, error.sum())
+
+
+def _side(n_positive: int, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of positives and of cells, one after the other, that make sums the mean of either."""
+    of_p, of_u = np.zeros((2, n_positive + len(documents)), np.float32)
+    of_p[:n_positive], of_u[n_positive:] = 1 / n_positive, documents / documents.sum()
+    return of_p, of_u
+
+
+def _first_score(positive: np.ndarray, negative: np.ndarray) -> np.ndarray:
+    """Weights that roughly rank documents: positives against negatives, or against the corpus' mean (0)."""
+    if not len(negative):
+        return positive.mean(axis=0)
+    rows = np.concatenate([positive, negative])
+    of_p, of_n = _side(len(positive), np.ones(len(negative)))
+    return _descend(lambda w, b: plain_gradient(rows, of_p, of_n, w, b), rows.shape[1], STEPS // 4)[0]
+
+
+def train(positive: np.ndarray, unlabelled: np.ndarray | Corpus, negative: np.ndarray) -> Model | None:
+    """``negative`` calibrates, and helps to divide a corpus into cells; the risk does without.
+
+    None for a corpus without documents.
+    """
+    corpus = Rows(unlabelled) if isinstance(unlabelled, np.ndarray) else unlabelled
+    scale = corpus.scale()
+    if scale is None:
+        return None
+    mean, spread = scale
+    good, bad = _scaled(positive, mean, spread), _scaled(negative, mean, spread)
+    n = len(good)
+    first = _first_score(good, bad)
+    edges = np.quantile(_logits(np.concatenate([good, bad]), first, 0.0), np.arange(1, BINS) / BINS)
+    cells, documents, half = corpus.cells(mean, spread, first, edges)
 
     # Plain model on every second row; the other half, not trained on, gives the prior.
-    half = np.concatenate([rows[:n:2], rows[n::2]])
-    as_p, as_u = _means(-(-n // 2), len(half) + (-n // 2))
-
-    def plain(w: np.ndarray, b: float) -> np.ndarray:
-        s = _logistic(logits(half, w, b))
-        error = (as_p * (s - 1) + as_u * s) / 2
-        return np.append(error @ half, error.sum())
-
-    w, b = _descend(plain, rows.shape[1], STEPS // 2)
-    other = logits(rows[1:n:2], w, b), logits(rows[n + 1::2], w, b)
-    prior = estimate_prior(*other) if all(map(len, other)) else 0.5
-    of_p, of_u = _means(n, len(rows) - n)
-
-    def non_negative(w: np.ndarray, b: float) -> np.ndarray:
-        z = logits(rows, w, b)
-        s, as_zero = _logistic(z), of_u - np.float32(prior) * of_p
-        negative_risk = as_zero @ np.logaddexp(0, z)
-        # Below zero: undo the overfitting of the second term instead of following it.
-        error = np.float32(prior) * of_p * (s - 1) + as_zero * s if negative_risk >= 0 else -as_zero * s
-        return np.append(error @ rows, error.sum())
-
-    w, b = _descend(non_negative, rows.shape[1])
-    if len(negative):
-        z = np.concatenate([logits(rows[:n], w, b), logits(scaled(negative.astype(np.float32)), w, b)])[:, None]
-        label = np.repeat([1.0, 0.0], [n, len(negative)])
-        weight = np.where(label == 1, 0.5 / n, 0.5 / len(negative))  # both classes alike
+    prior = 0.5
+    if n > 1 and (half == 0).any() and (half == 1).any():
+        rows, (of_p, of_u) = np.concatenate([good[::2], cells[half == 0]]), _side(-(-n // 2), documents[half == 0])
+        w, b = _descend(lambda w, b: plain_gradient(rows, of_p, of_u, w, b), rows.shape[1], STEPS // 2)
+        other = _logits(good[1::2], w, b)
+        at = _thresholds(other)
+        reached, whole = corpus.above(mean, spread, w, b, at)
+        prior = least_ratio(_above(other, at) / len(other), reached / whole, len(other), whole)
+
+    every, (of_p, of_u) = np.concatenate([good, cells]), _side(n, documents)
+    w, b = _descend(lambda w, b: risk(every, of_p, of_u, prior, w, b)[2], every.shape[1])
+    if len(bad):
+        z = np.concatenate([_logits(good, w, b), _logits(bad, w, b)])[:, None]
+        label = np.repeat([1.0, 0.0], [n, len(bad)])
+        weight = np.where(label == 1, 0.5 / n, 0.5 / len(bad))  # both classes alike
         middle, unit = z.mean(), z.std() or 1.0
         z = (z - middle) / unit
 
@@ -214,7 +364,8 @@ def is_held_out(doc_id: Column) -> Column:
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """None without a positive label or a document to learn from.
 
-    Of a doc_id with several labels the lowest counts; rows without doc_id or quality do not.
+    Of a doc_id with several labels the lowest counts; rows without doc_id or quality do not. All
+    documents that are not held out are the unlabelled side, repeated rows as often as they are there.
     """
     known = (
         labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(~is_held_out(F.col("doc_id")))
@@ -223,35 +374,23 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model
     order = F.xxhash64("doc_id")
     some = known.filter("label = 1").orderBy(order).limit(sample).unionByName(
         known.filter("label = 0").orderBy(order).limit(sample))  # at most 2 * sample rows
-    free = documents.filter(~is_held_out(F.col("doc_id")))
-    share = min(1.0, 2 * sample / max(1, free.count()))
-    free = free.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    row_key = F.xxhash64("doc_id", "text").alias("key")
-    by_chance = F.pmod(F.xxhash64("key", F.lit("unlabelled")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = (
-        free.groupBy(row_key).agg(F.count("*").alias("n"))
-        .select("key", F.floor(F.col("n") * F.lit(share) + by_chance).alias("draws")).filter("draws > 0")
-        .orderBy(F.xxhash64("key")).limit(4 * sample)  # twice as many as are to be expected at most
-    )
+    free = documents.filter(~is_held_out(F.col("doc_id"))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     labelled = free.join(F.broadcast(some), "doc_id").groupBy(F.xxhash64("doc_id").alias("key"), "label").agg(
-        F.min("text").alias("text")).withColumn("draws", F.lit(0).cast("long"))
-    unlabelled = free.select(row_key, "text").join(F.broadcast(drawn), "key").groupBy("key", "draws").agg(
-        F.min("text").alias("text")).withColumn("label", F.lit(-1))
-    picked = labelled.unionByName(unlabelled)
+        F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             rows = features(batch["text"])
             yield pa.RecordBatch.from_arrays(
-                [batch["key"], batch["label"], batch["draws"], pa.array([r.tobytes() for r in rows], pa.binary())],
-                ["key", "label", "draws", "row"])
+                [batch["key"], batch["label"], pa.array([r.tobytes() for r in rows], pa.binary())], ["key", "label", "row"])
 
-    got = picked.mapInArrow(run, "key long, label int, draws long, row binary").toArrow().sort_by("key")
+    got = labelled.mapInArrow(run, "key long, label int, row binary").toArrow().sort_by("key")
     rows = np.frombuffer(b"".join(got["row"].to_pylist()), np.float32).reshape(-1, WIDTH)
-    label, draws = got["label"].to_numpy(), got["draws"].to_numpy()
-    if not (label == 1).any() or not draws.any():
+    label = got["label"].to_numpy()
+    if not (label == 1).any():
         return None
-    return train(rows[label == 1], np.repeat(rows, draws, axis=0), rows[label == 0])
+    halves = free.select("text", (F.monotonically_increasing_id() % 2).alias("half"))
+    return train(rows[label == 1], Corpus(halves), rows[label == 0])
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
@@ -280,9 +419,11 @@ def score(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Data
     return documents.select("doc_id", "text", is_held_out(F.col("doc_id")).alias("held_out")).mapInArrow(run, SCORED)
 
 
-def keep_good(documents: DataFrame, labels: DataFrame, least: float = 0.5, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``documents``, unchanged, whose score is ``least`` or more."""
+def keep_good(documents: DataFrame, labels: DataFrame, least: float = ACCEPT, sample: int = SAMPLE) -> DataFrame:
+    """The rows of ``documents``, unchanged, whose score is ``least`` or more; all without a positive label."""
     model = fit(documents, labels, sample)
+    if model is None:
+        return documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

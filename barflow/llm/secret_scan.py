@@ -21,7 +21,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -193,13 +195,20 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in sorted(spans))
 
 
+def _reach(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Sorted starts, and the furthest end of all spans up to each of them."""
+    ordered = sorted(spans)
+    return [s[0] for s in ordered], list(accumulate((s[2] for s in ordered), max))
+
+
 def _spans(batch: pa.RecordBatch, judge: Judge, least_bin: int) -> list[list[tuple[int, int, int]]]:
     """All spans of each document, in code points. A random token within a fixed span adds none."""
     data, offsets = text_bytes(batch["text"])
     texts = batch["text"].to_pylist()
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
 
     def at(document: int, byte: int) -> int:
-        return len(data[offsets[document]:byte].tobytes().decode())
+        return int(points[byte] - points[offsets[document]])
 
     begin, end = runs(data, offsets, HEX_BYTES)
     long = end - begin >= HEX_LEAST
@@ -209,12 +218,15 @@ def _spans(batch: pa.RecordBatch, judge: Judge, least_bin: int) -> list[list[tup
         start = at(document, b)
         hexes.setdefault(document, []).append((start, start + e - b))
     spans = [fixed_spans(text, hexes.get(i, [])) for i, text in enumerate(texts)]
+    fixed = [_reach(found) for found in spans]
     for document, b, e in tokens_of(data, offsets):
         if _bin(judge.p_value(data[b:e]), e - b) >= least_bin:
             start = at(document, b)
             last = start + e - b
             last += len(re.match("={0,2}", texts[document][last:last + 2])[0])
-            if not any(a <= start and last <= z for a, _, z in spans[document]):
+            starts, furthest = fixed[document]
+            before = bisect_right(starts, start)
+            if not before or furthest[before - 1] < last:
                 spans[document].append((start, 3, last))
     return spans
 

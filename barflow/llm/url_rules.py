@@ -74,6 +74,11 @@ def rule_events(rules: DataFrame) -> DataFrame:
     )))
 
 
+def slice_count(n_pages: int, n_rules: int, parallel: int, slice_rows: int) -> int:
+    """How many slices: enough for all tasks, none with fewer pages than four times the rules, at least one."""
+    return max(1, min(max(parallel, -(-n_pages // slice_rows)), n_pages // max(1, 4 * n_rules)))
+
+
 def judge(
     pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow",
     slice_rows: int = SLICE_ROWS,
@@ -89,8 +94,7 @@ def judge(
     spark = pages.sparkSession
     depths = [r[0] for r in rules.filter("host IS NOT NULL AND verdict IS NOT NULL").select(
         F.size(F.split("host", r"\.")).alias("n")).distinct().collect()]  # at most a name's labels
-    size = max(slice_rows, 4 * rules.count())
-    slices = max(4 * shuffle_partitions(spark), -(-pages.count() // size))
+    slices = slice_count(pages.count(), rules.count(), 4 * shuffle_partitions(spark), slice_rows)
     kept = [c for c in pages.columns if c not in OWN]
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in kept], host_of(F.col(f"`{url}`")).alias("host"),

@@ -41,7 +41,7 @@ def test_each_stage_decides_on_what_the_one_before_kept(spark, stages):
     benchmark = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     ids = [{r["doc_id"] for r in frame.select("doc_id").collect()} for frame in stages]
-    assert ids[1] == {r["doc_id"] for r in quality.score(raw, labels).filter("score >= 0.5").collect()} < ids[0]
+    assert ids[1] == {r["doc_id"] for r in quality.score(raw, labels).filter("predicted = 1").collect()} < ids[0]
     assert ids[2] == {r["doc_id"] for r in near_dup.groups(good, 5).filter("kept").collect()} <= ids[1]
     leaks = {r["doc_id"] for r in decontaminate.find(single, benchmark).collect()}
     assert ids[3] == ids[2] - leaks and ids[4] == ids[3] == ids[5]
