@@ -277,17 +277,21 @@ def _near(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(window, item, words) where blocks ``low`` to ``high`` hold as many of the item's words as it needs.
 
-    ``counted`` has the items that a word counts for.
+    ``counted`` has the items that a word counts for. Running sums are in the shortest numbers that hold any
+    of their differences; the sums themselves may wrap around.
     """
     base, size = int(low.min()), int(high.max())
+    least = np.ceil(need).astype(np.int64)
+    most = max(blocks.shape[1] * int((high - low).max()), int(least.max(initial=0)))
+    kind = np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int32
     sums = np.zeros((size - base, counted.shape[1]), np.uint8)
     for words_ in blocks[base:size].T:
         sums += counted[words_]
-    whole = np.zeros((size - base + 1, counted.shape[1]), np.int32)
-    np.cumsum(sums, axis=0, dtype=np.int32, out=whole[1:])
+    whole = np.zeros((size - base + 1, counted.shape[1]), kind)
+    np.cumsum(sums, axis=0, dtype=kind, out=whole[1:])
     held = whole[high - base] - whole[low - base]
-    row, column = np.nonzero(held >= need)
-    return row, column, held[row, column]
+    row, column = np.nonzero(held >= least.astype(kind))
+    return row, column, held[row, column].astype(np.int64)
 
 
 def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int, float]]:

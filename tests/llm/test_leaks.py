@@ -101,6 +101,21 @@ def test_an_item_in_any_share_of_the_rows(spark, share):
     assert found == set(range(int(200 * share)))
 
 
+@pytest.mark.parametrize("width, length", [(4, 10), (40, 300), (9000, 5)])
+def test_counts_of_words_near_windows(width, length):
+    """Against sums block by block, also where the running sums wrap around."""
+    rng = np.random.default_rng(width)
+    counted = (rng.random((21, 6)) < 0.6).astype(np.uint8)
+    counted[20] = 0
+    blocks = rng.integers(-1, 20, (10_000, decontaminate.STEP))
+    low = np.sort(rng.integers(0, 10_000 - width, 300))
+    need = np.array([0.0, 2.5, length / 2, length, 0.5 * width * 8, 0.6 * width * 8])
+    row, column, held = decontaminate._near(counted, blocks, low, low + width, need)
+    each = counted[blocks].sum(axis=1).astype(np.int64)
+    told = np.stack([each[a:a + width].sum(axis=0) for a in low])
+    assert [*zip(row, column)] == [*zip(*np.nonzero(told >= need))] and (held == told[row, column]).all()
+
+
 def test_words_of_scripts_without_spaces():
     texts = ["", "日本語", "ab日x本", "a。b é𠀀ü", "ไทย", "한국어 ok", "x"]
     text = words(pa.array(texts), ALPHANUMERIC, cut=True)
