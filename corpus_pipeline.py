@@ -18,29 +18,29 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier takes for bad go; it learns from the table ``labels``."""
-    return quality.keep_good(docs, read(prepare(spark), sf_dir, "labels").select("doc_id", "quality"))
+    return quality.keep_good(docs, read(prepare(spark, lean=True), sf_dir, "labels").select("doc_id", "quality"))
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: five-word shingles, similarity 0.8."""
-    prepare(spark)
+    prepare(spark, lean=True)
     return near_dup.keep_one(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an item of the table ``benchmark`` go."""
-    return decontaminate.drop_leaks(docs, read(prepare(spark), sf_dir, "benchmark"))
+    return decontaminate.drop_leaks(docs, read(prepare(spark, lean=True), sf_dir, "benchmark"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in texts are replaced by a mask."""
-    prepare(spark)
+    prepare(spark, lean=True)
     return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, in sequences of at most 2048 ids."""
-    prepare(spark)
+    prepare(spark, lean=True)
     return packing.pack(docs)
 
 
@@ -58,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table ``documents``."""
-    docs = read(prepare(spark), sf_dir, "documents")
+    docs = read(prepare(spark, lean=True), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
