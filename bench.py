@@ -22,9 +22,12 @@ from barflow.session import local_session
 HEADLINE = [
     "bars_supplier_week", "enriched_bars", "enriched_bars_chunked", "signal_monitor_week",
     "signal_monitor_chunked", "signal_monitor", "latest_bar_per_symbol", "json_round_trip",
-    "parse_messages", "bar_rejects", "trading_signals_rows", "enriched_range",
+    "parse_messages", "bar_rejects", "trading_signals_rows", "enriched_range", "bar_field_errors",
+]
+ONCE = [
+    "signals_by_type", "signals_of_symbol_all_time", "signals_numbered", "stream_bars_user_day", "stream_signal_monitor",
+    "stream_enriched_rounds", "stream_late_bars", "stream_bars_upserted",
 ]
-ONCE = ["signals_by_type", "stream_bars_user_day", "stream_signal_monitor", "stream_enriched_rounds"]
 RUNS = 3
 
 
