@@ -17,6 +17,12 @@ item, and with the item's answer, its last sentence; words of more than half of
 left out of both (unless the item has few others). It is a leak if most of the item is there in
 order (``VERBATIM``), or if half is and nearly all of the answer (a paraphrase).
 
+Which windows hold enough of an item's words is told in two ways with the same result. An item of n
+checked words that needs h of them has t of its n - h + t rarest in every such window. Where these
+are rare in a piece of text their places are looked up, and the other words are counted only around
+t of them close together: such an item costs what its rare words occur. Items of words that are
+frequent in the piece (more than one place in ``PLACES`` blocks) are counted block by block.
+
 Characters of scripts without spaces (Han, kana, Thai and others) are words of their own. Items of
 fewer than ``LEAST_WORDS`` words are searched for exactly, as a sequence of words, in the same pass.
 
@@ -29,6 +35,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -52,11 +59,27 @@ VERBATIM, PART, ANSWER = 0.7, 0.5, 0.8
 #: Features in a row when partial sums are added; items and windows whose words are counted at once.
 BLOCK = 256
 GROUP, AT_ONCE = 256, 8192
+#: Blocks that are counted in the time that a place of a rare word is looked up; places held at once.
+PLACES, HELD = 16, 1 << 20
 _SENTENCE = re.compile(r"[.!?]\s+|[\u3002\uff01\uff1f\uff61]\s*")
 _UNSPACED = "\u0e00-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff\uff00-\uffef\U0001b000-\U0001b16f\U00020000-\U0003ffff"
 _UNIT = re.compile(rf"[{_UNSPACED}]|[^\s{_UNSPACED}]+")
 
 
+class Group(NamedTuple):
+    """Items with the same windows; words beside their item's place in ``items``."""
+
+    size: int
+    pad: int  # words around a window that are checked with it
+    items: np.ndarray
+    need: np.ndarray  # checked words of each item
+    wanted: np.ndarray  # these words, once each
+    of_wanted: np.ndarray
+    rarest: np.ndarray  # the rarest of them, once each
+    of_rarest: np.ndarray
+    least: np.ndarray  # how many places of its rarest words each item needs
+
+
 class Query(NamedTuple):
     """The items and all that is known about their words."""
 
@@ -68,6 +91,7 @@ class Query(NamedTuple):
     latent: np.ndarray  # row of the latent space for each word, weight included
     directions: np.ndarray  # of the items, of length 1
     short: dict[int, tuple[Vocabulary, list[list[int]]]]  # by words: their sequences, item_ids of each
+    groups: list[Group] = []
 
 
 def _answer(text: str) -> str:
@@ -241,7 +265,8 @@ def fit(documents: DataFrame, item_ids: list[int], texts: list[str], rank: int =
     directions = np.stack([latent[w].sum(axis=0) for w in of_items])
     directions /= np.maximum(np.linalg.norm(directions, axis=1, keepdims=True), 1e-9)
     answers = _of(_words(pa.array([_answer(t) for t in texts], pa.string())), vocabulary)
-    return Query(item_ids, vocabulary, of_items, answers, weights, latent, directions, short)
+    query = Query(item_ids, vocabulary, of_items, answers, weights, latent, directions, short)
+    return query._replace(groups=list(_groups(query)))
 
 
 def common_length(text: list[int], item: list[int]) -> int:
@@ -272,6 +297,118 @@ def _checked(query: Query, item: int) -> tuple[list[int], list[int], bool]:
     return rare.tolist(), answer[query.weights[answer] >= COMMON].tolist(), False
 
 
+def _groups(query: Query) -> Iterator[Group]:
+    lengths = np.array([len(w) for w in query.item_words])
+    of_item = _window_of(np.maximum(1, lengths))
+    for size in sorted(set(of_item.tolist())):
+        every = np.flatnonzero(of_item == size)
+        for items in (every[at:at + GROUP] for at in range(0, len(every), GROUP)):
+            need, least, wanted, rarest = [], [], [], []
+            for item in items:
+                checked = np.array(_checked(query, item)[0], np.int64)
+                enough = max(1, int(np.ceil(PART * len(checked))))
+                places = min(enough, max(3, enough // 4))
+                by_rarity = checked[np.argsort(-query.weights[checked], kind="stable")]
+                need.append(len(checked))
+                least.append(places)
+                wanted.append(np.unique(checked))
+                rarest.append(np.unique(by_rarity[:len(checked) - enough + places]))
+            columns = np.arange(len(items))
+            yield Group(
+                size, STEP + max(0, int(lengths[items].max()) - size), items, np.array(need, float),
+                np.concatenate(wanted), np.repeat(columns, [len(w) for w in wanted]),
+                np.concatenate(rarest), np.repeat(columns, [len(w) for w in rarest]), np.array(least))
+
+
+def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[i], begin[i] + 1, ... , count[i] numbers each."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+class Places:
+    """Where each word of the vocabulary stands in a piece of text."""
+
+    def __init__(self, blocks: np.ndarray, size: int) -> None:
+        flat = blocks.reshape(-1)
+        known = np.flatnonzero(flat >= 0)
+        self.at = known[np.argsort(flat[known], kind="stable")]
+        self.count = np.bincount(flat[known], minlength=size)
+        self.begin = np.cumsum(self.count) - self.count
+
+
+def _around_rare(
+    group: Group, columns: np.ndarray, places: Places, blocks: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What ``_near`` says of the items ``columns``, from the places of their rarest words, some items at a time.
+
+    Windows are in the order of the text: neither ``low`` nor ``high`` falls.
+    """
+    hits = np.bincount(group.of_rarest, places.count[group.rarest], len(group.items)).astype(np.int64)
+    columns = columns[hits[columns] >= group.least[columns]]
+    member = np.zeros(len(places.count) + 1, bool)  # the last is for words of no item
+    widest = int((high - low).max(initial=0))
+    parts = (np.cumsum(hits[columns]) - hits[columns]) // HELD
+    for part in np.unique(parts):
+        here = np.zeros(len(group.items), bool)
+        here[columns[parts == part]] = True
+        some = np.flatnonzero(here[group.of_rarest])
+        count = places.count[group.rarest[some]]
+        at = places.at[_spread(places.begin[group.rarest[some]], count)]
+        column = np.repeat(group.of_rarest[some], count)
+        # In blocks; between two items lies more than any window's width.
+        short = len(group.items) * (len(blocks) + widest) < 1 << 31
+        place = np.sort((column * (len(blocks) + widest) + at // STEP).astype(np.int32 if short else np.int64))
+        # A place and the last of as many as the item needs: the windows that hold both.
+        last = np.arange(len(place)) + np.repeat(group.least[here] - 1, hits[here])
+        first = np.flatnonzero(last < len(place))
+        first = first[place[last[first]] - place[first] < widest]
+        column, begin = np.divmod(place[first], len(blocks) + widest)
+        end = np.searchsorted(low, begin, side="right")
+        begin = np.searchsorted(high, place[last[first]] - place[first] + begin, side="right")
+        # Windows that an earlier place of the item has given already.
+        begin[1:] = np.where(column[1:] == column[:-1], np.maximum(begin[1:], end[:-1]), begin[1:])
+        held = np.flatnonzero(begin < end)
+        window = _spread(begin[held], (end - begin)[held])
+        column = np.repeat(column[held], (end - begin)[held])
+        cuts = np.flatnonzero(np.append(True, column[1:] != column[:-1])) if len(column) else column
+        own = np.searchsorted(group.of_wanted, np.arange(len(group.items) + 1))
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for a, b in zip(cuts, np.append(cuts[1:], len(column))):
+            item = column[a]
+            words_ = group.wanted[own[item]:own[item + 1]]
+            member[words_] = True
+            for rows in (window[c:min(b, c + AT_ONCE)] for c in range(a, b, AT_ONCE)):
+                # Running sums over the blocks of the windows, without what lies between them.
+                new = np.maximum(low[rows], np.maximum.accumulate(np.append(0, high[rows[:-1]])))
+                used = _spread(new, np.maximum(0, high[rows] - new))
+                sums = np.append(0, np.cumsum(np.count_nonzero(member[blocks[used]], axis=1)))
+                told = sums[np.searchsorted(used, high[rows])] - sums[np.searchsorted(used, low[rows])]
+                enough = np.flatnonzero(told >= np.ceil(PART * group.need[item]))
+                found.append((rows[enough], np.full(len(enough), item), told[enough]))
+                if sum(len(f[0]) for f in found) >= AT_ONCE:
+                    yield tuple(map(np.concatenate, zip(*found)))
+                    found = []
+            member[words_] = False
+        if any(len(f[0]) for f in found):
+            yield tuple(map(np.concatenate, zip(*found)))
+
+
+def _counted(
+    group: Group, columns: np.ndarray, size: int, blocks: np.ndarray, low: np.ndarray, high: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The same for the items ``columns`` by counts in every block, some windows at a time."""
+    place = np.full(len(group.items), -1)
+    place[columns] = np.arange(len(columns))
+    own = np.flatnonzero(place[group.of_wanted] >= 0)
+    counted = np.zeros((size + 1, len(columns)), np.uint8)  # the last row is for words of no item
+    counted[group.wanted[own], place[group.of_wanted[own]]] = 1
+    for at in range(0, len(low), AT_ONCE):
+        some = slice(at, at + AT_ONCE)
+        row, column, held = _near(counted, blocks, low[some], high[some], PART * group.need[columns])
+        if len(row):
+            yield row + at, columns[column], held
+
+
 def _near(
     counted: np.ndarray, blocks: np.ndarray, low: np.ndarray, high: np.ndarray, need: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -304,47 +441,42 @@ def candidates(query: Query, text: Words) -> Iterator[tuple[int, int, int, int,
     first_block = np.cumsum(count) - count
     blocks = np.full((count.sum(), STEP), -1, np.int32)
     blocks.reshape(-1)[np.arange(len(numbers)) + np.repeat(first_block * STEP - text.first[:-1], n)] = numbers
-    lengths = np.array([len(w) for w in query.item_words])
-    of_item = _window_of(np.maximum(1, lengths))
-    for size in sorted(set(of_item)):
-        count = np.where(n > 0, 1 + np.maximum(0, -(-(n - size) // STEP)), 0)
-        document = np.repeat(np.arange(len(n)), count)
-        begin = (np.arange(len(document)) - np.repeat(np.cumsum(count) - count, count)) * STEP
-        begin = np.minimum(begin, np.maximum(0, n[document] - size))
-        end = np.minimum(begin + size, n[document])
-        every = np.flatnonzero(of_item == size)
-        for items in (every[at:at + GROUP] for at in range(0, len(every), GROUP)):
-            # Words of the item that are checked; the last row is for words of no item.
-            counted = np.zeros((len(query.vocabulary) + 1, len(items)), np.uint8)
-            need = np.zeros(len(items))
-            for column, item in enumerate(items):
-                wanted, _, _ = _checked(query, item)
-                counted[wanted, column], need[column] = 1, len(wanted)
-            pad = STEP + max(0, int(lengths[items].max()) - int(size))
-            low = first_block[document] + np.maximum(0, begin - pad) // STEP
-            high = first_block[document] - (-np.minimum(end + pad, n[document]) // STEP)
-            for at in range(0, len(document), AT_ONCE):
-                some = slice(at, at + AT_ONCE)
-                row, column, held = _near(counted, blocks, low[some], high[some], PART * need)
-                if not len(row):
-                    continue
-                windows, row = np.unique(row + at, return_inverse=True)
-                begins = text.first[document[windows]] + begin[windows]
-                length = end[windows] - begin[windows]
-                first = np.cumsum(length) - length
-                found = numbers[np.repeat(begins - first, length) + np.arange(length.sum())]
-                known = np.flatnonzero(found >= 0)
-                window = np.repeat(np.arange(len(windows)), length)[known]
-                starts = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(known) else known
-                sums = np.zeros((len(windows), query.latent.shape[1]), np.float32)
-                if len(known):
-                    sums[window[starts]] = np.add.reduceat(query.latent[found[known]], starts, axis=0)
-                sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-                cosine = np.einsum("ij,ij->i", sums[row], query.directions[items[column]])
-                for k in np.flatnonzero((cosine >= COSINE) | (held >= VERBATIM * need[column])):
-                    window = row[k]
-                    yield (int(document[windows[window]]), int(items[column[k]]), int(begins[window]),
-                           int(begins[window] + length[window]), float(cosine[k]))
+    places = Places(blocks, len(query.vocabulary))
+    size = 0
+    for group in query.groups:
+        if group.size != size:  # groups are in the order of sizes
+            size = group.size
+            count = np.where(n > 0, 1 + np.maximum(0, -(-(n - size) // STEP)), 0)
+            document = np.repeat(np.arange(len(n)), count)
+            begin = (np.arange(len(document)) - np.repeat(np.cumsum(count) - count, count)) * STEP
+            begin = np.minimum(begin, np.maximum(0, n[document] - size))
+            end = np.minimum(begin + size, n[document])
+        low = first_block[document] + np.maximum(0, begin - group.pad) // STEP
+        high = first_block[document] - (-np.minimum(end + group.pad, n[document]) // STEP)
+        hits = np.bincount(group.of_rarest, places.count[group.rarest], len(group.items))
+        rare = hits * PLACES < len(blocks)
+        found: list[Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]] = []
+        if rare.any():
+            found.append(_around_rare(group, np.flatnonzero(rare), places, blocks, low, high))
+        if len(low) and not rare.all():
+            found.append(_counted(group, np.flatnonzero(~rare), len(query.vocabulary), blocks, low, high))
+        for row, column, held in chain(*found):
+            windows, row = np.unique(row, return_inverse=True)
+            begins = text.first[document[windows]] + begin[windows]
+            length = end[windows] - begin[windows]
+            words_ = numbers[_spread(begins, length)]
+            known = np.flatnonzero(words_ >= 0)
+            window = np.repeat(np.arange(len(windows)), length)[known]
+            starts = np.flatnonzero(np.append(True, window[1:] != window[:-1])) if len(known) else known
+            sums = np.zeros((len(windows), query.latent.shape[1]), np.float32)
+            if len(known):
+                sums[window[starts]] = np.add.reduceat(query.latent[words_[known]], starts, axis=0)
+            sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+            cosine = np.einsum("ij,ij->i", sums[row], query.directions[group.items[column]])
+            for k in np.flatnonzero((cosine >= COSINE) | (held >= VERBATIM * group.need[column])):
+                window = row[k]
+                yield (int(document[windows[window]]), int(group.items[column[k]]), int(begins[window]),
+                       int(begins[window] + length[window]), float(cosine[k]))
 
 
 def leaks(query: Query, text: Words) -> dict[tuple[int, int], tuple[float, float, float]]:

@@ -1,6 +1,7 @@
 """Leaks that must be found whatever else is in the table."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -142,3 +143,64 @@ def test_short_items_and_scripts_without_spaces(spark):
     only_short = benchmark.filter("item_id <> 2")
     assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.find(docs, only_short).collect()) == [
         pair for pair in expected if pair[1] != 2]
+
+
+def searched(monkeypatch, docs, items):
+    """(query, text) with frequencies of these documents and any latent space."""
+    text = words(pa.array(docs), ALPHANUMERIC, cut=True)
+
+    def frequencies(_, known):
+        of = np.repeat(np.arange(len(docs)), np.diff(text.first))
+        numbers = known.numbers(text.hash)
+        pairs = {(d, w) for d, w in zip(of.tolist(), numbers.tolist()) if w >= 0}
+        return np.bincount([w for _, w in pairs], minlength=len(known)), len(docs)
+
+    monkeypatch.setattr(decontaminate, "_frequencies", frequencies)
+    monkeypatch.setattr(
+        decontaminate, "_range_sum", lambda _, known, w, space: (np.random.default_rng(1).standard_normal(space.shape), 9.0))
+    return decontaminate.fit(None, list(range(len(items))), items), text
+
+
+@pytest.mark.parametrize("skew", [0.0, 0.7, 1.1])
+def test_places_of_rare_words_and_counts_of_all_find_the_same(monkeypatch, skew):
+    """Items of five to 700 words, some with repeated words, in texts of none to thousands of words."""
+    rng = random.Random(skew)
+    known = [f"w{i}" for i in range(3000)]
+    share = [1 / (i + 1) ** skew for i in range(3000)]
+    items = [" ".join(rng.choices(known, share, k=rng.choice([5, 9, 20, 33, 70, 150, 700]))) for _ in range(300)]
+    items[7] = "again " * 9 + "and again"
+    docs = ["", "w1", "again and " * 30]
+    for _ in range(80):
+        text = rng.choices(known, share, k=rng.choice([3, 40, 400, 3000]))
+        own = [w if rng.random() < 0.75 else "other" for w in rng.choice(items).split()]
+        at = rng.randrange(len(text))
+        docs.append(" ".join(text[:at] + own + text[at:]))
+    query, text = searched(monkeypatch, docs, items)
+    found = []
+    for places, held in ((10**9, 1), (0, 1 << 20), (0, 50), (decontaminate.PLACES, 1 << 20)):
+        monkeypatch.setattr(decontaminate, "PLACES", places)  # 0: by places only; many: by counts, where there are any
+        monkeypatch.setattr(decontaminate, "HELD", held)
+        found.append(decontaminate.leaks(query, text))
+    assert len(found[0]) >= 60 and all(f == found[0] for f in found)
+
+
+def test_twenty_times_the_items_cost_less_than_twice(monkeypatch):
+    """Search of 1.6 MB, words and all; counts in every block took ten times as long."""
+    rng = random.Random(4)
+    known = [f"w{i}" for i in range(30_000)]
+    docs = [" ".join(rng.choices(known, k=rng.randrange(5, 800))) for _ in range(600)]
+    items = [" ".join(rng.choices(known, k=rng.choice([8, 20, 40, 60, 120]))) for _ in range(4000)]
+    for i in range(100):
+        docs[i] += " " + items[2 * i]
+    seconds = {}
+    for n in (200, 4000):
+        query, text = searched(monkeypatch, docs, items[:n])
+        took = []
+        for _ in range(7):
+            start = time.perf_counter()
+            found = decontaminate.leaks(query, words(pa.array(docs), ALPHANUMERIC, cut=True))
+            took.append(time.perf_counter() - start)
+        seconds[n] = min(took)
+        assert {(i, 2 * i) for i in range(100)} >= set(found) and len(found) == min(100, n // 2)
+    print(seconds)
+    assert seconds[4000] < 2 * seconds[200]
