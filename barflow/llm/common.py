@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.session import work_dir
+from barflow.session import remove, work_dir
 
 #: A-Z and what they become. Other letters keep their case.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -52,7 +53,45 @@ def stored(rows: DataFrame, name: str, group_bytes: int | None = None) -> DataFr
     if group_bytes is not None:
         write = write.option("parquet.block.size", group_bytes)
     write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    table.stored_at = path
+    if _open:
+        _open[-1].append(table)
+    return table
+
+
+#: Tables of the ``scratch`` blocks that the program is in.
+_open: list[list[DataFrame]] = []
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the folders of stored tables that nothing reads any more; other DataFrames are left alone."""
+    for table in tables:
+        if path := vars(table).get("stored_at"):  # not a column of that name
+            remove(table.sparkSession, path)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stored in the block are removed at its end, but for those given to the function it yields.
+
+    What leaves the block may read kept tables only; those belong to the next outer block, if there is one.
+    """
+    made: list[DataFrame] = []
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    _open.append(made)
+    try:
+        yield keep
+    finally:
+        _open.pop()
+        discard(*[t for t in made if not any(t is k for k in kept)])
+        if _open:
+            _open[-1].extend(kept)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -4,7 +4,7 @@ Large-star and small-star steps in turn: every node's larger neighbours are link
 one, then its smaller neighbours are. The links end up as stars around the smallest node of each
 component after a number of rounds that grows with the logarithm of the nodes. A round is joins
 and minima; no neighbour lists are gathered, so a node with very many links is no large group.
-Each round is written to the shared folder, which cuts the lineage. ``FEW`` links or fewer are less
+Each round is written to the shared folder, which cuts the lineage, and replaces the one before. ``FEW`` links or fewer are less
 work than the rounds' overhead: one task joins them, with the same result.
 """
 
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import stored
+from barflow.llm.common import discard, scratch, stored
 
 
 #: Links (two numbers each) that one task joins; more go through the rounds.
@@ -72,16 +72,19 @@ def _are_stars(links: DataFrame) -> bool:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) of all nodes that have a link.
+    """(node, component) of all nodes that have a link, as a stored table.
 
     ``links`` has two number columns, a and b, and is read more than once.
     """
     if links.count() <= FEW:
         return _in_one_task(links)
-    now = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    while True:
-        now = stored(_small_star(stored(_large_star(now), "links")), "links")
-        if _are_stars(now):
-            break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    with scratch() as keep:
+        now = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+        while True:
+            larger = stored(_large_star(now), "links")
+            before, now = now, stored(_small_star(larger), "links")
+            discard(before, larger)
+            if _are_stars(now):
+                break
+        return keep(stored(now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+            now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()), "components"))

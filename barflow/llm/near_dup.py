@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.common import pieces, shuffle_partitions, stored
+from barflow.llm.common import pieces, scratch, shuffle_partitions, stored
 from barflow.llm.components import components
 from barflow.llm.words import NOT_SPACE, U, mix, words
 from barflow.operators.numbering import numbered
@@ -344,21 +344,26 @@ def _sign_all(documents: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def _components(signed: DataFrame, texts: DataFrame, k: int, least: int) -> DataFrame:
-    """``signed`` with the component of each row's set; no doc_id has two different sets."""
-    nodes = stored(
-        signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set1", "set2", "n_shingles").agg(
-            F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("signature").alias("signature")),
-        "nodes", GROUP_BYTES)
-    keys = nodes.select(F.explode("keys").alias("key"), "node")
-    buckets = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    members = stored(keys.join(buckets, "key"), "members")
-    first = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = stored(verify(stored(prune(first, nodes, least), "pairs"), texts, k, least), "verified")
-    joined = components(links)
-    rest = stored(rest_links(members, nodes, joined, texts, k, least), "links")
-    if not rest.isEmpty():
-        stars = joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        joined = components(rest.unionByName(stars))
+    """``signed`` with the component of each row's set; no doc_id has two different sets.
+
+    Of the tables written on the way only the nodes and their components stay.
+    """
+    with scratch() as keep:
+        nodes = keep(stored(
+            signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set1", "set2", "n_shingles").agg(
+                F.min("doc_id").alias("node"), F.first("keys").alias("keys"), F.first("signature").alias("signature")),
+            "nodes", GROUP_BYTES))
+        keys = nodes.select(F.explode("keys").alias("key"), "node")
+        buckets = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+        members = stored(keys.join(buckets, "key"), "members")
+        first = members.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+        links = stored(verify(stored(prune(first, nodes, least), "pairs"), texts, k, least), "verified")
+        joined = components(links)
+        rest = stored(rest_links(members, nodes, joined, texts, k, least), "links")
+        if not rest.isEmpty():
+            stars = joined.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            joined = components(rest.unionByName(stars))
+        keep(joined)
     whole = signed.select("doc_id", "n_shingles", "set1", "set2").join(
         nodes.select("set1", "set2", "n_shingles", "node"), ["set1", "set2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
@@ -439,19 +444,23 @@ def keep_one(documents: DataFrame, words_in_shingle: int = 5, least: int = LEAST
     other or of an earlier document's, and a text that has no near duplicate never goes. Of rows equal in
     doc_id and text the smallest stays. Rows without a doc_id all stay. An empty table gives no rows.
     """
-    signed = _sign_all(documents, words_in_shingle, BANDS, ROWS)
     columns = documents.columns
-    if not _has_different_texts(signed):
-        found = _kept(_components(signed, documents.select("doc_id", "text"), words_in_shingle, least))
-        gone = stored(found.filter("NOT kept").select("doc_id").distinct(), "gone")
+    with scratch() as keep:
+        signed = _sign_all(documents, words_in_shingle, BANDS, ROWS)
+        several = _has_different_texts(signed)
+        if not several:
+            found = _kept(_components(signed, documents.select("doc_id", "text"), words_in_shingle, least))
+            gone = keep(stored(found.filter("NOT kept").select("doc_id").distinct(), "gone"))
+        else:
+            told = _told_apart(documents)
+            apart = told.select(F.col("number").alias("doc_id"), "text")
+            found = _kept(_components(_sign_all(apart, words_in_shingle, BANDS, ROWS), apart, words_in_shingle, least))
+            kept = keep(stored(found.filter("kept").select(F.col("doc_id").alias("number")).join(told, "number").select(
+                F.col("doc_id").alias("of"), F.col("tie").alias("mark")), "kept"))
+    if not several:
         if gone.count() <= BROADCAST_ROWS:
             gone = F.broadcast(gone)
         return _one_of_each(documents.join(gone, "doc_id", "left_anti").select(columns), ["doc_id"])
-    told = _told_apart(documents)
-    apart = told.select(F.col("number").alias("doc_id"), "text")
-    found = _kept(_components(_sign_all(apart, words_in_shingle, BANDS, ROWS), apart, words_in_shingle, least))
-    kept = found.filter("kept").select(F.col("doc_id").alias("number")).join(told, "number").select(
-        F.col("doc_id").alias("of"), F.col("tie").alias("mark"))
     mark = "_text_mark"
     marked = documents.withColumn(mark, F.xxhash64("text"))
     stays = marked.join(kept, (F.col("doc_id") == F.col("of")) & (F.col(mark) == F.col("mark")), "left_semi")

@@ -3,6 +3,7 @@
 import random
 import re
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from barflow.llm import near_dup
+from barflow.llm.common import discard, scratch, stored
 from barflow.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -214,3 +216,40 @@ def test_random_components(spark, monkeypatch):
     frame = spark.createDataFrame(links, "a long, b long").repartition(4)
     found = {r[0]: r[1] for r in components(frame.select("a", F.col("b"))).collect()}
     assert found == smallest([x for x in links if x[0] != x[1]], {n for a, b in links if a != b for n in (a, b)})
+
+
+def folders(spark):
+    return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_tables_on_the_way_do_not_stay(spark, texts, few, monkeypatch):
+    """Also with a column that is named like what a table remembers of its folder."""
+    monkeypatch.setattr("barflow.llm.components.FEW", few)
+    frame = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, stored_at string")
+    expected = {i for i, (_, _, kept) in all_pairs(texts, 5).items() if kept}
+    before = folders(spark)
+    left = near_dup.keep_one(frame)
+    made = {name.rsplit("-", 1)[0] for name in folders(spark) - before}
+    assert made == {"gone", "again"}
+    assert {r["doc_id"] for r in left.collect()} == expected
+    before = folders(spark)
+    found = near_dup.groups(frame.select("doc_id", "text"), 5)
+    assert {name.rsplit("-", 1)[0] for name in folders(spark) - before} == {"signed", "nodes", "components"}
+    assert {r["doc_id"] for r in found.filter("kept").collect()} == expected
+
+
+def test_scratch_within_scratch(spark):
+    some = spark.range(3)
+    with scratch() as keep:
+        with scratch() as keep_within:
+            outer, lost = keep_within(stored(some, "outer")), stored(some, "lost")
+        last = keep(stored(outer, "last"))
+        assert outer.count() == 3 and not Path(lost.stored_at).exists()
+    assert last.count() == 3 and not Path(outer.stored_at).exists()
+    with pytest.raises(ValueError), scratch():
+        lost = stored(some, "lost")
+        raise ValueError
+    assert not Path(lost.stored_at).exists()
+    discard(last, some)
+    assert not Path(last.stored_at).exists()
