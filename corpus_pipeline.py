@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from barflow.llm import decontaminate, near_dup, packing, quality, secret_scan
-from barflow.llm.common import prepare, read, stored
+from barflow.llm.common import discard, prepare, read, scratch, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,10 +57,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table ``documents``."""
+    """All stages over the whole table ``documents``. What a stage has written goes once the next one is."""
     docs = read(prepare(spark, lean=True), sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with scratch() as keep:
+            after = keep(stored(stage(spark, docs, sf_dir), name))
+        discard(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
