@@ -19,6 +19,7 @@ from barflow import sinks
 from barflow.operators import quality
 from barflow.operators.signals import monitor
 from barflow.plans.flow import bars_of_messages, signal_stream
+from barflow.schema import MINUTE_BAR_CHUNK
 from barflow.session import ROCKSDB
 from barflow.sources import messages
 from barflow.sources.topic import TopicSettings, publish_stream, read_topic
@@ -46,14 +47,15 @@ def start_publisher(
 def start_signals(
     envelope: DataFrame, store: str, targets: Sequence[sinks.BatchWriter], checkpoints: str,
     delay: str = DELAY, every: str = sinks.DATABASE_EVERY, name: str = "signals", once: bool = False,
+    chunk: str | None = MINUTE_BAR_CHUNK,
 ) -> StreamingQuery:
     """The signals of a message stream, to every target: monitor, files and tables of one job.
 
     ``once`` works off what the source holds now and ends; the same checkpoint and store then go
     on live, and the other way round. Bound a round with the source's own limit, such as
-    ``maxOffsetsPerTrigger``.
+    ``maxOffsetsPerTrigger``. ``chunk`` fits the unit of the bars (``chunk_of``).
     """
-    writer = signal_stream(envelope, store, delay, targets, f"{checkpoints}/{name}", name, every)
+    writer = signal_stream(envelope, store, delay, targets, f"{checkpoints}/{name}", name, every, chunk)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 

@@ -159,6 +159,13 @@ def oracle_sql() -> dict[str, str]:
         "parse_messages": f"""WITH {_EVENT_BARS}
             SELECT {bars}, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS fetch_time,
                    "timestamp" AS kafka_timestamp FROM event_bars""",
+        "topic_messages": _daily(f"""SELECT nullif(symbol, '') AS key,
+            '{{' || coalesce('"symbol":"' || symbol || '",', '') || '"timestamp":"' || {_ISO} || '","open":' || open
+              || ',"high":' || high || ',"low":' || low || ',"close":' || close || ',"volume":' || volume
+              || ',"fetch_time":"' || strftime("timestamp" + INTERVAL 90 SECOND, '%Y-%m-%dT%H:%M:%S.%f') || '"}}' AS value,
+            "timestamp" + INTERVAL 2 MINUTE AS "timestamp" FROM (SELECT * REPLACE (
+              CASE CAST(substr(symbol, 2) AS BIGINT) % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE symbol END AS symbol)
+            FROM bars)"""),
         "bar_rejects": f"""WITH {_EVENT_BARS}, bodies AS (
             SELECT *, strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS sent,
               '"open":' || value || ',"high":' || value || ',"low":' || value || ',"close":' || value AS prices
@@ -224,6 +231,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "signal_monitor": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "signal_monitor_messages": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
+        "signal_stamps": _daily(
+            "SELECT symbol, count(*) AS signals, count(*) AS stamped, count(*) AS in_order, "
+            "CAST(1 AS BIGINT) AS decision_times FROM risked GROUP BY symbol", ENRICH, RULES),
         "signal_monitor_week": _weekly(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "signal_monitor_chunked": _weekly(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "trading_signals_rows": _daily(
@@ -283,6 +293,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_bars_upserted": _daily(f"SELECT {bars} FROM bars"),
         "stream_bars_user_day": _daily(f"SELECT {bars} FROM bars"),
         "stream_signal_monitor": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
+        "live_signal_store": _daily(f"SELECT {monitor} FROM risked", ENRICH, RULES),
         "stream_enriched_rounds": _weekly(f"SELECT {enriched} FROM enriched", ENRICH),
         "bars_coerced": _weekly(f"SELECT {bars} FROM bars"),
         "last_copies_of_ties": _daily(

@@ -12,6 +12,7 @@ from barflow.functions import rules
 from barflow.operators import enrich as en
 from barflow.operators import quality
 from barflow.operators import signals as sg
+from barflow.plans import live
 from barflow.plans.flow import (
     bars_of_messages, signal_stream, signals_of_bars, signals_of_messages, signals_of_trades,
 )
@@ -130,6 +131,32 @@ def json_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return messages.bars_of(messages.parse(messages.encode(supplier_week_bars(spark, folder))))
 
 
+def topic_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars as keyed messages; every seventh user's symbol is empty, the next one's missing.
+
+    A bar keeps its own time, and was fetched later and sent later still.
+    """
+    bars = user_day_bars(spark, folder)
+    user, time = F.substring("symbol", 2, 20).cast("bigint"), F.col("timestamp")
+    symbol = F.when(user % 7 == 0, "").when(user % 7 != 1, F.col("symbol"))
+    sent = messages.encode(
+        bars.withColumn("symbol", symbol), time + F.expr("INTERVAL 90 SECONDS"),
+        sent_at=time + F.expr("INTERVAL 2 MINUTES"))
+    return sent.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "timestamp")
+
+
+def signal_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """How many signals each symbol has, how many carry both stamps, and how many were decided at or
+    after the time at which their message was processed; one decision time for a run."""
+    sent = messages.encode(user_day_bars(spark, folder), F.col("timestamp"))
+    signals = signals_of_messages(sent, bs.chunk_of("day"))
+    processed, decided = F.col("processing_time"), F.col("signal_timestamp")
+    return signals.groupBy("symbol").agg(
+        F.count("*").alias("signals"), F.count_if(processed.isNotNull() & decided.isNotNull()).alias("stamped"),
+        F.count_if(decided >= processed).alias("in_order"), F.countDistinct("signal_timestamp").alias("decision_times"))
+
+
 def signal_monitor(spark: SparkSession, folder: str) -> DataFrame:
     trades = tables.event_trades(spark, folder)
     return sg.monitor(signals_of_trades(trades, "day", bs.time_then_id("ts", "event_id")))
@@ -399,6 +426,31 @@ def stream_signal_monitor(spark: SparkSession, folder: str) -> DataFrame:
     return sg.monitor(spark.read.parquet(f"{base}/signals"))
 
 
+def live_signal_store(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored signals of the live job: it runs on its trigger, is stopped, starts anew on the messages
+    that came meanwhile, and at last works off the rest as a bounded job, all on one checkpoint."""
+    base = work_dir(spark, "live-signals")
+    user_day_bars(spark, folder).write.parquet(f"{base}/table")
+    bars = spark.read.parquet(f"{base}/table")
+    ends = bars.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
+    early = F.col("timestamp") < F.timestamp_micros(F.lit(sum(end or 0 for end in ends) // 2))
+    parts = [messages.encode(bars.filter(part), F.col("timestamp")) for part in (early, ~early)]
+    for part, once in ((parts[0], False), (parts[1], False), (_closing_message(spark), True)):
+        part.write.mode("append").parquet(f"{base}/messages")
+        query = live.start_signals(
+            _message_stream(spark, f"{base}/messages"), f"{base}/bars",
+            [sinks.signal_store_writer(f"{base}/signals")], f"{base}/checkpoints", STREAM_DELAY, "1 second",
+            "live_signals", once, bs.chunk_of("day"))
+        try:
+            if once:
+                query.awaitTermination()
+            else:
+                query.processAllAvailable()
+        finally:
+            query.stop()
+    return sg.monitor(sinks.read_signals(spark, f"{base}/signals"))
+
+
 def stream_enriched_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly bars whose messages arrive in three parts, each enriched by rounds of the batch operator.
 
@@ -459,6 +511,7 @@ def _named() -> dict[str, Query]:
         "bars_symbol_subset": bars_symbol_subset,
         "json_round_trip": json_round_trip,
         "parse_messages": parse_messages,
+        "topic_messages": topic_messages,
         "bar_rejects": bar_rejects,
         "bars_accepted": bars_accepted,
         "bars_coerced": bars_coerced,
@@ -506,6 +559,7 @@ def _named() -> dict[str, Query]:
         "signal_monitor_week": _weekly(calendar_signals, *MONITOR_COLUMNS),
         "signal_monitor_messages": signal_monitor_messages,
         "signal_monitor_dirty_messages": signal_monitor_dirty_messages,
+        "signal_stamps": signal_stamps,
         "signal_monitor_chunked": _weekly(
             lambda bars: signals_of_bars(bars, chunk=WEEKLY_CHUNK), *MONITOR_COLUMNS
         ),
@@ -526,6 +580,7 @@ def _named() -> dict[str, Query]:
         "stream_bars_user_day": stream_bars_user_day,
         "stream_signal_monitor": stream_signal_monitor,
         "stream_enriched_rounds": stream_enriched_rounds,
+        "live_signal_store": live_signal_store,
     }
 
 
