@@ -2,8 +2,9 @@
 
 The aggregation runs in update mode: every round returns the bars that its trades have changed, whole.
 They are written under the round's number, which is the bar's version; the newest version of a bar
-counts. Versions of many rounds are merged into a base, so a reader sees one base and the rounds since.
-Once the watermark has passed a bar's end it no longer changes.
+counts. Rounds are merged by levels: every 16 rounds become one folder, every 16 of these one of the next
+level, and so on. So a bar is written anew once a level, however old the stream is, and a reader opens at
+most 15 folders of each level. Once the watermark has passed a bar's end it no longer changes.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from barflow.sources.bars import build_bars_stream
 
 VERSION = "version"
 VERSIONED = T.StructType([*BAR, T.StructField(VERSION, T.LongType())])
-#: Rounds between two merges.
+#: Folders of a level that become one of the next.
 EVERY = 16
 
 
@@ -31,45 +32,73 @@ def newest_versions(bars: DataFrame) -> DataFrame:
         *[F.max_by(c, version).alias(c) for c in BAR_COLUMNS[2:]], F.max(version).alias(VERSION)).select(VERSIONED.names)
 
 
-def _folders(spark: SparkSession, path: str, before: int | None) -> list[str]:
-    """The newest base and the rounds since it; ``before`` leaves out that round, its base, and later ones."""
-    def numbers(kind: str) -> list[int]:
-        found = (int(n.split("=")[1]) for n in children(spark, f"{path}/{kind}"))
-        return sorted(n for n in found if before is None or n < before)
+def _pieces(spark: SparkSession, path: str) -> dict[int, dict[int, str]]:
+    """The folders that are written to their end: by the round after them, then by their first round."""
+    found = [(int(n.split("=")[1]), int(n.split("=")[1]) + 1, f"{path}/rounds/{n}") for n in children(spark, f"{path}/rounds")]
+    found += [(*map(int, n.split("-")), f"{path}/merged/{n}") for n in children(spark, f"{path}/merged")]
+    pieces: dict[int, dict[int, str]] = {}
+    for first, after, folder in found:
+        if exists(spark, f"{folder}/_SUCCESS"):
+            pieces.setdefault(after, {})[first] = folder
+    return pieces
 
-    bases = [n for n in numbers("base") if exists(spark, f"{path}/base/before={n}/_SUCCESS")]
-    base = max(bases, default=0)
-    rounds = [f"{path}/rounds/{VERSION}={n}" for n in numbers("rounds") if n >= base]
-    return [f"{path}/base/before={base}", *rounds] if bases else rounds
+
+def _cover(pieces: dict[int, dict[int, str]], first: int, after: int) -> list[str]:
+    """The fewest folders with the rounds from ``first`` up to before ``after``, but for one that is just that."""
+    whole, found = (first, after), []
+    while after > first:
+        starts = [n for n in pieces.get(after, ()) if n >= first and (n, after) != whole]
+        if starts:
+            found.append(pieces[after][min(starts)])
+        after = min(starts, default=after - 1)
+    return found
 
 
 def _read(spark: SparkSession, folders: list[str]) -> DataFrame:
     return spark.read.schema(VERSIONED).parquet(*folders) if folders else spark.createDataFrame([], VERSIONED)
 
 
+def current_folders(spark: SparkSession, path: str) -> list[str]:
+    """What a reader opens: of each level the merged rounds that no higher one has, and the rounds since."""
+    pieces = _pieces(spark, path)
+    return _cover(pieces, -1, max(pieces, default=0))
+
+
 def current_bars(spark: SparkSession, path: str) -> DataFrame:
-    """The bars as they are now."""
-    return newest_versions(_read(spark, _folders(spark, path, None))).select(*BAR_COLUMNS)
+    """The bars as they are now. A filter on symbol or time reaches the files."""
+    return newest_versions(_read(spark, current_folders(spark, path))).select(*BAR_COLUMNS)
 
 
-def versions_writer(path: str, every: int = EVERY) -> BatchWriter:
-    """Write a round's changed bars as their newest version; a replay replaces its folder.
+def merge_rounds(spark: SparkSession, path: str, number: int, every: int = EVERY) -> None:
+    """Merge what is due once all rounds before ``number`` are written: level by level, the last ``every``
+    folders of a level become one of the next.
 
-    Every ``every`` rounds the versions before are merged into a base. Rounds and bases that are in
-    a base are removed one merge later, so a reader that has listed them can still open them.
+    What is merged already is left alone. Folders whose rounds are in a larger one since the merge before are
+    removed, so a reader that has listed them can still open them.
     """
+    if not number or number % every:
+        return
+    size = every
+    while number % size == 0:
+        pieces, first = _pieces(spark, path), number - size
+        if first not in pieces.get(number, ()):
+            merged = newest_versions(_read(spark, _cover(pieces, first, number)))
+            merged.write.mode("overwrite").parquet(f"{path}/merged/{first}-{number}")
+        size *= every
+    known = [(first, after, folder) for after, found in _pieces(spark, path).items() for first, folder in found.items()]
+    settled = [(first, after) for first, after, _ in known if after <= number - every]
+    for first, after, folder in known:
+        if any(x <= first and after <= y and (x, y) != (first, after) for x, y in settled):
+            remove(spark, folder)
+
+
+def versions_writer(path: str, every: int = EVERY) -> BatchWriter:
+    """Write a round's changed bars as their newest version and merge older ones; a replay replaces its folder."""
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         batch.select(*BAR_COLUMNS, F.lit(number).cast("long").alias(VERSION)).write.mode("overwrite").parquet(
             f"{path}/rounds/{VERSION}={number}")
-        if number and number % every == 0:
-            merged = newest_versions(_read(spark, _folders(spark, path, number)))
-            merged.write.mode("overwrite").parquet(f"{path}/base/before={number}")
-            for kind in ("rounds", "base"):
-                for name in children(spark, f"{path}/{kind}"):
-                    if int(name.split("=")[1]) < number - every:
-                        remove(spark, f"{path}/{kind}/{name}")
+        merge_rounds(batch.sparkSession, path, number, every)
 
     return write
 

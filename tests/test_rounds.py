@@ -151,10 +151,48 @@ def test_versions_are_merged_and_replays_change_nothing(spark, tmp_path):
         for _ in range(1 + (number % 3 == 0)):
             write(bar_frame(spark, rows), number)
         same_rows(provisional.current_bars(spark, path), bar_frame(spark, list(newest.values())))
-    assert len(provisional._folders(spark, path, None)) <= 4
+    assert len(provisional.current_folders(spark, path)) <= 4
     assert len(list((tmp_path / "rounds").iterdir())) <= 8
 
 
+def test_a_bar_is_merged_once_a_level_however_old_the_stream(spark, tmp_path):
+    """220 rounds, six to a merge: a merge of all rounds so far would write each bar 18 times on average."""
+    path, every, rounds, levels = str(tmp_path), 6, 220, 3
+    schema = pa.schema([("symbol", pa.string()), ("timestamp", pa.timestamp("us", "UTC")), *[
+        (c, pa.float64()) for c in BAR_COLUMNS[2:6]], ("volume", pa.int64()), ("version", pa.int64())])
+    newest, written, opened = {}, {}, 0
+    for number in range(rounds):
+        rows = [(f"S{i}", START + timedelta(minutes=number - late), float(number), 1.0, 1.0, 1.0, number, number)
+                for i, late in enumerate((0, 1, number % 50))]
+        newest |= {r[:2]: r[:-1] for r in rows}
+        folder = tmp_path / "rounds" / f"version={number}"
+        folder.mkdir(parents=True)
+        pq.write_table(pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema), folder / "part.parquet")
+        (folder / "_SUCCESS").touch()
+        provisional.merge_rounds(spark, path, number, every)
+        for merged in (tmp_path / "merged").glob("*/part-*.parquet"):
+            written[merged] = pq.read_metadata(merged).num_rows
+        opened = max(opened, len(provisional.current_folders(spark, path)))
+    assert sum(written.values()) <= levels * 3 * rounds
+    assert opened <= levels * (every - 1) + every + 1
+    assert len(list((tmp_path / "rounds").iterdir())) <= 2 * every + 1
+    assert len(list((tmp_path / "merged").iterdir())) <= 2 * every * levels
+    same_rows(provisional.current_bars(spark, path), bar_frame(spark, list(newest.values())))
+
+
+def test_a_round_that_is_not_written_to_its_end_does_not_show(spark, tmp_path):
+    write = provisional.versions_writer(str(tmp_path), 2)
+    for number in range(3):
+        write(bar_frame(spark, series(f"S{number}", [BASE])), number)
+    (tmp_path / "rounds" / "version=2" / "_SUCCESS").unlink()
+    (tmp_path / "merged" / "0-2" / "_SUCCESS").unlink()
+    seen = provisional.current_bars(spark, str(tmp_path)).select("symbol")
+    assert sorted(r[0] for r in seen.collect()) == ["S0", "S1"]
+    write(bar_frame(spark, series("S2", [BASE])), 2)
+    assert len(provisional.current_folders(spark, str(tmp_path))) == 2
+    assert provisional.current_bars(spark, str(tmp_path)).count() == 3
+
+
 def test_every_field_of_every_message_is_accounted_for(spark):
     bodies = [
         '{"symbol":"A","timestamp":"2024-01-01T00:00:00","open":1,"high":"x","low":true,"close":null,"volume":1.5}',
