@@ -349,9 +349,10 @@ def manifest_store(spark: SparkSession, folder: str) -> str:
 
 
 def signals_of_symbol_all_time(spark: SparkSession, folder: str) -> DataFrame:
-    """All signals of one symbol, from the few files of the clustered copy that may hold it."""
+    """All signals of one symbol, from the few files of the clustered copy, made in two steps, that may hold it."""
     path, target = manifest_store(spark, folder), work_dir(spark, "clustered")
-    store.cluster(spark, path, target, len(ROUNDS), CLUSTER_ROWS)
+    for upto in (1, len(ROUNDS)):
+        store.cluster(spark, path, target, upto, CLUSTER_ROWS)
     return store.read(spark, path, symbol="S7", clustered=(target, len(ROUNDS))).select(*MONITOR_COLUMNS)
 
 

@@ -152,27 +152,31 @@ def writer(path: str, key: Sequence[str] = SIGNAL_KEY) -> BatchWriter:
 
 
 def cluster(spark: SparkSession, path: str, target: str, upto: int, file_rows: int = FILE_ROWS) -> None:
-    """Copy all rounds before ``upto`` into files along the curve: one round of another store.
+    """Copy all rounds before ``upto`` that another store lacks into files along the curve: one round of that
+    store, under the number of the last one that it holds.
 
-    Read both with ``read(..., clustered=(target, upto))``. Rows keep their numbers and times.
+    So a copy that goes on now and then reads and writes new rounds alone; what it has already stays as it
+    is, and each step is a curve of its own over its times. Read both with
+    ``read(..., clustered=(target, upto))``. Rows keep their numbers and times.
     """
-    rounds = files(spark, path).filter(F.col("round") < upto)
+    done = files(spark, target).agg(F.coalesce(F.max("round") + 1, F.lit(0))).first()[0]
+    rounds = files(spark, path).filter(F.col("round").between(done, upto - 1))
     time = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    total, first, last = rounds.agg(
-        F.sum("rows"), F.unix_micros(F.min("first_time")), F.unix_micros(F.max("last_time"))).first()
-    if not total or is_committed(spark, target, 0):
+    total, first, last, newest = rounds.agg(
+        F.sum("rows"), F.unix_micros(F.min("first_time")), F.unix_micros(F.max("last_time")), F.max("round")).first()
+    if not total:
         return
     rows = _open(spark, rounds)
     length = max(1, last - first + 1)
     cell = F.floor((time - F.lit(first)) / F.lit(length) * CELLS).cast("int")
     place = interleaved(symbol_cell(F.col("symbol")), F.least(cell, F.lit(CELLS - 1)))
-    folder = f"{target}/data/round=0/{uuid.uuid4().hex[:12]}"
+    folder = f"{target}/data/round={newest}/{uuid.uuid4().hex[:12]}"
     (
         rows.withColumn("_place", place)
         .repartitionByRange(max(1, -(-total // file_rows)), "_place", "timestamp", "symbol")
         .sortWithinPartitions("_place", "symbol", "timestamp").drop("_place").write.parquet(folder)
     )
-    commit(spark, target, 0, folder)
+    commit(spark, target, newest, folder)
 
 
 def _open(spark: SparkSession, chosen: DataFrame) -> DataFrame | None:
@@ -187,13 +191,13 @@ def read(
 ) -> DataFrame:
     """Stored signals of one symbol, of a time range (start inclusive, end exclusive), or created since a time.
 
-    ``clustered`` names a clustered store and the first round that is not in it. A store without rows has no
+    ``clustered`` names a clustered store and the first round that is not taken from it. A store without rows has no
     columns to read and raises an error.
     """
     chosen = files(spark, path)
     if clustered is not None:
         store, upto = clustered
-        chosen = chosen.filter(F.col("round") >= upto).unionByName(files(spark, store))
+        chosen = chosen.filter(F.col("round") >= upto).unionByName(files(spark, store).filter(F.col("round") < upto))
     on_files, on_rows = F.lit(True), F.lit(True)
     if symbol is not None:
         on_files &= symbol_cell(F.lit(symbol)).between(F.col("low_cell"), F.col("high_cell"))

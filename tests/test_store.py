@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from helpers import same_rows
 from pyspark.sql import functions as F
 
 from barflow import store
@@ -133,6 +134,23 @@ def test_one_symbol_is_in_few_clustered_files(spark, tmp_path):
     assert rows.count() == 2 and opened(rows) <= every / 8
 
 
+def test_a_clustered_copy_goes_on_with_new_rounds_alone(spark, tmp_path):
+    path, target = str(tmp_path / "s"), str(tmp_path / "c")
+    for number in range(4):
+        store.append(signals(spark, 64, 16, 16 * number), path, number, at(number))
+    store.cluster(spark, path, target, 2, 64)
+    before = {r["file"] for r in store.files(spark, target).collect()}
+    for _ in range(2):
+        store.cluster(spark, path, target, 4, 64)
+    held = store.files(spark, target).collect()
+    assert before < {r["file"] for r in held} and sum(r["rows"] for r in held) == 4 * 64 * 16
+    assert all(r["first_time"] >= START + timedelta(days=32) for r in held if r["file"] not in before)
+    same_rows(store.read(spark, path, clustered=(target, 4)), store.read(spark, path))
+    same_rows(store.read(spark, path, clustered=(target, 2)), store.read(spark, path))
+    rows = store.read(spark, path, symbol="S17", clustered=(target, 4))
+    assert rows.count() == 64 and opened(rows) <= len(held) / 3
+
+
 def test_a_hot_symbol_is_split(spark, tmp_path):
     path, target = str(tmp_path / "s"), str(tmp_path / "c")
     hot = signals(spark, 1, 2000, 0, timedelta(hours=1))
