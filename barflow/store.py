@@ -32,6 +32,8 @@ ID, CREATED = "id", "created_at"
 #: Cells of the curve along each side, and rows of a clustered file.
 CELL_BITS, FILE_ROWS = 16, 1_000_000
 CELLS = 1 << CELL_BITS
+#: Rows that one task of ``cluster`` sorts at least; it cuts them into files.
+TASK_ROWS = 50_000
 #: Rounds whose manifests are merged into one, so that a reader lists no more folders than about that.
 MERGE_ROUNDS = 64
 
@@ -158,6 +160,9 @@ def cluster(spark: SparkSession, path: str, target: str, upto: int, file_rows: i
     So a copy that goes on now and then reads and writes new rounds alone; what it has already stays as it
     is, and each step is a curve of its own over its times. Read both with
     ``read(..., clustered=(target, upto))``. Rows keep their numbers and times.
+
+    A file has at most ``file_rows`` rows. A task writes many files if these are small, so tasks, and what they
+    exchange, grow with the rows and not with the files.
     """
     done = files(spark, target).agg(F.coalesce(F.max("round") + 1, F.lit(0))).first()[0]
     rounds = files(spark, path).filter(F.col("round").between(done, upto - 1))
@@ -173,8 +178,9 @@ def cluster(spark: SparkSession, path: str, target: str, upto: int, file_rows: i
     folder = f"{target}/data/round={newest}/{uuid.uuid4().hex[:12]}"
     (
         rows.withColumn("_place", place)
-        .repartitionByRange(max(1, -(-total // file_rows)), "_place", "timestamp", "symbol")
-        .sortWithinPartitions("_place", "symbol", "timestamp").drop("_place").write.parquet(folder)
+        .repartitionByRange(max(1, -(-total // max(file_rows, TASK_ROWS))), "_place", "timestamp", "symbol")
+        .sortWithinPartitions("_place", "symbol", "timestamp").drop("_place")
+        .write.option("maxRecordsPerFile", file_rows).parquet(folder)
     )
     commit(spark, target, newest, folder)
 

@@ -159,6 +159,18 @@ def test_a_hot_symbol_is_split(spark, tmp_path):
     assert store.files(spark, target).agg(F.max("rows")).first()[0] < 800
 
 
+def test_small_clustered_files_do_not_need_a_task_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "TASK_ROWS", 1000)
+    path, target = str(tmp_path / "s"), str(tmp_path / "c")
+    store.append(signals(spark, 64, 64), path, 0, at(0))
+    store.cluster(spark, path, target, 1, 32)
+    held = store.files(spark, target).collect()
+    tasks = {r["file"].rsplit("/", 1)[1][:10] for r in held}  # part-00000
+    assert len(held) >= 128 and len(tasks) <= 5 and max(r["rows"] for r in held) <= 32
+    same_rows(store.read(spark, path, clustered=(target, 1)), store.read(spark, path))
+    assert opened(store.read(spark, path, symbol="S17", clustered=(target, 1))) <= len(held) / 4
+
+
 def test_places_on_the_curve(spark):
     pairs = [(5, 3), (65535, 0), (0, 65535), (40000, 123)]
     frame = spark.createDataFrame(pairs, "a int, b int")
