@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.functions import candle
-from barflow.schema import LOOKBACK_ROWS, MINUTE_BAR_CHUNK, with_ties
+from barflow.schema import LOOKBACK_ROWS, MINUTE_BAR_CHUNK
 
 CHUNK = "_chunk"
 BORROWED = "_borrowed"
@@ -100,18 +100,17 @@ def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str]
     """``add_history`` with the work split by (symbol, chunk).
 
     A chunk needs at most the 19 bars before it. These come from the tails (last 19 rows) of
-    earlier chunks: 19 chunks back always suffice since a chunk that exists has a row. Tails
-    are whole bars, so both uses of ``bars`` read the same columns and Spark can reuse the
-    exchange that builds them.
+    earlier chunks: 19 chunks back always suffice since a chunk that exists has a row. Bars are
+    dealt by (symbol, chunk) once: tails are whole rows, so both uses of them read the same columns
+    and Spark reuses that exchange, and borrowed bars are dealt likewise before they join them.
     """
     keys = ("symbol", CHUNK)
-    cut = bars.withColumn(CHUNK, chunk_number(chunk))
+    cut = bars.withColumn(CHUNK, chunk_number(chunk)).repartition(*keys)
     order = ["timestamp", *tie_break]
-    columns = with_ties(tie_break)
-    bar = F.struct(*order, *[c for c in columns if c not in ("symbol", *order)])
+    bar = F.struct(*order, *[c for c in bars.columns if c not in ("symbol", *order)])
 
     tails = (
-        last_rows(cut.select(CHUNK, *columns), LOOKBACK_ROWS, tie_break, keys)
+        last_rows(cut, LOOKBACK_ROWS, tie_break, keys)
         .groupBy(*keys).agg(F.sort_array(F.collect_list(bar)).alias("tail"))
     )
     earlier = Window.partitionBy("symbol").orderBy(CHUNK).rowsBetween(-LOOKBACK_ROWS, -1)
@@ -120,9 +119,9 @@ def add_history_in_chunks(bars: DataFrame, chunk: str, tie_break: Sequence[str]
     borrowed = (
         tails.select(*keys, before.alias("before"))
         .select(*keys, F.inline(nearest))
-        .withColumn(BORROWED, F.lit(True))
+        .withColumn(BORROWED, F.lit(True)).repartition(*keys)
     )
-    seeded = cut.withColumn(BORROWED, F.lit(False)).unionByName(borrowed, allowMissingColumns=True)
+    seeded = cut.withColumn(BORROWED, F.lit(False)).unionByName(borrowed)
     return add_history(seeded, tie_break, keys).filter(~F.col(BORROWED)).drop(CHUNK, BORROWED)
 
 

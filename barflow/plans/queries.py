@@ -17,7 +17,7 @@ from barflow.plans.flow import (
     bars_of_messages, signal_stream, signals_of_bars, signals_of_messages, signals_of_trades,
 )
 from barflow.schema import BAR_COLUMNS, ENVELOPE, HISTORY_COLUMNS, MONITOR_COLUMNS, PRICES
-from barflow.session import utc_session, work_dir
+from barflow.session import DENSE, utc_session, work_dir
 from barflow.sources import bars as bs
 from barflow.sources import messages, tables
 from barflow.streaming import late, provisional
@@ -458,14 +458,13 @@ def stream_enriched_rounds(spark: SparkSession, folder: str) -> DataFrame:
     The query is started anew for each part and resumes from its checkpoint.
     """
     base = work_dir(spark, "rounds")
-    supplier_week_bars(spark, folder).write.parquet(f"{base}/table")
     run = history_rounds(
         f"{base}/bars", [sinks.batch_folder_writer(f"{base}/rows")], chunk=WEEKLY_CHUNK)
-    bars, year = spark.read.parquet(f"{base}/table"), F.year("timestamp")
+    bars, year = supplier_week_bars(spark, folder), F.year("timestamp")  # a part is built from its own trades
     parts = [messages.encode(bars.filter(part), F.col("timestamp"))
              for part in (year < 1997, (year >= 1997) & (year < 1999), year >= 1999)]
     for part in (*parts, _closing_message(spark)):
-        part.write.mode("append").parquet(f"{base}/messages")
+        part.write.mode("append").parquet(f"{base}/messages", compression=DENSE)
         arrived, _ = bars_of_messages(_message_stream(spark, f"{base}/messages"))
         run_once(sinks.each_batch(
             settled(arrived, STREAM_DELAY), run, f"{base}/checkpoint", "enriched_rounds"))

@@ -8,6 +8,8 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
+#: Codec of tables that lie between two steps: a third smaller than the default for message bodies.
+DENSE = "zstd"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from barflow.operators import quality
+from barflow.session import DENSE
 
 # Rows shown per round, and the rounds of the two streaming sinks.
 CONSOLE_ROWS = 20
@@ -61,7 +62,7 @@ def batch_folder_writer(path: str) -> BatchWriter:
     """Write micro-batch n to the folder ``batch_id=n``; a replay replaces that folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}", compression=DENSE)
 
     return write
 

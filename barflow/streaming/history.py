@@ -23,7 +23,8 @@ from pyspark.sql.observation import Observation
 from pyspark.sql.streaming import StreamingQuery
 
 from barflow.operators.enrich import enrich, rows_before
-from barflow.schema import MINUTE_BAR_CHUNK
+from barflow.schema import BAR_COLUMNS, MINUTE_BAR_CHUNK
+from barflow.session import DENSE
 from barflow.sinks import BatchWriter
 from barflow.sources import messages
 from barflow.streaming.tails import EVERY, ROUND, bars_before, round_folder, write_snapshot
@@ -60,7 +61,7 @@ def history_rounds(
     def run(batch: DataFrame, number: int) -> None:
         spark, folder, seen = batch.sparkSession, round_folder(store, number), Observation()
         batch.observe(seen, F.unix_micros(F.min("timestamp").cast("timestamp")).alias("first")).write.mode(
-            "overwrite").parquet(folder)
+            "overwrite").parquet(folder, compression=DENSE)
         write_snapshot(spark, store, batch.schema, number, every)
         first = seen.get["first"]
         if first is None:
@@ -68,9 +69,9 @@ def history_rounds(
         new = spark.read.schema(batch.schema).parquet(folder)
         start = F.timestamp_micros(F.lit(first))
         symbols = new.select("symbol").distinct()
-        earlier = bars_before(spark, store, batch.schema, number, every).join(symbols, "symbol", "left_semi")
-        before = rows_before(earlier, start, symbols, lookback=lookback)
-        enriched = enrich(before.unionByName(new), chunk=chunk).filter(F.col("timestamp") >= start)
+        earlier = bars_before(spark, store, batch.schema, number, every).select(*BAR_COLUMNS)
+        before = rows_before(earlier.join(symbols, "symbol", "left_semi"), start, symbols, lookback=lookback)
+        enriched = enrich(new.unionByName(before, allowMissingColumns=True), chunk=chunk).filter(F.col("timestamp") >= start)
         if len(sinks) > 1:
             enriched = enriched.persist()
         try:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from barflow.operators.enrich import last_rows
 from barflow.schema import LOOKBACK_ROWS
-from barflow.session import children, exists, remove
+from barflow.session import DENSE, children, exists, remove
 
 ROUND = "batch_id"
 #: Rounds between two snapshots.
@@ -60,7 +60,8 @@ def write_snapshot(spark: SparkSession, store: str, schema: T.StructType, number
         return
     before = _read(spark, _folders_without(spark, store, number, every), T.StructType(
         [T.StructField(f.name, f.dataType) for f in schema]))
-    last_rows(before, LOOKBACK_ROWS, (), ["symbol"]).write.mode("overwrite").parquet(snapshot_folder(store, number))
+    last_rows(before, LOOKBACK_ROWS, (), ["symbol"]).write.mode("overwrite").parquet(
+        snapshot_folder(store, number), compression=DENSE)
     for name in children(spark, f"{store}/_tails"):
         if int(name.split("=")[1]) < number - every:
             remove(spark, f"{store}/_tails/{name}")

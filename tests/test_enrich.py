@@ -171,6 +171,17 @@ def test_tails_are_limited_before_the_exchange(spark):
     assert "hashpartitioning(symbol" in text and "_chunk" in text
 
 
+def test_stored_bars_are_read_and_dealt_by_chunk_once(spark, rows, tmp_path):
+    bars = bar_frame(spark, rows).withColumn("fetch_time", F.col("timestamp"))
+    bars.write.parquet(str(tmp_path / "bars"))
+    found = enrich(spark.read.parquet(str(tmp_path / "bars")), chunk="1 day")
+    same_rows(found.drop("fetch_time"), whole(bar_frame(spark, rows)))
+    found.collect()
+    final = plan(found).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    assert found.filter(F.col("fetch_time") != F.col("timestamp")).isEmpty()
+
+
 def test_copies_are_combined_by_hashing_before_the_exchange(spark):
     text = plan(queries()["signal_monitor_messages"](spark, "/root/testdata/sf0.001"))
     assert "SortAggregate" not in text

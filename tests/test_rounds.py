@@ -12,7 +12,7 @@ from barflow import sinks
 from barflow.schema import BAR, BAR_COLUMNS, ENVELOPE, MESSAGE_BODY
 from barflow.sources import bars as bs
 from barflow.sources import messages
-from barflow.streaming import late, provisional, tails
+from barflow.streaming import history, late, provisional, tails
 from barflow.streaming.history import ROUND, history_rounds, settled
 from barflow.streaming.run import run_once
 
@@ -64,6 +64,20 @@ def test_rounds_with_snapshots_give_the_batch_result_also_when_run_again(spark,
     same_rows(spark.read.parquet(str(tmp_path / "bars")).drop(ROUND), bar_frame(spark, rows))
 
 
+def test_a_round_reads_the_columns_of_a_bar_alone_from_earlier_rounds(spark, tmp_path, monkeypatch):
+    """The others of a message would be shuffled with bars that never come out."""
+    seen, find = [], history.rows_before
+    monkeypatch.setattr(history, "rows_before", lambda bars, *args, **named: seen.append(bars.columns) or find(bars, *args, **named))
+    rows = series("A", [BASE] * 30)
+    run = history_rounds(str(tmp_path / "bars"), [sinks.batch_folder_writer(str(tmp_path / "out"))], "10 minutes")
+    for number in range(2):
+        part = bar_frame(spark, rows[15 * number:15 * number + 15])
+        run(part.withColumn("fetch_time", F.col("timestamp")), number)
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert seen[1] == BAR_COLUMNS and found.filter(F.col("fetch_time") == F.col("timestamp")).count() == 30
+    same_rows(found.drop(ROUND, "fetch_time"), whole(bar_frame(spark, rows)))
+
+
 def test_a_store_without_snapshots_is_read_whole(spark, tmp_path):
     for number in range(20):
         put_round(tmp_path, number, [("A", START + timedelta(minutes=number), *BASE)])
